@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import decontaminate, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +18,16 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark")))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.digest(substring_dedup.remove_repeats(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
+    "op8_substring_dedup": op8_substring_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontaminate.ORACLE,
+    "op8_substring_dedup": substring_dedup.ORACLE,
 }
