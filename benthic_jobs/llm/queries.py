@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, substring_dedup, warc
+from . import chat_format, decontaminate, substring_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,13 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.read_records(warc.write_archives(pages)))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(chat_format.PROBE, rows.schema)
+    records = chat_format.from_rows(rows.unionByName(probe))
+    return chat_format.read_back(chat_format.format_turns(chat_format.canonical_turns(records)))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.digest(substring_dedup.remove_repeats(docs))
@@ -31,10 +38,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
+    "op5_chat_format": op5_chat_format,
     "op8_substring_dedup": op8_substring_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontaminate.ORACLE,
     "op3_warc": warc.ORACLE,
+    "op5_chat_format": chat_format.ORACLE,
     "op8_substring_dedup": substring_dedup.ORACLE,
 }
