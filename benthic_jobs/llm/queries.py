@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, packing, substring_dedup, warc
+from . import chat_format, decontaminate, packing, quality, substring_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,13 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(chat_format.canonical_turns(records)))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), train=~quality.fold(3, 1))
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    return quality.scored(docs, model).select("doc_id", quality.fold(3, 1).alias("held_out"), "score", predicted)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -43,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
     "op5_chat_format": op5_chat_format,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_substring_dedup": op8_substring_dedup,
 }
