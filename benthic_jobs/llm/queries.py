@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, packing, quality, substring_dedup, warc
+from . import chat_format, decontaminate, ngram_join, packing, quality, substring_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.near_duplicates(docs).select("doc_id", "class_id", "n_links")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark")))
@@ -48,6 +53,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
     "op5_chat_format": op5_chat_format,
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_join": ngram_join.ORACLE,
     "op2_decontamination": decontaminate.ORACLE,
     "op3_warc": warc.ORACLE,
     "op5_chat_format": chat_format.ORACLE,

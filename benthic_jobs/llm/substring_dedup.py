@@ -239,8 +239,9 @@ def _row_key(docs: DataFrame, text_col: str):
 def remove_repeats(docs: DataFrame, *, text_col: str = "text", window: int = 35) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed``, ``removed_spans`` (word positions) and ``kept_text``.
 
-    Windows are judged on the input; of a passage that stands in several places no copy stays.
+    Columns of these names are replaced. Windows are judged on the input; of a passage that stands in several places no copy stays.
     """
+    docs = docs.drop("n_words", "n_removed", "removed_spans", "kept_text")
     _, ranges = repeated_windows(docs, text_col=text_col, window=window)
     ranges = ranges.withColumnsRenamed({"row_key": "__key", "ranges": "__ranges"})
     keyed = docs.withColumn("__key", _row_key(docs, text_col)).withColumn("__text", F.col(text_col))
