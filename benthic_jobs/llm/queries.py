@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, ngram_join, packing, quality, substring_dedup, warc
+from . import chat_format, decontaminate, html_extract, ngram_join, packing, quality, substring_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.remove_repeats(docs))
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_html_extract": op10_html_extract,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_join": ngram_join.ORACLE,
