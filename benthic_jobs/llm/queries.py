@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, html_extract, ngram_join, packing, quality, substring_dedup, warc
+from . import chat_format, decontaminate, html_extract, language_id, ngram_join, packing, quality, substring_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,13 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.read_records(warc.write_archives(pages)))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs, train=~quality.fold(4, 2))
+    tagged = language_id.tagged(docs.select("doc_id", "text"), model)
+    return tagged.select("doc_id", quality.fold(4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame(chat_format.PROBE, rows.schema)
@@ -61,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
     "op3_warc": op3_warc,
+    "op4_language_id": op4_language_id,
     "op5_chat_format": op5_chat_format,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
