@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, html_extract, language_id, ngram_join, packing, quality, substring_dedup, warc
+from . import audio_match, chat_format, decontaminate, html_extract, language_id, ngram_join, packing, quality, substring_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.remove_repeats(docs))
 
 
+def op9_audio_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sound = audio_match.sonified(table(spark, sf_dir, "embeddings"))
+    return audio_match.search(audio_match.fingerprints(sound), F.col("recording_id") % 20 == 0)
+
+
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_audio_match": op9_audio_match,
     "op10_html_extract": op10_html_extract,
 }
 ORACLE_SQL: dict[str, str] = {
