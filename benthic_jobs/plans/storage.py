@@ -5,16 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, which cuts the lineage."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share; one of this machine only where none is set, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
         at = "file://" + tempfile.mkdtemp(prefix="spark-benthic-")
         spark.conf.set("spark.checkpoint.dir", at)
-    path = f"{at.rstrip('/')}/jobs/{name}-{uuid.uuid4().hex}"
+    return at.rstrip("/")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, which cuts the lineage."""
+    path = f"{shared_dir(df.sparkSession)}/jobs/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
