@@ -60,7 +60,7 @@ def depth_invariant(sensor: str, prefix: str) -> dict[str, Column]:
 
 def bottom_reflectance(value: Column, depth: Column, kd: Column) -> Column:
     """Two-way attenuation taken out, at most 1; needs a positive depth and attenuation."""
-    return F.when((depth > 0) & (kd > 0), F.least(value * F.exp(2 * kd * depth), F.lit(1.0)))
+    return F.when((depth > 0) & (kd > 0) & value.isNotNull(), F.least(value * F.exp(2 * kd * depth), F.lit(1.0)))
 
 
 def bottom_reflectances(sensor: str, prefix: str, depth: Column, kd: dict[str, float] | None = None) -> dict[str, Column]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import analyse, collapse, curation, quality, sampling
 from .carriers import carrier, table
-from .registry import query
+from .registry import query, rounded
 
 OTHER = ["Tape and wand", "STANDARD"]
 _BENTHIC = "coalesce(category NOT IN ('Tape and wand', 'STANDARD'), true)"
@@ -34,7 +34,7 @@ FROM trees t JOIN m ON t.site = m.site AND t.plot_no = m.plot_no GROUP BY t.site
 def a01(spark: SparkSession, d: str) -> DataFrame:
     trees = carrier(spark, d, "trees").withColumn("n", F.col("l_orderkey") * 1000000 + F.col("l_partkey") * 100 + F.col("l_suppkey"))
     out = collapse.plots(trees, ["site", "plot_no"], "n", ["height_m"])
-    return out.withColumns({c: F.round(c, 6) for c in ("mean_dbh_cm", "mean_height_m", "live_fraction")})
+    return out.withColumns({c: rounded(c, 6) for c in ("mean_dbh_cm", "mean_height_m", "live_fraction")})
 
 
 @query("a02_sites", f"""
@@ -58,7 +58,7 @@ c AS (SELECT s.site, k.category, CASE WHEN any_value(labelled) > 0 THEN round(co
 @query("a03_cover_long", _COVER + " SELECT site, category, CAST(cover AS DOUBLE) AS cover FROM c")
 def a03(spark: SparkSession, d: str) -> DataFrame:
     out = collapse.cover_long(carrier(spark, d, "annotations"), "site", "category", list(_KEEP), benthic())
-    return out.withColumn("cover", F.round("cover", 6))
+    return out.withColumn("cover", rounded("cover", 6))
 
 
 @query("a03_cover_wide", _COVER + """ SELECT site, CAST(max(CASE WHEN category = 'LARGE' THEN cover END) AS DOUBLE) AS cover_large,
@@ -72,7 +72,7 @@ def a03w(spark: SparkSession, d: str) -> DataFrame:
 SELECT site, round(sum(CASE WHEN category = 'Tape and wand' THEN 1 ELSE 0 END) * 100.0 / count(*), 6)::DOUBLE AS pct_points_tape FROM annotations GROUP BY site""")
 def a04(spark: SparkSession, d: str) -> DataFrame:
     out = collapse.category_share(carrier(spark, d, "annotations"), "site", "category", {"Tape and wand": "pct_points_tape"})
-    return out.withColumn("pct_points_tape", F.round("pct_points_tape", 6))
+    return out.withColumn("pct_points_tape", rounded("pct_points_tape", 6))
 
 
 @query("a05_common_labels", f"""
@@ -96,7 +96,7 @@ WITH c AS (SELECT site, genus, count(*) AS n FROM annotations WHERE genus IS NOT
 t AS (SELECT site, n / sum(n) OVER (PARTITION BY site) AS p FROM c)
 SELECT s.site, round(h, 6) AS shannon FROM (SELECT DISTINCT site FROM annotations) s LEFT JOIN (SELECT site, sum(-p * ln(p)) AS h FROM t GROUP BY site) h ON h.site = s.site""")
 def a07(spark: SparkSession, d: str) -> DataFrame:
-    return collapse.shannon(carrier(spark, d, "annotations"), "site", "genus").withColumn("shannon", F.round("shannon", 6))
+    return collapse.shannon(carrier(spark, d, "annotations"), "site", "genus").withColumn("shannon", rounded("shannon", 6))
 
 
 @query("a08_date_spread", """
@@ -124,7 +124,7 @@ SELECT cluster, round(west, 6)::DOUBLE AS west, round(south, 6)::DOUBLE AS south
 FROM obs o JOIN b ON o.l_linenumber = b.cluster GROUP BY cluster, west, south, east, north""")
 def a10(spark: SparkSession, d: str) -> DataFrame:
     out = collapse.extents(carrier(spark, d, "obs").withColumnRenamed("l_linenumber", "cluster"), "cluster", "lon", "lat", 0.05)
-    return out.withColumns({c: F.round(c, 6) for c in ("west", "south", "east", "north", "lon", "lat")}).withColumn("radius_m", F.round("radius_m", 3))
+    return out.withColumns({c: rounded(c, 6) for c in ("west", "south", "east", "north", "lon", "lat")}).withColumn("radius_m", rounded("radius_m", 3))
 
 
 @query("a11_outliers", """
@@ -133,7 +133,7 @@ SELECT obs_id, round(d, 3) AS dist_m, d > 20000 AS outlier FROM (
   SELECT obs_id, sqrt(((lon - mx) * 111320 * cos(radians(my))) ** 2 + ((lat - my) * 110540) ** 2) AS d FROM obs JOIN m USING (l_suppkey))""")
 def a11(spark: SparkSession, d: str) -> DataFrame:
     out = collapse.outlier_flags(carrier(spark, d, "obs"), "l_suppkey", "lon", "lat", 20000)
-    return out.select("obs_id", F.round("dist_m", 3).alias("dist_m"), "outlier")
+    return out.select("obs_id", rounded("dist_m", 3).alias("dist_m"), "outlier")
 
 
 @query("a12_clear_fraction", """
@@ -141,7 +141,7 @@ SELECT scene_id, band, round(avg(CASE WHEN dn <= 6000 THEN 1.0 ELSE 0.0 END), 6)
 FROM pixels GROUP BY ALL""")
 def a12(spark: SparkSession, d: str) -> DataFrame:
     out = sampling.clear_fraction(carrier(spark, d, "pixels"), ["scene_id", "band"], F.col("dn") <= 6000, F.col("dn") / 10000.0)
-    return out.withColumns({c: F.round(c, 6) for c in ("clear_fraction", "mean_score")})
+    return out.withColumns({c: rounded(c, 6) for c in ("clear_fraction", "mean_score")})
 
 
 @query("a13_turbidity_index", """
@@ -149,7 +149,7 @@ WITH m AS (SELECT scene_id % 6 AS aoi, prow, pcol, median(b4) AS r, median(b3) A
 SELECT aoi, round(avg((r - g) / nullif(r + g, 0)), 6) AS turbidity_index FROM m GROUP BY aoi""")
 def a13(spark: SparkSession, d: str) -> DataFrame:
     s = carrier(spark, d, "stacks").withColumn("aoi", F.col("scene_id") % 6)
-    return sampling.turbidity_index(s, "aoi", ["prow", "pcol"], "b4", "b3").withColumn("turbidity_index", F.round("turbidity_index", 6))
+    return sampling.turbidity_index(s, "aoi", ["prow", "pcol"], "b4", "b3").withColumn("turbidity_index", rounded("turbidity_index", 6))
 
 
 @query("a14_empty_rasters", """
@@ -165,7 +165,7 @@ SELECT scene_id, band, round(n, 6)::DOUBLE AS nodata_frac, round(c, 6)::DOUBLE A
 def a15(spark: SparkSession, d: str) -> DataFrame:
     p = carrier(spark, d, "pixels").withColumn("qa", F.when(F.col("dn") > 6000, 8).otherwise(64))
     out = quality.nodata_and_cloud(p, ["scene_id", "band"], "dn", "qa", 0)
-    return out.withColumns({c: F.round(c, 6) for c in ("nodata_frac", "cloud_frac")})
+    return out.withColumns({c: rounded(c, 6) for c in ("nodata_frac", "cloud_frac")})
 
 
 @query("a16_glint_haze", """
@@ -174,7 +174,7 @@ SELECT scene_id, round(n, 6) AS nir_mean, round(b, 6) AS blue_mean, CASE WHEN n
 def a16(spark: SparkSession, d: str) -> DataFrame:
     s = carrier(spark, d, "stacks").withColumn("b8", F.when(F.col("b8") > 0.45, F.col("b8")).otherwise(-1.0))
     out = quality.glint_haze(s, ["scene_id"], "b8", "b2", glint_nir=0.535, haze=0.495)
-    return out.withColumns({c: F.round(c, 6) for c in ("nir_mean", "blue_mean")})
+    return out.withColumns({c: rounded(c, 6) for c in ("nir_mean", "blue_mean")})
 
 
 @query("a17_accepted_stacks", """
@@ -198,12 +198,12 @@ def _stats(spark: SparkSession, d: str) -> DataFrame:
 
 @query("a18_patch_statistics", f"SELECT scene_id, band, round(mean, 6)::DOUBLE AS mean, round(clip_frac, 6)::DOUBLE AS clip_frac FROM ({_STATS})")
 def a18(spark: SparkSession, d: str) -> DataFrame:
-    return _stats(spark, d).withColumns({c: F.round(c, 6) for c in ("mean", "clip_frac")})
+    return _stats(spark, d).withColumns({c: rounded(c, 6) for c in ("mean", "clip_frac")})
 
 
 @query("a19_clip_rates", f"SELECT band, round(avg(clip_frac), 6)::DOUBLE AS mean_clip, round(max(clip_frac), 6)::DOUBLE AS max_clip FROM ({_STATS}) GROUP BY band")
 def a19(spark: SparkSession, d: str) -> DataFrame:
-    return analyse.clip_rates(_stats(spark, d)).withColumns({c: F.round(c, 6) for c in ("mean_clip", "max_clip")})
+    return analyse.clip_rates(_stats(spark, d)).withColumns({c: rounded(c, 6) for c in ("mean_clip", "max_clip")})
 
 
 @query("a20_class_counts", """
@@ -227,7 +227,7 @@ WITH c AS (SELECT band, CAST(least(floor(dn / 10000.0 * 59), 58) AS INT) AS bin,
 SELECT band, bin, round(n / sum(n) OVER (PARTITION BY band) * 59, 6)::DOUBLE AS density FROM c""")
 def a21d(spark: SparkSession, d: str) -> DataFrame:
     p = carrier(spark, d, "pixels").where("dn > 0").withColumn("v", F.col("dn") / 10000.0)
-    return analyse.histogram(p, ["band"], "v", F.lit(0.0), F.lit(1.0), 59, density=True).withColumn("density", F.round("density", 6))
+    return analyse.histogram(p, ["band"], "v", F.lit(0.0), F.lit(1.0), 59, density=True).withColumn("density", rounded("density", 6))
 
 
 @query("a22_time_gap", """
@@ -247,7 +247,7 @@ SELECT tile, round(median(m), 6)::DOUBLE AS median_px, round(quantile_cont(m, 0.
 def a23(spark: SparkSession, d: str) -> DataFrame:
     s = carrier(spark, d, "scenes").select("tile", (F.col("cloud_cover") / 8).alias("m"))
     out = analyse.alignment_summary(s, ["tile"], "m")
-    return out.select("tile", *(F.round(c, 6).alias(c) for c in out.columns if c != "tile"))
+    return out.select("tile", *(rounded(c, 6).alias(c) for c in out.columns if c != "tile"))
 
 
 @query("a24_issue_report", """

@@ -9,11 +9,11 @@ from ..functions import geometry, labels, spectral
 from ..functions.sensors import KD_CLEAR
 from ..operators.curation import review_filter
 from .carriers import carrier, table
-from .registry import query
+from .registry import query, rounded
 
 
 def _rounded(columns: dict, digits: int = 6) -> list:
-    return [F.round(c.cast("double"), digits).alias(k) for k, c in columns.items()]
+    return [rounded(c.cast("double"), digits).alias(k) for k, c in columns.items()]
 
 
 @query("p01_normalise_label", """
@@ -80,7 +80,7 @@ def p07(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("l_linenumber") % 2 == 0, "S").otherwise("N"),
     )
     text = F.when(F.col("l_linenumber") == 7, "no fix").otherwise(text)
-    return carrier(spark, d, "obs").select("obs_id", F.round(labels.dms_to_degrees(text), 6).alias("degrees"))
+    return carrier(spark, d, "obs").select("obs_id", rounded(labels.dms_to_degrees(text), 6).alias("degrees"))
 
 
 @query("p08_abundance", """
@@ -146,7 +146,7 @@ def p12(spark: SparkSession, d: str) -> DataFrame:
     lon, lat = F.col("longitude"), F.col("latitude")
     out = carrier(spark, d, "samples").withColumn("g", geometry.patch_geometry(lon, lat, 5120.0))
     inside = lon.between(F.col("g.west"), F.col("g.east")) & lat.between(F.col("g.south"), F.col("g.north"))
-    metres = [F.round(F.col(f"g.{c}"), 3).alias(c) for c in ("x", "y", "origin_x", "origin_y")]
+    metres = [rounded(F.col(f"g.{c}"), 3).alias(c) for c in ("x", "y", "origin_x", "origin_y")]
     return out.select("location_id", F.col("g.epsg").alias("epsg"), *metres, inside.alias("holds_centre"))
 
 
@@ -169,7 +169,7 @@ def p14(spark: SparkSession, d: str) -> DataFrame:
     pixels = pixels.join(whole, "scene_id", "left_semi").where("NOT (scene_id % 5 = 0 AND band = 2)")
     name = F.when(F.col("band") == 7, "qa_pixel").otherwise(F.concat(F.lit("b"), F.col("band") + 1))
     rows = pixels.select("scene_id", F.col("band").alias("number"), "prow", "pcol", "dn", F.lit("LS").alias("sensor"), name.alias("band"))
-    return spectral.reflectance(rows).select("scene_id", F.col("number").alias("band"), "prow", "pcol", F.round("value", 7).alias("value"))
+    return spectral.reflectance(rows).select("scene_id", F.col("number").alias("band"), "prow", "pcol", rounded("value", 7).alias("value"))
 
 
 def _nd(a: str, b: str) -> str:
@@ -244,7 +244,7 @@ SELECT scene_id, round(c, 6) AS cloud FROM (SELECT scene_id, CASE WHEN scene_id
 def p22(spark: SparkSession, d: str) -> DataFrame:
     raw = F.when(F.col("scene_id") % 11 == 0, None).when(F.col("scene_id") % 3 == 0, F.col("cloud_cover") / 100).otherwise(F.col("cloud_cover"))
     c = labels.cloud_percent(raw)
-    return carrier(spark, d, "scenes").select("scene_id", F.round(c, 6).alias("cloud")).where("cloud <= 20")
+    return carrier(spark, d, "scenes").select("scene_id", rounded(c, 6).alias("cloud")).where("cloud <= 20")
 
 
 @query("p23_qa_bits", """
@@ -268,7 +268,7 @@ SELECT DISTINCT site, round(coalesce((min_depth_ft + max_depth_ft) / 2 * 0.3048,
   CASE WHEN min_depth_ft IS NULL THEN 'depth_bin' ELSE 'measured' END AS depth_source FROM annotations""")
 def p25(spark: SparkSession, d: str) -> DataFrame:
     depth, source = spectral.depth_with_source(F.col("min_depth_ft"), F.col("max_depth_ft"), F.col("depth_bin"))
-    return carrier(spark, d, "annotations").select("site", F.round(depth, 6).alias("depth_m"), source.alias("depth_source")).distinct()
+    return carrier(spark, d, "annotations").select("site", rounded(depth, 6).alias("depth_m"), source.alias("depth_source")).distinct()
 
 
 @query("p26_bathymetry", """
@@ -276,7 +276,7 @@ SELECT c_custkey AS location_id, CASE WHEN c_custkey % 13 <> 0 THEN round(greate
 def p26(spark: SparkSession, d: str) -> DataFrame:
     z = F.when(F.col("c_custkey") % 13 == 0, F.lit(-32768.0)).otherwise(F.col("c_acctbal"))
     return table(spark, d, "customer").select(
-        F.col("c_custkey").alias("location_id"), F.round(spectral.bathymetry_depth(z, F.lit(-32768.0)), 6).alias("depth_m")
+        F.col("c_custkey").alias("location_id"), rounded(spectral.bathymetry_depth(z, F.lit(-32768.0)), 6).alias("depth_m")
     )
 
 

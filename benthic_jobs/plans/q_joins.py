@@ -9,7 +9,7 @@ from ..functions import labels
 from ..operators import curation, habitat, matching, sampling
 from ..operators.analyse import matched_bands
 from .carriers import carrier, table
-from .registry import query
+from .registry import query, rounded
 
 _DIST = "CAST(abs(date_diff('day', obs_date, acq_date)) AS INT)"
 
@@ -134,7 +134,7 @@ WITH p AS (SELECT site, plot_no, round(avg(dbh_cm), 6) AS mean_dbh FROM trees GR
 SELECT t.site, t.plot_no, t.tree_no, t.dbh_cm, mean_dbh FROM trees t LEFT JOIN p ON t.site = p.site AND t.plot_no = p.plot_no""")
 def j08(spark: SparkSession, d: str) -> DataFrame:
     trees = carrier(spark, d, "trees").select("site", "plot_no", "tree_no", "dbh_cm")
-    plots = trees.groupBy("site", "plot_no").agg(F.round(F.avg("dbh_cm"), 6).alias("mean_dbh"), F.first("tree_no").alias("tree_no"))
+    plots = trees.groupBy("site", "plot_no").agg(rounded(F.avg("dbh_cm"), 6).alias("mean_dbh"), F.first("tree_no").alias("tree_no"))
     return matching.onto_children(trees, plots, ["site", "plot_no"])
 
 
@@ -158,7 +158,7 @@ def j10(spark: SparkSession, d: str) -> DataFrame:
     s, k = F.col("scene_id"), F.col("k")
     points = points.select((s * 100 + k).alias("point_id"), "scene_id", ((s + k) % 9).cast("int").alias("prow"), ((s * 3 + k) % 9).cast("int").alias("pcol"))
     out = sampling.window_mean(points, carrier(spark, d, "pixels").where("band = 2"), "point_id", "scene_id", "prow", "pcol", "dn", valid=F.col("dn") != 0)
-    return out.select("point_id", F.round("dn", 6).alias("dn"))
+    return out.select("point_id", rounded("dn", 6).alias("dn"))
 
 
 #: Triangles and squares with a hole, one for each supplier.
@@ -262,4 +262,4 @@ def j18(spark: SparkSession, d: str) -> DataFrame:
     hr_name = F.element_at(F.create_map(*[F.lit(x) for kv in {0: "B1", 1: "B2", 2: "B3", 3: "B4", 7: "B8A", 5: "B11", 6: "B12"}.items() for x in kv]), F.col("band"))
     low = means.where("band < 7").select("location_id", F.concat(F.lit("B"), F.col("band") + 1).alias("band"), "mean")
     high = means.where("band <> 4").select("location_id", hr_name.alias("band"), "mean")
-    return matched_bands(low, high).select("location_id", "lr_band", "hr_band", F.round("diff", 6).alias("diff"))
+    return matched_bands(low, high).select("location_id", "lr_band", "hr_band", rounded("diff", 6).alias("diff"))

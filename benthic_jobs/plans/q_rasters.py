@@ -9,7 +9,7 @@ from ..functions.sensors import specs
 from ..operators import analyse, habitat, quality, raster
 from .carriers import carrier, table
 from .q_joins import _RINGS, supplier_polygons
-from .registry import query
+from .registry import query, rounded
 
 _EDGES = f"""g AS ({_RINGS}),
 e AS (
@@ -43,7 +43,7 @@ SELECT scene_id, band, CAST(prow // 3 AS INT) AS tile_row, CAST(pcol // 3 AS INT
   concat_ws('_', scene_id::VARCHAR, band::VARCHAR, (prow // 3)::VARCHAR, (pcol // 3)::VARCHAR) AS tile, round(avg(CASE WHEN dn <> 0 THEN dn END), 6) AS mean
 FROM pixels GROUP BY scene_id, band, prow // 3, pcol // 3 HAVING count(*) = 9 AND bool_or(dn <> 0)""")
 def g03(spark: SparkSession, d: str) -> DataFrame:
-    return raster.tiles(carrier(spark, d, "pixels"), ["scene_id", "band"], "prow", "pcol", "dn", 3, F.col("dn") != 0).withColumn("mean", F.round("mean", 6))
+    return raster.tiles(carrier(spark, d, "pixels"), ["scene_id", "band"], "prow", "pcol", "dn", 3, F.col("dn") != 0).withColumn("mean", rounded("mean", 6))
 
 
 def _images(spark: SparkSession, d: str) -> DataFrame:
@@ -77,7 +77,7 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 SELECT DISTINCT scene_id, CAST(2 AS INT) AS dx, CAST(scene_id % 3 AS INT) AS dy, round(sqrt(4 + (scene_id % 3) ** 2), 6) AS magnitude
 FROM (SELECT vec_id // 8 AS scene_id FROM embeddings WHERE vec_id % 8 = 0)""")
 def g06(spark: SparkSession, d: str) -> DataFrame:
-    return raster.shifts(_pairs(spark, d), "scene_id").withColumn("magnitude", F.round("magnitude", 6))
+    return raster.shifts(_pairs(spark, d), "scene_id").withColumn("magnitude", rounded("magnitude", 6))
 
 
 @query("g07_spectra")

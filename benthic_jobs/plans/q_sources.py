@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..sources import manifests, surveys
 from ..streaming.resumable import collect_new_metadata, screen_new_images
 from .carriers import carrier, table
-from .registry import query
+from .registry import query, rounded
 from .storage import shared_dir
 
 
@@ -62,7 +62,7 @@ def s03(spark: SparkSession, d: str) -> DataFrame:
         F.lit(-82.4).alias("end_lon"), F.lit(27.1).alias("end_lat"),
     )
     out = surveys.observations(spark.read.schema(surveys.TRANSECTS).json(at), ends)
-    return out.select("ID", "Transect", "site_m", F.round("depth_m", 6).alias("depth_m"), "obs_date", F.round("lon", 6).alias("lon"))
+    return out.select("ID", "Transect", "site_m", rounded("depth_m", 6).alias("depth_m"), "obs_date", rounded("lon", 6).alias("lon"))
 
 
 @query("s04_scene_index", """
@@ -139,7 +139,7 @@ def stream_images(spark: SparkSession, d: str) -> DataFrame:
     for part in (0, 1):  # two arrivals, each screened by a run of its own
         s.where(F.col("scene_id") % 2 == part).write.mode("append").parquet(source)
         screen_new_images(spark, source, s.schema, out, checkpoint, keys=["scene_id"], nir="b8", blue="b2")
-    return spark.read.parquet(out).select("scene_id", F.round("nir_mean", 6).alias("nir_mean"), F.round("blue_mean", 6).alias("blue_mean"), "screen")
+    return spark.read.parquet(out).select("scene_id", rounded("nir_mean", 6).alias("nir_mean"), rounded("blue_mean", 6).alias("blue_mean"), "screen")
 
 
 @query("stream_collect_metadata", "SELECT location_id, habitat_class, depth_m FROM samples WHERE location_id % 8 > 1")

@@ -9,7 +9,7 @@ from ..functions.sensors import SERVICE
 from ..operators import analyse, collapse, curation, habitat, matching, sets
 from .carriers import carrier, table
 from .q_joins import supplier_polygons
-from .registry import query
+from .registry import query, rounded
 
 
 @query("t01_top_k_cloud", """
@@ -73,7 +73,7 @@ SELECT a.location_id, CASE WHEN count(b.depth_m) >= 5 THEN round(avg(b.depth_m),
 FROM r a, n JOIN r b ON b.i BETWEEN a.i - w // 2 AND a.i + (w - 1) // 2 GROUP BY a.location_id""")
 def t08(spark: SparkSession, d: str) -> DataFrame:
     out = analyse.rolling_bias(carrier(spark, d, "samples").select("location_id", "latitude", "depth_m"), "latitude", "depth_m", "location_id")
-    return out.select("location_id", F.round("rolling", 6).alias("rolling"))
+    return out.select("location_id", rounded("rolling", 6).alias("rolling"))
 
 
 _U = "(('0x' || substr(md5('9|draw|' || d), 1, 8))::BIGINT / 4294967296.0)"
@@ -105,7 +105,7 @@ def presence_sql(n: int) -> str:
 @query("t10_presence_points", f"WITH masks AS (SELECT * FROM cells) SELECT * FROM ({presence_sql(900)})")
 def t10(spark: SparkSession, d: str) -> DataFrame:
     out = habitat.presence_points(carrier(spark, d, "cells"), ["habitat"], 900, 1, west=95.0, north=22.0, size=0.005)
-    return out.withColumns({c: F.round(c, 9) for c in ("lon", "lat")})
+    return out.withColumns({c: rounded(c, 9) for c in ("lon", "lat")})
 
 
 _NEAR = """SELECT DISTINCT habitat, CAST(r AS INT) AS grid_row, CAST(c AS INT) AS grid_col FROM (
@@ -138,7 +138,7 @@ UNION ALL SELECT habitat || '_absence_' || printf('%04d', number), habitat, 0, l
 def t12(spark: SparkSession, d: str) -> DataFrame:
     points = lambda cells: habitat.presence_points(cells, ["habitat"], 500, 1, west=95.0, north=22.0, size=0.005)
     out = habitat.presence_absence(points(carrier(spark, d, "cells")), points(_absent(spark, d)))
-    return out.withColumns({c: F.round(c, 9) for c in ("lon", "lat")})
+    return out.withColumns({c: rounded(c, 9) for c in ("lon", "lat")})
 
 
 @query("t13_random_subset", "SELECT location_id FROM samples ORDER BY md5('0|' || location_id), location_id LIMIT 100")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .carriers import with_ctes
 
@@ -21,3 +22,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return f
 
     return keep
+
+
+def rounded(c: Column | str, digits: int) -> Column:
+    """Half away from zero on the scaled double, as the oracle's engine rounds; decimal rounding differs on ties."""
+    x = F.col(c) if isinstance(c, str) else c
+    scaled = F.floor(F.abs(x) * float(10**digits) + 0.5) / float(10**digits)
+    return F.when(x < 0, -scaled).otherwise(scaled)

@@ -11,7 +11,7 @@ from ..operators import collapse, curation, matching, quality, sampling
 from .carriers import carrier
 from .q_aggregates import _BENTHIC, benthic
 from .q_rasters import _FILES_SQL, _files, _flags
-from .registry import query
+from .registry import query, rounded
 
 _W1 = f"""
 WITH n AS (SELECT site, genus, count(*) AS n FROM annotations WHERE genus IS NOT NULL GROUP BY ALL),
@@ -43,8 +43,8 @@ def survey_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sampling.at_cells(at, pixels, ["stack", "prow", "pcol"], "all").select(*at.columns, "all.*")
     dii = spectral.depth_invariant("S2", "")["lyzenga_b2b3"]
     ndvi = spectral.normalised_difference(F.col("b8"), F.col("b4"))
-    rounded = {k: F.round(v, 6).alias(k) for k, v in {"cover_large": F.col("cover_large"), "shannon": F.col("shannon"), "ndvi": ndvi, "lyzenga_b2b3": dii}.items()}
-    return rows.select("site", "island", "survey_date", "n_points", rounded["cover_large"], rounded["shannon"], "scene_id", "dist", rounded["ndvi"], rounded["lyzenga_b2b3"])
+    named = {k: rounded(v, 6).alias(k) for k, v in {"cover_large": F.col("cover_large"), "shannon": F.col("shannon"), "ndvi": ndvi, "lyzenga_b2b3": dii}.items()}
+    return rows.select("site", "island", "survey_date", "n_points", named["cover_large"], named["shannon"], "scene_id", "dist", named["ndvi"], named["lyzenga_b2b3"])
 
 
 @query("w2_build_pairs", """
@@ -91,4 +91,4 @@ def check_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = _flags(spark, sf_dir).where("location_id % 2 = 0")
     found = found.unionByName(quality.scene_issues(flags, "location_id", "file").where("code = 'swath'"))
     kept, _, _ = curation.drop_listed(samples, found.select(F.col("sample").alias("location_id")), "location_id")
-    return kept.groupBy("habitat_class").agg(F.count("*").alias("n"), F.round(F.avg("depth_m"), 6).alias("mean_depth"))
+    return kept.groupBy("habitat_class").agg(F.count("*").alias("n"), rounded(F.avg("depth_m"), 6).alias("mean_depth"))
