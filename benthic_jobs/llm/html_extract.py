@@ -181,12 +181,26 @@ def _soft(a: float, b: float) -> float:
     return max(a, b) + math.log1p(math.exp(-abs(a - b)))
 
 
+KINDS = ("text", "noise", "box", "block")
+_NOISE = frozenset("nav aside footer header form button label select dialog menu fieldset".split())
+_BOX = frozenset("html body div section main article center table tbody tr".split())
+
+
+def kind_of(node: Node, names: list[str]) -> str:
+    """What the tie to its parent depends on."""
+    if node.tag == "#text":
+        return "text"
+    if node.tag in _NOISE or any(f[:2] == "w:" and f not in ("w:none", "w:content") for f in names):
+        return "noise"
+    return "box" if node.tag in _BOX else "block"
+
+
 class TreeModel:
-    """Weights of features, and for elements and text blocks a table of parent-child potentials."""
+    """Weights of features, and for each kind of child a table of parent-child potentials."""
 
     def __init__(self) -> None:
         self.unary: dict[str, float] = {}
-        self.pair = {kind: [[0.0, 0.0], [0.0, 0.0]] for kind in ("element", "text")}
+        self.pair = {kind: [[0.0, 0.0], [0.0, 0.0]] for kind in KINDS}
 
     def marginals(self, nodes: list[Node], names: list[list[str]] | None = None):
         """P(content) of each node, and of each node but the first the joint table with its parent."""
@@ -194,7 +208,7 @@ class TreeModel:
         place = {id(x): i for i, x in enumerate(nodes)}
         own = [sum(self.unary.get(f, 0.0) for f in fs) for fs in names]
         parent = [place[id(x.parent)] if x.parent else -1 for x in nodes]
-        table = [self.pair["text" if x.tag == "#text" else "element"] for x in nodes]
+        table = [self.pair[kind_of(x, fs)] for x, fs in zip(nodes, names)]
         up0, up1 = [0.0] * len(nodes), own[:]  # log beliefs of the subtree below each node
         sent: list[tuple[float, float]] = [(0.0, 0.0)] * len(nodes)
         for i in range(len(nodes) - 1, 0, -1):
@@ -216,7 +230,7 @@ class TreeModel:
             all1[i] = up1[i] + _soft(rest0 + t[0][1], rest1 + t[1][1])
         return [1 / (1 + math.exp(min(700, a - b))) for a, b in zip(all0, all1)], joint
 
-    def fit(self, pages: list[str], *, rounds: int = 12, rate: float = 0.3, decay: float = 1e-3) -> TreeModel:
+    def fit(self, pages: list[str], *, rounds: int = 14, rate: float = 0.3, decay: float = 1e-3) -> TreeModel:
         """Gradient steps with per-weight rates on the exact log likelihood; ``data-gold`` marks the labels."""
         trees = []
         for page in pages:
@@ -235,7 +249,7 @@ class TreeModel:
                     for f in names[i]:
                         step[f] = step.get(f, 0.0) + gold[i] - marginal[i]
                     if i:
-                        kind, truth = "text" if x.tag == "#text" else "element", 2 * gold[place[id(x.parent)]] + gold[i]
+                        kind, truth = kind_of(x, names[i]), 2 * gold[place[id(x.parent)]] + gold[i]
                         for c in range(4):
                             step[kind, c] = step.get((kind, c), 0.0) + (c == truth) - joint[i][c]
                 for key, g in step.items():
@@ -250,7 +264,7 @@ class TreeModel:
         return self
 
 
-def labelled_pages(count: int = 160, seed: int = 11) -> list[str]:
+def labelled_pages(count: int = 220, seed: int = 11) -> list[str]:
     """Layouts with marked articles (``data-gold``): the training set."""
     r = random.Random(seed)
 

@@ -7,7 +7,8 @@ hold))))``. The statistics cover the whole text and come from one pass over its
 
 The model is fitted on ``sample`` labelled rows at most, those with the smallest hashes of their ids (a documented
 bound; the rows that are scored have none). Labels of a document that disagree count as their mean, rounded. A null text is empty,
-and empty texts have statistics (zeros) and so a score. With fewer than two classes the score is the label's share.
+and empty texts have statistics (zeros) and so a score. With one class, or too few rows for a
+rule, the score is the label's share.
 """
 
 from __future__ import annotations
@@ -152,10 +153,10 @@ class RuleModel:
 
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, *, penalty: float = 1e-3) -> RuleModel:
-        if not len(y) or y.min() == y.max():
+        rules = grow_rules(x, y) if len(y) and y.min() < y.max() else []
+        if not rules:
             share = float(np.clip(y.mean() if len(y) else 0.5, 1e-6, 1 - 1e-6))
             return cls(float(np.log(share / (1 - share))), [])
-        rules = grow_rules(x, y)
         bias, weights = lasso_logistic(np.column_stack([holds(r, x) for r in rules]).astype(float), y, penalty=penalty)
         return cls(bias, [(rules[i], float(weights[i])) for i in np.flatnonzero(np.abs(weights) > 1e-6)])
 
