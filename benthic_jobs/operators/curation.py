@@ -79,18 +79,27 @@ def equal_split(strata: DataFrame, key: str, total: int, seed: int) -> DataFrame
     return rows.select(key, share.cast("int").alias("quota"))
 
 
-def numbered(rows: DataFrame, order: list, name: str) -> DataFrame:
-    """Global row numbers from 1: sorted ranges are counted, then numbered with their offsets; no single task sorts."""
+def running_total(rows: DataFrame, order: list, value: Column, name: str) -> DataFrame:
+    """The sum of ``value`` up to each row of a global order: ranges are summed, then continued from their offsets.
+
+    The rows are sorted in ranges, so no single task sees them all; equal keys of the order must not matter.
+    """
     from ..plans.storage import stored
 
     parts = max(1, rows.sparkSession.sparkContext.defaultParallelism)
-    ranged = stored(rows.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id()), "ranges")
-    counts = ranged.groupBy("__p").agg(F.count("*").alias("__n"))  # a row for each range
+    ranged = rows.withColumn("__v", value).repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id())
+    ranged = stored(ranged, "ranges")
+    sums = ranged.groupBy("__p").agg(F.sum("__v").alias("__s"))  # a row for each range
     before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-    within = F.row_number().over(Window.partitionBy("__p").orderBy(*order))
+    base = sums.select("__p", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__base"))
+    within = F.sum("__v").over(Window.partitionBy("__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     joined = ranged.withColumn("__w", within).join(F.broadcast(base), "__p")
-    return joined.withColumn(name, (F.col("__base") + F.col("__w")).cast("long")).drop("__p", "__w", "__base")
+    return joined.withColumn(name, F.col("__base") + F.col("__w")).drop("__p", "__w", "__v", "__base")
+
+
+def numbered(rows: DataFrame, order: list, name: str) -> DataFrame:
+    """Global row numbers from 1."""
+    return running_total(rows, order, F.lit(1).cast("long"), name)
 
 
 def allocate_ids(new: DataFrame, freed: DataFrame, used: DataFrame, order: list, key: str) -> DataFrame:

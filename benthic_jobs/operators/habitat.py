@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .curation import running_total
 from .matching import seeded
 
 
@@ -172,9 +173,8 @@ def weighted_polygons(polygons: DataFrame, key: str, n: int, seed: int) -> DataF
     holes = F.aggregate(F.slice("rings", 2, 1000000), F.lit(0.0), lambda acc, r: acc + ring_area(r))
     areas = polygons.select(key, (ring_area(F.col("rings")[0]) - holes).alias("area"))
     total = areas.agg(F.sum("area").alias("t"))
-    order = Window.orderBy(key)
-    shares = areas.crossJoin(F.broadcast(total)).withColumn("high", F.sum("area").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.col("t"))
-    shares = shares.withColumn("low", F.coalesce(F.lag("high").over(order), F.lit(0.0)))
+    shares = running_total(areas, [key], F.col("area"), "upto").crossJoin(F.broadcast(total))
+    shares = shares.withColumns({"low": (F.col("upto") - F.col("area")) / F.col("t"), "high": F.col("upto") / F.col("t")})
     bucket = lambda c: F.floor(c * 1024).cast("int")
     spread = shares.withColumn("b", F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))))
     draws = polygons.sparkSession.range(n).select(F.col("id").alias("draw"), unit(F.col("id"), seed, "draw").alias("u"))
