@@ -53,11 +53,24 @@ def clearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_id: s
 
 
 def same_day_else_nearest(obs: DataFrame, files: DataFrame, keys: list[str], obs_id: str, obs_date: str, file_date: str, file: str) -> DataFrame:
-    """A site's raster of the same day, else the nearest in time, else (date unknown) the first file."""
-    pairs = obs.select(obs_id, *keys, obs_date).join(files.select(*keys, file_date, file), keys)
-    dist = F.abs(F.datediff(file_date, obs_date))
-    best = first_by(pairs.withColumn("dist", dist), [obs_id], [F.col("dist").asc_nulls_last(), file])
-    return obs.join(best.select(obs_id, file, "dist"), obs_id, "left")
+    """A site's raster of the same day, else the nearest in time, else (date unknown) the first file.
+
+    Sites and files of a key stand in one order of dates; each site looks at the last file up to it and the first one from
+    it on, so that pairs are never listed.
+    """
+    firsts = files.groupBy(*keys, F.col(file_date).alias("__d")).agg(F.min(file).alias("__f"))
+    any_file = files.groupBy(*keys).agg(F.min(file).alias("__any"))
+    both = obs.select(*keys, F.col(obs_date).alias("__d"), obs_id).unionByName(firsts, allowMissingColumns=True)
+    order = Window.partitionBy(*keys).orderBy("__d")
+    near = F.when(F.col("__f").isNotNull(), F.struct("__d", "__f"))
+    both = both.withColumns({
+        "__a": F.last(near, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)),
+        "__z": F.first(near, ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing)),
+    }).where(F.col(obs_id).isNotNull())
+    choice = lambda c: F.when(F.col(f"{c}.__d").isNotNull() & F.col("__d").isNotNull(), F.struct(F.abs(F.datediff(f"{c}.__d", "__d")).alias("dist"), F.col(f"{c}.__f").alias("f")))
+    best = both.join(any_file, keys, "left").withColumn("__best", F.least(choice("__a"), choice("__z")))
+    found = F.coalesce("__best.f", "__any").alias(file)
+    return obs.join(best.select(obs_id, found, F.col("__best.dist").alias("dist")), obs_id, "left")
 
 
 def catalogue_search(aois: DataFrame, scenes: DataFrame, aoi_id: str, *, cell: float, cloud: float = 20, nodata: float = 5, coverage: float = 0, top: int = 8) -> DataFrame:

@@ -232,10 +232,10 @@ def a21d(spark: SparkSession, d: str) -> DataFrame:
 
 @query("a22_time_gap", """
 SELECT tile AS location_id, CAST(min(abs(date_diff('day', h.acq_date, l.acq_date))) AS INT) AS gap_days
-FROM (SELECT * FROM scenes WHERE sensor = 'S2' AND scene_id % 10 = 1) h JOIN (SELECT * FROM scenes WHERE sensor = 'LS') l USING (tile) GROUP BY tile""")
+FROM (SELECT * FROM scenes WHERE sensor = 'S2') h JOIN (SELECT * FROM scenes WHERE sensor = 'LS') l USING (tile) GROUP BY tile""")
 def a22(spark: SparkSession, d: str) -> DataFrame:
     s = carrier(spark, d, "scenes")
-    high = s.where("sensor = 'S2' AND scene_id % 10 = 1").select(F.col("tile").alias("location_id"), F.col("acq_date").alias("hr_date"))
+    high = s.where("sensor = 'S2'").select(F.col("tile").alias("location_id"), F.col("acq_date").alias("hr_date"))
     low = s.where("sensor = 'LS'").select(F.col("tile").alias("location_id"), F.col("acq_date").alias("lr_date"))
     return analyse.time_gap(high, low)
 
@@ -251,10 +251,10 @@ def a23(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("a24_issue_report", """
-WITH i AS (SELECT CASE o_orderkey % 3 WHEN 0 THEN 'glint' WHEN 1 THEN 'clipping' ELSE 'missing_hr' END AS code, o_custkey AS sample FROM orders WHERE o_totalprice > 300000)
+WITH i AS (SELECT CASE o_orderkey % 3 WHEN 0 THEN 'glint' WHEN 1 THEN 'clipping' ELSE 'missing_hr' END AS code, o_custkey AS sample FROM orders)
 SELECT CASE WHEN code = 'missing_hr' THEN 'files' ELSE 'quality' END AS section, code, count(*) AS n, count(DISTINCT sample) AS n_samples FROM i GROUP BY ALL""")
 def a24(spark: SparkSession, d: str) -> DataFrame:
-    o, m = table(spark, d, "orders").where("o_totalprice > 300000"), F.col("o_orderkey") % 3
+    o, m = table(spark, d, "orders"), F.col("o_orderkey") % 3
     parts = [quality.issues(o, c, m == i, "o_custkey", F.lit("")) for i, c in enumerate(("glint", "clipping", "missing_hr"))]
     return curation.issue_report(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 

@@ -50,10 +50,11 @@ def p04(spark: SparkSession, d: str) -> DataFrame:
     return carrier(spark, d, "obs").select("obs_id", labels.parse_date(raw).alias("day"))
 
 
-@query("p05_survey_date", "SELECT obs_id, CASE WHEN l_linenumber = 7 THEN NULL ELSE obs_date END AS day FROM obs WHERE obs_date >= DATE '2000-01-01'")
+@query("p05_survey_date", """
+SELECT obs_id, CASE WHEN l_linenumber = 7 THEN NULL WHEN obs_date < DATE '2000-01-01' THEN CAST(obs_date + INTERVAL 100 YEAR AS DATE) ELSE obs_date END AS day FROM obs""")
 def p05(spark: SparkSession, d: str) -> DataFrame:
     raw = F.when(F.col("l_linenumber") == 7, "May 4").otherwise(F.date_format("obs_date", "d-MMM-yy"))
-    return carrier(spark, d, "obs").where("obs_date >= DATE '2000-01-01'").select("obs_id", labels.survey_date(raw).alias("day"))
+    return carrier(spark, d, "obs").select("obs_id", labels.survey_date(raw).alias("day"))
 
 
 @query("p06_date_window", """

@@ -42,22 +42,22 @@ def j02(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("j03_same_day_else_nearest", """
-WITH v AS (SELECT DISTINCT l_suppkey AS site, tile, CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE obs_date END AS day FROM obs WHERE l_linenumber = 1),
-f AS (SELECT tile, acq_date, printf('scene_%08d.tif', scene_id) AS file FROM scenes WHERE scene_id % 5 = 0)
+WITH v AS (SELECT DISTINCT l_suppkey AS site, tile, CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE obs_date END AS day FROM obs),
+f AS (SELECT tile, acq_date, printf('scene_%08d.tif', scene_id) AS file FROM scenes)
 SELECT site, day, file, CAST(dist AS INT) AS dist FROM (
   SELECT site, v.day, file, abs(date_diff('day', v.day, acq_date)) AS dist,
          row_number() OVER (PARTITION BY site, v.day ORDER BY abs(date_diff('day', v.day, acq_date)) NULLS LAST, file) AS r
   FROM v LEFT JOIN f USING (tile)) WHERE r = 1""")
 def j03(spark: SparkSession, d: str) -> DataFrame:
     day = F.when(F.col("l_suppkey") % 7 == 0, None).otherwise(F.col("obs_date")).alias("day")
-    visits = carrier(spark, d, "obs").where("l_linenumber = 1").select(F.col("l_suppkey").alias("site"), "tile", day).distinct()
+    visits = carrier(spark, d, "obs").select(F.col("l_suppkey").alias("site"), "tile", day).distinct()
     visits = visits.withColumn("visit", F.concat_ws("|", "site", F.coalesce(F.col("day").cast("string"), F.lit("-"))))
-    files = carrier(spark, d, "scenes").where("scene_id % 5 = 0").select("tile", "acq_date", F.format_string("scene_%08d.tif", "scene_id").alias("file"))
+    files = carrier(spark, d, "scenes").select("tile", "acq_date", F.format_string("scene_%08d.tif", "scene_id").alias("file"))
     return matching.same_day_else_nearest(visits, files, ["tile"], "visit", "day", "acq_date", "file").select("site", "day", "file", "dist")
 
 
 @query("j04_catalogue_search", """
-WITH a AS (SELECT location_id, longitude - 0.4 AS west, longitude + 0.4 AS east, latitude - 0.4 AS south, latitude + 0.4 AS north FROM samples WHERE location_id % 3 = 0),
+WITH a AS (SELECT location_id, longitude - 0.4 AS west, longitude + 0.4 AS east, latitude - 0.4 AS south, latitude + 0.4 AS north FROM samples),
 s AS (SELECT scene_id, acq_date, cloud_cover, -180 + (scene_id * 7) % 360 - 1.5 AS w, -180 + (scene_id * 7) % 360 + 1.5 AS e,
       -60 + scene_id % 121 - 1.5 AS s, -60 + scene_id % 121 + 1.5 AS n FROM scenes WHERE cloud_cover < 20 AND scene_id % 13 <= 5)
 SELECT location_id, scene_id, CAST(rank AS INT) AS rank FROM (
@@ -66,7 +66,7 @@ SELECT location_id, scene_id, CAST(rank AS INT) AS rank FROM (
 WHERE rank <= 8""")
 def j04(spark: SparkSession, d: str) -> DataFrame:
     c = F.col
-    a = carrier(spark, d, "samples").where("location_id % 3 = 0").select(
+    a = carrier(spark, d, "samples").select(
         "location_id", (c("longitude") - 0.4).alias("west"), (c("longitude") + 0.4).alias("east"), (c("latitude") - 0.4).alias("south"),
         (c("latitude") + 0.4).alias("north"), F.lit("1996-01-01").cast("date").alias("first_day"), F.lit("1999-12-31").cast("date").alias("last_day"),
     )
@@ -82,7 +82,7 @@ def j04(spark: SparkSession, d: str) -> DataFrame:
 WITH h AS (
   SELECT location_id, tile, scene_id AS hr_id, acq_date AS hr_date, scene_id % 3 <> 0 AS qa_ok, r FROM (
     SELECT location_id, tile, scene_id, acq_date, row_number() OVER (PARTITION BY location_id ORDER BY cloud_cover, md5('42|' || scene_id), scene_id) AS r
-    FROM samples JOIN scenes USING (tile) WHERE sensor = 'S2' AND cloud_cover < 20 AND location_id % 2 = 0) WHERE r <= 30),
+    FROM samples JOIN scenes USING (tile) WHERE sensor = 'S2' AND cloud_cover < 20) WHERE r <= 30),
 n AS (
   SELECT location_id, hr_id, least(count(*), 8) AS n FROM h JOIN (SELECT tile, acq_date FROM scenes WHERE sensor = 'LS' AND cloud_cover < 60) USING (tile)
   WHERE abs(date_diff('day', hr_date, acq_date)) <= 180 GROUP BY ALL),
@@ -93,7 +93,7 @@ SELECT location_id, hr_id, CAST(n_low AS INT) AS n_low FROM (
   SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY r) AS k FROM x WHERE short = 0 AND qa_ok) WHERE k = 1""")
 def j05(spark: SparkSession, d: str) -> DataFrame:
     scenes = carrier(spark, d, "scenes")
-    places = carrier(spark, d, "samples").where("location_id % 2 = 0").select("location_id", "tile")
+    places = carrier(spark, d, "samples").select("location_id", "tile")
     high = places.join(scenes.where("sensor = 'S2' AND cloud_cover < 20"), "tile")
     order = [*matching.quality_order(F.col("cloud_cover"), F.col("scene_id"), 42), "scene_id"]
     high = matching.top_k(high, ["location_id"], order, 30)
@@ -150,11 +150,11 @@ def j09(spark: SparkSession, d: str) -> DataFrame:
 
 @query("j10_window_mean", """
 WITH p AS (SELECT scene_id * 100 + k AS point_id, scene_id, CAST((scene_id + k) % 9 AS INT) AS prow, CAST((scene_id * 3 + k) % 9 AS INT) AS pcol
-           FROM scenes, range(3) t(k) WHERE scene_id < 70)
+           FROM (SELECT DISTINCT scene_id FROM pixels), range(3) t(k))
 SELECT point_id, round(avg(dn), 6) AS dn FROM p LEFT JOIN (SELECT * FROM pixels WHERE band = 2 AND dn <> 0) x
   ON x.scene_id = p.scene_id AND abs(x.prow - p.prow) <= 1 AND abs(x.pcol - p.pcol) <= 1 GROUP BY point_id""")
 def j10(spark: SparkSession, d: str) -> DataFrame:
-    points = carrier(spark, d, "scenes").where("scene_id < 70").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    points = carrier(spark, d, "pixels").select("scene_id").distinct().withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
     s, k = F.col("scene_id"), F.col("k")
     points = points.select((s * 100 + k).alias("point_id"), "scene_id", ((s + k) % 9).cast("int").alias("prow"), ((s * 3 + k) % 9).cast("int").alias("pcol"))
     out = sampling.window_mean(points, carrier(spark, d, "pixels").where("band = 2"), "point_id", "scene_id", "prow", "pcol", "dn", valid=F.col("dn") != 0)

@@ -67,15 +67,14 @@ def g05(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Low against high resolution of a sample: the second image is the first, rolled and enlarged by a known shift."""
-    v = _images(spark, d).where("band = 0").select("scene_id", "data")
-    rolled = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.col("data")[(F.expr("0") + ((F.floor(i / 8) + F.col("scene_id") % 3) % 8) * 8 + (i % 8 + 2) % 8).cast("int")])
+    """Low against high resolution: the second image is the first, rolled by a known shift."""
+    v = _images(spark, d).select(F.col("vec_id").alias("scene_id"), "data")
+    rolled = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.col("data")[(((F.floor(i / 8) + F.col("scene_id") % 3) % 8) * 8 + (i % 8 + 2) % 8).cast("int")])
     return v.select("scene_id", F.col("data").alias("lr"), F.lit(8).alias("lr_h"), F.lit(8).alias("lr_w"), rolled.alias("hr"), F.lit(8).alias("hr_h"), F.lit(8).alias("hr_w"))
 
 
 @query("g06_phase_shift", """
-SELECT DISTINCT scene_id, CAST(2 AS INT) AS dx, CAST(scene_id % 3 AS INT) AS dy, round(sqrt(4 + (scene_id % 3) ** 2), 6) AS magnitude
-FROM (SELECT vec_id // 8 AS scene_id FROM embeddings WHERE vec_id % 8 = 0)""")
+SELECT vec_id AS scene_id, CAST(2 AS INT) AS dx, CAST(vec_id % 3 AS INT) AS dy, round(sqrt(4 + (vec_id % 3) ** 2), 6) AS magnitude FROM embeddings""")
 def g06(spark: SparkSession, d: str) -> DataFrame:
     return raster.shifts(_pairs(spark, d), "scene_id").withColumn("magnitude", rounded("magnitude", 6))
 
@@ -200,7 +199,7 @@ def k06h(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("k07_alignment_issues", """
-SELECT DISTINCT 'misaligned' AS code, 'alignment' AS section, vec_id // 8 AS sample, CAST(round(sqrt(4 + (vec_id // 8 % 3) ** 2), 2) AS VARCHAR) AS detail
-FROM embeddings WHERE vec_id % 8 = 0 AND sqrt(4 + (vec_id // 8 % 3) ** 2) > 2.5""")
+SELECT 'misaligned' AS code, 'alignment' AS section, vec_id AS sample, CAST(round(sqrt(4 + (vec_id % 3) ** 2), 2) AS VARCHAR) AS detail
+FROM embeddings WHERE sqrt(4 + (vec_id % 3) ** 2) > 2.5""")
 def k07(spark: SparkSession, d: str) -> DataFrame:
     return quality.alignment_issues(raster.shifts(_pairs(spark, d), "scene_id"), "scene_id", most=2.5)

@@ -51,12 +51,12 @@ def t05(spark: SparkSession, d: str) -> DataFrame:
 @query("t06_allocate_ids", """
 WITH u AS (SELECT location_id FROM samples WHERE location_id % 3 <> 0), f AS (SELECT location_id FROM samples WHERE location_id % 3 = 0 UNION SELECT location_id FROM samples WHERE location_id % 30 = 1),
 a AS (SELECT location_id, row_number() OVER (ORDER BY location_id) AS i FROM f WHERE location_id NOT IN (SELECT location_id FROM u)),
-n AS (SELECT scene_id, row_number() OVER (ORDER BY acq_date, scene_id) AS i FROM scenes WHERE scene_id % 10 = 0)
+n AS (SELECT scene_id, row_number() OVER (ORDER BY acq_date, scene_id) AS i FROM scenes)
 SELECT scene_id, CAST(coalesce(a.location_id, (SELECT max(location_id) FROM samples) + n.i - (SELECT count(*) FROM a)) AS BIGINT) AS location_id FROM n LEFT JOIN a USING (i)""")
 def t06(spark: SparkSession, d: str) -> DataFrame:
     s = carrier(spark, d, "samples").select("location_id")
     freed = s.where("location_id % 3 = 0").union(s.where("location_id % 30 = 1"))
-    new = carrier(spark, d, "scenes").where("scene_id % 10 = 0").select("scene_id", "acq_date")
+    new = carrier(spark, d, "scenes").select("scene_id", "acq_date")
     out = curation.allocate_ids(new, freed, s.where("location_id % 3 <> 0"), ["acq_date", "scene_id"], "location_id")
     return out.select("scene_id", "location_id")
 
@@ -147,12 +147,12 @@ def t13(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("u01_union_by_name", """
-SELECT 'A' AS Location, NULL AS Station, o_orderkey AS key, o_totalprice AS cover, NULL::BIGINT AS dbh FROM orders WHERE o_orderkey % 3 = 0
-UNION ALL SELECT 'B', o_orderpriority, o_orderkey, NULL, o_custkey FROM orders WHERE o_orderkey % 3 = 1""")
+SELECT 'A' AS Location, NULL AS Station, o_orderkey AS key, o_totalprice AS cover, NULL::BIGINT AS dbh FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT 'B', o_orderpriority, o_orderkey, NULL, o_custkey FROM orders WHERE o_orderkey % 2 = 1""")
 def u01(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
-    a = o.where("o_orderkey % 3 = 0").select(F.lit("A").alias("Location"), F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("cover"))
-    b = o.where("o_orderkey % 3 = 1").select(F.lit("B").alias("Location"), F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("dbh"), F.col("o_orderpriority").alias("Station"))
+    a = o.where("o_orderkey % 2 = 0").select(F.lit("A").alias("Location"), F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("cover"))
+    b = o.where("o_orderkey % 2 = 1").select(F.lit("B").alias("Location"), F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("dbh"), F.col("o_orderpriority").alias("Station"))
     return sets.union_by_name([a, a.limit(0), b])
 
 
