@@ -127,8 +127,3 @@ def review_progress(samples: DataFrame, decisions: DataFrame, key: str = "locati
     """How many samples have each action; NULL: not reviewed."""
     rows = samples.select(key).join(decisions.select(key, "action"), key, "left")
     return rows.groupBy("action").agg(F.count("*").alias("n"))
-
-
-def manifest_count(post_qa: Column, images: Column) -> Column:
-    """One rule: the count after QA if there is one, else the list's size."""
-    return F.coalesce(post_qa, F.size(images))

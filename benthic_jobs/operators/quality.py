@@ -9,10 +9,14 @@ from ..functions.spectral import bit
 
 #: Fixed values. Issue codes by section.
 SECTIONS = {
-    "metadata": ["missing_metadata", "invalid_metadata"], "files": ["lr_count_mismatch", "missing_hr"],
-    "raster": ["band_count", "degenerate", "all_nodata"], "grid": ["hr_size", "hr_crs", "hr_pixel_size", "hr_origin"],
-    "quality": ["glint", "haze", "swath", "cloud", "clipping"], "alignment": ["misaligned"],
-}
+    "STRUCTURE": ["missing_sample_dir", "missing_metadata", "invalid_metadata"],
+    "FILE COUNTS": ["lowres_count_mismatch", "missing_highres_file"],
+    "RASTER INTEGRITY": ["raster_open_failed", "band_count_mismatch"],
+    "DIMENSIONS": ["degenerate_raster", "hr_wrong_dimensions"],
+    "GEOREFERENCING": ["hr_crs_mismatch", "hr_pixel_size_mismatch", "hr_origin_mismatch"],
+    "VALUES": ["all_nodata"],
+    "DATA QUALITY": ["landsat_clipped", "large_shift", "glint", "haze", "lr_swath_edge", "lr_cloud", "hr_partial"],
+}
 
 
 def is_nodata(value: Column, nodata: Column | float | None) -> Column:
@@ -76,8 +80,16 @@ def count_issues(manifest: DataFrame, files: DataFrame, sample: str, count: str)
     found = files.groupBy(sample).agg(F.count_if(F.col("role") == "lr").alias("n_lr"), F.count_if(F.col("role") == "hr").alias("n_hr"))
     rows = manifest.join(found, sample, "left").na.fill(0, ["n_lr", "n_hr"])
     detail = F.concat_ws("/", F.col("n_lr").cast("string"), F.col(count).cast("string"))
-    return issues(rows, "lr_count_mismatch", F.col("n_lr") != F.col(count), sample, detail).unionByName(
-        issues(rows, "missing_hr", F.col("n_hr") == 0, sample, F.lit("none"))
+    return issues(rows, "lowres_count_mismatch", F.col("n_lr") != F.col(count), sample, detail).unionByName(
+        issues(rows, "missing_highres_file", F.col("n_hr") == 0, sample, F.lit("none"))
+    )
+
+
+def presence_issues(manifest: DataFrame, found: DataFrame, files: DataFrame, sample: str) -> DataFrame:
+    """Samples of the manifest without a directory, and files that cannot be opened (``readable``)."""
+    gone = manifest.join(found.select(sample), sample, "left_anti")
+    return issues(gone, "missing_sample_dir", F.lit(True), sample, F.lit("no directory")).unionByName(
+        issues(files, "raster_open_failed", ~F.col("readable"), sample, F.col("file"))
     )
 
 
@@ -86,8 +98,8 @@ def raster_issues(files: DataFrame, specs: DataFrame, sample: str) -> DataFrame:
     rows = files.join(F.broadcast(specs.select("sensor", "n_bands")), "sensor", "left")
     size = (F.col("width") <= 1) | (F.col("height") <= 1)
     return (
-        issues(rows, "band_count", F.col("bands") != F.col("n_bands"), sample, F.col("file"))
-        .unionByName(issues(rows, "degenerate", size, sample, F.col("file")))
+        issues(rows, "band_count_mismatch", F.col("bands") != F.col("n_bands"), sample, F.col("file"))
+        .unionByName(issues(rows, "degenerate_raster", size, sample, F.col("file")))
         .unionByName(issues(rows, "all_nodata", F.col("is_empty"), sample, F.col("file")))
     )
 
@@ -97,15 +109,15 @@ def grid_issues(high: DataFrame, sample: str, patch: int, pixel: float, *, close
     low_y = F.col("top") - F.col("height") * F.col("pixel")
     origin = (F.abs(F.col("left") - F.col("origin_x")) > close) | (F.abs(low_y - F.col("origin_y")) > close)
     return (
-        issues(high, "hr_size", (F.col("width") != patch) | (F.col("height") != patch), sample, F.col("width"))
-        .unionByName(issues(high, "hr_crs", F.col("crs") != F.col("epsg"), sample, F.col("crs")))
-        .unionByName(issues(high, "hr_pixel_size", F.abs(F.col("pixel") - pixel) > close, sample, F.col("pixel")))
-        .unionByName(issues(high, "hr_origin", origin, sample, F.lit("origin")))
+        issues(high, "hr_wrong_dimensions", (F.col("width") != patch) | (F.col("height") != patch), sample, F.col("width"))
+        .unionByName(issues(high, "hr_crs_mismatch", F.col("crs") != F.col("epsg"), sample, F.col("crs")))
+        .unionByName(issues(high, "hr_pixel_size_mismatch", F.abs(F.col("pixel") - pixel) > close, sample, F.col("pixel")))
+        .unionByName(issues(high, "hr_origin_mismatch", origin, sample, F.lit("origin")))
     )
 
 
 def clipping_issues(stats: DataFrame, sample: str, *, most: float = 0.05) -> DataFrame:
-    return issues(stats, "clipping", F.col("clip_frac") > most, sample, F.col("band"))
+    return issues(stats, "landsat_clipped", F.col("clip_frac") > most, sample, F.col("band"))
 
 
 def scene_issues(files: DataFrame, sample: str, order: str) -> DataFrame:
@@ -116,12 +128,12 @@ def scene_issues(files: DataFrame, sample: str, order: str) -> DataFrame:
     """
     first_glint = F.row_number().over(Window.partitionBy(sample, F.col("glint")).orderBy(order)) == 1
     rows = files.withColumn("haze", F.col("haze") & ~(F.col("glint") & first_glint))
-    codes = ["glint", "haze", "swath", "cloud"]
-    named = F.array(*(F.when(F.col(c), F.lit(c)) for c in codes))
+    codes = {"glint": "glint", "haze": "haze", "swath": "lr_swath_edge", "cloud": "lr_cloud"}
+    named = F.array(*(F.when(F.col(c), F.lit(code)) for c, code in codes.items()))
     long = rows.select(sample, F.col(order).alias("detail"), F.explode(named).alias("code")).where("code IS NOT NULL")
     rank = F.row_number().over(Window.partitionBy(sample, "code").orderBy("detail"))
     first = long.withColumn("__r", rank).where("__r = 1")
-    return first.select("code", F.lit("quality").alias("section"), F.col(sample).alias("sample"), F.col("detail").cast("string").alias("detail"))
+    return first.select("code", F.lit("DATA QUALITY").alias("section"), F.col(sample).alias("sample"), F.col("detail").cast("string").alias("detail"))
 
 
 def high_scene_issues(files: DataFrame, sample: str, order: str) -> DataFrame:
@@ -131,5 +143,11 @@ def high_scene_issues(files: DataFrame, sample: str, order: str) -> DataFrame:
     return issues(first, "glint", F.col("glint"), sample, F.col(order)).unionByName(issues(first, "haze", F.col("haze"), sample, F.col(order)))
 
 
+def partial_issues(pixels: DataFrame, sample: str, value: str, nodata: float, *, most: float = 0.1) -> DataFrame:
+    """High-resolution images (one band of each) with too much nodata."""
+    share = pixels.groupBy(sample).agg(F.avg(is_nodata(F.col(value), nodata).cast("double")).alias("nodata_frac"))
+    return issues(share, "hr_partial", F.col("nodata_frac") > most, sample, F.lit("nodata"))
+
+
 def alignment_issues(shifts: DataFrame, sample: str, *, most: float = 3.0) -> DataFrame:
-    return issues(shifts, "misaligned", F.col("magnitude") > most, sample, F.round("magnitude", 2))
+    return issues(shifts, "large_shift", F.col("magnitude") > most, sample, F.round("magnitude", 2))

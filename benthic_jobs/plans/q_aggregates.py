@@ -251,11 +251,11 @@ def a23(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("a24_issue_report", """
-WITH i AS (SELECT CASE o_orderkey % 3 WHEN 0 THEN 'glint' WHEN 1 THEN 'clipping' ELSE 'missing_hr' END AS code, o_custkey AS sample FROM orders)
-SELECT CASE WHEN code = 'missing_hr' THEN 'files' ELSE 'quality' END AS section, code, count(*) AS n, count(DISTINCT sample) AS n_samples FROM i GROUP BY ALL""")
+WITH i AS (SELECT CASE o_orderkey % 3 WHEN 0 THEN 'glint' WHEN 1 THEN 'landsat_clipped' ELSE 'missing_highres_file' END AS code, o_custkey AS sample FROM orders)
+SELECT CASE WHEN code = 'missing_highres_file' THEN 'FILE COUNTS' ELSE 'DATA QUALITY' END AS section, code, count(*) AS n, count(DISTINCT sample) AS n_samples FROM i GROUP BY ALL""")
 def a24(spark: SparkSession, d: str) -> DataFrame:
     o, m = table(spark, d, "orders"), F.col("o_orderkey") % 3
-    parts = [quality.issues(o, c, m == i, "o_custkey", F.lit("")) for i, c in enumerate(("glint", "clipping", "missing_hr"))]
+    parts = [quality.issues(o, c, m == i, "o_custkey", F.lit("")) for i, c in enumerate(("glint", "landsat_clipped", "missing_highres_file"))]
     return curation.issue_report(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 

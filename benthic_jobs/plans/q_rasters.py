@@ -118,7 +118,7 @@ _FILES_SQL = """f AS (SELECT location_id, lowres_count, k, CASE WHEN k = 0 THEN
 
 
 @query("k01_metadata_issues", """
-SELECT CASE WHEN location_id % 9 = 0 THEN 'missing_metadata' ELSE 'invalid_metadata' END AS code, 'metadata' AS section, location_id AS sample,
+SELECT CASE WHEN location_id % 9 = 0 THEN 'missing_metadata' ELSE 'invalid_metadata' END AS code, 'STRUCTURE' AS section, location_id AS sample,
   CASE WHEN location_id % 9 = 0 THEN 'no file' ELSE 'fields' END AS detail
 FROM samples WHERE location_id % 9 = 0 OR location_id % 9 = 1 OR habitat_class IS NULL OR depth_m IS NULL""")
 def k01(spark: SparkSession, d: str) -> DataFrame:
@@ -131,15 +131,15 @@ def k01(spark: SparkSession, d: str) -> DataFrame:
 @query("k02_count_issues", f"""
 WITH {_FILES_SQL}, n AS (SELECT s.location_id, s.lowres_count AS c, count(CASE WHEN role = 'lr' THEN 1 END) AS lr, count(CASE WHEN role = 'hr' THEN 1 END) AS hr
   FROM samples s LEFT JOIN f ON f.location_id = s.location_id GROUP BY ALL)
-SELECT 'lr_count_mismatch' AS code, 'files' AS section, location_id AS sample, lr || '/' || c AS detail FROM n WHERE lr <> c
-UNION ALL SELECT 'missing_hr', 'files', location_id, 'none' FROM n WHERE hr = 0""")
+SELECT 'lowres_count_mismatch' AS code, 'FILE COUNTS' AS section, location_id AS sample, lr || '/' || c AS detail FROM n WHERE lr <> c
+UNION ALL SELECT 'missing_highres_file', 'FILE COUNTS', location_id, 'none' FROM n WHERE hr = 0""")
 def k02(spark: SparkSession, d: str) -> DataFrame:
     return quality.count_issues(carrier(spark, d, "samples").select("location_id", "lowres_count"), _files(spark, d), "location_id", "lowres_count")
 
 
 @query("k03_raster_issues", f"""
-WITH {_FILES_SQL} SELECT 'band_count' AS code, 'raster' AS section, location_id AS sample, file AS detail FROM f WHERE bands <> n_bands
-UNION ALL SELECT 'degenerate', 'raster', location_id, file FROM f WHERE width <= 1 UNION ALL SELECT 'all_nodata', 'raster', location_id, file FROM f WHERE is_empty""")
+WITH {_FILES_SQL} SELECT 'band_count_mismatch' AS code, 'RASTER INTEGRITY' AS section, location_id AS sample, file AS detail FROM f WHERE bands <> n_bands
+UNION ALL SELECT 'degenerate_raster', 'DIMENSIONS', location_id, file FROM f WHERE width <= 1 UNION ALL SELECT 'all_nodata', 'VALUES', location_id, file FROM f WHERE is_empty""")
 def k03(spark: SparkSession, d: str) -> DataFrame:
     return quality.raster_issues(_files(spark, d), specs(spark), "location_id")
 
@@ -147,10 +147,10 @@ def k03(spark: SparkSession, d: str) -> DataFrame:
 @query("k04_grid_issues", """
 WITH h AS (SELECT location_id, CASE WHEN location_id % 7 = 0 THEN 500 ELSE 512 END AS w, 32601 + location_id % 3 AS crs, CASE WHEN location_id % 5 = 0 THEN 10.5 ELSE 10 END AS px,
   CASE WHEN location_id % 4 = 0 THEN 0.5 ELSE 0.0005 END AS shift FROM samples)
-SELECT 'hr_size' AS code, 'grid' AS section, location_id AS sample, w::VARCHAR AS detail FROM h WHERE w <> 512
-UNION ALL SELECT 'hr_crs', 'grid', location_id, crs::VARCHAR FROM h WHERE crs <> 32601
-UNION ALL SELECT 'hr_pixel_size', 'grid', location_id, '10.5' FROM h WHERE px <> 10
-UNION ALL SELECT 'hr_origin', 'grid', location_id, 'origin' FROM h WHERE shift > 0.001 OR px <> 10""")
+SELECT 'hr_wrong_dimensions' AS code, 'DIMENSIONS' AS section, location_id AS sample, w::VARCHAR AS detail FROM h WHERE w <> 512
+UNION ALL SELECT 'hr_crs_mismatch', 'GEOREFERENCING', location_id, crs::VARCHAR FROM h WHERE crs <> 32601
+UNION ALL SELECT 'hr_pixel_size_mismatch', 'GEOREFERENCING', location_id, '10.5' FROM h WHERE px <> 10
+UNION ALL SELECT 'hr_origin_mismatch', 'GEOREFERENCING', location_id, 'origin' FROM h WHERE shift > 0.001 OR px <> 10""")
 def k04(spark: SparkSession, d: str) -> DataFrame:
     i = F.col("location_id")
     px = F.when(i % 5 == 0, 10.5).otherwise(10.0)
@@ -162,13 +162,29 @@ def k04(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("k05_clipping_issues", """
-SELECT 'clipping' AS code, 'quality' AS section, scene_id AS sample, band::VARCHAR AS detail FROM (
+SELECT 'landsat_clipped' AS code, 'DATA QUALITY' AS section, scene_id AS sample, band::VARCHAR AS detail FROM (
   SELECT scene_id, band, avg(CASE WHEN dn / 6000.0 >= 1 THEN 1.0 ELSE 0.0 END) AS c FROM pixels WHERE dn <> 0 GROUP BY ALL) WHERE c > 0.05""")
 def k05(spark: SparkSession, d: str) -> DataFrame:
     p = carrier(spark, d, "pixels").withColumn("v", F.col("dn") / 6000.0)
     return quality.clipping_issues(analyse.patch_statistics(p, ["scene_id", "band"], "v", F.col("dn") != 0), "scene_id")
 
 
+@query("k05_partial_issues", """
+SELECT 'hr_partial' AS code, 'DATA QUALITY' AS section, scene_id AS sample, 'nodata' AS detail FROM pixels WHERE band = 1 GROUP BY scene_id
+HAVING avg(CASE WHEN dn = 0 THEN 1.0 ELSE 0.0 END) > 0.07""")
+def k05p(spark: SparkSession, d: str) -> DataFrame:
+    return quality.partial_issues(carrier(spark, d, "pixels").where("band = 1"), "scene_id", "dn", 0, most=0.07)
+
+
+@query("k01_presence_issues", f"""
+WITH {_FILES_SQL} SELECT 'missing_sample_dir' AS code, 'STRUCTURE' AS section, location_id AS sample, 'no directory' AS detail FROM samples WHERE location_id % 8 = 0
+UNION ALL SELECT 'raster_open_failed', 'RASTER INTEGRITY', location_id, file FROM f WHERE (location_id + k) % 31 = 0""")
+def k01p(spark: SparkSession, d: str) -> DataFrame:
+    s = carrier(spark, d, "samples")
+    files = _files(spark, d).withColumn("readable", (F.col("location_id") + F.col("k")) % 31 != 0)
+    return quality.presence_issues(s, s.where("location_id % 8 <> 0"), files, "location_id")
+
+
 _FLAGS_SQL = """f AS (SELECT location_id, printf('%06d_%d.tif', location_id, k) AS file, (location_id + k) % 3 = 0 AS glint, (location_id + k) % 2 = 0 AS haze,
   (location_id + k) % 5 = 0 AS swath, (location_id * k) % 7 = 3 AS cloud FROM samples, range(6) t(k))"""
 
@@ -184,22 +200,22 @@ def _flags(spark: SparkSession, d: str) -> DataFrame:
 @query("k06_scene_issues", f"""
 WITH {_FLAGS_SQL}, x AS (SELECT *, row_number() OVER (PARTITION BY location_id, glint ORDER BY file) AS g FROM f),
 l AS (SELECT location_id, file, 'glint' AS code FROM x WHERE glint UNION ALL SELECT location_id, file, 'haze' FROM x WHERE haze AND NOT (glint AND g = 1)
-  UNION ALL SELECT location_id, file, 'swath' FROM x WHERE swath UNION ALL SELECT location_id, file, 'cloud' FROM x WHERE cloud)
-SELECT code, 'quality' AS section, location_id AS sample, min(file) AS detail FROM l GROUP BY code, location_id""")
+  UNION ALL SELECT location_id, file, 'lr_swath_edge' FROM x WHERE swath UNION ALL SELECT location_id, file, 'lr_cloud' FROM x WHERE cloud)
+SELECT code, 'DATA QUALITY' AS section, location_id AS sample, min(file) AS detail FROM l GROUP BY code, location_id""")
 def k06(spark: SparkSession, d: str) -> DataFrame:
     return quality.scene_issues(_flags(spark, d), "location_id", "file")
 
 
 @query("k06_high_scene_issues", f"""
 WITH {_FLAGS_SQL}, x AS (SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY file) AS r FROM f)
-SELECT 'glint' AS code, 'quality' AS section, location_id AS sample, file AS detail FROM x WHERE r = 1 AND glint
-UNION ALL SELECT 'haze', 'quality', location_id, file FROM x WHERE r = 1 AND haze""")
+SELECT 'glint' AS code, 'DATA QUALITY' AS section, location_id AS sample, file AS detail FROM x WHERE r = 1 AND glint
+UNION ALL SELECT 'haze', 'DATA QUALITY', location_id, file FROM x WHERE r = 1 AND haze""")
 def k06h(spark: SparkSession, d: str) -> DataFrame:
     return quality.high_scene_issues(_flags(spark, d), "location_id", "file")
 
 
 @query("k07_alignment_issues", """
-SELECT 'misaligned' AS code, 'alignment' AS section, vec_id AS sample, CAST(round(sqrt(4 + (vec_id % 3) ** 2), 2) AS VARCHAR) AS detail
+SELECT 'large_shift' AS code, 'DATA QUALITY' AS section, vec_id AS sample, CAST(round(sqrt(4 + (vec_id % 3) ** 2), 2) AS VARCHAR) AS detail
 FROM embeddings WHERE sqrt(4 + (vec_id % 3) ** 2) > 2.5""")
 def k07(spark: SparkSession, d: str) -> DataFrame:
     return quality.alignment_issues(raster.shifts(_pairs(spark, d), "scene_id"), "scene_id", most=2.5)

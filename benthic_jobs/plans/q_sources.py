@@ -79,15 +79,15 @@ def _samples(spark: SparkSession, d: str) -> DataFrame:
     s = carrier(spark, d, "samples")
     images = F.transform(F.sequence(F.lit(1), F.col("lowres_count") + 1), lambda i: F.concat(F.lit("S2/"), i.cast("string")))
     count = F.when(F.col("location_id") % 2 == 0, F.col("lowres_count"))
-    return s.withColumns({"lowres_images": F.when(F.col("location_id") % 6 != 5, images), "lowres_count": count})
+    return s.withColumns({"lowres_images": F.when(F.col("location_id") % 6 != 5, images), "highres_item_ids": F.when(F.col("location_id") % 6 != 5, images), "lowres_count": count})
 
 
 @query("s05_manifest_write", """
 SELECT CAST(location_id AS VARCHAR) AS location_id, coalesce(habitat_class, '') AS habitat_class, CASE WHEN location_id % 6 = 5 THEN '' ELSE
-  '["S2/1"' || coalesce((SELECT string_agg(',"S2/' || i || '"', '' ORDER BY i) FROM range(2, lowres_count + 2) t(i)), '') || ']' END AS lowres_images,
+  '["S2/1"' || coalesce((SELECT string_agg(',"S2/' || i || '"', '' ORDER BY i) FROM range(2, lowres_count + 2) t(i)), '') || ']' END AS highres_item_ids, '' AS province,
   CASE WHEN location_id % 2 = 0 THEN lowres_count::VARCHAR WHEN location_id % 6 = 5 THEN '' ELSE (lowres_count + 1)::VARCHAR END AS lowres_count FROM samples""")
 def s05(spark: SparkSession, d: str) -> DataFrame:
-    return manifests.to_manifest(_samples(spark, d)).select("location_id", "habitat_class", "lowres_images", "lowres_count")
+    return manifests.to_manifest(_samples(spark, d)).select("location_id", "habitat_class", "highres_item_ids", "province", "lowres_count")
 
 
 @query("s06_manifest_read", """
@@ -97,7 +97,7 @@ def s06(spark: SparkSession, d: str) -> DataFrame:
     at = _new(spark, "manifest")
     manifests.write_manifest(_samples(spark, d), at)
     rows = manifests.read_manifest(spark, at)
-    n = F.when(F.col("lowres_images").isNotNull(), F.size("lowres_images"))
+    n = F.col("highres_count")
     return rows.select("location_id", "habitat_class", "depth_m", n.alias("n_images"), "lowres_count")
 
 

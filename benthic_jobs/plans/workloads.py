@@ -87,8 +87,8 @@ def check_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks as issues; the samples with any are dropped, and the rest is summarised."""
     samples, files = carrier(spark, sf_dir, "samples"), _files(spark, sf_dir)
     found = quality.raster_issues(files, specs(spark), "location_id")
-    found = found.unionByName(quality.count_issues(samples.select("location_id", "lowres_count"), files, "location_id", "lowres_count").where("code = 'missing_hr'"))
+    found = found.unionByName(quality.count_issues(samples.select("location_id", "lowres_count"), files, "location_id", "lowres_count").where("code = 'missing_highres_file'"))
     flags = _flags(spark, sf_dir).withColumn("swath", F.col("swath") & (F.col("location_id") % 2 == 0))
-    found = found.unionByName(quality.scene_issues(flags, "location_id", "file").where("code = 'swath'"))
+    found = found.unionByName(quality.scene_issues(flags, "location_id", "file").where("code = 'lr_swath_edge'"))
     kept, _, _ = curation.drop_listed(samples, found.select(F.col("sample").alias("location_id")), "location_id")
     return kept.groupBy("habitat_class").agg(F.count("*").alias("n"), rounded(F.avg("depth_m"), 6).alias("mean_depth"))

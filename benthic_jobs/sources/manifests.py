@@ -5,20 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.curation import manifest_count
 
-#: Column and type of the manifest, in order; ``json`` columns are texts of lists in the file.
+#: Fixed values. Column and type of the manifest, in order; ``json`` columns are texts of lists in the file.
 COLUMNS = [
-    ("location_id", "bigint"), ("habitat_class", "string"), ("latitude", "double"), ("longitude", "double"), ("depth_m", "double"),
-    ("lowres_images", "json"), ("lowres_count", "int"),
+    ("location_id", "bigint"), ("latitude", "double"), ("longitude", "double"), ("season_id", "int"), ("province", "string"), ("habitat_class", "string"),
+    ("depth_m", "double"), ("date_range_start", "string"), ("date_range_end", "string"), ("alignment_crs", "string"), ("patch_size_pixels", "int"),
+    ("patch_size_meters", "double"), ("target_origin_x", "double"), ("target_origin_y", "double"), ("lowres_satellite", "string"), ("lowres_count", "int"),
+    ("highres_satellite", "string"), ("highres_item_ids", "json"), ("highres_order_id", "string"), ("highres_product_bundle", "string"),
+    ("highres_aoi_geojson", "string"), ("highres_count", "int"),
 ]
 
 
 def to_manifest(samples: DataFrame) -> DataFrame:
-    """Texts in a fixed column order: lists as JSON, NULL as an empty text, the count by one rule."""
-    rows = samples.withColumn("lowres_count", manifest_count(F.col("lowres_count"), F.col("lowres_images")))
-    text = {c: F.to_json(c) if t == "json" else F.col(c).cast("string") for c, t in COLUMNS}
-    return rows.select(*(F.coalesce(x, F.lit("")).alias(c) for c, x in text.items()))
+    """Texts in a fixed column order: lists as JSON, NULL or a missing column as an empty text.
+
+    Counts by one rule: the count after QA if there is one, else the size of ``lowres_images`` or of the item ids.
+    """
+    none = F.lit(None).cast("string")
+    have = lambda c: F.col(c) if c in samples.columns else none
+    size = lambda c: F.size(c) if c in samples.columns else none.cast("int")
+    value = {c: have(c) for c, _ in COLUMNS}
+    value["lowres_count"] = F.coalesce(have("lowres_count").cast("int"), size("lowres_images"))
+    value["highres_count"] = F.coalesce(have("highres_count").cast("int"), size("highres_item_ids"))
+    text = {c: F.to_json(value[c]) if t == "json" and c in samples.columns else value[c].cast("string") for c, t in COLUMNS}
+    return samples.select(*(F.coalesce(x, F.lit("")).alias(c) for c, x in text.items()))
 
 
 def from_manifest(rows: DataFrame) -> DataFrame:
