@@ -33,10 +33,26 @@ def first_by(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def nearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_id: str, obs_date: str, acquired: str, scene_id: str, days: int) -> DataFrame:
-    """Each observation's nearest scene (``scene_id``, ``dist``) or NULLs."""
-    pairs = near_pairs(obs.select(obs_id, *keys, obs_date), scenes.select(*keys, acquired, scene_id), keys, obs_date, acquired, days)
-    best = first_by(pairs, [obs_id], ["dist", acquired, scene_id]).select(obs_id, scene_id, "dist")
-    return obs.join(best, obs_id, "left")
+    """Each observation's nearest scene (``scene_id``, ``dist``) or NULLs.
+
+    Pairs are never listed: the first scene of each day goes to its bucket of ``days`` days and both neighbours, and in each
+    bucket an observation looks at the last scene day up to its own and the first one from it on.
+    """
+    day = lambda c: F.unix_date(F.col(c).cast("date"))
+    bucket = lambda c: F.floor(F.col(c) / days).cast("int")
+    firsts = scenes.groupBy(*keys, day(acquired).alias("__d")).agg(F.min(F.struct(F.col(acquired).alias("t"), F.col(scene_id).alias("s"))).alias("__s"))
+    firsts = firsts.withColumn("__b", F.explode(F.array(*(bucket("__d") + i for i in (-1, 0, 1)))))
+    rows = obs.select(*keys, day(obs_date).alias("__d"), obs_id).where("__d IS NOT NULL").withColumn("__b", bucket("__d"))
+    both = rows.unionByName(firsts, allowMissingColumns=True)
+    order = Window.partitionBy(*keys, "__b").orderBy("__d")
+    seen = F.when(F.col("__s").isNotNull(), F.struct("__d", "__s"))
+    both = both.withColumns({
+        "__a": F.last(seen, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)),
+        "__z": F.first(seen, ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing)),
+    }).where(F.col(obs_id).isNotNull())
+    choice = lambda c: F.when(F.col(f"{c}.__d").isNotNull(), F.struct(F.abs(F.col(f"{c}.__d") - F.col("__d")).alias("dist"), F.col(f"{c}.__s").alias("s")))
+    best = both.withColumn("__best", F.least(choice("__a"), choice("__z"))).where(F.col("__best.dist") <= days)
+    return obs.join(best.select(obs_id, F.col("__best.s.s").alias(scene_id), F.col("__best.dist").alias("dist")), obs_id, "left")
 
 
 def clarity_tier(score: Column) -> Column:
