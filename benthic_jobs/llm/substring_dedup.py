@@ -31,7 +31,7 @@ from .shared import grams, hashed_words, mix, powers, slices, stored
 
 ANCHOR, LONGEST, HOT = 10, 64, 5_000
 #: Bytes of text that are hashed at a time; words of a shard on average.
-STEP_BYTES, SHARD_WORDS = 4_000_000, 150_000
+STEP_BYTES, SHARD_WORDS = 1_000_000, 150_000
 _M = np.uint64(0xD6E8FEB86659FD93)
 _M_INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 2**64))
 
