@@ -60,12 +60,37 @@ def clarity_tier(score: Column) -> Column:
 
 
 def clearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_id: str, obs_date: str, acquired: str, scene_id: str, score: str, days: int) -> DataFrame:
-    """The nearest scene of the best clarity tier that has any; without any score the first scene."""
-    rows = scenes.select(*keys, acquired, scene_id, score)
-    pairs = near_pairs(obs.select(obs_id, *keys, obs_date), rows, keys, obs_date, acquired, days, exclusive_end=True)
-    tier = clarity_tier(F.col(score))
-    best = first_by(pairs.withColumn("tier", tier), [obs_id], ["tier", F.when(F.col("tier") < 4, F.col("dist")), acquired, scene_id])
-    return obs.join(best.select(obs_id, scene_id, "dist", "tier"), obs_id, "left")
+    """The nearest scene of the best clarity tier that has any; without any score the first scene. The last day is open.
+
+    As in ``nearest_scene``, no pairs: in each bucket of days an observation looks at the nearest scene days of each tier.
+    """
+    day = lambda c: F.unix_date(F.col(c).cast("date"))
+    bucket = lambda c: F.floor(F.col(c) / days).cast("int")
+    best_of_day = F.min(F.struct(F.col(acquired).alias("t"), F.col(scene_id).alias("s"))).alias("__s")
+    firsts = scenes.groupBy(*keys, day(acquired).alias("__d"), clarity_tier(F.col(score)).alias("tier")).agg(best_of_day)
+    firsts = firsts.withColumn("__b", F.explode(F.array(*(bucket("__d") + i for i in (-1, 0, 1)))))
+    rows = obs.select(*keys, day(obs_date).alias("__d"), obs_id).where("__d IS NOT NULL").withColumn("__b", bucket("__d"))
+    both = rows.unionByName(firsts, allowMissingColumns=True)
+    order = Window.partitionBy(*keys, "__b").orderBy("__d")
+    looks = {}
+    for k in range(4):
+        seen = F.when(F.col("tier") == k, F.struct("__d", "__s"))
+        looks[f"__a{k}"] = F.last(seen, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0))
+        looks[f"__z{k}"] = F.first(seen, ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing))
+    unscored = F.when(F.col("tier") == 4, F.struct("__s", "__d"))
+    looks["__first"] = F.min(unscored).over(order.rangeBetween(-days, days - 1))
+    both = both.withColumns(looks).where(F.col(obs_id).isNotNull())
+
+    def choice(c: str, tier: int, rank: bool) -> Column:
+        gap = F.col(f"{c}.__d") - F.col("__d")
+        place = F.abs(gap) if rank else F.lit(None).cast("int")
+        found = F.struct(F.lit(tier).alias("tier"), place.alias("place"), F.col(f"{c}.__s").alias("s"), F.abs(gap).alias("dist"))
+        return F.when(gap.between(-days, days - 1), found)
+
+    ends = [choice(f"__{side}{k}", k, True) for k in range(4) for side in "az"]
+    best = both.withColumn("__best", F.least(*ends, choice("__first", 4, False)))
+    found = {scene_id: "__best.s.s", "dist": "__best.dist", "tier": "__best.tier"}
+    return obs.join(best.select(obs_id, *(F.col(c).alias(n) for n, c in found.items())), obs_id, "left")
 
 
 def same_day_else_nearest(obs: DataFrame, files: DataFrame, keys: list[str], obs_id: str, obs_date: str, file_date: str, file: str) -> DataFrame:
