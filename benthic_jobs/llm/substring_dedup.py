@@ -8,8 +8,9 @@ Consecutive windows with one anchor travel together as a segment.
 1. Count the anchors (a partial sum in each task); an anchor that occurs once can repeat nothing.
 2. Keep the segments of the other anchors, as hashes; equal segments become one row with a weight.
 3. Fetch the words of one occurrence of each segment and deal them out to the shards.
-4. Each shard builds a compressed FM-index (``fm_index``) over its segments and streams the same segments
-   through backward search; a window whose matching statistic reaches ``window`` with a weight of 2 repeats.
+4. Each shard builds a compressed FM-index (``fm_index``) over its segments, with their weights, and streams those
+   that stand alone through backward search; a window whose matching statistic reaches ``window`` with a weight of 2
+   repeats. Segments with a weight repeat as a whole.
 5. The window ranges go back to the documents by joins on hashed keys, and the covered words are removed.
 
 A hot passage is one weighted segment. An anchor with over ``HOT`` different segments is dealt out again, window by
@@ -156,8 +157,9 @@ def _shard(window: int):
         windows = lens - window + 1
         seg = np.repeat(np.arange(len(lens)), windows)
         place = np.arange(len(seg)) - np.repeat(np.cumsum(windows) - windows, windows)
-        length = index.matching(flat, begin[seg] + place + window, window, 2)
-        hit = length == window
+        hit = pdf["n"].to_numpy()[seg] > 1  # a segment with a weight repeats as a whole
+        ask = np.flatnonzero(~hit)
+        hit[ask] = index.matching(flat, begin[seg[ask]] + place[ask] + window, window, 2) == window
         edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
         starts, ends = edge[::2], edge[1::2]
         cuts = np.flatnonzero(np.diff(seg)) + 1  # no range goes from one segment to the next
