@@ -32,7 +32,7 @@ def first_by(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     return rows.withColumn("__r", rank).where("__r = 1").drop("__r")
 
 
-def nearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_id: str, obs_date: str, acquired: str, scene_id: str, days: int) -> DataFrame:
+def nearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_date: str, acquired: str, scene_id: str, days: int) -> DataFrame:
     """Each observation's nearest scene (``scene_id``, ``dist``) or NULLs.
 
     Pairs are never listed: the first scene of each day goes to its bucket of ``days`` days and both neighbours, and in each
@@ -41,25 +41,26 @@ def nearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_id: st
     day = lambda c: F.unix_date(F.col(c).cast("date"))
     bucket = lambda c: F.floor(F.col(c) / days).cast("int")
     firsts = scenes.groupBy(*keys, day(acquired).alias("__d")).agg(F.min(F.struct(F.col(acquired).alias("t"), F.col(scene_id).alias("s"))).alias("__s"))
-    firsts = firsts.withColumn("__b", F.explode(F.array(*(bucket("__d") + i for i in (-1, 0, 1)))))
-    rows = obs.select(*keys, day(obs_date).alias("__d"), obs_id).where("__d IS NOT NULL").withColumn("__b", bucket("__d"))
+    firsts = firsts.dropna(subset=[*keys, "__d"]).withColumn("__b", F.explode(F.array(*(bucket("__d") + i for i in (-1, 0, 1)))))
+    rows = obs.select(*keys, day(obs_date).alias("__d"), F.struct(*obs.columns).alias("__o")).withColumn("__b", bucket("__d"))
     both = rows.unionByName(firsts, allowMissingColumns=True)
     order = Window.partitionBy(*keys, "__b").orderBy("__d")
     seen = F.when(F.col("__s").isNotNull(), F.struct("__d", "__s"))
     both = both.withColumns({
         "__a": F.last(seen, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)),
         "__z": F.first(seen, ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing)),
-    }).where(F.col(obs_id).isNotNull())
+    }).where(F.col("__o").isNotNull())
     choice = lambda c: F.when(F.col(f"{c}.__d").isNotNull(), F.struct(F.abs(F.col(f"{c}.__d") - F.col("__d")).alias("dist"), F.col(f"{c}.__s").alias("s")))
-    best = both.withColumn("__best", F.least(choice("__a"), choice("__z"))).where(F.col("__best.dist") <= days)
-    return obs.join(best.select(obs_id, F.col("__best.s.s").alias(scene_id), F.col("__best.dist").alias("dist")), obs_id, "left")
+    nearest = F.least(choice("__a"), choice("__z"))
+    best = both.withColumn("__best", F.when(nearest["dist"] <= days, nearest))
+    return best.select("__o.*", F.col("__best.s.s").alias(scene_id), F.col("__best.dist").alias("dist"))
 
 
 def clarity_tier(score: Column) -> Column:
     return F.when(score >= 0.75, 0).when(score >= 0.6, 1).when(score >= 0.4, 2).when(score.isNotNull(), 3).otherwise(4)
 
 
-def clearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_id: str, obs_date: str, acquired: str, scene_id: str, score: str, days: int) -> DataFrame:
+def clearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_date: str, acquired: str, scene_id: str, score: str, days: int) -> DataFrame:
     """The nearest scene of the best clarity tier that has any; without any score the first scene. The last day is open.
 
     As in ``nearest_scene``, no pairs: in each bucket of days an observation looks at the nearest scene days of each tier.
@@ -68,8 +69,8 @@ def clearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_id: s
     bucket = lambda c: F.floor(F.col(c) / days).cast("int")
     best_of_day = F.min(F.struct(F.col(acquired).alias("t"), F.col(scene_id).alias("s"))).alias("__s")
     firsts = scenes.groupBy(*keys, day(acquired).alias("__d"), clarity_tier(F.col(score)).alias("tier")).agg(best_of_day)
-    firsts = firsts.withColumn("__b", F.explode(F.array(*(bucket("__d") + i for i in (-1, 0, 1)))))
-    rows = obs.select(*keys, day(obs_date).alias("__d"), obs_id).where("__d IS NOT NULL").withColumn("__b", bucket("__d"))
+    firsts = firsts.dropna(subset=[*keys, "__d"]).withColumn("__b", F.explode(F.array(*(bucket("__d") + i for i in (-1, 0, 1)))))
+    rows = obs.select(*keys, day(obs_date).alias("__d"), F.struct(*obs.columns).alias("__o")).withColumn("__b", bucket("__d"))
     both = rows.unionByName(firsts, allowMissingColumns=True)
     order = Window.partitionBy(*keys, "__b").orderBy("__d")
     looks = {}
@@ -79,7 +80,7 @@ def clearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_id: s
         looks[f"__z{k}"] = F.first(seen, ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing))
     unscored = F.when(F.col("tier") == 4, F.struct("__s", "__d"))
     looks["__first"] = F.min(unscored).over(order.rangeBetween(-days, days - 1))
-    both = both.withColumns(looks).where(F.col(obs_id).isNotNull())
+    both = both.withColumns(looks).where(F.col("__o").isNotNull())
 
     def choice(c: str, tier: int, rank: bool) -> Column:
         gap = F.col(f"{c}.__d") - F.col("__d")
@@ -90,10 +91,10 @@ def clearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_id: s
     ends = [choice(f"__{side}{k}", k, True) for k in range(4) for side in "az"]
     best = both.withColumn("__best", F.least(*ends, choice("__first", 4, False)))
     found = {scene_id: "__best.s.s", "dist": "__best.dist", "tier": "__best.tier"}
-    return obs.join(best.select(obs_id, *(F.col(c).alias(n) for n, c in found.items())), obs_id, "left")
+    return best.select("__o.*", *(F.col(c).alias(n) for n, c in found.items()))
 
 
-def same_day_else_nearest(obs: DataFrame, files: DataFrame, keys: list[str], obs_id: str, obs_date: str, file_date: str, file: str) -> DataFrame:
+def same_day_else_nearest(obs: DataFrame, files: DataFrame, keys: list[str], obs_date: str, file_date: str, file: str) -> DataFrame:
     """A site's raster of the same day, else the nearest in time, else (date unknown) the first file.
 
     Sites and files of a key stand in one order of dates; each site looks at the last file up to it and the first one from
@@ -101,17 +102,18 @@ def same_day_else_nearest(obs: DataFrame, files: DataFrame, keys: list[str], obs
     """
     firsts = files.groupBy(*keys, F.col(file_date).alias("__d")).agg(F.min(file).alias("__f"))
     any_file = files.groupBy(*keys).agg(F.min(file).alias("__any"))
-    both = obs.select(*keys, F.col(obs_date).alias("__d"), obs_id).unionByName(firsts, allowMissingColumns=True)
+    rows = obs.select(*keys, F.col(obs_date).alias("__d"), F.struct(*obs.columns).alias("__o"))
+    both = rows.unionByName(firsts.dropna(subset=[*keys, "__d"]), allowMissingColumns=True)
     order = Window.partitionBy(*keys).orderBy("__d")
     near = F.when(F.col("__f").isNotNull(), F.struct("__d", "__f"))
     both = both.withColumns({
         "__a": F.last(near, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)),
         "__z": F.first(near, ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing)),
-    }).where(F.col(obs_id).isNotNull())
+    }).where(F.col("__o").isNotNull())
     choice = lambda c: F.when(F.col(f"{c}.__d").isNotNull() & F.col("__d").isNotNull(), F.struct(F.abs(F.datediff(f"{c}.__d", "__d")).alias("dist"), F.col(f"{c}.__f").alias("f")))
     best = both.join(any_file, keys, "left").withColumn("__best", F.least(choice("__a"), choice("__z")))
     found = F.coalesce("__best.f", "__any").alias(file)
-    return obs.join(best.select(obs_id, found, F.col("__best.dist").alias("dist")), obs_id, "left")
+    return best.select("__o.*", found, F.col("__best.dist").alias("dist"))
 
 
 def catalogue_search(aois: DataFrame, scenes: DataFrame, aoi_id: str, *, cell: float, cloud: float = 20, nodata: float = 5, coverage: float = 0, top: int = 8) -> DataFrame:

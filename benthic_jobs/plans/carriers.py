@@ -22,7 +22,7 @@ FROM @values
 SQL = {
     "obs": """
         SELECT concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING),
-                         CAST(l_suppkey AS STRING)) AS obs_id,
+                         CAST(l_suppkey AS STRING), CAST(CAST(FLOOR(l_extendedprice) AS BIGINT) AS STRING)) AS obs_id,
                l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE) AS obs_date,
                CAST(l_suppkey % 100 AS INT) AS tile, CASE WHEN l_linenumber % 2 = 0 THEN 'S2' ELSE 'LS' END AS sensor,
                l_quantity AS site_m, CAST((l_quantity - 5) * 0.5 AS DOUBLE) AS depth_m,

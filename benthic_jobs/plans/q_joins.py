@@ -20,7 +20,7 @@ SELECT o.obs_id, s.scene_id, s.dist FROM obs o LEFT JOIN (
   FROM obs JOIN scenes USING (tile, sensor) WHERE {_DIST} <= 60) s ON o.obs_id = s.obs_id AND r = 1""")
 def j01(spark: SparkSession, d: str) -> DataFrame:
     obs, scenes = carrier(spark, d, "obs"), carrier(spark, d, "scenes")
-    return matching.nearest_scene(obs, scenes, ["tile", "sensor"], "obs_id", "obs_date", "acq_date", "scene_id", 60).select("obs_id", "scene_id", "dist")
+    return matching.nearest_scene(obs, scenes, ["tile", "sensor"], "obs_date", "acq_date", "scene_id", 60).select("obs_id", "scene_id", "dist")
 
 
 _TIER = "CASE WHEN clear_score >= 0.75 THEN 0 WHEN clear_score >= 0.6 THEN 1 WHEN clear_score >= 0.4 THEN 2 WHEN clear_score IS NOT NULL THEN 3 ELSE 4 END"
@@ -37,7 +37,7 @@ def j02(spark: SparkSession, d: str) -> DataFrame:
     scenes = carrier(spark, d, "scenes")
     scenes = scenes.withColumn("acquired", F.timestamp_seconds(F.unix_date("acq_date").cast("long") * 86400 + F.col("acq_hour") * 3600))
     obs = carrier(spark, d, "obs")
-    out = matching.clearest_scene(obs, scenes, ["tile", "sensor"], "obs_id", "obs_date", "acquired", "scene_id", "clear_score", 45)
+    out = matching.clearest_scene(obs, scenes, ["tile", "sensor"], "obs_date", "acquired", "scene_id", "clear_score", 45)
     return out.select("obs_id", "scene_id", "dist", "tier")
 
 
@@ -51,9 +51,8 @@ SELECT site, day, file, CAST(dist AS INT) AS dist FROM (
 def j03(spark: SparkSession, d: str) -> DataFrame:
     day = F.when(F.col("l_suppkey") % 7 == 0, None).otherwise(F.col("obs_date")).alias("day")
     visits = carrier(spark, d, "obs").select(F.col("l_suppkey").alias("site"), "tile", day).distinct()
-    visits = visits.withColumn("visit", F.concat_ws("|", "site", F.coalesce(F.col("day").cast("string"), F.lit("-"))))
     files = carrier(spark, d, "scenes").select("tile", "acq_date", F.format_string("scene_%08d.tif", "scene_id").alias("file"))
-    return matching.same_day_else_nearest(visits, files, ["tile"], "visit", "day", "acq_date", "file").select("site", "day", "file", "dist")
+    return matching.same_day_else_nearest(visits, files, ["tile"], "day", "acq_date", "file").select("site", "day", "file", "dist")
 
 
 @query("j04_catalogue_search", """

@@ -37,7 +37,7 @@ def survey_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     cover = collapse.cover_wide(collapse.cover_long(points, "site", "category", ["LARGE"], benthic()), "site", "category", {"LARGE": "cover_large"})
     sites = sites.join(cover, "site", "left").join(collapse.shannon(points, "site", "genus"), "site", "left")
     sites = sites.withColumn("tile", (F.col("site") % 100).cast("int"))
-    found = matching.nearest_scene(sites, scenes, ["tile"], "site", "survey_date", "acq_date", "scene_id", 45)
+    found = matching.nearest_scene(sites, scenes, ["tile"], "survey_date", "acq_date", "scene_id", 45)
     at = found.withColumns({"stack": F.col("scene_id") % 60, "prow": (F.col("site") % 8).cast("int"), "pcol": (F.col("site") % 5).cast("int")})
     pixels = carrier(spark, sf_dir, "stacks").withColumnRenamed("scene_id", "stack").withColumn("all", F.struct(*(f"b{i}" for i in range(1, 9))))
     rows = sampling.at_cells(at, pixels, ["stack", "prow", "pcol"], "all").select(*at.columns, "all.*")

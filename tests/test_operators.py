@@ -13,14 +13,14 @@ def test_day_distance_and_ties(spark):
     obs = spark.createDataFrame([(1, "a", dt.date(2020, 1, 10)), (2, "b", dt.date(2020, 1, 10)), (3, "c", dt.date(2020, 1, 10))], "id int, k string, day date")
     at = dt.datetime
     scenes = spark.createDataFrame([(1, "a", at(2020, 1, 9, 12)), (2, "a", at(2020, 1, 10, 12)), (3, "b", at(2020, 1, 12)), (4, "b", at(2020, 1, 8))], "scene int, k string, t timestamp")
-    got = {r["id"]: (r["scene"], r["dist"]) for r in matching.nearest_scene(obs, scenes, ["k"], "id", "day", "t", "scene", 5).collect()}
+    got = {r["id"]: (r["scene"], r["dist"]) for r in matching.nearest_scene(obs, scenes, ["k"], "day", "t", "scene", 5).collect()}
     assert got == {1: (2, 0), 2: (4, 2), 3: (None, None)}  # noon before: a day, noon after: none; equal distance: the earlier
 
 
 def test_clarity_without_scores(spark):
     obs = spark.createDataFrame([(1, "a", dt.date(2020, 1, 10))], "id int, k string, day date")
     scenes = spark.createDataFrame([(1, "a", dt.datetime(2020, 1, 9), None), (2, "a", dt.datetime(2020, 1, 5), None)], "scene int, k string, t timestamp, s double")
-    row = matching.clearest_scene(obs, scenes, ["k"], "id", "day", "t", "scene", "s", 30).first()
+    row = matching.clearest_scene(obs, scenes, ["k"], "day", "t", "scene", "s", 30).first()
     assert (row["scene"], row["tier"]) == (2, 4)  # without any score: the first in acquisition order
 
 
