@@ -28,7 +28,7 @@ from .shared import stored
 
 GRAIN, END_ID = 8, 1
 #: Pieces of one class that are ranked in one group, about.
-GROUP = 20_000
+GROUP = 1_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -162,8 +162,9 @@ def packed(pieces: DataFrame, *, most: int = 2048) -> DataFrame:
     histogram = {r["size"]: r["n"] for r in pieces.groupBy("size").agg(F.count("*").alias("n")).collect()}  # most / GRAIN rows
     slots = _slots(plan_patterns(histogram, most // GRAIN))
     slots = spark.createDataFrame(slots, "size int, low long, high long, first long, each long")
-    salts = max(1, -(-max(histogram.values(), default=0) // GROUP))
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(salts)).cast("int"))
+    groups = F.array(*(F.lit(max(1, -(-histogram.get(c, 0) // GROUP))) for c in range(most // GRAIN + 1)))
+    salt = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), groups[F.col("size")])
+    salted = pieces.withColumn("salt", salt.cast("int"))
     before = Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     base = salted.groupBy("size", "salt").agg(F.count("*").alias("n"))
     base = stored(base.select("size", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "ranks")
