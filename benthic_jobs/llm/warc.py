@@ -31,6 +31,8 @@ from .shared import new_dir, stored
 INDEX = "file string, offset long, length long, key long, url string, record_type string, digest string, refers_to long"
 #: Bytes of a merged range; a file's records are split there, so that no task reads a whole large archive.
 RANGE = 8_000_000
+#: Bytes of archive that a task reads, about: index rows are small, so their own size says nothing.
+TASK = 16_000_000
 
 
 def _open_store(uri: str):
@@ -158,7 +160,10 @@ def read_records(index: DataFrame, *, gap: int = 65_536) -> DataFrame:
         if opened:
             opened[1].close()
 
-    ordered = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(1, -(-total // TASK))
+    ordered = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset")
+    ordered = ordered.sortWithinPartitions("file", "offset")
     return ordered.mapInPandas(
         ranges, "key long, url string, record_type string, refers_to long, digest string, payload binary"
     )
