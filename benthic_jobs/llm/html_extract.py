@@ -8,7 +8,10 @@ of labelled pages (``labelled_pages``: layouts with marked articles, filled with
 
 Scripts, styles, comments and markup never become text. Character references are decoded, white space inside a block
 is one space, blocks are joined by one newline in page order. A tag that the page's end cuts off is dropped; elements
-without end tags end where HTML says. Null and empty pages give an empty text; nothing is capped.
+without end tags end where HTML says. Inside a tag a quote opens a value only after ``=`` and only if the page closes it;
+any other quote is an ordinary character. Formulas (``math``) are inline text. Drawings (``svg``) are none, but for their
+``foreignObject``; one without an end tag ends at ``/>``, at the next HTML tag, or where the element around it ends.
+Null and empty pages give an empty text; nothing is capped.
 """
 
 from __future__ import annotations
@@ -24,19 +27,24 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_VALUE = r"\s*+=\s*+(?:\"{0}\"|'{1}'|{2})"
 _TOKEN = re.compile(
-    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</([a-zA-Z][^\s/>]*+)[^>]*+>"
-    r"|<[!?/][^>]*+(?:>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<([a-zA-Z][^\s/>]*+)"
+    rf"((?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_VALUE.format('[^\"]*+', "[^']*+", '[^\\s>]*+')})?+)*+)>"
+    r"|</([a-zA-Z][^\s/>]*+)[^>]*+>|<[!?/][^>]*+(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:{_VALUE.format('([^\"]*+)', "([^']*+)", '([^\\s>]*+)')})?+")
 #: Names of elements by their role in HTML.
-RAW = frozenset("script style textarea title iframe noframes noembed xmp noscript template svg math".split())
+RAW = frozenset("script style textarea title iframe noframes noembed xmp noscript template svg".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label map mark q ruby rt s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr "
+    "math annotation annotation-xml maction menclose merror mfenced mfrac mglyph mi mlabeledtr mmultiscripts mn mo mover mpadded "
+    "mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split()
 )
+SPACED = frozenset("br mtd annotation annotation-xml".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr main menu nav ol p pre section table ul".split()
@@ -45,6 +53,8 @@ SAME = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"},
 }
+#: Start tags that cannot stand in a drawing: it has ended, as HTML says.
+LEAVES_SVG = CLOSES_P | SAME.keys() | (INLINE - {"a"}) | {"body", "embed"}
 STOPS = frozenset("ul ol dl table select body div article section".split())
 #: Words of class, id and role names, by what they speak of.
 WORDS = {
@@ -76,10 +86,12 @@ def parse(page: str) -> Node:
     """The tree of block elements; text blocks are nodes with the tag ``#text``."""
     root = Node("html", None)
     stack, block, inline, pos, n = [root], None, 0, 0, len(page)
+    drawing = links = paused = 0  # depths of svg and of its own links, and the first while in a foreignObject
+    endless: set[str] = set()
 
     def text(raw: str) -> None:
         nonlocal block
-        if not raw or (block is None and not raw.strip()):
+        if drawing or not raw or (block is None and not raw.strip()):
             return
         raw = entities.unescape(raw)
         if block is None:
@@ -114,13 +126,27 @@ def parse(page: str) -> Node:
         text(page[pos:at])
         pos = m.end()
         if m[1]:
-            tag = m[1].lower()
-            if tag in RAW:
+            tag, shut = m[1].lower(), m[2].endswith("/")
+            if drawing and tag in LEAVES_SVG:
+                drawing = 0
+            if tag == "svg":
+                if not shut:
+                    drawing, links = drawing + 1, links if drawing else 0
+            elif drawing and (shut or tag in endless):
+                continue
+            elif tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, pos)
-                pos = end.end() if end else n
+                if drawing and not end:
+                    endless.add(tag)
+                else:
+                    pos = end.end() if end else n
+            elif drawing:
+                links += tag == "a"
+                if tag == "foreignobject":
+                    drawing, paused, block, inline = 0, drawing, None, 0
             elif tag in INLINE:
                 inline += tag == "a"
-                if tag == "br":
+                if tag in SPACED:
                     text(" ")
             elif tag not in ("html", "head"):
                 block = None
@@ -142,6 +168,17 @@ def parse(page: str) -> Node:
                     stack.append(Node(tag, stack[-1], names, gold))
         elif m[3]:
             tag = m[3].lower()
+            if tag == "foreignobject" and paused:
+                drawing, paused, block, inline = paused, 0, None, 0
+            if drawing:
+                if tag == "svg":
+                    drawing -= 1
+                elif tag == "a" and links:
+                    links -= 1
+                elif tag in INLINE or any(x.tag == tag for x in stack[1:]):
+                    drawing = 0  # the end of what the drawing stands in
+                if tag == "svg" or drawing or (tag == "a" and not inline):
+                    continue
             if tag == "a":
                 inline = max(0, inline - 1)
             elif tag not in INLINE and tag not in RAW:

@@ -423,6 +423,20 @@ def test_main_text_of_odd_pages(spark):
     assert got[1] == want and got[4] == want and got[2] == got[3] == "" and got[5].count("w") == 200_000 and len(got) == 7
 
 
+@pytest.mark.parametrize(("part", "want"), [
+    ('<p>A <a href="foo"">link</a> is here.</p>', "A link is here."), ("<p title=it's>It is a plain sentence.</p>", "It is a plain sentence."),
+    ("<p title='x>No quote ends this value.</p>", "No quote ends this value."), ('<p title="a > b" \'>A value has a mark.</p>', "A value has a mark."),
+    ('<p>One <svg width="5"/> two.</p>', "One two."), ("<p>One <math/> two.</p>", "One two."), ("<p>One <svg><path d=M></p>", "One"),
+    ("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>", "So x=2 holds."), ("<p>A <b><svg><text>no</b> plain end.</p>", "A plain end."),
+    ("<p>a <svg><svg><title>no</title></svg><a href=x>no</a><style/><text>no</text></svg> b.</p>", "a b."),
+    ("<p>One is here.</p><svg><text>no</text><foreignObject><p>Two is here.</p></foreignObject><text>no</text></svg>", "One is here.\nTwo is here."),
+])
+def test_malformed_tags_drop_nothing_else(part, want):
+    body = " ".join(f"Sentence number {i} is quite long and plain." for i in range(8))
+    page = f"<body><nav><ul><li><a href=/>Home</a></li></ul></nav><article><p>{body}</p>{part}<p>{body}</p></article><footer>&copy; us</footer>"
+    assert html_extract.main_text(page, html_extract.trained()) == f"{body}\n{want}\n{body}"
+
+
 def test_marginals_against_enumeration():
     from itertools import product
 
