@@ -3,7 +3,8 @@
 A record is JSON text. Its fingerprint is a hash of the sorted paths of its nested fields (``messages[].role``),
 whatever the values are. A registry of declarative layouts says which paths a layout has and how they become
 turns; the fingerprint of a record selects its layout. A record with a fingerprint that no layout has, or that is
-no JSON, keeps null turns and its fingerprint is reported, so that a layout can be added as data.
+no JSON, keeps null turns and its fingerprint is reported, so that a layout can be added as data. A record of a known
+layout that Spark cannot read into it is an error: its turns are not lost in silence. Texts have no greatest length.
 
 The template is ``<|im_start|>role<|im_sep|>text<|im_end|>`` for each turn. Inside roles and texts a backslash is
 doubled, and one is put into every control string (of this template and of other common ones), so that none can be
@@ -34,6 +35,9 @@ BEGIN, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: The starts of control strings of common templates.
 _CONTROL = re.compile(r"(<)(?=\||/?s>|</?SYS>>)|(\[)(?=/?INST\])")
 _ESCAPED = re.compile(r"\\(.)", re.S)
+#: The parser's own limits on the length of a text and of a number are lifted.
+_BROKEN = "_corrupt_record"
+_PARSER = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1), "columnNameOfCorruptRecord": _BROKEN}
 
 
 def escape(text: str) -> str:
@@ -67,20 +71,25 @@ class Layout:
 
     def turns(self, record: Column) -> Column:
         if self.items:
-            schema = f"struct<`{self.items}`:array<struct<`{self.role}`:string,`{self.text}`:string>>>"
+            fields = f"`{self.items}`:array<struct<`{self.role}`:string,`{self.text}`:string>>"
             role = lambda x: _renamed(F.coalesce(x[self.role], F.lit("")), self.names)
             return F.transform(
-                F.from_json(record, schema)[self.items],
+                _parsed(record, fields, self.name)[self.items],
                 lambda x: F.struct(role(x).alias("role"), F.coalesce(x[self.text], F.lit("")).alias("text")),
             )
-        schema = "struct<" + ",".join(f"`{p}`:string" for _, p in self.fields) + ">"
-        parsed = F.from_json(record, schema)
+        parsed = _parsed(record, ",".join(f"`{p}`:string" for _, p in self.fields), self.name)
         every = [
             F.when(parsed[p].isNotNull(), F.struct(F.lit(r).alias("role"), parsed[p].alias("text"))) for r, p in self.fields
         ]
         return F.filter(F.array(*every), lambda x: x.isNotNull())
 
 
+def _parsed(record: Column, fields: str, name: str) -> Column:
+    parsed = F.from_json(record, f"struct<{fields},`{_BROKEN}`:string>", _PARSER)
+    told = F.concat(F.lit(f"a record of the layout {name} cannot be read into it: "), F.left(record, F.lit(200)))
+    return F.when(parsed.isNull() | parsed[_BROKEN].isNotNull(), F.raise_error(told)).otherwise(parsed)
+
+
 def _renamed(role: Column, names: tuple[tuple[str, str], ...]) -> Column:
     for old, new in names:
         role = F.when(role == old, F.lit(new)).otherwise(role)

@@ -228,6 +228,23 @@ def test_odd_conversations(spark):
     assert got[1]["n_turns"] == 3 and got[2]["loss_chars"] == 300_000 and got[None]["loss_sha256"] == hashlib.sha256(rows[3][3].encode()).hexdigest()
 
 
+def test_very_long_texts_are_whole(spark):
+    n = 20_500_000  # over the JSON parser's own limit
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "y" * n), (2, 0, "assistant", "z" * n)]  # a prompt record and a list of messages
+    records = chat_format.from_rows(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    got = {r["conv_id"]: r for r in chat_format.read_back(chat_format.format_turns(chat_format.canonical_turns(records))).collect()}
+    assert {k: (r["n_turns"], r["loss_chars"]) for k, r in got.items()} == {1: (2, n), 2: (1, n)}
+
+
+def test_known_layout_that_cannot_be_read_is_an_error(spark):
+    df = spark.createDataFrame([(1, '{"messages": "x"}')], "conv_id long, record string")
+    with pytest.raises(Exception, match="cannot be read"):
+        chat_format.canonical_turns(df).collect()
+    fine = spark.createDataFrame([(1, '{"messages": null}'), (2, '{"prompt": %s, "response": null}' % ("1" * 3000))], "conv_id long, record string")
+    got = {r["conv_id"]: r["turns"] for r in chat_format.canonical_turns(fine).collect()}
+    assert got[1] is None and got[2] == [("user", "1" * 3000)]
+
+
 # 6. quality
 
 
