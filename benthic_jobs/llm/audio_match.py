@@ -2,12 +2,15 @@
 
 A recording (16-bit samples) becomes frames of twelve pitch-class energies; an integral image over the frames
 makes every box sum four reads, and sixteen box-difference filters, each with two bits, pack a window of frames into
-one 32-bit integer. Two recordings are aligned by the offset at which most of their integers are equal, and judged by
-the share of bits that differ over the overlap at that offset.
+one 32-bit integer. An offset at which two integers differ in at most ``NEAR`` bits is a candidate, and all candidates
+with an overlap of at least ``OVERLAP`` integers (the whole of a shorter recording) are judged by the share of bits that
+differ over the overlap. Two recordings are aligned by the offset with the least share; ties: the longest overlap, then
+the least offset.
 
 Search: a stated query set against all recordings. Equal fingerprints are one row on both sides. Queries come in
-blocks of ``BLOCK`` fingerprints, each with an inverted index that is broadcast; every recording looks its integers up
-and votes. Nothing is capped: an integer that many queries share gives all of them a vote.
+blocks of ``BLOCK`` fingerprints, each with an inverted index that is broadcast; every recording looks its integers up. The index
+has a table for each two of an integer's four bytes: integers that differ in two bits are equal in two bytes at least.
+Nothing is capped: an integer that many queries share is a candidate for all of them.
 
 Null and too short recordings have no fingerprint, no match and are classes of their own.
 """
@@ -16,15 +19,19 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import slices, stored
 
 RATE, FRAME, HOP, WINDOW, BLOCK = 4000, 1024, 256, 12, 2000
+NEAR, OVERLAP = 2, 16
+#: Pairs of integers that are compared at a time.
+STEP = 1_000_000
 #: Of the differences' distribution, where the two-bit steps lie (their Gray code is packed).
 STEPS = (-0.12, 0.0, 0.12)
 
@@ -97,19 +104,23 @@ def fingerprints(recordings: DataFrame, id_col: str = "recording_id", pcm_col: s
 
 
 def align(query: np.ndarray, other: np.ndarray) -> tuple[int, int, float] | None:
-    """(offset, equal integers, share of differing bits), or null without an equal integer; ties: the least offset."""
-    equal = np.argwhere(query[:, None] == other[None, :])
-    if not len(equal):
+    """(offset, integers that differ in at most ``NEAR`` bits, share of differing bits), or null without a candidate."""
+    near = np.argwhere(np.bitwise_count(query[:, None] ^ other[None, :]) <= NEAR)
+    found = []
+    for offset, votes in zip(*np.unique(near[:, 1] - near[:, 0], return_counts=True)):
+        a, z = max(0, -offset), min(len(query), len(other) - offset)
+        if z - a >= min(OVERLAP, len(query), len(other)):
+            bits = np.bitwise_count(query[a:z] ^ other[a + offset : z + offset]).sum(dtype=np.int64)
+            found.append((float(bits / (32 * (z - a))), int(a - z), int(offset), int(votes)))
+    if not found:
         return None
-    offsets, votes = np.unique(equal[:, 1] - equal[:, 0], return_counts=True)
-    best = int(np.argmax(votes))
-    offset = int(offsets[best])
-    return offset, int(votes[best]), _errors(query, other, offset)
+    errors, _, offset, votes = min(found)
+    return offset, votes, errors
 
 
-def _errors(query: np.ndarray, other: np.ndarray, offset: int) -> float:
-    a, z = max(0, -offset), min(len(query), len(other) - offset)
-    return float(np.bitwise_count(query[a:z] ^ other[a + offset : z + offset]).sum()) / (32 * (z - a))
+def _ragged(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each size, one after the other."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 class _Index:
@@ -118,29 +129,58 @@ class _Index:
     def __init__(self, queries: list[tuple[int, int, bytes]]) -> None:
         self.ids = np.array([q[0] for q in queries])
         self.rows = np.array([q[1] for q in queries])
-        self.prints = [np.frombuffer(q[2], np.uint32) for q in queries]
-        keys = np.concatenate(self.prints)
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.query = np.repeat(np.arange(len(queries)), [len(p) for p in self.prints])[order]
-        self.place = np.concatenate([np.arange(len(p)) for p in self.prints])[order]
+        prints = [np.frombuffer(q[2], np.uint32) for q in queries]
+        self.flat = np.concatenate(prints)
+        self.size = np.array([len(p) for p in prints])
+        self.begin = np.cumsum(self.size) - self.size
+        self.query = np.repeat(np.arange(len(queries)), self.size)
+        self.tables = []
+        for pair in combinations(range(4), 2):
+            keys = self._key(self.flat, pair)
+            starts = np.concatenate([[0], np.cumsum(np.bincount(keys, minlength=1 << 16))])
+            self.tables.append((pair, starts, np.argsort(keys, kind="stable").astype(np.int32)))
+
+    @staticmethod
+    def _key(integers: np.ndarray, pair: tuple[int, int]) -> np.ndarray:
+        low, high = (integers >> np.uint32(8 * b) & np.uint32(255) for b in pair)
+        return (high << np.uint32(8) | low).astype(np.int64)
+
+    def _candidates(self, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The (query, offset) pairs with integers that differ in at most ``NEAR`` bits."""
+        span, found = 1 << 24, [np.zeros(0, np.int64)]
+        for pair, starts, order in self.tables:
+            key = self._key(other, pair)
+            n = starts[key + 1] - starts[key]
+            for part in slices(n.tolist(), STEP):
+                m = n[part]
+                hit = order[np.repeat(starts[key[part]], m) + _ragged(m)]
+                place = np.repeat(np.arange(part.start, part.stop), m)
+                near = np.bitwise_count(self.flat[hit] ^ other[place]) <= NEAR
+                hit, place = hit[near], place[near]
+                query = self.query[hit]
+                found.append(np.unique(query * span + (place - (hit - self.begin[query]) + span // 2)))
+        both = np.unique(np.concatenate(found))
+        return both // span, both % span - span // 2
 
     def matches(self, other: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
         """(query, offset, bit errors) of every query that aligns with at most ``least`` bit errors."""
-        a, z = np.searchsorted(self.keys, other, "left"), np.searchsorted(self.keys, other, "right")
-        n = z - a
-        hit = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        offset = np.repeat(np.arange(len(other)), n) - self.place[hit]
-        span = 1 << 24
-        pair, votes = np.unique(self.query[hit] * span + (offset + span // 2), return_counts=True)
-        query, offset = pair // span, pair % span - span // 2
-        order = np.lexsort((offset, -votes, query))
-        first = np.ones(len(order), bool)
-        first[1:] = query[order][1:] != query[order][:-1]
-        for i in order[first]:
-            errors = _errors(self.prints[query[i]], other, int(offset[i]))
-            if errors <= least:
-                yield int(query[i]), int(offset[i]), errors
+        query, offset = self._candidates(other)
+        first = np.maximum(0, -offset)
+        length = np.minimum(self.size[query], len(other) - offset) - first
+        keep = length >= np.minimum(OVERLAP, np.minimum(self.size[query], len(other)))
+        query, offset, first, length = query[keep], offset[keep], first[keep], length[keep]
+        errors = np.zeros(len(query))
+        for part in slices(length.tolist(), STEP):
+            n = length[part]
+            at = np.repeat(first[part], n) + _ragged(n)
+            bits = np.bitwise_count(self.flat[np.repeat(self.begin[query[part]], n) + at] ^ other[np.repeat(offset[part], n) + at])
+            errors[part] = np.add.reduceat(bits, np.cumsum(n) - n, dtype=np.int64) / (32 * n)
+        order = np.lexsort((offset, -length, errors, query))
+        best = np.ones(len(order), bool)
+        best[1:] = query[order][1:] != query[order][:-1]
+        for i in order[best]:
+            if errors[i] <= least:
+                yield int(query[i]), int(offset[i]), float(errors[i])
 
 
 def search(prints: DataFrame, is_query: Column, *, least: float = 0.2) -> DataFrame:

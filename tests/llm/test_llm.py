@@ -416,6 +416,41 @@ def test_shifted_and_noisy_sound_aligns():
     assert offset == 8 and errors < 0.2 and votes > 10
 
 
+def test_recall_against_bit_errors_at_all_offsets(spark, sf_dir):
+    rng, rows = np.random.default_rng(4), []
+    for i, r in enumerate(audio_match.sonified(queries.table(spark, sf_dir, "embeddings").orderBy("vec_id").limit(25)).orderBy("recording_id").collect()):
+        pcm = np.frombuffer(bytes(r["pcm"]), "<i2")
+        rows.append((20 * i, bytes(r["pcm"])))
+        for j, noise in enumerate((1000, 3000, 6000, 7500, 9000), 1):
+            late = np.concatenate([np.zeros(rng.integers(0, 5000)), pcm])[: len(pcm)] + rng.normal(0, noise, len(pcm))
+            rows.append((20 * i + j, late.clip(-32768, 32767).astype("<i2").tobytes()))
+    prints = audio_match.fingerprints(spark.createDataFrame(rows, "recording_id long, pcm binary"))
+    own = {r["recording_id"]: np.frombuffer(bytes(r["fingerprint"]), np.uint32) for r in prints.collect()}
+
+    def least_errors(a, b):
+        bits = np.bitwise_count(a[:, None] ^ b[None, :])
+        every = (np.diagonal(bits, o) for o in range(1 - len(a), len(b)))
+        return min(float(d.mean()) / 32 for d in every if len(d) >= audio_match.OVERLAP)
+
+    want = {i: sum(least_errors(own[q], p) <= 0.2 for q in own if q % 20 == 0 and q != i) for i, p in own.items()}
+    got = {r["recording_id"]: r["n_matches"] for r in audio_match.search(prints, F.col("recording_id") % 20 == 0).collect()}
+    assert sum(want.values()) > 100 and all(got[i] <= want[i] for i in want) and sum(got.values()) >= 0.9 * sum(want.values())
+
+
+def test_every_candidate_offset_is_judged_over_a_least_overlap(spark):
+    rng = np.random.default_rng(8)
+    query = rng.integers(0, 2**32, 60, dtype=np.uint32)
+    query[50:] = query[50]  # a sustained sound, which votes for wrong offsets
+    copy = query ^ (np.uint32(1) << rng.integers(0, 32, 60).astype(np.uint32)) ^ (np.uint32(1) << rng.integers(0, 32, 60).astype(np.uint32))
+    copy[10:20] = query[50]
+    chance = rng.integers(0, 2**32, 60, dtype=np.uint32)
+    chance[-1] = query[0]  # equal over an overlap of one integer
+    df = spark.createDataFrame([(0, query.tobytes()), (1, copy.tobytes()), (2, chance.tobytes())], "recording_id long, fingerprint binary")
+    got = {r["recording_id"]: r for r in audio_match.search(df, F.col("recording_id") == 0).collect()}
+    assert (got[1]["n_matches"], got[1]["best_id"], got[1]["best_offset"]) == (1, 0, 0) and got[2]["n_matches"] == 0 and got[2]["best_id"] is None
+    assert audio_match.align(query, copy)[0] == 0 and audio_match.align(query, chance) is None
+
+
 def test_odd_recordings(spark):
     rows = [(0, bytes(40_000)), (20, bytes(40_000)), (40, None), (1, b""), (2, b"\x01\x02" * 100), (None, bytes(40_000))]
     df = spark.createDataFrame(rows, "recording_id long, pcm binary")
