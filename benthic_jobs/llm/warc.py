@@ -8,7 +8,8 @@ bytes and reads each merged range once.
 Of records with equal payloads the one with the smallest key becomes a ``response``; the others become
 ``revisit`` records without payload that refer to it. Payloads under ``least`` bytes are all responses.
 Null payloads are empty, null URLs become ``urn:key:<key>``. Rows that repeat the smallest key are all
-responses. Payloads are compared by SHA-1, SHA-256 and length.
+responses. Payloads are compared by SHA-1, SHA-256 and length. A key may stand on pages of several payloads: each row
+goes by its own payload. A page with a null key has no record id, so it is left out and is in no group.
 
 A task writes under a name of its own and the index names the file, so a task that is repeated after a lost
 executor leaves at most a file that no index row names.
@@ -79,14 +80,14 @@ def _clean(url: str | None, key: int) -> str:
 def _planned(pages: DataFrame, key: str, url: str, payload: str, least: int) -> DataFrame:
     """Each page with the key and URL of the response that it repeats, or null."""
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), body.alias("body"))
+    rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), body.alias("body")).where("key is not null")
     marks = F.sha1("body").alias("sha"), F.sha2("body", 256).alias("sha256"), F.octet_length("body").alias("size")
     same = stored(rows.select("key", "url", *marks).where(F.col("size") >= least), "payloads")
     by = ["sha", "sha256", "size"]
     groups = same.groupBy(*by).agg(F.count("*").alias("n"), F.min(F.struct("key", "url")).alias("best")).where("n > 1")
     groups = stored(groups.select(*by, F.col("best.key").alias("refers_to"), F.col("best.url").alias("refers_url")), "groups")
-    again = same.join(groups, by).where("key <> refers_to").select("key", "refers_to", "refers_url").distinct()
-    return rows.join(again, "key", "left")
+    again = same.join(groups, by).where("key <> refers_to").select("key", *by, "refers_to", "refers_url").distinct()
+    return rows.withColumns(dict(zip(by, marks))).join(again, ["key", *by], "left").drop(*by)
 
 
 def write_archives(
@@ -122,8 +123,7 @@ def write_archives(
             if out:
                 out.close()
 
-    plan = _planned(pages, key, url, payload, least).where("key is not null")
-    return stored(plan.mapInPandas(write, INDEX), "index")
+    return stored(_planned(pages, key, url, payload, least).mapInPandas(write, INDEX), "index")
 
 
 def read_records(index: DataFrame, *, gap: int = 65_536) -> DataFrame:
@@ -179,17 +179,18 @@ def digest(records: DataFrame) -> DataFrame:
                 payload_bytes=[len(x) for x in full], payload_digest=[sha1_base32(x) for x in full]
             )
 
-    schema = "key long, record_type string, refers_to long, payload_bytes long, payload_digest string"
-    columns = records.select("key", "record_type", "refers_to", "payload")
+    schema = "key long, record_type string, refers_to long, digest string, payload_bytes long, payload_digest string"
+    columns = records.select("key", "record_type", "refers_to", "digest", "payload")
     measured = stored(columns.mapInPandas(measure, schema), "measured")
     responses = measured.where("record_type = 'response'").select(
-        F.col("key").alias("refers_to"), F.col("payload_bytes").alias("full"), F.col("payload_digest").alias("sha")
+        F.col("key").alias("refers_to"), "digest", F.col("payload_bytes").alias("full"), F.col("payload_digest").alias("sha")
     )
-    revisits = measured.where("record_type = 'revisit'").select("key", "record_type", "refers_to")
-    named = revisits.select("refers_to").distinct()
-    targets = stored(responses.join(named, "refers_to", "left_semi").dropDuplicates(["refers_to"]), "targets")
-    resolved = revisits.join(targets, "refers_to").select("key", "record_type", "refers_to", "full", "sha")
-    both = measured.where("record_type = 'response'").unionByName(
+    revisits = measured.where("record_type = 'revisit'").select("key", "record_type", "refers_to", "digest")
+    by = ["refers_to", "digest"]  # a key may have responses with several payloads
+    named = revisits.select(*by).distinct()
+    targets = stored(responses.join(named, by, "left_semi").dropDuplicates(by), "targets")
+    resolved = revisits.join(targets, by).select("key", "record_type", "refers_to", "full", "sha")
+    both = measured.where("record_type = 'response'").drop("digest").unionByName(
         resolved.withColumnsRenamed({"full": "payload_bytes", "sha": "payload_digest"})
     )
     return both.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")

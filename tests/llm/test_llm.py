@@ -144,6 +144,16 @@ def test_warc_of_odd_pages(spark):
     assert warc.digest(warc.read_records(warc.write_archives(pages.limit(0)))).count() == 0
 
 
+def test_warc_of_keys_with_several_payloads(spark):
+    rows = [(3, "A"), (9, "A"), (9, "B"), (9, "B"), (3, "CC"), (9, "CC"), (None, "A"), (None, "D"), (4, "D"), (5, "D")]
+    pages = spark.createDataFrame(rows, "page_id long, html string").withColumn("url", F.lit("u"))
+    sha = {x: warc.sha1_base32(x.encode()) for x in ("A", "B", "CC", "D")}
+    want = [(3, "response", None, "A"), (9, "revisit", 3, "A"), (9, "response", None, "B"), (9, "response", None, "B")]
+    want += [(3, "response", None, "CC"), (9, "revisit", 3, "CC"), (4, "response", None, "D"), (5, "revisit", 4, "D")]
+    got = [(r[0], r[3], r[4], r[1], r[2]) for r in warc.digest(warc.read_records(warc.write_archives(pages))).collect()]
+    assert sorted(got, key=str) == sorted(((k, t, to, len(x), sha[x]) for k, t, to, x in want), key=str)
+
+
 def test_archives_are_whole_gzip_files(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"u{i}", f"<p>{i}</p>") for i in range(10)], "page_id long, url string, html string").coalesce(1)
     index = warc.write_archives(pages, path=f"file://{tmp_path}").collect()
