@@ -11,7 +11,8 @@ The items are processed in blocks of ``block`` windows; only a block is broadcas
 through the blocks one after the other without a shuffle, so that neither side has to be small.
 
 Null or empty texts and items without words have no windows and no hits. Repeated rows are reported each
-by itself; repeated item ids count once. Further columns of both inputs are kept out of the way.
+by itself; repeated item ids count once. An item with a null id has windows like any other: its words are hit, and only
+its id is missing in ``hit_items``. Further columns of both inputs are kept out of the way.
 """
 
 from __future__ import annotations
@@ -45,15 +46,15 @@ def _windows(items: DataFrame, id_col: str, text_col: str, size: int) -> DataFra
                     yield pd.DataFrame({"item": ids, "words": list(np.unique(rows, axis=0))})
 
     columns = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    return columns.where("item is not null").mapInPandas(split, "item string, words array<long>")
+    return columns.mapInPandas(split, "item string, words array<long>")
 
 
 class _Block:
     """The windows of one block, by length, with their shingles."""
 
     def __init__(self, rows: list) -> None:
-        self.items = sorted({r["item"] for r in rows})
-        number = {x: i for i, x in enumerate(self.items)}
+        self.items = sorted({r["item"] for r in rows if r["item"] is not None})
+        number = {x: i for i, x in enumerate(self.items)} | {None: -1}
         self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for n in {len(r["words"]) for r in rows}:
             own = [r for r in rows if len(r["words"]) == n]
@@ -126,7 +127,7 @@ def _prefixes(block: _Block, counts: dict[int, dict[int, int]]) -> dict[int, dic
 
 
 def _hits(words: np.ndarray, bounds: np.ndarray, index: dict[int, dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hit words as a mask, and (text, item) pairs with an occurrence."""
+    """Hit words as a mask, and (text, item) pairs with an occurrence; the item is -1 where its id is null."""
     mark = np.zeros(len(words) + 1, np.int64)
     texts, items = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     shingle_of = {k: grams(words, k) for k in {x["k"] for x in index.values()}}
@@ -183,7 +184,7 @@ def find_contamination(
         own = _Block(windows.where(F.col("block") == b).select("item", "words").collect() if total else [])
         shingles = spark.sparkContext.broadcast(own.shingles())
         counts: dict[int, dict[int, int]] = {}
-        for r in _counts(docs, text_col, shingles).collect() if own.items else []:  # as many as the block has
+        for r in _counts(docs, text_col, shingles).collect() if own.by_size else []:  # as many as the block has
             counts.setdefault(r["k"], {})[r["shingle"]] = r["n"]
         index = spark.sparkContext.broadcast((_prefixes(own, counts), own.items))
 
@@ -197,7 +198,7 @@ def find_contamination(
                     mask, text, item = _hits(words, bounds, by_size)
                     found: dict[int, set] = {}
                     for t, i in set(zip(text.tolist(), item.tolist())):
-                        found.setdefault(t, set()).add(names[i])
+                        found.setdefault(t, set()).update(names[i : i + 1] if i >= 0 else ())
                     for i, (a, z) in enumerate(zip(bounds[:-1], bounds[1:])):
                         n_words.append(int(z - a))
                         spans.append(_runs(mask[a:z]) if i in found else [])

@@ -125,6 +125,18 @@ def test_contamination_in_blocks_and_of_odd_rows(spark, odd, none):
     assert decontaminate.find_contamination(odd, items.limit(0)).where(F.size("hit_spans") > 0).count() == 0
 
 
+def test_contamination_by_items_without_an_id(spark):
+    docs = spark.createDataFrame([(1, "say zero one two now"), (2, "other words"), (3, "one two and six")], "doc_id long, text string")
+    for more in ([], [("b", "six"), ("c", "one two")]):
+        items = spark.createDataFrame([(None, "one two"), (None, "zero one"), *more], "item_id string, text string")
+        for block in (1, 200_000):
+            got = {r["doc_id"]: r for r in decontaminate.find_contamination(docs, items, block=block).collect()}
+            assert [got[i]["hit_spans"] for i in (1, 2, 3)] == [[[1, 4]], [], [[0, 2], [3, 4]] if more else [[0, 2]]]
+            assert [got[i]["hit_items"] for i in (1, 2, 3)] == ([["c"], [], ["b", "c"]] if more else [[], [], []])
+    told = decontaminate.digest(decontaminate.find_contamination(docs, items.limit(2))).orderBy("doc_id").collect()
+    assert [(r["n_hit"], r["n_items"], r["contaminated"]) for r in told] == [(3, 0, True), (0, 0, False), (2, 0, True)]
+
+
 # 3. WARC
 
 
