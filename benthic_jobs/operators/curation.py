@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import stored
 from .matching import seeded
 
 HABITATS = ["coral", "seagrass", "mangrove"]
@@ -82,12 +83,10 @@ def equal_split(strata: DataFrame, key: str, total: int, seed: int) -> DataFrame
 def running_total(rows: DataFrame, order: list, value: Column, name: str) -> DataFrame:
     """The sum of ``value`` up to each row of a global order: ranges are summed, then continued from their offsets.
 
-    The rows are sorted in ranges, so no single task sees them all; equal keys of the order must not matter.
+    The rows are sorted in ranges, as many as the session's shuffle partitions and the data's size ask for, so no single
+    task sees them all; equal keys of the order must not matter.
     """
-    from ..plans.storage import stored
-
-    parts = max(1, rows.sparkSession.sparkContext.defaultParallelism)
-    ranged = rows.withColumn("__v", value).repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id())
+    ranged = rows.withColumn("__v", value).repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
     ranged = stored(ranged, "ranges")
     sums = ranged.groupBy("__p").agg(F.sum("__v").alias("__s"))  # a row for each range
     before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)

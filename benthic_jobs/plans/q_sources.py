@@ -11,7 +11,7 @@ from ..sources import manifests, surveys
 from ..streaming.resumable import collect_new_metadata, screen_new_images
 from .carriers import carrier, table
 from .registry import query, rounded
-from .storage import shared_dir
+from ..storage import shared_dir
 
 
 def _new(spark: SparkSession, name: str) -> str:
