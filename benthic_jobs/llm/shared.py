@@ -6,16 +6,17 @@ Every intermediate that is used twice is written to the folder that the session
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-#: Odd multipliers and the byte table of the 64-bit word hash. Both come from one fixed seed.
-_RNG = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
+from .. import storage
+
+#: Of the 64-bit word hash: a random number for each byte at each of 64 places. They come from one fixed seed.
+_PLACES = 64
+_BYTES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, _PLACES * 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD1342543DE82EF95)
 
@@ -29,25 +30,13 @@ ALNUM = bytes(
 )
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of this machine only where none is set."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="spark-benthic-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
 def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/benthic/{name}-{uuid.uuid4().hex}"
+    return f"{storage.shared_dir(spark)}/benthic/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: it cuts the lineage."""
-    spark = df.sparkSession
-    at = new_dir(spark, name)
-    df.write.parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    return storage.stored(df, name, "benthic")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,7 +59,8 @@ def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
 def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts, split at ASCII white space, and each text's bounds in them.
 
-    Text i has the words ``hashes[bounds[i]:bounds[i + 1]]``; an empty text has none.
+    Text i has the words ``hashes[bounds[i]:bounds[i + 1]]``; an empty text has none. A hash is a sum of random numbers
+    that depend on both the byte and its place, so no structure within words makes two of them equal.
     """
     lens = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(lens + 1)
@@ -86,7 +76,10 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     index = np.cumsum(solid, dtype=np.int64)[begin] - 1
     size = np.diff(np.append(index, len(packed)))
     place = np.arange(len(packed)) - np.repeat(index, size)
-    value = _BYTE[packed] * powers(int(size.max()))[place]
+    value = _BYTES[(place % _PLACES) * 256 + packed]
+    if size.max() > _PLACES:
+        far = np.flatnonzero(place >= _PLACES)
+        value[far] = mix(value[far] + (place[far] // _PLACES).astype(np.uint64) * _STEP)
     return mix(np.add.reduceat(value, index) + size.astype(np.uint64) * _STEP), bounds
 
 

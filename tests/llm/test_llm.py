@@ -137,6 +137,41 @@ def test_contamination_by_items_without_an_id(spark):
     assert [(r["n_hit"], r["n_items"], r["contaminated"]) for r in told] == [(3, 0, True), (0, 0, False), (2, 0, True)]
 
 
+def morse_words(n=1024):
+    """Two words whose polynomials are equal modulo 2 ** 64 whatever the base."""
+    one, swap = "a", str.maketrans("ab", "ba")
+    while len(one) < n:
+        one += one.translate(swap)
+    return one, one.translate(swap)
+
+
+def test_contamination_by_words_with_structure(spark):
+    one, other = morse_words()
+    docs = spark.createDataFrame([(1, f"x {one} y"), (2, f"x {other} y"), (3, "one two three")], "doc_id long, text string")
+    items = spark.createDataFrame([("a", f"X {one.upper()}"), ("b", "one two three")], "item_id string, text string")
+    for block in (1, 200_000):
+        got = {r["doc_id"]: r["hit_spans"] for r in decontaminate.find_contamination(docs, items, block=block).collect()}
+        assert got == {1: [[0, 2]], 2: [], 3: [[0, 3]]}
+
+
+BIG = 2**53 + 1
+
+
+@pytest.fixture(scope="module")
+def large(spark):
+    """Ids that no double holds beside null ones in one batch, and other columns that pandas would change."""
+    rows = [(None, words(60, 1), float("nan"), None), (BIG, words(60, 1), None, BIG), (BIG + 2, words(60, 2), 1.5, BIG + 2), (BIG + 4, None, float("nan"), None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, share double, other long").coalesce(1)
+
+
+def test_contamination_changes_no_other_column(spark, large):
+    items = spark.createDataFrame([(BIG, words(60, 1)), (None, "none")], "item_id long, text string").coalesce(1)
+    for block in (1, 200_000):
+        found = decontaminate.find_contamination(large, items, block=block)
+        assert sorted(map(repr, found.select(*large.columns).collect())) == sorted(map(repr, large.collect()))
+        assert {r["doc_id"]: r["hit_items"] for r in found.collect()} == {None: [str(BIG)], BIG: [str(BIG)], BIG + 2: [], BIG + 4: []}
+
+
 # 3. WARC
 
 
