@@ -9,7 +9,9 @@ Of records with equal payloads the one with the smallest key becomes a ``respons
 ``revisit`` records without payload that refer to it. Payloads under ``least`` bytes are all responses.
 Null payloads are empty, null URLs become ``urn:key:<key>``. Rows that repeat the smallest key are all
 responses. Payloads are compared by SHA-1, SHA-256 and length. A key may stand on pages of several payloads: each row
-goes by its own payload. A page with a null key has no record id, so it is left out and is in no group.
+goes by its own payload. A page with a null key is a record with a random id; it repeats the smallest key of its
+payload, and is a response where no page of that payload has a key. Keys are text wherever Python sees them, so that
+none is rounded. Other columns of the pages are not read, whatever their names.
 
 A task writes under a name of its own and the index names the file, so a task that is repeated after a lost
 executor leaves at most a file that no index row names.
@@ -29,9 +31,12 @@ from pyspark.sql import functions as F
 
 from .shared import new_dir, stored
 
-INDEX = "file string, offset long, length long, key long, url string, record_type string, digest string, refers_to long"
+INDEX = "file string, offset long, length long, key string, url string, record_type string, digest string, refers_to string"
+RECORD = "key string, url string, record_type string, refers_to string, digest string, payload binary"
 #: Bytes of a merged range; a file's records are split there, so that no task reads a whole large archive.
 RANGE = 8_000_000
+#: Bytes of payloads that are handed on at a time; a larger one stands alone.
+FRAME = 16_000_000
 #: Bytes of archive that a task reads, about: index rows are small, so their own size says nothing.
 TASK = 16_000_000
 
@@ -46,9 +51,9 @@ def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _record(kind: str, key: int, url: str, payload: bytes, digest: str, refers_to: int | None, refers_url: str | None) -> bytes:
+def _record(kind: str, key: str | None, url: str, payload: bytes, digest: str, refers_to: str | None, refers_url: str | None) -> bytes:
     head = [
-        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:key:{key}>", "WARC-Date: 1970-01-01T00:00:00Z",
+        "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{f'urn:key:{key}' if key else uuid.uuid4().urn}>", "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http;msgtype=response",
     ]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
@@ -73,21 +78,27 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, block.partition(b"\r\n\r\n")[2]
 
 
-def _clean(url: str | None, key: int) -> str:
-    return "".join(c for c in url if c >= " ") if url else f"urn:key:{key}"
+def _key_of(record_id: str | None) -> str | None:
+    return record_id[9:-1] if record_id and record_id.startswith("<urn:key:") else None
+
+
+def _clean(url: str | None, key: str | None) -> str:
+    return "".join(c for c in url if c >= " ") if url else f"urn:key:{key or ''}"
 
 
 def _planned(pages: DataFrame, key: str, url: str, payload: str, least: int) -> DataFrame:
     """Each page with the key and URL of the response that it repeats, or null."""
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), body.alias("body")).where("key is not null")
-    marks = F.sha1("body").alias("sha"), F.sha2("body", 256).alias("sha256"), F.octet_length("body").alias("size")
-    same = stored(rows.select("key", "url", *marks).where(F.col("size") >= least), "payloads")
+    rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), body.alias("body"))
+    row = F.xxhash64("key", "url")  # rows of one key and URL are alike here: their payloads are compared below
+    marks = {"row": row, "sha": F.sha1("body"), "sha256": F.sha2("body", 256), "size": F.octet_length("body")}
     by = ["sha", "sha256", "size"]
-    groups = same.groupBy(*by).agg(F.count("*").alias("n"), F.min(F.struct("key", "url")).alias("best")).where("n > 1")
+    same = stored(rows.withColumns(marks).drop("body").where(F.col("size") >= least), "payloads")
+    named = F.when(F.col("key").isNotNull(), F.struct("key", "url"))
+    groups = same.groupBy(*by).agg(F.count("*").alias("n"), F.min(named).alias("best")).where("n > 1 AND best IS NOT NULL")
     groups = stored(groups.select(*by, F.col("best.key").alias("refers_to"), F.col("best.url").alias("refers_url")), "groups")
-    again = same.join(groups, by).where("key <> refers_to").select("key", *by, "refers_to", "refers_url").distinct()
-    return rows.withColumns(dict(zip(by, marks))).join(again, ["key", *by], "left").drop(*by)
+    again = same.join(groups, by).where("NOT key <=> refers_to").select("row", *by, "refers_to", "refers_url").distinct()
+    return rows.withColumns(marks).join(again, ["row", *by], "left").drop("row", *by)
 
 
 def write_archives(
@@ -104,26 +115,27 @@ def write_archives(
         try:
             for batch in batches:
                 rows = []
-                for k, u, body, ref, ref_url in zip(*(batch[c] for c in ("key", "url", "body", "refers_to", "refers_url"))):
-                    revisit = not pd.isna(ref)
-                    body, k = bytes(body), int(k)
-                    kind, digest = "revisit" if revisit else "response", sha1_base32(body)
-                    to = int(ref) if revisit else None
-                    u = _clean(u, k)
-                    raw = gzip.compress(
-                        _record(kind, k, u, body, digest, to, _clean(ref_url, to) if revisit else None), 3, mtime=0
-                    )
+                for k, u, body, to, to_url in zip(*(batch[c] for c in ("key", "url", "body", "refers_to", "refers_url"))):
+                    body, kind = bytes(body), "response" if to is None else "revisit"
+                    digest, u = sha1_base32(body), _clean(u, k)
+                    raw = _record(kind, k, u, body, digest, to, None if to is None else _clean(to_url, to))
+                    raw = gzip.compress(raw, 3, mtime=0)
                     out = out or store.open_output_stream(f"{folder}/{name}", compression=None)
                     out.write(raw)
                     rows.append((f"{path}/{name}", offset, len(raw), k, u, kind, digest, to))
                     offset += len(raw)
-                index = pd.DataFrame(rows, columns=[x.split()[0] for x in INDEX.split(", ")])
-                yield index.assign(refers_to=index["refers_to"].astype("Int64"))
+                yield pd.DataFrame(rows, columns=[x.split()[0] for x in INDEX.split(", ")])
         finally:
             if out:
                 out.close()
 
-    return stored(_planned(pages, key, url, payload, least).mapInPandas(write, INDEX), "index")
+    planned = _planned(pages, key, url, payload, least)
+    texts = planned.withColumns({c: F.col(c).cast("string") for c in ("key", "refers_to")})
+    return stored(_numbers(texts.mapInPandas(write, INDEX)), "index")
+
+
+def _numbers(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.col(c).cast("long") for c in ("key", "refers_to")})
 
 
 def read_records(index: DataFrame, *, gap: int = 65_536) -> DataFrame:
@@ -131,6 +143,7 @@ def read_records(index: DataFrame, *, gap: int = 65_536) -> DataFrame:
 
     def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         opened: tuple = ()
+        columns = [x.split()[0] for x in RECORD.split(", ")]
         for batch in batches:
             runs: list[list] = []
             for file, offset, length in batch[["file", "offset", "length"]].itertuples(index=False):
@@ -147,41 +160,39 @@ def read_records(index: DataFrame, *, gap: int = 65_536) -> DataFrame:
                         opened[1].close()
                     store, at = _open_store(file)
                     opened = (file, store.open_input_file(at))
-                data, rows = opened[1].read_at(end - begin, begin), []
+                data, rows, held = opened[1].read_at(end - begin, begin), [], 0
                 for offset, length in parts:
                     fields, body = parse_record(gzip.decompress(data[offset - begin : offset - begin + length]))
-                    refers = fields.get("warc-refers-to")
+                    if rows and held + len(body) > FRAME:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows, held = [], 0
                     rows.append((
-                        int(fields["warc-record-id"][9:-1]), fields["warc-target-uri"], fields["warc-type"],
-                        int(refers[9:-1]) if refers else None, fields["warc-payload-digest"].removeprefix("sha1:"), body,
+                        _key_of(fields["warc-record-id"]), fields["warc-target-uri"], fields["warc-type"],
+                        _key_of(fields.get("warc-refers-to")), fields["warc-payload-digest"].removeprefix("sha1:"), body,
                     ))
-                out = pd.DataFrame(rows, columns=["key", "url", "record_type", "refers_to", "digest", "payload"])
-                yield out.assign(refers_to=out["refers_to"].astype("Int64"))
+                    held += len(body)
+                yield pd.DataFrame(rows, columns=columns)
         if opened:
             opened[1].close()
 
     total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     tasks = max(1, -(-total // TASK))
     ordered = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset")
-    ordered = ordered.sortWithinPartitions("file", "offset")
-    return ordered.mapInPandas(
-        ranges, "key long, url string, record_type string, refers_to long, digest string, payload binary"
-    )
+    return _numbers(ordered.sortWithinPartitions("file", "offset").mapInPandas(ranges, RECORD))
 
 
 def digest(records: DataFrame) -> DataFrame:
-    """Size and digest of each record's full payload; a revisit's are those of the response it refers to."""
+    """Size and digest of each record's full payload; a revisit's are those of the response it refers to.
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            full = [bytes(x) for x in batch["payload"]]
-            yield batch.drop(columns="payload").assign(
-                payload_bytes=[len(x) for x in full], payload_digest=[sha1_base32(x) for x in full]
-            )
-
-    schema = "key long, record_type string, refers_to long, digest string, payload_bytes long, payload_digest string"
-    columns = records.select("key", "record_type", "refers_to", "digest", "payload")
-    measured = stored(columns.mapInPandas(measure, schema), "measured")
+    A reference to a response that is not among the records is an error.
+    """
+
+    @F.pandas_udf("string")
+    def sha(payloads: pd.Series) -> pd.Series:
+        return pd.Series([sha1_base32(bytes(x)) for x in payloads], dtype=object)
+
+    own = F.octet_length("payload").cast("long").alias("payload_bytes"), sha("payload").alias("payload_digest")
+    measured = stored(records.select("key", "record_type", "refers_to", "digest", *own), "measured")
     responses = measured.where("record_type = 'response'").select(
         F.col("key").alias("refers_to"), "digest", F.col("payload_bytes").alias("full"), F.col("payload_digest").alias("sha")
     )
@@ -189,7 +200,9 @@ def digest(records: DataFrame) -> DataFrame:
     by = ["refers_to", "digest"]  # a key may have responses with several payloads
     named = revisits.select(*by).distinct()
     targets = stored(responses.join(named, by, "left_semi").dropDuplicates(by), "targets")
-    resolved = revisits.join(targets, by).select("key", "record_type", "refers_to", "full", "sha")
+    lost = F.concat(F.lit("no response for the reference to "), F.col("refers_to").cast("string"))
+    full = F.when(F.col("full").isNull(), F.raise_error(lost)).otherwise(F.col("full"))
+    resolved = revisits.join(targets, by, "left").withColumn("full", full).select("key", "record_type", "refers_to", "full", "sha")
     both = measured.where("record_type = 'response'").drop("digest").unionByName(
         resolved.withColumnsRenamed({"full": "payload_bytes", "sha": "payload_digest"})
     )
@@ -197,14 +210,14 @@ def digest(records: DataFrame) -> DataFrame:
 
 
 ORACLE = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 f AS (SELECT html, min(page_id) AS best FROM p GROUP BY html),
 g AS (
-  SELECT page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  SELECT r, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            1 + ((CAST('0x' || substr(h, 5 * (k // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31), 1), '' ORDER BY k) AS b32
-  FROM p, range(32) AS t(k) GROUP BY page_id)
+  FROM p, range(32) AS t(k) GROUP BY r)
 SELECT p.page_id, CAST(strlen(p.html) AS BIGINT) AS payload_bytes, b32 AS payload_digest,
-       CASE WHEN p.page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN p.page_id <> best THEN best END AS refers_to
-FROM p JOIN f USING (html) JOIN g USING (page_id)
+       CASE WHEN best IS NULL OR p.page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id IS DISTINCT FROM best THEN best END AS refers_to
+FROM p JOIN f USING (html) JOIN g USING (r)
 """
