@@ -12,7 +12,9 @@ read as a mark; ``unescape`` takes them out again. The loss mask is a list of ch
 text: the text of each assistant turn, without its marks.
 
 Null texts and roles are empty. Turns are ordered by turn, role and text, so ties and repeated rows have one order.
-A conversation without turns gives an empty text. One conversation is one row and so stands in one task.
+A conversation without turns gives an empty text. One conversation is one row and so stands in one task. Ids of any type
+stay as they are, null ones too (rows with a null id are one conversation). Columns that are not named here are not read;
+``canonical_turns`` keeps them, and replaces those named ``fingerprint``, ``layout`` and ``turns``.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from .shared import stored
 TURNS = "array<struct<role:string,text:string>>"
 BEGIN, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: The starts of control strings of common templates.
-_CONTROL = re.compile(r"(<)(?=\||/?s>|</?SYS>>)|(\[)(?=/?INST\])")
+_CONTROL = re.compile(r"(<)(?=\||/?s>|</?SYS>>|(?:start|end)_of_turn>|[be]os>)|(\[)(?=/?INST\])")
 _ESCAPED = re.compile(r"\\(.)", re.S)
 #: The parser's own limits on the length of a text and of a number are lifted.
 _BROKEN = "_corrupt_record"
@@ -153,10 +155,11 @@ def canonical_turns(records: DataFrame, record_col: str = "record", layouts: tup
 def format_turns(canonical: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """The formatted text of each row's turns and the character spans under the loss mask."""
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("struct<formatted:string,loss_spans:array<array<int>>>")
+    def write(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, masks = [], []
-            for turns in batch["turns"]:
+            for turns in batch:
                 parts, spans, at = [], [], 0
                 for t in turns if turns is not None else ():
                     role, text = t["role"] or "", escape(t["text"] or "")
@@ -167,12 +170,9 @@ def format_turns(canonical: DataFrame, id_col: str = "conv_id") -> DataFrame:
                     at += len(head) + len(text) + len(END)
                 texts.append("".join(parts))
                 masks.append(spans)
-            yield pd.DataFrame({id_col: batch[id_col], "formatted": texts, "loss_spans": masks})
+            yield pd.DataFrame({"formatted": texts, "loss_spans": masks})
 
-    kind = canonical.schema[id_col].dataType.simpleString()
-    return canonical.select(id_col, "turns").mapInPandas(
-        write, f"`{id_col}` {kind}, formatted string, loss_spans array<array<int>>"
-    )
+    return canonical.select(id_col, write.asNondeterministic()("turns").alias("__w")).select(id_col, "__w.*")
 
 
 def parse_turns(formatted: str) -> list[tuple[str, str]]:
@@ -209,21 +209,19 @@ def from_rows(rows: DataFrame) -> DataFrame:
 def read_back(formatted: DataFrame) -> DataFrame:
     """The figures of each conversation, from the formatted text and the loss mask alone."""
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("struct<n_turns:long,turns_sha256:string,loss_chars:long,loss_sha256:string,formatted_chars:long>")
+    def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for conv, text, spans in zip(batch["conv_id"], batch["formatted"], batch["loss_spans"]):
+            for text, spans in zip(*batch):
                 turns = parse_turns(text)
                 loss = "".join(unescape(text[a:z]) for a, z in spans)
                 told = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
-                rows.append((conv, len(turns), told, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"conv_id": "Int64"})
+                rows.append((len(turns), told, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
+            yield pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    return stored(formatted, "formatted").mapInPandas(
-        measure, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    )
+    told = measure.asNondeterministic()("formatted", "loss_spans").alias("__m")
+    return stored(formatted, "formatted").select("conv_id", told).select("conv_id", "__m.*")
 
 
 #: The conversation that a formatter must survive: control strings of another template in both of its texts.
@@ -234,8 +232,10 @@ WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
 e AS (
-  SELECT *, replace(replace(replace(replace(replace(replace(replace(text, '\', '\\'), '<|', '<\|'), '</s>', '<\/s>'),
-    '<s>', '<\s>'), '<<SYS>>', '<\<SYS>>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]') AS x FROM c)
+  SELECT *, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(text,
+    '\', '\\'), '<|', '<\|'), '</s>', '<\/s>'), '<s>', '<\s>'), '<<SYS>>', '<\<SYS>>'), '<</SYS>>', '<\</SYS>>'), '[INST]', '[\INST]'),
+    '[/INST]', '[\/INST]'), '<start_of_turn>', '<\start_of_turn>'), '<end_of_turn>', '<\end_of_turn>'), '<bos>', '<\bos>'),
+    '<eos>', '<\eos>') AS x FROM c)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
