@@ -10,13 +10,19 @@ each pattern, are placed first-fit decreasing.
 Pieces are then ranked within their class and a pattern owns an interval of ranks. The ranks come from counts of
 (class, salt) groups, so that a class that most pieces belong to is dealt over many tasks.
 
-Null texts are empty and pack as the end id alone; repeated rows are packed each for itself.
+Null texts are empty and pack as the end id alone; repeated rows are packed each for itself. Ids of any type stay as they
+are. Of the documents nothing but the id and the text is read.
+
+Ids are those of the library and file that ``public_tokenizer`` names. The same vocabulary is read as ranks by another
+library, which is several times as fast and gives equal ids; it cannot split very long runs of white space, so texts
+with one go to the named library.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -24,39 +30,52 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.curation import running_total
 from .shared import stored
 
 GRAIN, END_ID = 8, 1
+#: White space that the faster library is not given in one run.
+LONG_SPACE = re.compile(r"\s{4000}")
 #: Pieces of one class that are ranked in one group, about.
 GROUP = 1_000
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECES = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 @cache
-def encoding(vocabulary: str, pattern: str):
-    """A byte-level BPE vocabulary, given as ranks; the strings of special tokens are ordinary text."""
+def encoder(vocabulary: str, ranks: str, pattern: str) -> Callable[[str], list[int]]:
+    """Text to ids. ``vocabulary`` is a tokenizer file; ``ranks`` and ``pattern`` say the same for the faster library."""
     import base64
 
     import tiktoken
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(vocabulary)
+    special = {t.content: i for i, t in whole.get_added_tokens_decoder().items()}
+    with open(ranks, "rb") as lines:
+        merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=merges, special_tokens=special)
+
+    def encode(text: str) -> list[int]:
+        if len(text) >= 4000 and LONG_SPACE.search(text):
+            return whole.encode(text, add_special_tokens=False).ids
+        return fast.encode(text, allowed_special="all")
 
-    with open(vocabulary, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return encode
 
 
-def public_vocabulary() -> tuple[str, str]:
-    import public_tokenizers
+def public_tokenizer() -> tuple[str, str, str]:
+    import public_tokenizers as public
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN
 
 
 def tokenised(
-    docs: DataFrame, *, text_col: str = "text", most: int = 2048, vocabulary: tuple[str, str] | None = None, keep_ids: bool = False
+    docs: DataFrame, *, text_col: str = "text", most: int = 2048, vocabulary: tuple[str, str, str] | None = None, keep_ids: bool = False
 ) -> DataFrame:
     """A row for each piece of each document; ``ids`` (unsigned little-endian 32-bit) if asked for."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoding(*(vocabulary or public_vocabulary())).encode_ordinary
+        encode = encoder(*(vocabulary or public_tokenizer()))
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"]):
@@ -64,11 +83,12 @@ def tokenised(
                 for start in range(0, len(ids), most):
                     piece = ids[start : start + most].tobytes()
                     rows.append((doc, start, len(piece) // 4, zlib.crc32(piece), len(ids), piece)[: 6 if keep_ids else 5])
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=names)
 
     schema = PIECES + ", ids binary" * keep_ids
     names = [x.split()[0] for x in schema.split(", ")]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(cut, schema)
+    texts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    return texts.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def best_pattern(value: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -165,9 +185,13 @@ def packed(pieces: DataFrame, *, most: int = 2048) -> DataFrame:
     groups = F.array(*(F.lit(max(1, -(-histogram.get(c, 0) // GROUP))) for c in range(most // GRAIN + 1)))
     salt = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), groups[F.col("size")])
     salted = pieces.withColumn("salt", salt.cast("int"))
-    before = Window.partitionBy("size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    base = salted.groupBy("size", "salt").agg(F.count("*").alias("n"))
-    base = stored(base.select("size", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "ranks")
+    counts = salted.groupBy("size", "salt").agg(F.count("*").alias("n"))
+    upto = running_total(counts, ["size", "salt"], F.col("n"), "upto")  # by ranges: no task holds the groups of a class
+    ahead, first = 0, [0] * (most // GRAIN + 1)
+    for c in sorted(histogram):
+        first[c], ahead = ahead, ahead + histogram[c]
+    base = F.col("upto") - F.col("n") - F.array(*(F.lit(x).cast("long") for x in first))[F.col("size")]
+    base = stored(upto.select("size", "salt", base.alias("base")), "ranks")
     within = F.row_number().over(Window.partitionBy("size", "salt").orderBy("doc_id", "start", "ids_crc32"))
     rank = (F.col("base") + F.col("row") - 1).alias("rank")
     ranked = salted.withColumn("row", within).join(base, ["size", "salt"]).select(*pieces.columns, rank)
