@@ -1,8 +1,9 @@
 """A compressed full-text index of word sequences: a wavelet matrix over the Burrows-Wheeler transform.
 
 The suffixes are sorted by their first ``order`` symbols, which is exact for patterns up to that length.
-Each level of the matrix is a packed bit vector with a count for every 64 bits. Searches run for many
-patterns at once; a step reads every level twice, whatever the index holds.
+Each level of the matrix is a packed bit vector with a count for every 64 bits. The suffixes of texts with a weight are
+one more such vector, and only those have a number of their own. Searches run for many patterns at once; a step reads
+every level twice, whatever the index holds.
 """
 
 from __future__ import annotations
@@ -43,7 +44,9 @@ class FMIndex:
             span *= 2
         suffixes = np.argsort(rank, kind="stable")
         last = symbols[suffixes - 1]
-        self.weight = np.concatenate([[0], np.cumsum(weights[text_of[suffixes]])])
+        weight = weights[text_of[suffixes]]
+        self.heavy = _Bits(weight > 1)
+        self.excess = np.concatenate([[0], np.cumsum(weight[weight > 1] - 1)])
         self.first = np.concatenate([[0], np.cumsum(np.bincount(symbols, minlength=int(symbols.max()) + 1))])
         self.n = n
         self.levels: list[tuple[int, _Bits]] = []
@@ -64,6 +67,10 @@ class FMIndex:
         begin = self.first[symbol]
         return begin + low - start, begin + high - start
 
+    def weight(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The weight of the suffixes [low, high)."""
+        return high - low + self.excess[self.heavy.ones(high)] - self.excess[self.heavy.ones(low)]
+
     def matching(self, symbols: np.ndarray, ends: np.ndarray, most: int, least_weight: int) -> np.ndarray:
         """Matching statistics: the longest suffix of ``symbols[:end]``, up to ``most``, that weighs enough."""
         length = np.zeros(len(ends), np.int64)
@@ -72,7 +79,7 @@ class FMIndex:
         for step in range(1, most + 1):
             symbol = symbols[ends[live] - step]
             low, high = self.extend(symbol, low, high)
-            good = (symbol > 0) & (self.weight[high] - self.weight[low] >= least_weight)
+            good = (symbol > 0) & (self.weight(low, high) >= least_weight)
             live, low, high = live[good], low[good], high[good]
             length[live] = step
             if not len(live):

@@ -11,11 +11,15 @@ Consecutive windows with one anchor travel together as a segment.
 4. Each shard builds a compressed FM-index (``fm_index``) over its segments, with their weights, and streams those
    that stand alone through backward search; a window whose matching statistic reaches ``window`` with a weight of 2
    repeats. Segments with a weight repeat as a whole.
+   Within a shard words are compared by their bytes.
 5. The window ranges go back to the documents by joins on hashed keys, and the covered words are removed.
 
+Segments are one where anchor and digest, 128 bits in all, agree; both come from 64-bit word hashes without structure.
+
 A hot passage is one weighted segment. An anchor with over ``HOT`` different segments is dealt out again, window by
 window, by the hash of the whole window, so that no shard grows with it. Null, empty and short texts keep
-everything; repeated rows count as occurrences of their own and each is reported. Nothing is capped.
+everything; repeated rows count as occurrences of their own and each is reported. Nothing is capped. Other columns,
+ids among them, never leave the JVM.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,9 +150,11 @@ def _shard(window: int):
     """Indexes a shard's segments and streams them through it."""
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        words, bounds = hashed_words(list(pdf["words"]))
-        symbols = np.unique(words, return_inverse=True)[1] + 1
-        lens = np.diff(bounds)
+        texts = [t.split() for t in pdf["words"]]
+        words = pa.array([w for t in texts for w in t], pa.binary())
+        symbols = words.dictionary_encode().indices.to_numpy().astype(np.int64) + 1
+        lens = np.fromiter(map(len, texts), np.int64, len(texts))
+        bounds = np.concatenate([[0], np.cumsum(lens)])
         text_of = np.repeat(np.arange(len(lens)), lens + 1)
         flat = np.zeros(len(words) + len(lens), np.int64)
         at = np.arange(len(words)) + np.repeat(np.arange(len(lens)), lens)
@@ -175,10 +182,11 @@ def _shard(window: int):
 
 
 def _remove(window: int):
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("struct<n_words:long,n_removed:long,removed_spans:array<array<int>>,kept_text:string>")
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             n_words, spans, kept = [], [], []
-            for text, ranges in zip(batch["__text"], batch["__ranges"]):
+            for text, ranges in zip(*batch):
                 words = (text or "").encode("utf-8", "replace").split()
                 n_words.append(len(words))
                 if ranges is None:
@@ -193,13 +201,10 @@ def _remove(window: int):
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
                 spans.append(edge.reshape(-1, 2).tolist())
                 kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode())
-            out = batch.drop(columns=["__text", "__ranges"])
-            n_removed = [sum(z - a for a, z in s) for s in spans]
-            yield out.assign(
-                n_words=np.array(n_words, np.int64), n_removed=np.array(n_removed, np.int64), removed_spans=spans, kept_text=kept
-            )
+            n_removed = np.array([sum(z - a for a, z in s) for s in spans], np.int64)
+            yield pd.DataFrame({"n_words": np.array(n_words, np.int64), "n_removed": n_removed, "removed_spans": spans, "kept_text": kept})
 
-    return cut
+    return cut.asNondeterministic()
 
 
 def repeated_windows(docs: DataFrame, *, text_col: str = "text", window: int = 35) -> tuple[DataFrame, DataFrame]:
@@ -234,7 +239,7 @@ def repeated_windows(docs: DataFrame, *, text_col: str = "text", window: int = 3
 
 def _row_key(docs: DataFrame, text_col: str):
     """16 bytes of the row's id and text: repeated rows share them, and so their result."""
-    ids = [F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))] if "doc_id" in docs.columns else []
+    ids = [F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("n"))] if "doc_id" in docs.columns else []
     return F.unhex(F.md5(F.concat_ws("|", *ids, F.coalesce(F.col(text_col), F.lit("")))))
 
 
@@ -246,11 +251,10 @@ def remove_repeats(docs: DataFrame, *, text_col: str = "text", window: int = 35)
     docs = docs.drop("n_words", "n_removed", "removed_spans", "kept_text")
     _, ranges = repeated_windows(docs, text_col=text_col, window=window)
     ranges = ranges.withColumnsRenamed({"row_key": "__key", "ranges": "__ranges"})
-    keyed = docs.withColumn("__key", _row_key(docs, text_col)).withColumn("__text", F.col(text_col))
-    joined = keyed.join(ranges, "__key", "left").drop("__key")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    more = "n_words long, n_removed long, removed_spans array<array<int>>, kept_text string"
-    return joined.mapInPandas(_remove(window), f"{fields}, {more}")
+    joined = docs.withColumn("__key", _row_key(docs, text_col)).join(ranges, "__key", "left")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    done = joined.select(*own, _remove(window)(F.col(text_col), F.col("__ranges")).alias("__r"))
+    return done.select(*own, "__r.*")
 
 
 def digest(removed: DataFrame) -> DataFrame:
