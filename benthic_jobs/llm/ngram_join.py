@@ -51,28 +51,27 @@ def shingle_sets(texts: list[bytes], k: int = WORDS) -> Iterator[np.ndarray]:
 
 
 def _row_key():
-    ids = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
+    ids = F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")), F.lit("n"))
     return F.unhex(F.md5(F.concat_ws("|", ids, F.coalesce(F.col("text"), F.lit("")))))
 
 
 def _signed(keyed: DataFrame, runs: int) -> DataFrame:
-    """Of each document a digest of its set, its size and the chosen token of each run and level."""
-    seeds = mix(np.arange(1, 2 * runs * LEVELS + 1, dtype=np.uint64))
+    """Of each document a digest of its set, its size and the chosen token of each run and level; ids stay in the JVM."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    @F.pandas_udf("struct<set:binary,size:int,first:array<long>>")
+    def sign(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        seeds = mix(np.arange(1, 2 * runs * LEVELS + 1, dtype=np.uint64))
+        for texts, keys in batches:
             rows = []
-            for doc, key, own in zip(batch["doc_id"], batch["row_key"], shingle_sets(_bytes(batch["text"]))):
+            for key, own in zip(keys, shingle_sets(_bytes(texts))):
                 first = []
                 for i in range(0, len(seeds) if len(own) else 0, 2):
                     h = (own ^ seeds[i]) * (seeds[i + 1] | np.uint64(1))
                     first.append(int((h ^ (h >> np.uint64(29))).min()) >> 1)
-                digest = hashlib.blake2b(own.tobytes() or bytes(key), digest_size=16).digest()
-                rows.append((doc, key, digest, len(own), first))
-            yield pd.DataFrame(rows, columns=["doc_id", "row_key", "set", "size", "first"]).astype({"doc_id": "Int64"})
+                rows.append((hashlib.blake2b(own.tobytes() or bytes(key), digest_size=16).digest(), len(own), first))
+            yield pd.DataFrame(rows, columns=["set", "size", "first"])
 
-    schema = "doc_id long, row_key binary, set binary, size int, first array<long>"
-    return keyed.mapInPandas(sign, schema)
+    return keyed.select("doc_id", "row_key", sign("text", "row_key").alias("s")).select("doc_id", "row_key", "s.*")
 
 
 def _leaves(sets: DataFrame, runs: int) -> DataFrame:
@@ -195,16 +194,17 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, text_col: str = "text", threshold: float = 0.8, recall: float = 0.9999) -> DataFrame:
     """Of each row of ``docs``: row_key, doc_id, class_id, n_links, and whether it stands for its class.
 
-    ``class_id`` is the least id of the connected component; ``n_links`` counts the other rows with a similarity of
-    ``threshold`` or more. One row of a class is ``kept``: the one with the least id (and of equal rows any).
+    ``class_id`` is the least id of the connected component (null only if all are null); ``n_links`` counts the other
+    rows with a similarity of ``threshold`` or more. One row of a class is ``kept``: the one with the least id (and of
+    equal rows any). ``doc_id`` may be of any type that has an order; other columns are not read.
     """
     runs = runs_needed(threshold, recall)
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    keyed = docs.select("doc_id", F.col(text_col).alias("text"))
     keyed = keyed.withColumn("row_key", _row_key())
     signed = stored(_signed(keyed, runs), "signed")
     sets = signed.groupBy("set").agg(
         F.count("*").alias("weight"), F.min("row_key").alias("row_key"), F.first("size").alias("size"), F.first("first").alias("first"),
-        F.min(F.struct("doc_id", "row_key")).alias("least"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("least"),
     )
     sets = stored(sets, "sets")
     leaves = stored(_leaves(sets, runs), "leaves")
