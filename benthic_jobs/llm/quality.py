@@ -63,15 +63,15 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the statistics as an array column ``stats``."""
+def with_statistics(docs: DataFrame, text_col: str = "text", stats: str = "stats") -> DataFrame:
+    """``docs`` with the statistics as an array column."""
 
     @F.pandas_udf("array<double>")
     def measure(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([statistics(t) for t in texts], dtype=object)
 
-    return docs.withColumn("stats", measure(F.col(text_col)))
+    return docs.withColumn(stats, measure.asNondeterministic()(F.col(text_col)))
 
 
 Rule = tuple[tuple[int, bool, float], ...]
@@ -186,19 +186,21 @@ def fold(divisor: int, held: int) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, *, kind: str = "quality", train: Column | None = None, sample: int = SAMPLE) -> RuleModel:
     some = training_labels(labels, kind, train=F.lit(True) if train is None else train, sample=sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # some: at most ``sample`` ids and labels
-    got = with_statistics(rows).select("doc_id", "stats", "label").orderBy("doc_id").collect()
+    got = with_statistics(rows).select("doc_id", "stats", "label").orderBy("doc_id", "stats").collect()
     x = np.array([r["stats"] for r in got], float).reshape(len(got), len(STATISTICS))
     return RuleModel.fit(x, np.array([r["label"] for r in got], float))
 
 
 def scored(docs: DataFrame, model: RuleModel) -> DataFrame:
-    """``docs`` with ``score``; the statistics are computed once for each row."""
-    return with_statistics(docs).withColumn("score", model.column()).drop("stats")
+    """``docs`` with ``score``, which replaces a column of that name; the statistics are computed once for each row."""
+    return with_statistics(docs, stats="__stats").withColumn("score", model.column("__stats")).drop("__stats")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, least: float = 0.5) -> DataFrame:
-    """Without the documents whose score says that label 0 is likelier."""
+    """Without the documents whose score says that label 0 is likelier. All columns stay as they are.
+
+    Null and empty texts are scored like any other; repeated rows share their fate; without labels every row stays.
+    """
     model = fit(docs, labels)
-    marked = docs.select("*", F.col("text").alias("__text"))
-    stats = with_statistics(marked, "__text").where(model.column() >= least)
-    return stats.select(*docs.columns)
+    marked = with_statistics(docs, stats="__stats")
+    return marked.where(model.column("__stats") >= least).drop("__stats")
