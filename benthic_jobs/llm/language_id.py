@@ -23,7 +23,12 @@ from pyspark.sql import functions as F
 
 CORE, CONTEXT, LANES, HIDDEN = 128, 16, 4096, 8
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether there is a character of the Unicode category L; numerals such as one half are none."""
+    return bool(text) and any(m[0].isalpha() for m in _WORD.finditer(text))
 
 
 class Gru:
@@ -180,7 +185,7 @@ def tagged(docs: DataFrame, model: ByteTagger | None, *, text_col: str = "text",
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            lettered = [bool(t) and _LETTER.search(t) is not None for t in batch]
+            lettered = [has_letter(t) for t in batch]
             texts = [t.encode("utf-8", "replace") if ok else b"" for t, ok in zip(batch, lettered)]
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             for part in slices([len(t) for t in texts], step_bytes) if shared.value else ():
