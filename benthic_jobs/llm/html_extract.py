@@ -88,6 +88,11 @@ def parse(page: str) -> Node:
     stack, block, inline, pos, n = [root], None, 0, 0, len(page)
     drawing = links = paused = 0  # depths of svg and of its own links, and the first while in a foreignObject
     endless: set[str] = set()
+    places: dict[str, list[int]] = {}  # of each tag where it stands in the stack
+
+    def push(node: Node) -> None:
+        places.setdefault(node.tag, []).append(len(stack))
+        stack.append(node)
 
     def text(raw: str) -> None:
         nonlocal block
@@ -101,13 +106,16 @@ def parse(page: str) -> Node:
         block.chars += size
         block.links += size if inline else 0
 
+    def innermost(names: set[str] | frozenset[str]) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=0)
+
     def close(names: set[str] | frozenset[str], stops: frozenset[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                del stack[i:]
-                return
-            if stack[i].tag in stops:
-                return
+        """Closes the innermost of ``names`` and what is in it, unless one of ``stops`` stands between."""
+        at = innermost(names)
+        if at and at >= innermost(stops):
+            for node in reversed(stack[at:]):
+                places[node.tag].pop()
+            del stack[at:]
 
     while pos < n:
         at = page.find("<", pos)
@@ -165,7 +173,7 @@ def parse(page: str) -> Node:
                         gold = "".join(v)
                 if tag not in VOID:
                     inline = 0
-                    stack.append(Node(tag, stack[-1], names, gold))
+                    push(Node(tag, stack[-1], names, gold))
         elif m[3]:
             tag = m[3].lower()
             if tag == "foreignobject" and paused:
@@ -175,7 +183,7 @@ def parse(page: str) -> Node:
                     drawing -= 1
                 elif tag == "a" and links:
                     links -= 1
-                elif tag in INLINE or any(x.tag == tag for x in stack[1:]):
+                elif tag in INLINE or places.get(tag):
                     drawing = 0  # the end of what the drawing stands in
                 if tag == "svg" or drawing or (tag == "a" and not inline):
                     continue
