@@ -51,6 +51,16 @@ def none(spark):
     return spark.createDataFrame([], DOCS)
 
 
+BIG = 2**53 + 1
+
+
+@pytest.fixture(scope="module")
+def large(spark):
+    """Ids that no double holds beside null ones in one batch, and other columns that pandas would change."""
+    rows = [(None, words(60, 1), float("nan"), None), (BIG, words(60, 1), None, BIG), (BIG + 2, words(60, 2), 1.5, BIG + 2), (BIG + 4, None, float("nan"), None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, share double, other long").coalesce(1)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(spark, sf_dir, name):
     same(queries.QUERIES[name](spark, sf_dir), queries.ORACLE_SQL[name], sf_dir)
@@ -107,6 +117,20 @@ def test_components_of_a_path(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+def test_near_duplicates_keep_large_ids(large):
+    got = sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in ngram_join.near_duplicates(large).collect()), key=str)
+    assert got == sorted([(None, BIG, 1), (BIG, BIG, 1), (BIG + 2, BIG + 2, 0), (BIG + 4, BIG + 4, 0)], key=str)
+    named = ngram_join.near_duplicates(large.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string"))))
+    assert {r["class_id"] for r in named.collect()} == {f"d{BIG}", f"d{BIG + 2}", f"d{BIG + 4}"}
+
+
+def test_near_duplicates_of_words_with_structure(spark):
+    one, other = morse_words()
+    rows = [(1, " ".join([one] * 30)), (2, " ".join([other] * 30)), (3, f"{one} {other}"), (4, f"{other} {one}")]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
 # 2. decontamination
 
 
@@ -154,16 +178,6 @@ def test_contamination_by_words_with_structure(spark):
         assert got == {1: [[0, 2]], 2: [], 3: [[0, 3]]}
 
 
-BIG = 2**53 + 1
-
-
-@pytest.fixture(scope="module")
-def large(spark):
-    """Ids that no double holds beside null ones in one batch, and other columns that pandas would change."""
-    rows = [(None, words(60, 1), float("nan"), None), (BIG, words(60, 1), None, BIG), (BIG + 2, words(60, 2), 1.5, BIG + 2), (BIG + 4, None, float("nan"), None)]
-    return spark.createDataFrame(rows, "doc_id long, text string, share double, other long").coalesce(1)
-
-
 def test_contamination_changes_no_other_column(spark, large):
     items = spark.createDataFrame([(BIG, words(60, 1)), (None, "none")], "item_id long, text string").coalesce(1)
     for block in (1, 200_000):
@@ -182,7 +196,7 @@ def test_warc_of_odd_pages(spark):
     records = warc.read_records(index)
     got = sorted((tuple(r) for r in warc.digest(records).collect()), key=str)
     size = {(r[0], r[3]): (r[1], r[4]) for r in got}
-    assert len(got) == 6 and size[5, "revisit"] == (9, 3) and size[3, "response"] == (9, None) and size[8, "revisit"] == (0, 7)
+    assert len(got) == 7 and size[None, "response"] == (1, None) and size[5, "revisit"] == (9, 3) and size[3, "response"] == (9, None) and size[8, "revisit"] == (0, 7)
     chosen = warc.read_records(index.where("key = 9")).collect()
     assert sorted(len(r["payload"]) for r in chosen) == [5, 3_000_000]
     assert all(r["digest"] == warc.sha1_base32(bytes(r["payload"])) for r in records.collect() if r["record_type"] == "response")
@@ -197,10 +211,36 @@ def test_warc_of_keys_with_several_payloads(spark):
     sha = {x: warc.sha1_base32(x.encode()) for x in ("A", "B", "CC", "D")}
     want = [(3, "response", None, "A"), (9, "revisit", 3, "A"), (9, "response", None, "B"), (9, "response", None, "B")]
     want += [(3, "response", None, "CC"), (9, "revisit", 3, "CC"), (4, "response", None, "D"), (5, "revisit", 4, "D")]
+    want += [(None, "revisit", 3, "A"), (None, "revisit", 4, "D")]
     got = [(r[0], r[3], r[4], r[1], r[2]) for r in warc.digest(warc.read_records(warc.write_archives(pages))).collect()]
     assert sorted(got, key=str) == sorted(((k, t, to, len(x), sha[x]) for k, t, to, x in want), key=str)
 
 
+def test_warc_of_large_and_repeated_keys(spark):
+    rows = [(BIG, "A"), (BIG + 2, "A"), (BIG + 4, "B"), (1, "C"), (2, "D"), (5, "C"), (5, "D"), (None, "E"), (None, "E"), (None, "C")]
+    pages = spark.createDataFrame(rows, "page_id long, html string").withColumns({"url": F.lit("u"), "key": F.lit(1), "body": F.lit("x")}).coalesce(1)
+    got = [(r[0], r[3], r[4], r[2]) for r in warc.digest(warc.read_records(warc.write_archives(pages))).collect()]
+    sha = {x: warc.sha1_base32(x.encode()) for x in "ABCDE"}
+    want = [(BIG, "response", None, "A"), (BIG + 2, "revisit", BIG, "A"), (BIG + 4, "response", None, "B"), (1, "response", None, "C")]
+    want += [(2, "response", None, "D"), (5, "revisit", 1, "C"), (5, "revisit", 2, "D"), (None, "response", None, "E")] * 1
+    want += [(None, "response", None, "E"), (None, "revisit", 1, "C")]
+    assert sorted(got, key=str) == sorted(((k, t, to, sha[x]) for k, t, to, x in want), key=str)
+
+
+def test_warc_reference_without_its_response_is_an_error(spark):
+    pages = spark.createDataFrame([(1, "u", "A"), (2, "u", "A")], "page_id long, url string, html string")
+    index = warc.write_archives(pages)
+    with pytest.raises(Exception, match="no response for the reference to 1"):
+        warc.digest(warc.read_records(index.where("key = 2"))).collect()
+
+
+def test_warc_frames_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FRAME", 1000)
+    pages = spark.createDataFrame([(i, "u", f"{i} " * 150) for i in range(60)], "page_id long, url string, html string").coalesce(1)
+    got = warc.digest(warc.read_records(warc.write_archives(pages))).collect()
+    assert {r["page_id"]: r["payload_bytes"] for r in got} == {i: 150 * len(f"{i} ") for i in range(60)}
+
+
 def test_archives_are_whole_gzip_files(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"u{i}", f"<p>{i}</p>") for i in range(10)], "page_id long, url string, html string").coalesce(1)
     index = warc.write_archives(pages, path=f"file://{tmp_path}").collect()
@@ -226,6 +266,13 @@ def test_language_of_odd_rows(odd, none):
     assert language_id.tagged(none, model).count() == 0
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    (None, False), ("", False), ("12 _ -", False), ("½ ² ①", False), ("\u2160 \u0e51", False), ("½ a", True), ("é", True), ("ª", True), ("日", True), ("_x", True),
+])
+def test_letters(text, want):
+    assert language_id.has_letter(text) == want
+
+
 def test_gradients_against_differences():
     rng = np.random.default_rng(0)
     g, x = language_id.Gru(rng, 4), rng.integers(1, 5, (6, 3)).astype(np.uint8)
@@ -285,6 +332,17 @@ def test_odd_conversations(spark):
     assert got[1]["n_turns"] == 3 and got[2]["loss_chars"] == 300_000 and got[None]["loss_sha256"] == hashlib.sha256(rows[3][3].encode()).hexdigest()
 
 
+def test_conversations_keep_large_ids_and_hide_other_columns(spark):
+    rows = [(None, 0, "user", "a"), (BIG, 0, "user", "<start_of_turn>user<end_of_turn><bos><<SYS>><</SYS>>"), (BIG, 1, "assistant", "b"), (BIG + 2, 0, "assistant", "c")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").coalesce(1)
+    df = df.withColumns({"record": F.lit(1), "turns": F.lit("x"), "formatted": F.lit(2), "loss_spans": F.lit(None).cast("string"), "m": F.lit(0)})
+    formatted = chat_format.format_turns(chat_format.canonical_turns(chat_format.from_rows(df)))
+    got = {r["conv_id"]: r for r in chat_format.read_back(formatted).collect()}
+    assert {k: (r["n_turns"], r["loss_chars"]) for k, r in got.items()} == {None: (1, 0), BIG: (2, 1), BIG + 2: (1, 1)}
+    text = formatted.where(F.col("conv_id") == BIG).first()["formatted"]
+    assert not any(x in text for x in ("<start_of_turn>", "<end_of_turn>", "<bos>", "<<SYS>>", "<</SYS>>")) and chat_format.parse_turns(text)[0][1] == rows[1][3]
+
+
 def test_very_long_texts_are_whole(spark):
     n = 20_500_000  # over the JSON parser's own limit
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", "y" * n), (2, 0, "assistant", "z" * n)]  # a prompt record and a list of messages
@@ -329,6 +387,14 @@ def test_quality_of_odd_rows(spark, odd, none):
     assert quality.keep_good(odd, labels).columns == odd.columns and quality.keep_good(none, labels).count() == 0
 
 
+def test_good_documents_keep_their_columns(spark, odd, large, sf_dir):
+    labels = spark.createDataFrame([(5, 1, 0), (8, 0, 0)], "doc_id long, quality int, toxic int")
+    clash = odd.withColumns({"stats": F.lit("s"), "score": F.lit("t"), "label": F.lit("u")})
+    assert quality.keep_good(clash, labels).schema == clash.schema and {r["stats"] for r in quality.keep_good(clash, labels).collect()} == {"s"}
+    kept = quality.keep_good(large, labels.limit(0))
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, large.collect()))
+
+
 def test_lasso_drops_noise():
     rng = np.random.default_rng(1)
     z = rng.integers(0, 2, (4000, 12)).astype(float)
@@ -379,6 +445,45 @@ def test_packing_of_odd_rows(odd, none, monkeypatch):
     assert packing.pack(none).count() == 0
 
 
+def test_tokens_are_those_of_the_named_library(spark):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    r = random.Random(4)
+    texts = ["<|endoftext|> x", "a<|endoftext|><|endoftext|>", "\n" * 1_000_000, " " * 1_500_000, "a" + " \t" * 100_000 + "b", "x" + " " * 3999 + "y", " " * 4000 + "z"]
+    texts += ["".join(r.choice(("a", "Zé", " ", "  ", "\n", "\u00a0", "\u2003", "\x85", "'s", "12", "½", "日本", "!?", "<|endoftext|", "\u200d", "😀")) for _ in range(200)) for _ in range(60)]
+    texts += ["!" * 300_000, "x" * 300_000, "1" * 300_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = packing.tokenised(df, keep_ids=True).orderBy("doc_id", "start").collect()
+    for i, t in enumerate(texts):
+        ids = np.frombuffer(b"".join(bytes(x["ids"]) for x in got if x["doc_id"] == i), "<u4").tolist()
+        assert ids == [*tokenizer.encode(t, add_special_tokens=False).ids, 1], repr(t[:30])
+
+
+def test_packing_keeps_large_ids(large):
+    got = packing.pack(large).collect()
+    check_packing(got)
+    assert sorted((r["doc_id"] for r in got), key=str) == sorted([None, BIG, BIG + 2, BIG + 4], key=str)
+
+
+@pytest.mark.parametrize("group", [1, 7, 1000])
+def test_placement_against_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(packing, "GROUP", group)
+    r = random.Random(9)
+    rows = [(i, 0, r.choice((2048, 2048, 3, 700, 701, 1024, r.randint(1, 2048))), i % 5, 0) for i in range(300)] + [(7, 0, 3, 2, 0)] * 9
+    pieces = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    got = packing.packed(pieces).collect()
+    check_packing(got)
+    assert sorted((x["doc_id"], x["length"]) for x in got) == sorted((x[0], x[2]) for x in rows)
+    demand = {}
+    for x in rows:
+        demand[-(-x[2] // packing.GRAIN)] = demand.get(-(-x[2] // packing.GRAIN), 0) + 1
+    used = len({x["sequence_id"] for x in got})
+    assert used <= sum(n for _, n in packing.plan_patterns(demand, 2048 // packing.GRAIN)) and used >= sum(x[2] for x in rows) / 2048
+
+
 def test_column_generation_is_near_the_bound():
     rng = np.random.default_rng(3)
     sizes = np.sort(rng.choice(np.arange(5, 200), 40, replace=False))
@@ -430,6 +535,33 @@ def test_repeats_of_odd_rows(odd, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def test_repeats_of_words_with_structure_and_other_columns(spark, large):
+    one, other = morse_words()
+    rows = [(1, f"{one} " + words(40, 3)), (2, f"{other} " + words(34, 3)), (3, " ".join([one] * 35)), (4, " ".join([other] * 35))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"anchor": F.lit(1.5), "n_words": F.lit("x"), "r": F.lit(None).cast("long")})
+    got = {r["doc_id"]: r["kept_text"] for r in substring_dedup.remove_repeats(df).collect()}
+    assert [got[i] for i in (1, 2, 3, 4)] == brute_repeats([t for _, t in rows], 35)
+    done = substring_dedup.remove_repeats(large)
+    assert sorted(map(repr, done.select(*large.columns).collect())) == sorted(map(repr, large.collect()))
+    assert {(r["doc_id"], r["n_removed"]) for r in done.collect()} == {(None, 60), (BIG, 60), (BIG + 2, 0), (BIG + 4, 0)}
+
+
+def test_weights_of_the_fm_index():
+    rng = np.random.default_rng(1)
+    symbols = np.concatenate([np.append(rng.integers(1, 3, 12), 0) for _ in range(8)])
+    text_of, weights = np.repeat(np.arange(8), 13), np.array([1, 1, 3, 1, 2, 1, 1, 5])
+    index, text = FMIndex(symbols, text_of, weights, 6), "".join(map(str, symbols))
+    for least in (2, 5, 9):
+        for end, length in zip(range(6, 100), index.matching(symbols, np.arange(6, 100), 6, least)):
+            best = 0
+            for k in range(1, 7):
+                p = text[end - k : end]
+                if "0" in p or sum(weights[text_of[i]] for i in range(len(text)) if text.startswith(p, i)) < least:
+                    break
+                best = k
+            assert best == length
+
+
 def test_fm_index_against_counting():
     rng = np.random.default_rng(0)
     symbols = np.concatenate([np.append(rng.integers(1, 4, 60), 0) for _ in range(20)])
@@ -546,6 +678,63 @@ def test_malformed_tags_drop_nothing_else(part, want):
     assert html_extract.main_text(page, html_extract.trained()) == f"{body}\n{want}\n{body}"
 
 
+def test_closing_is_linear():
+    import time
+
+    deep = "<blockquote>" * 20_000 + "<p>x" + "</section>" * 100_000 + "</blockquote>" * 20_000
+    wide = "<p><div>" + "<figure>" * 50_000 + "y"
+    drawn = "<dl>" * 20_000 + "<svg>" + "</x>" * 100_000 + "</svg>z"
+    for page, want in ((deep, "x"), (wide, "y"), (drawn, "z")):
+        began = time.process_time()
+        assert [n.parts for n in html_extract.nodes_of(html_extract.parse(page)) if n.tag == "#text"] == [[want]]
+        assert time.process_time() - began < 10
+
+
+def test_parser_against_another_one():
+    """All text of generated pages, closed or not, by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class Texts(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.raw, self.text = "", []
+
+        def handle_starttag(self, tag, attrs):
+            self.raw = tag if tag in ("script", "style") else ""
+
+        def handle_endtag(self, tag):
+            self.raw = ""
+
+        def handle_data(self, data):
+            self.text.append("" if self.raw else data)
+
+    r = random.Random(12)
+    tags = "p div article section ul li table tr td h1 b i a span blockquote br header dl dt dd pre em".split()
+    for _ in range(400):
+        parts = []
+        for _ in range(r.randint(1, 60)):
+            tag = r.choice(tags)
+            parts.append(r.choice((
+                lambda: f"<{tag}>", lambda: f"</{tag}>", lambda: f'<{tag} class="a{r.randint(0, 9)} > b" data-x=\'"\'>', lambda: f"<{tag.upper()} hidden id=x{r.randint(0, 9)}>",
+                lambda: "<!-- no <p>text</p> -->", lambda: "<script>if (a < b) { '<p>' }</script>", lambda: "<style>p > b {}</style>",
+                lambda: words(r.randint(1, 5), r.random()), lambda: " \n ", lambda: "&amp;&eacute;&#65;&nbsp; a < b", lambda: "<br/>",
+            ))())
+        page, other = "".join(parts), Texts()
+        other.feed(page)
+        other.close()
+        mine = "".join("".join(n.parts) for n in html_extract.nodes_of(html_extract.parse(page)) if n.tag == "#text")
+        assert "".join(mine.split()) == "".join("".join(other.text).split()), page
+
+
+def test_pages_that_tie_and_repeat(spark):
+    page = "<article><p>" + "It is a plain sentence. " * 12 + "</p></article>"
+    rows = [(1, page, 1.5), (1, page, float("nan")), (None, page, None), (BIG, "", 0.0), (BIG + 2, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, html string, n_chars double").coalesce(1)
+    got = html_extract.extract(df)
+    assert sorted(map(repr, got.drop("text").collect())) == sorted(map(repr, df.collect()))
+    assert {r["text"] for r in got.where("html <> ''").collect()} == {("It is a plain sentence. " * 12).strip()}
+
+
 def test_marginals_against_enumeration():
     from itertools import product
 
