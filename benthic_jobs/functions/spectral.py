@@ -63,10 +63,18 @@ def bottom_reflectance(value: Column, depth: Column, kd: Column) -> Column:
     return F.when((depth > 0) & (kd > 0) & value.isNotNull(), F.least(value * F.exp(2 * kd * depth), F.lit(1.0)))
 
 
-def bottom_reflectances(sensor: str, prefix: str, depth: Column, kd: dict[str, float] | None = None) -> dict[str, Column]:
+def bottom_reflectances(sensor: str, prefix: str, depth: Column, kd: dict[str, float] | dict[str, Column] | None = None) -> dict[str, Column]:
+    """Of each band; the attenuation is the sensor's, or given as numbers or, for a site's own, as columns."""
     return {f"bottom_{b}": bottom_reflectance(F.col(prefix + b), depth, F.lit(k)) for b, k in (kd or KD[sensor]).items()}
 
 
+def site_attenuation(rows: DataFrame, table: DataFrame, keys: list[str], sensor: str) -> tuple[DataFrame, dict[str, Column]]:
+    """``rows`` with their site's attenuation (columns ``kd_<band>`` of ``table``), and those columns, the sensor's where it has none."""
+    joined = rows.join(table, keys, "left")
+    kd = {b: F.coalesce(F.col(f"kd_{b}"), F.lit(k)) if f"kd_{b}" in table.columns else F.lit(k) for b, k in KD[sensor].items()}
+    return joined, kd
+
+
 def glint_slopes(pixels: DataFrame, scene: str, nir: str, band_cols: list[str]) -> DataFrame:
     """Per scene the least near infrared and each band's regression slope on it."""
     slopes = [F.regr_slope(b, nir).alias(f"slope_{b}") for b in band_cols]

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sensors import MATCHED
-from .curation import numbered
-from .matching import seeded
+from ..storage import stored
+from .matching import day_of, neighbours, seeded
+from .ranks import quantiles, running_totals
 
 
 def matched_bands(low: DataFrame, high: DataFrame, pairs: list[tuple[str, str]] = MATCHED) -> DataFrame:
@@ -38,22 +39,24 @@ def histogram(rows: DataFrame, keys: list[str], value: str, low: Column, high: C
     counts = rows.where((v >= low) & (v <= high)).groupBy(*keys, at.alias("bin")).agg(F.count("*").alias("n"), F.first(high - low).alias("__w"))
     if not density:
         return counts.drop("__w")
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("__t")) if keys else counts.agg(F.sum("n").alias("__t"))
-    joined = counts.join(F.broadcast(totals), keys) if keys else counts.crossJoin(F.broadcast(totals))
-    return joined.select(*keys, "bin", (F.col("n") / F.col("__t") / (F.col("__w") / bins)).alias("density"))
+    total = F.sum("n").over(Window.partitionBy(*keys))  # ``bins`` rows for each key
+    return counts.select(*keys, "bin", (F.col("n") / total / (F.col("__w") / bins)).alias("density"))
 
 
 def time_gap(high: DataFrame, low: DataFrame) -> DataFrame:
-    """Least days between the high-resolution date and a low-resolution one, by location."""
-    return high.join(low, "location_id").groupBy("location_id").agg(F.min(F.abs(F.datediff("hr_date", "lr_date"))).alias("gap_days"))
+    """Least days between a high-resolution date and a low-resolution one, of each location that has both."""
+    days = lambda rows, c: rows.select("location_id", day_of(c).alias("__d")).distinct()
+    near = neighbours(days(high, "hr_date"), days(low, "lr_date").withColumn("low", F.lit(1)), ["location_id"], ["low"])
+    gap = F.least(*(F.abs(F.col(f"low_{side}.__d") - F.col("__d")) for side in "az"))
+    return near.groupBy("location_id").agg(F.min(gap).alias("gap_days")).where("gap_days IS NOT NULL")
 
 
 def alignment_summary(shifts: DataFrame, keys: list[str], magnitude: str) -> DataFrame:
     m = F.col(magnitude)
-    return shifts.groupBy(*keys).agg(
-        F.median(m).alias("median_px"), F.percentile(m, 0.95).alias("p95_px"), F.avg((m > 3).cast("double")).alias("share_over_3"),
-        *(F.avg((m <= x).cast("double")).alias(f"share_to_{x}") for x in (1, 3, 10)),
-    )
+    shares = shifts.groupBy(*keys).agg(
+        F.avg((m > 3).cast("double")).alias("share_over_3"), *(F.avg((m <= x).cast("double")).alias(f"share_to_{x}") for x in (1, 3, 10))
+    )
+    return quantiles(shifts, keys, magnitude, {"median_px": 0.5, "p95_px": 0.95}).join(shares, keys)
 
 
 def worst(rows: DataFrame, value: str, key: str, n: int = 6) -> DataFrame:
@@ -68,14 +71,16 @@ def random_subset(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 def rolling_bias(rows: DataFrame, gap: str, bias: str, key: str, *, least: int = 5) -> DataFrame:
     """Centred mean of ``bias`` in the order of ``gap`` over ``max(30, n div 20)`` rows; NULL with under ``least``.
 
-    Rows are numbered globally first, then dealt into blocks with a halo of a window's width from both neighbours, so
-    that no single task holds the whole order.
+    A window is the difference of two running totals, which are found by their row numbers: no frame is summed anew.
     """
-    ranked = numbered(rows, [gap, key], "__i")
-    width = max(30, ranked.count() // 20)
-    block = lambda i: F.expr(f"({i}) div {4 * width}")
-    near = F.array_distinct(F.array(block("__i"), block(f"__i + {width}"), block(f"greatest(__i - {width}, 0)")))
-    spread = ranked.withColumn("__own", F.explode(near))
-    frame = Window.partitionBy("__own").orderBy("__i").rowsBetween(-(width // 2), (width - 1) // 2)
-    mean = F.when(F.count(bias).over(frame) >= least, F.avg(bias).over(frame))
-    return spread.withColumn("rolling", mean).where(F.col("__own") == block("__i")).select(*rows.columns, "rolling")
+    known = F.col(bias).isNotNull()
+    totals = {"__i": F.lit(1).cast("long"), "__s": F.coalesce(F.col(bias).cast("double"), F.lit(0.0)), "__n": known.cast("long")}
+    ranked = stored(running_totals(rows, [gap, key], totals), "rolling")
+    n = ranked.count()
+    width = max(30, n // 20)
+    end = lambda side: ranked.select(F.col("__i").alias(f"__{side}"), F.col("__s").alias(f"__s{side}"), F.col("__n").alias(f"__n{side}"))
+    asked = ranked.withColumns({"__z": F.least(F.col("__i") + (width - 1) // 2, F.lit(n)), "__a": F.col("__i") - width // 2 - 1})
+    both = asked.join(end("z"), "__z").join(end("a"), "__a", "left").na.fill(0, ["__sa", "__na"])
+    count = F.col("__nz") - F.col("__na")
+    mean = F.when(count >= least, (F.col("__sz") - F.col("__sa")) / count)
+    return both.select(*rows.columns, mean.alias("rolling"))

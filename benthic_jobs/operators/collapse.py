@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .matching import seeded
+from .ranks import quantiles
 
 LAT_M, LON_M = 110540.0, 111320.0
 
@@ -85,12 +86,14 @@ def shannon(points: DataFrame, site: str, label: str) -> DataFrame:
     return points.select(site).distinct().join(h, site, "left")
 
 
-def date_spread(rows: DataFrame, key: str, day: str) -> DataFrame:
-    """Distinct dates and rows of each month, with the first and last date."""
+def date_spread(rows: DataFrame, key: str, day: str, lon: str, lat: str) -> DataFrame:
+    """Distinct dates and rows of each month, with the first and last date and the bounding box of the coordinates."""
     month = F.trunc(day, "month").alias("month")
+    box = {"south": F.min(lat), "west": F.min(lon), "north": F.max(lat), "east": F.max(lon)}
     return rows.groupBy(key, month).agg(
-        F.count_distinct(day).alias("n_dates"), F.count("*").alias("n"), F.min(day).alias("first_day"), F.max(day).alias("last_day")
-    )
+        F.count_distinct(day).alias("n_dates"), F.count("*").alias("n"), F.min(day).alias("first_day"), F.max(day).alias("last_day"),
+        *(c.alias(k) for k, c in box.items()),
+    )
 
 
 def merged_windows(rows: DataFrame, keys: list[str], day: str, days: int) -> DataFrame:
@@ -106,14 +109,16 @@ def merged_windows(rows: DataFrame, keys: list[str], day: str, days: int) -> Dat
 
 def outlier_flags(rows: DataFrame, cluster: str, lon: str, lat: str, limit_m: float = 2000) -> DataFrame:
     """Metres from the cluster's median position, and whether it is over the limit."""
-    centre = rows.groupBy(cluster).agg(F.median(lon).alias("__lon"), F.median(lat).alias("__lat"))
+    middle = lambda c, name: quantiles(rows, [cluster], c, {name: 0.5})
+    centre = middle(lon, "__lon").join(middle(lat, "__lat"), cluster)
     dx = (F.col(lon) - F.col("__lon")) * LON_M * F.cos(F.radians("__lat"))
     dist = F.hypot(dx, (F.col(lat) - F.col("__lat")) * LAT_M)
     return rows.join(centre, cluster).withColumns({"dist_m": dist, "outlier": dist > limit_m}).drop("__lon", "__lat")
 
 
-def extents(rows: DataFrame, cluster: str, lon: str, lat: str, pad: float) -> DataFrame:
-    """Padded bounding box, centroid and radius of each cluster."""
+def extents(rows: DataFrame, cluster: str, lon: str, lat: str, pad: float, *, limit_m: float = 2000) -> DataFrame:
+    """Padded bounding box, centroid and radius of each cluster, over the rows that ``outlier_flags`` does not flag."""
+    rows = outlier_flags(rows.select(cluster, lon, lat), cluster, lon, lat, limit_m).where("NOT outlier").select(cluster, lon, lat)
     box = rows.groupBy(cluster).agg(
         (F.min(lon) - pad).alias("west"), (F.min(lat) - pad).alias("south"), (F.max(lon) + pad).alias("east"), (F.max(lat) + pad).alias("north"),
         F.avg(lon).alias("lon"), F.avg(lat).alias("lat"),

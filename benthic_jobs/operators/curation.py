@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import stored
 from .matching import seeded
+from .ranks import numbered
 
 HABITATS = ["coral", "seagrass", "mangrove"]
 
@@ -72,35 +72,13 @@ def legacy_split(samples: DataFrame, habitat: str) -> tuple[DataFrame, DataFrame
 
 
 def equal_split(strata: DataFrame, key: str, total: int, seed: int) -> DataFrame:
-    """``total`` shared out evenly; the remainder goes to strata in seeded order. Strata are few (one row each)."""
+    """``total`` shared out evenly over the strata (one row each); the remainder goes to strata in seeded order."""
     n = strata.agg(F.count("*").alias("__n"))
-    rank = F.row_number().over(Window.orderBy(seeded(F.col(key), seed), key))
-    rows = strata.withColumn("__r", rank).crossJoin(F.broadcast(n))
+    rows = numbered(strata.select(key, seeded(F.col(key), seed).alias("__s")), ["__s", key], "__r").crossJoin(F.broadcast(n))
     share = F.expr(f"{total} div __n") + F.when(F.col("__r") <= F.lit(total) % F.col("__n"), 1).otherwise(0)
     return rows.select(key, share.cast("int").alias("quota"))
 
 
-def running_total(rows: DataFrame, order: list, value: Column, name: str) -> DataFrame:
-    """The sum of ``value`` up to each row of a global order: ranges are summed, then continued from their offsets.
-
-    The rows are sorted in ranges, as many as the session's shuffle partitions and the data's size ask for, so no single
-    task sees them all; equal keys of the order must not matter.
-    """
-    ranged = rows.withColumn("__v", value).repartitionByRange(*order).withColumn("__p", F.spark_partition_id())
-    ranged = stored(ranged, "ranges")
-    sums = ranged.groupBy("__p").agg(F.sum("__v").alias("__s"))  # a row for each range
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select("__p", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__base"))
-    within = F.sum("__v").over(Window.partitionBy("__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    joined = ranged.withColumn("__w", within).join(F.broadcast(base), "__p")
-    return joined.withColumn(name, F.col("__base") + F.col("__w")).drop("__p", "__w", "__v", "__base")
-
-
-def numbered(rows: DataFrame, order: list, name: str) -> DataFrame:
-    """Global row numbers from 1."""
-    return running_total(rows, order, F.lit(1).cast("long"), name)
-
-
 def allocate_ids(new: DataFrame, freed: DataFrame, used: DataFrame, order: list, key: str) -> DataFrame:
     """Ids for new rows: freed ones that are not in use, ascending, then the largest of all plus 1, 2, ..."""
     free = numbered(freed.select(key).distinct().join(used.select(key), key, "left_anti"), [key], "__i")

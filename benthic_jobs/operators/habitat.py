@@ -13,20 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .curation import running_total
-from .matching import seeded
-
-
-def even_odd(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
-    inside = np.zeros(len(x), bool)
-    for ring in rings:
-        x1, y1 = ring[:, 0], ring[:, 1]
-        x2, y2 = np.roll(x1, -1), np.roll(y1, -1)
-        cross = (y1 > y[:, None]) != (y2 > y[:, None])
-        rise = np.where(y2 == y1, 1.0, y2 - y1)
-        hit = cross & (x[:, None] < (x2 - x1) * (y[:, None] - y1) / rise + x1)
-        inside ^= hit.sum(axis=1) % 2 == 1
-    return inside
+from .matching import seeded, top_k_dealt
+from .ranks import running_total
 
 
 def _rings(value) -> list[np.ndarray]:
@@ -39,27 +27,46 @@ def with_boxes(polygons: DataFrame) -> DataFrame:
     return polygons.withColumns({"x0": F.array_min(x), "x1": F.array_max(x), "y0": F.array_min(y), "y1": F.array_max(y)})
 
 
+def crossings(edges: Column, x: Column, y: Column) -> Column:
+    """How many edges (x1, y1, x2, y2) a ray from the point to the east meets; odd: the point is inside."""
+
+    def met(e: Column) -> Column:
+        at = (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+        return F.when((e["y1"] > y) != (e["y2"] > y), F.when(x < at, 1).otherwise(0)).otherwise(0)
+
+    return F.aggregate(edges, F.lit(0), lambda n, e: n + met(e))
+
+
+def edges_of(rings: Column) -> Column:
+    """The edges of all rings, each closed by its first point."""
+    def one(r: Column) -> Column:
+        return F.transform(r, lambda p, i: F.struct(
+            p[0].alias("x1"), p[1].alias("y1"), r[(i + 1) % F.size(r)][0].alias("x2"), r[(i + 1) % F.size(r)][1].alias("y2"),
+        ))
+
+    return F.flatten(F.transform(rings, one))
+
+
 def inside(points: DataFrame, polygons: DataFrame, key: str, *, cell: float) -> DataFrame:
     """The points (key, lon, lat) that lie in any polygon (rings).
 
-    Candidates come from an equi-join of points with the grid cells of the polygons' boxes; the polygon is split by cells,
-    so a large one is many rows.
+    Candidates come from an equi-join of points with the grid cells of the polygons' boxes. A polygon is split: a cell has
+    those of its edges alone that a ray to the east from within the cell can meet, so a large polygon is many small rows.
     """
     at = lambda c: F.floor(c / cell).cast("int")
-    boxes = with_boxes(polygons).withColumn("cx", F.explode(F.sequence(at(F.col("x0")), at(F.col("x1")))))
-    boxes = boxes.withColumn("cy", F.explode(F.sequence(at(F.col("y0")), at(F.col("y1"))))).select("cx", "cy", "rings")
-    pairs = points.withColumns({"cx": at(F.col("lon")), "cy": at(F.col("lat"))}).join(boxes, ["cx", "cy"]).select(key, "lon", "lat", "rings")
-
-    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            ok = [bool(even_odd(np.array([x]), np.array([y]), _rings(r))[0]) for x, y, r in zip(b["lon"], b["lat"], b["rings"])]
-            yield b.loc[ok, [key]]
-
-    hits = pairs.mapInPandas(test, f"`{key}` {points.schema[key].dataType.simpleString()}").distinct()
+    parts = with_boxes(polygons).select("x0", "x1", "y0", "y1", edges_of(F.col("rings")).alias("edges"))
+    parts = parts.withColumn("cy", F.explode(F.sequence(at(F.col("y0")), at(F.col("y1")))))
+    south, north = F.col("cy") * cell, (F.col("cy") + 1) * cell
+    level = lambda e: (F.greatest(e["y1"], e["y2"]) >= south) & (F.least(e["y1"], e["y2"]) <= north)
+    parts = parts.withColumn("edges", F.filter("edges", level)).withColumn("cx", F.explode(F.sequence(at(F.col("x0")), at(F.col("x1")))))
+    west = F.col("cx") * cell
+    parts = parts.select("cx", "cy", F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= west).alias("edges"))
+    pairs = points.withColumns({"cx": at(F.col("lon")), "cy": at(F.col("lat"))}).join(parts.where(F.size("edges") > 0), ["cx", "cy"])
+    hits = pairs.where(crossings(F.col("edges"), F.col("lon"), F.col("lat")) % 2 == 1).select(key).distinct()
     return points.join(hits, key, "left_semi")
 
 
-def on_land(points: DataFrame, land: DataFrame, key: str, *, cell: float) -> DataFrame:
+def off_land(points: DataFrame, land: DataFrame, key: str, *, cell: float) -> DataFrame:
     """The points that are in no land polygon."""
     return points.join(inside(points, land, key, cell=cell).select(key), key, "left_anti")
 
@@ -128,12 +135,14 @@ def unit(key: Column, seed: int, salt: str) -> Column:
 
 
 def presence_points(cells: DataFrame, keys: list[str], n: int, seed: int, *, west: float, north: float, size: float) -> DataFrame:
-    """``n`` points of each key: cells in seeded order (again from the first if there are too few), jittered inside."""
+    """``n`` points of each key: cells in seeded order (again from the first if there are too few), jittered inside.
+
+    The first cells of each of many parts of a key are kept before the last rank, and cells are counted by groups.
+    """
     cell = F.concat_ws("|", *keys, "grid_row", "grid_col")
-    order = Window.partitionBy(*keys).orderBy(seeded(cell, seed), "grid_row", "grid_col")
-    ranked = cells.withColumn("__i", F.row_number().over(order) - 1).withColumn("__n", F.count("*").over(Window.partitionBy(*keys)))
-    rounds = F.sequence(F.lit(0), F.expr(f"({n} - 1 - __i) div __n"))
-    picked = ranked.where(F.col("__i") < n).withColumn("__round", F.explode(rounds))
+    first = top_k_dealt(cells.withColumn("__h", seeded(cell, seed)), keys, ["__h", "grid_row", "grid_col"], n, F.col("__h"))
+    ranked = first.withColumn("__i", F.col("rank") - 1).join(cells.groupBy(*keys).agg(F.count("*").alias("__n")), keys)
+    picked = ranked.withColumn("__round", F.explode(F.sequence(F.lit(0), F.expr(f"({n} - 1 - __i) div __n"))))
     key = F.concat_ws("|", cell, "__round")
     number = (F.col("__round") * F.col("__n") + F.col("__i")).cast("int")
     return picked.select(
@@ -163,7 +172,7 @@ def weighted_polygons(polygons: DataFrame, key: str, n: int, seed: int) -> DataF
     """``n`` draws of polygons with the probability of their equal-area area (key, draw, how many).
 
     Each draw is a seeded number; it falls into the interval of its polygon's running share. Draws and intervals meet in
-    buckets of the unit interval, so that neither side is compared as a whole.
+    as many buckets of the unit interval as there are draws, so that a bucket has about one draw.
     """
     lat = lambda p: F.sin(F.radians(p[1]))
     ring_area = lambda r: F.abs(F.aggregate(
@@ -175,8 +184,26 @@ def weighted_polygons(polygons: DataFrame, key: str, n: int, seed: int) -> DataF
     total = areas.agg(F.sum("area").alias("t"))
     shares = running_total(areas, [key], F.col("area"), "upto").crossJoin(F.broadcast(total))
     shares = shares.withColumns({"low": (F.col("upto") - F.col("area")) / F.col("t"), "high": F.col("upto") / F.col("t")})
-    bucket = lambda c: F.floor(c * 1024).cast("int")
+    bucket = lambda c: F.floor(c * float(n)).cast("long")
     spread = shares.withColumn("b", F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))))
     draws = polygons.sparkSession.range(n).select(F.col("id").alias("draw"), unit(F.col("id"), seed, "draw").alias("u"))
     hit = draws.withColumn("b", bucket(F.col("u"))).join(spread, "b").where("u >= low AND u < high")
     return hit.select("draw", key, "u")
+
+
+def points_in_polygons(draws: DataFrame, polygons: DataFrame, key: str, seed: int, *, tries: int = 64) -> DataFrame:
+    """A uniform point in the polygon of each draw (draw, key): the first of ``tries`` in its box that lies inside.
+
+    A draw of which no try lies inside has NULLs, as does one of an empty polygon.
+    """
+    shapes = with_boxes(polygons).select(key, "x0", "x1", "y0", "y1", edges_of(F.col("rings")).alias("__e"))
+    rows = draws.join(shapes, key)
+
+    def tried(i: Column) -> Column:
+        name = F.concat_ws("|", F.col("draw").cast("string"), i.cast("string"))
+        side = lambda salt, a, z: F.col(a) + unit(name, seed, salt) * (F.col(z) - F.col(a))
+        return F.struct(side("lon", "x0", "x1").alias("lon"), side("lat", "y0", "y1").alias("lat"))
+
+    every = F.transform(F.sequence(F.lit(0), F.lit(tries - 1)), tried)
+    first = F.get(F.filter(every, lambda p: crossings(F.col("__e"), p["lon"], p["lat"]) % 2 == 1), F.lit(0))
+    return rows.withColumn("__p", first).select(*draws.columns, "__p.lon", "__p.lat")

@@ -1,7 +1,9 @@
 """Joins of observations with scenes: nearest in time, tiered by clarity, by place, and low with high resolution.
 
-A join within N days is an equi-join on buckets of N days: each observation looks into its own bucket and both
-neighbours, so no pair outside them is ever built. Ties go to the scene acquired first, then the smaller id.
+Pairs are never listed. What is asked for and what is found are reduced to days first, so that a key has a row for each
+calendar day at most, whatever its number of observations and scenes; each asked day looks back and ahead in the order of
+days, and the answers go to the observations by a join on key and day. Ties go to the scene acquired first, then the
+smaller id.
 """
 
 from __future__ import annotations
@@ -10,21 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def day_distance(scene: Column, obs: Column) -> Column:
-    """Whole days between an acquisition time and a date; twelve hours before the date count as one day."""
-    seconds = F.unix_timestamp(scene.cast("timestamp")) - F.unix_timestamp(obs.cast("timestamp"))
-    return F.abs(F.floor(seconds / 86400)).cast("int")
-
-
-def near_pairs(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_date: str, acquired: str, days: int, *, exclusive_end: bool = False) -> DataFrame:
-    """Pairs with equal ``keys`` within ``days``, with ``dist``; ``exclusive_end`` leaves out the last day."""
-    bucket = lambda c: F.floor(F.unix_date(F.col(c).cast("date")) / days).cast("int")
-    left = obs.withColumn("__b", F.explode(F.array(*(bucket(obs_date) + i for i in (-1, 0, 1)))))
-    pairs = left.join(scenes.withColumn("__b", bucket(acquired)), [*keys, "__b"]).drop("__b")
-    pairs = pairs.withColumn("dist", day_distance(F.col(acquired), F.col(obs_date))).where(F.col("dist") <= days)
-    if exclusive_end:
-        pairs = pairs.where(F.col(acquired) < F.date_add(obs_date, days).cast("timestamp"))
-    return pairs
+def day_of(c: str) -> Column:
+    """Whole days: a scene twelve hours before a date is a day before it, one twelve hours after is of the same day."""
+    return F.unix_date(F.col(c).cast("date"))
 
 
 def first_by(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -32,28 +22,37 @@ def first_by(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     return rows.withColumn("__r", rank).where("__r = 1").drop("__r")
 
 
-def nearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_date: str, acquired: str, scene_id: str, days: int) -> DataFrame:
-    """Each observation's nearest scene (``scene_id``, ``dist``) or NULLs.
+def neighbours(asked: DataFrame, found: DataFrame, keys: list[str], sides: list[str], extra: dict[str, Column] | None = None) -> DataFrame:
+    """Of each asked (keys, ``__d``), for each column of ``sides`` the last day up to it and the first one from it on with a value.
 
-    Pairs are never listed: the first scene of each day goes to its bucket of ``days`` days and both neighbours, and in each
-    bucket an observation looks at the last scene day up to its own and the first one from it on.
+    They are structs ``<side>_a`` and ``<side>_z`` of ``__d`` and ``s``. ``found`` has a row for each key and day; ``extra``
+    are columns over all rows of a key. Both directions are running frames, which cost a step for each row.
     """
-    day = lambda c: F.unix_date(F.col(c).cast("date"))
-    bucket = lambda c: F.floor(F.col(c) / days).cast("int")
-    firsts = scenes.groupBy(*keys, day(acquired).alias("__d")).agg(F.min(F.struct(F.col(acquired).alias("t"), F.col(scene_id).alias("s"))).alias("__s"))
-    firsts = firsts.dropna(subset=[*keys, "__d"]).withColumn("__b", F.explode(F.array(*(bucket("__d") + i for i in (-1, 0, 1)))))
-    rows = obs.select(*keys, day(obs_date).alias("__d"), F.struct(*obs.columns).alias("__o")).withColumn("__b", bucket("__d"))
-    both = rows.unionByName(firsts, allowMissingColumns=True)
-    order = Window.partitionBy(*keys, "__b").orderBy("__d")
-    seen = F.when(F.col("__s").isNotNull(), F.struct("__d", "__s"))
-    both = both.withColumns({
-        "__a": F.last(seen, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)),
-        "__z": F.first(seen, ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing)),
-    }).where(F.col("__o").isNotNull())
-    choice = lambda c: F.when(F.col(f"{c}.__d").isNotNull(), F.struct(F.abs(F.col(f"{c}.__d") - F.col("__d")).alias("dist"), F.col(f"{c}.__s").alias("s")))
-    nearest = F.least(choice("__a"), choice("__z"))
-    best = both.withColumn("__best", F.when(nearest["dist"] <= days, nearest))
-    return best.select("__o.*", F.col("__best.s.s").alias(scene_id), F.col("__best.dist").alias("dist"))
+    more = [c for c in found.columns if c not in (*keys, "__d")]
+    both = asked.select(*keys, "__d").withColumn("__ask", F.lit(True)).unionByName(found, allowMissingColumns=True).dropna(subset=[*keys, "__d"])
+    both = both.groupBy(*keys, "__d").agg(F.max("__ask").alias("__ask"), *(F.min(c).alias(c) for c in more))
+    one, looks = Window.partitionBy(*keys), {}
+    for c in sides:
+        seen = F.when(F.col(c).isNotNull(), F.struct("__d", F.col(c).alias("s")))
+        looks[f"{c}_a"] = F.last(seen, ignorenulls=True).over(one.orderBy("__d"))
+        looks[f"{c}_z"] = F.last(seen, ignorenulls=True).over(one.orderBy(F.desc("__d")))
+    return both.withColumns(looks | (extra or {})).where("__ask").drop("__ask", *more)
+
+
+def _answered(obs: DataFrame, obs_date: str, keys: list[str], best: DataFrame) -> DataFrame:
+    """``obs`` with what is known of its key and day; all of them stay."""
+    return obs.withColumn("__d", day_of(obs_date)).join(best, [*keys, "__d"], "left")
+
+
+def nearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_date: str, acquired: str, scene_id: str, days: int) -> DataFrame:
+    """Each observation's nearest scene (``scene_id``, ``dist``) within ``days``, or NULLs."""
+    first = F.min(F.struct(F.col(acquired).alias("t"), F.col(scene_id).alias("s"))).alias("first")
+    found = scenes.groupBy(*keys, day_of(acquired).alias("__d")).agg(first)
+    near = neighbours(obs.select(*keys, day_of(obs_date).alias("__d")).distinct(), found, keys, ["first"])
+    choice = lambda c: F.when(F.col(f"{c}.__d").isNotNull(), F.struct(F.abs(F.col(f"{c}.__d") - F.col("__d")).alias("dist"), F.col(f"{c}.s").alias("s")))
+    best = near.select(*keys, "__d", F.least(choice("first_a"), choice("first_z")).alias("__best")).where(F.col("__best.dist") <= days)
+    out = _answered(obs, obs_date, keys, best)
+    return out.select(*obs.columns, F.col("__best.s.s").alias(scene_id), F.col("__best.dist").alias("dist"))
 
 
 def clarity_tier(score: Column) -> Column:
@@ -61,59 +60,35 @@ def clarity_tier(score: Column) -> Column:
 
 
 def clearest_scene(obs: DataFrame, scenes: DataFrame, keys: list[str], obs_date: str, acquired: str, scene_id: str, score: str, days: int) -> DataFrame:
-    """The nearest scene of the best clarity tier that has any; without any score the first scene. The last day is open.
-
-    As in ``nearest_scene``, no pairs: in each bucket of days an observation looks at the nearest scene days of each tier.
-    """
-    day = lambda c: F.unix_date(F.col(c).cast("date"))
-    bucket = lambda c: F.floor(F.col(c) / days).cast("int")
-    best_of_day = F.min(F.struct(F.col(acquired).alias("t"), F.col(scene_id).alias("s"))).alias("__s")
-    firsts = scenes.groupBy(*keys, day(acquired).alias("__d"), clarity_tier(F.col(score)).alias("tier")).agg(best_of_day)
-    firsts = firsts.dropna(subset=[*keys, "__d"]).withColumn("__b", F.explode(F.array(*(bucket("__d") + i for i in (-1, 0, 1)))))
-    rows = obs.select(*keys, day(obs_date).alias("__d"), F.struct(*obs.columns).alias("__o")).withColumn("__b", bucket("__d"))
-    both = rows.unionByName(firsts, allowMissingColumns=True)
-    order = Window.partitionBy(*keys, "__b").orderBy("__d")
-    looks = {}
-    for k in range(4):
-        seen = F.when(F.col("tier") == k, F.struct("__d", "__s"))
-        looks[f"__a{k}"] = F.last(seen, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0))
-        looks[f"__z{k}"] = F.first(seen, ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing))
-    unscored = F.when(F.col("tier") == 4, F.struct("__s", "__d"))
-    looks["__first"] = F.min(unscored).over(order.rangeBetween(-days, days - 1))
-    both = both.withColumns(looks).where(F.col("__o").isNotNull())
+    """The nearest scene of the best clarity tier that has any; without any score the first scene. The last day is open."""
+    scene, tier = F.struct(F.col(acquired).alias("t"), F.col(scene_id).alias("s")), clarity_tier(F.col(score))
+    firsts = [F.min(F.when(tier == k, scene)).alias(f"t{k}") for k in range(5)]
+    found = scenes.groupBy(*keys, day_of(acquired).alias("__d")).agg(*firsts)
+    unscored = F.when(F.col("t4").isNotNull(), F.struct(F.col("t4").alias("s"), "__d"))
+    first = F.min(unscored).over(Window.partitionBy(*keys).orderBy("__d").rangeBetween(-days, days - 1))  # 2 * days rows at most
+    near = neighbours(obs.select(*keys, day_of(obs_date).alias("__d")).distinct(), found, keys, [f"t{k}" for k in range(4)], {"first": first})
 
     def choice(c: str, tier: int, rank: bool) -> Column:
         gap = F.col(f"{c}.__d") - F.col("__d")
         place = F.abs(gap) if rank else F.lit(None).cast("int")
-        found = F.struct(F.lit(tier).alias("tier"), place.alias("place"), F.col(f"{c}.__s").alias("s"), F.abs(gap).alias("dist"))
-        return F.when(gap.between(-days, days - 1), found)
+        one = F.struct(F.lit(tier).alias("tier"), place.alias("place"), F.col(f"{c}.s").alias("s"), F.abs(gap).alias("dist"))
+        return F.when(gap.between(-days, days - 1), one)
 
-    ends = [choice(f"__{side}{k}", k, True) for k in range(4) for side in "az"]
-    best = both.withColumn("__best", F.least(*ends, choice("__first", 4, False)))
-    found = {scene_id: "__best.s.s", "dist": "__best.dist", "tier": "__best.tier"}
-    return best.select("__o.*", *(F.col(c).alias(n) for n, c in found.items()))
+    ends = [choice(f"t{k}_{side}", k, True) for k in range(4) for side in "az"]
+    best = near.select(*keys, "__d", F.least(*ends, choice("first", 4, False)).alias("__best"))
+    names = {scene_id: "__best.s.s", "dist": "__best.dist", "tier": "__best.tier"}
+    return _answered(obs, obs_date, keys, best).select(*obs.columns, *(F.col(c).alias(n) for n, c in names.items()))
 
 
 def same_day_else_nearest(obs: DataFrame, files: DataFrame, keys: list[str], obs_date: str, file_date: str, file: str) -> DataFrame:
-    """A site's raster of the same day, else the nearest in time, else (date unknown) the first file.
-
-    Sites and files of a key stand in one order of dates; each site looks at the last file up to it and the first one from
-    it on, so that pairs are never listed.
-    """
-    firsts = files.groupBy(*keys, F.col(file_date).alias("__d")).agg(F.min(file).alias("__f"))
+    """A site's raster of the same day, else the nearest in time, else (date unknown) the first file."""
+    found = files.groupBy(*keys, day_of(file_date).alias("__d")).agg(F.min(file).alias("f"))
     any_file = files.groupBy(*keys).agg(F.min(file).alias("__any"))
-    rows = obs.select(*keys, F.col(obs_date).alias("__d"), F.struct(*obs.columns).alias("__o"))
-    both = rows.unionByName(firsts.dropna(subset=[*keys, "__d"]), allowMissingColumns=True)
-    order = Window.partitionBy(*keys).orderBy("__d")
-    near = F.when(F.col("__f").isNotNull(), F.struct("__d", "__f"))
-    both = both.withColumns({
-        "__a": F.last(near, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)),
-        "__z": F.first(near, ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing)),
-    }).where(F.col("__o").isNotNull())
-    choice = lambda c: F.when(F.col(f"{c}.__d").isNotNull() & F.col("__d").isNotNull(), F.struct(F.abs(F.datediff(f"{c}.__d", "__d")).alias("dist"), F.col(f"{c}.__f").alias("f")))
-    best = both.join(any_file, keys, "left").withColumn("__best", F.least(choice("__a"), choice("__z")))
-    found = F.coalesce("__best.f", "__any").alias(file)
-    return best.select("__o.*", found, F.col("__best.dist").alias("dist"))
+    near = neighbours(obs.select(*keys, day_of(obs_date).alias("__d")).distinct(), found, keys, ["f"])
+    choice = lambda c: F.when(F.col(f"{c}.__d").isNotNull(), F.struct(F.abs(F.col(f"{c}.__d") - F.col("__d")).alias("dist"), F.col(f"{c}.s").alias("f")))
+    best = near.select(*keys, "__d", F.least(choice("f_a"), choice("f_z")).alias("__best"))
+    out = _answered(obs, obs_date, keys, best).join(any_file, keys, "left")
+    return out.select(*obs.columns, F.coalesce("__best.f", "__any").alias(file), F.col("__best.dist").alias("dist"))
 
 
 def catalogue_search(aois: DataFrame, scenes: DataFrame, aoi_id: str, *, cell: float, cloud: float = 20, nodata: float = 5, coverage: float = 0, top: int = 8) -> DataFrame:
@@ -142,6 +117,12 @@ def top_k(rows: DataFrame, keys: list[str], order: list, k: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= k)
 
 
+def top_k_dealt(rows: DataFrame, keys: list[str], order: list, k: int, by: Column, groups: int = 64) -> DataFrame:
+    """As ``top_k``, for few and large keys: the first k of each of ``groups`` parts come first, then those of the key."""
+    parts = rows.withColumn("__part", F.pmod(F.xxhash64(by), F.lit(groups)))
+    return top_k(top_k(parts, [*keys, "__part"], order, k).drop("__part"), keys, order, k)
+
+
 def quality_order(cloud: Column, key: Column, seed: int) -> list[Column]:
     """Least cloud first, ties by a seeded hash, so that no year is favoured."""
     return [cloud.asc_nulls_last(), seeded(key, seed)]
@@ -152,16 +133,28 @@ def seeded(key: Column, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string")))
 
 
+def counts_within(asked: DataFrame, found: DataFrame, keys: list[str], days: int) -> DataFrame:
+    """Of each asked (keys, ``__d``) how many rows of ``found`` (keys, ``__d``) lie within ``days``, as ``n``."""
+    daily = found.groupBy(*keys, "__d").agg(F.count("*").alias("n"))
+    order = Window.partitionBy(*keys).orderBy("__d")
+    upto = F.sum("n").over(order.rangeBetween(Window.unboundedPreceding, days))
+    before = F.coalesce(F.sum("n").over(order.rangeBetween(Window.unboundedPreceding, -days - 1)), F.lit(0))
+    out = neighbours(asked.distinct(), daily, keys, [], {"__n": F.coalesce(upto, F.lit(0)) - before})
+    return out.withColumnRenamed("__n", "n")
+
+
 def pair_resolutions(high: DataFrame, low: DataFrame, *, keys: list[str], days: int = 90, least: int = 6, most: int = 8, cloud: float = 20) -> DataFrame:
     """For each location the first high-resolution scene in rank order that passes QA with enough low ones.
 
     ``high``: location_id, keys, hr_id, hr_date, rank, qa_ok. ``low``: keys, lr_id, lr_date, cloud_cover. A location is given
-    up at its first scene with fewer than ``least`` low ones, whatever comes after it.
+    up at its first scene with fewer than ``least`` low ones, whatever comes after it. Low ones are counted for each key and
+    day, not for each location.
     """
-    good = low.where(F.col("cloud_cover") < cloud)
-    pairs = near_pairs(high.select("location_id", "hr_id", "hr_date", *keys), good, keys, "hr_date", "lr_date", days)
-    found = pairs.groupBy("location_id", "hr_id").agg(F.least(F.count("*"), F.lit(most)).alias("n_low"))
-    rows = high.join(found, ["location_id", "hr_id"], "left").withColumn("n_low", F.coalesce("n_low", F.lit(0)).cast("int"))
+    good = low.where(F.col("cloud_cover") < cloud).select(*keys, day_of("lr_date").alias("__d"))
+    counts = counts_within(high.select(*keys, day_of("hr_date").alias("__d")), good, keys, days)
+    rows = high.withColumn("__d", day_of("hr_date")).join(counts, [*keys, "__d"], "left")
+    n_low = F.least(F.coalesce("n", F.lit(0)), F.lit(most)).cast("int")
+    rows = rows.select(*high.columns, n_low.alias("n_low"))
     so_far = Window.partitionBy("location_id").orderBy("rank", "hr_id").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("short", F.sum((F.col("n_low") < least).cast("int")).over(so_far)).where("short = 0 AND qa_ok")
     return first_by(rows, ["location_id"], ["rank", "hr_id"]).drop("short")

@@ -7,6 +7,7 @@ one image at a time, so keep ``spark.sql.execution.arrow.maxRecordsPerBatch`` sm
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -86,33 +87,47 @@ def standardized(images: DataFrame, keys: list[str], *, patch: int, step: float)
     return images.mapInPandas(run, f"{fields}, data array<int>")
 
 
-def upsample(source: np.ndarray, h: int, w: int) -> np.ndarray:
-    """Cubic interpolation with the corners in place."""
+@cache
+def _spline(m: int, n: int) -> np.ndarray:
+    """The n x m matrix of third-order spline interpolation with the corners in place and mirrored ends."""
+    mirror = lambda i: np.abs((i + m - 1) % max(1, 2 * (m - 1)) - (m - 1)) if m > 1 else i * 0
+    basis = np.zeros((m, m))
+    for k, weight in ((-1, 1 / 6), (0, 4 / 6), (1, 1 / 6)):
+        np.add.at(basis, (np.arange(m), mirror(np.arange(m) + k)), weight)
+    at = np.arange(n) * ((m - 1) / max(1, n - 1))
+    i = np.floor(at).astype(int)
+    t, values = at - i, np.zeros((n, m))
+    for k, weight in ((-1, (1 - t) ** 3), (0, 3 * t**3 - 6 * t**2 + 4), (1, -3 * t**3 + 3 * t**2 + 3 * t + 1), (2, t**3)):
+        np.add.at(values, (np.arange(n), mirror(i + k)), weight / 6)
+    return values @ np.linalg.inv(basis)
+
 
-    def along(x: np.ndarray, n: int) -> np.ndarray:
-        m = len(x)
-        at = np.linspace(0, m - 1, n)
-        i = np.clip(np.floor(at).astype(int), 0, max(m - 2, 0))
-        t = (at - i)[:, None]
-        p = [x[np.clip(i + k, 0, m - 1)] for k in (-1, 0, 1, 2)]
-        return p[1] + t / 2 * (p[2] - p[0] + t * (2 * p[0] - 5 * p[1] + 4 * p[2] - p[3] + t * (3 * (p[1] - p[2]) + p[3] - p[0])))
+def upsample(source: np.ndarray, h: int, w: int) -> np.ndarray:
+    """Third-order spline interpolation with the corners in place."""
+    return _spline(source.shape[0], h) @ source @ _spline(source.shape[1], w).T
 
-    return along(along(source, h).T, w).T
 
+def phase_shift(low: np.ndarray, high: np.ndarray) -> tuple[int, int, float] | None:
+    """(dx, dy, magnitude): how far ``high`` is shifted against ``low``, brought to its size; none if that cannot be.
 
-def phase_shift(low: np.ndarray, high: np.ndarray) -> tuple[int, int, float]:
-    """(dx, dy, magnitude): how far ``low``, brought to the size of ``high``, is shifted against it."""
+    ``low`` is scaled by the ratio of the heights and cut off where it is larger. Half a period counts as negative.
+    """
+    filled = lambda x: np.nan_to_num(x, nan=float(np.nanmean(x)))
+    low, (h, w) = filled(low), high.shape
+    if low.shape != high.shape:
+        scale = h / low.shape[0]
+        low = upsample(low, round(low.shape[0] * scale), round(low.shape[1] * scale))[:h, :w]
     if low.shape != high.shape:
-        low = upsample(low, *high.shape)
-    std = lambda x: (np.nan_to_num(x, nan=float(np.nanmean(x))) - np.nanmean(x)) / (np.nanstd(x) or 1.0)
-    cross = np.fft.fft2(std(low)) * np.conj(np.fft.fft2(std(high)))
-    peak = np.unravel_index(int(np.argmax(np.fft.ifft2(cross / (np.abs(cross) + 1e-12)).real)), high.shape)
-    dy, dx = (int(p) - n if p > n // 2 else int(p) for p, n in zip(peak, high.shape))
+        return None
+    std = lambda x: (x - x.mean()) / (x.std() or 1.0)
+    cross = np.fft.fft2(std(filled(high))) * np.conj(np.fft.fft2(std(low)))
+    peak = np.unravel_index(int(np.argmax(np.abs(np.fft.ifft2(cross / (np.abs(cross) + 1e-12))))), (h, w))
+    dy, dx = (int(p) - n if p >= n - n // 2 else int(p) for p, n in zip(peak, (h, w)))
     return dx, dy, float(np.hypot(dx, dy))
 
 
 def shifts(pairs: DataFrame, key: str) -> DataFrame:
-    """Registration of rows (key, lr, lr_h, lr_w, hr, hr_h, hr_w); images without two distinct values have none."""
+    """Registration of rows (key, lr, lr_h, lr_w, hr, hr_h, hr_w); images without two distinct values, or of shapes that don't fit, have none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -120,9 +135,9 @@ def shifts(pairs: DataFrame, key: str) -> DataFrame:
             for r in b.to_dict("records"):
                 low, high = image(r["lr"], r["lr_h"], r["lr_w"]), image(r["hr"], r["hr_h"], r["hr_w"])
                 flat = any(np.isnan(x).all() or np.nanstd(x) == 0 for x in (low, high))
-                out.append((r[key], *((None, None, None) if flat else phase_shift(low, high))))
-            frame = pd.DataFrame(out, columns=[key, "dx", "dy", "magnitude"])
-            yield frame.astype({"dx": "Int64", "dy": "Int64", "magnitude": "float64"})
+                out.append((r[key], *((None if flat else phase_shift(low, high)) or (None, None, None))))
+            columns = zip([key, "dx", "dy", "magnitude"], zip(*out) if out else [()] * 4)
+            yield pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in columns})
 
     return pairs.mapInPandas(run, f"`{key}` {pairs.schema[key].dataType.simpleString()}, dx int, dy int, magnitude double")
 

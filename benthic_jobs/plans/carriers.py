@@ -58,8 +58,10 @@ SQL = {
         FROM customer""",
     "cells": """
         SELECT DISTINCT CASE l_linenumber % 3 WHEN 0 THEN 'coral' WHEN 1 THEN 'seagrass' ELSE 'mangrove' END AS habitat,
-               CAST(l_partkey % 400 AS INT) AS grid_row, CAST(l_orderkey % 400 AS INT) AS grid_col
-        FROM lineitem WHERE l_quantity < 3""",
+               CAST(l_partkey % 660 AS INT) AS grid_row, CAST(l_orderkey % 1400 AS INT) AS grid_col
+        FROM lineitem""",
+    "water": """
+        SELECT DISTINCT CAST(o_custkey % 660 AS INT) AS grid_row, CAST(o_orderkey % 1400 AS INT) AS grid_col FROM orders""",
     "pixels": _PIXELS,
     "stacks": """
         SELECT scene_id, prow, pcol, CAST(MAX(CASE WHEN band = 0 THEN dn END) AS DOUBLE) / 10000 AS b1,

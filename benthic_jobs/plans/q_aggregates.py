@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geometry import season
 from ..operators import analyse, collapse, curation, quality, sampling
+from ..operators.ranks import quantiles
 from .carriers import carrier, table
 from .registry import query, rounded
 
@@ -101,9 +103,11 @@ def a07(spark: SparkSession, d: str) -> DataFrame:
 
 @query("a08_date_spread", """
 SELECT island, CAST(date_trunc('month', survey_date) AS DATE) AS month, count(DISTINCT survey_date) AS n_dates, count(*) AS n, min(survey_date) AS first_day,
-  max(survey_date) AS last_day FROM annotations GROUP BY ALL""")
+  max(survey_date) AS last_day, min(27 + analyst * 0.25)::DOUBLE AS south, min(-83 + site % 40 * 0.5)::DOUBLE AS west, max(27 + analyst * 0.25)::DOUBLE AS north,
+  max(-83 + site % 40 * 0.5)::DOUBLE AS east FROM annotations GROUP BY ALL""")
 def a08(spark: SparkSession, d: str) -> DataFrame:
-    return collapse.date_spread(carrier(spark, d, "annotations"), "island", "survey_date")
+    places = {"lat": F.lit(27.0) + F.col("analyst") * F.lit(0.25), "lon": F.lit(-83.0) + F.col("site") % 40 * F.lit(0.5)}
+    return collapse.date_spread(carrier(spark, d, "annotations").withColumns(places), "island", "survey_date", "lon", "lat")
 
 
 @query("a09_merged_windows", """
@@ -116,14 +120,17 @@ def a09(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("a10_extents", """
-WITH b AS (SELECT l_linenumber AS cluster, min(lon) - 0.05 AS west, min(lat) - 0.05 AS south, max(lon) + 0.05 AS east, max(lat) + 0.05 AS north, avg(lon) AS lon, avg(lat) AS lat
-  FROM obs GROUP BY 1)
+WITH m AS (SELECT l_linenumber AS cluster, median(lon) AS mx, median(lat) AS my FROM obs GROUP BY 1),
+i AS (SELECT cluster, lon, lat FROM obs JOIN m ON l_linenumber = cluster
+  WHERE sqrt(((lon - mx) * 111320 * cos(radians(my))) ** 2 + ((lat - my) * 110540) ** 2) <= 20000),
+b AS (SELECT cluster, min(lon) - 0.05 AS west, min(lat) - 0.05 AS south, max(lon) + 0.05 AS east, max(lat) + 0.05 AS north, avg(lon) AS lon, avg(lat) AS lat
+  FROM i GROUP BY 1)
 SELECT cluster, round(west, 6)::DOUBLE AS west, round(south, 6)::DOUBLE AS south, round(east, 6)::DOUBLE AS east, round(north, 6)::DOUBLE AS north,
   round(any_value(b.lon), 6) AS lon, round(any_value(b.lat), 6) AS lat,
   round(max(sqrt(((o.lon - b.lon) * 111320 * cos(radians(b.lat))) ** 2 + ((o.lat - b.lat) * 110540) ** 2)), 3) AS radius_m
-FROM obs o JOIN b ON o.l_linenumber = b.cluster GROUP BY cluster, west, south, east, north""")
+FROM i o JOIN b USING (cluster) GROUP BY cluster, west, south, east, north""")
 def a10(spark: SparkSession, d: str) -> DataFrame:
-    out = collapse.extents(carrier(spark, d, "obs").withColumnRenamed("l_linenumber", "cluster"), "cluster", "lon", "lat", 0.05)
+    out = collapse.extents(carrier(spark, d, "obs").withColumnRenamed("l_linenumber", "cluster"), "cluster", "lon", "lat", 0.05, limit_m=20000)
     return out.withColumns({c: rounded(c, 6) for c in ("west", "south", "east", "north", "lon", "lat")}).withColumn("radius_m", rounded("radius_m", 3))
 
 
@@ -207,10 +214,23 @@ def a19(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("a20_class_counts", """
-SELECT habitat_class, CASE WHEN latitude >= 0 THEN 'north' ELSE 'south' END AS hemisphere, CAST(location_id % 4 AS BIGINT) AS season, count(*) AS n FROM samples GROUP BY ALL""")
+SELECT habitat_class, CASE WHEN latitude >= 0 THEN 'north' ELSE 'south' END AS hemisphere, CAST((month(o_orderdate) - 1) // 3 AS INT) AS season, count(*) AS n
+FROM samples JOIN orders ON location_id = o_custkey GROUP BY ALL""")
 def a20(spark: SparkSession, d: str) -> DataFrame:
     hemisphere = F.when(F.col("latitude") >= 0, "north").otherwise("south").alias("hemisphere")
-    return carrier(spark, d, "samples").groupBy("habitat_class", hemisphere, (F.col("location_id") % 4).alias("season")).agg(F.count("*").alias("n"))
+    return _dated_samples(spark, d).groupBy("habitat_class", hemisphere, season(F.col("day")).alias("season")).agg(F.count("*").alias("n"))
+
+
+@query("a20_year_counts", """
+SELECT habitat_class, CAST(year(o_orderdate) AS INT) AS year, count(*) AS n FROM samples JOIN orders ON location_id = o_custkey GROUP BY ALL""")
+def a20_years(spark: SparkSession, d: str) -> DataFrame:
+    return _dated_samples(spark, d).groupBy("habitat_class", F.year("day").alias("year")).agg(F.count("*").alias("n"))
+
+
+def _dated_samples(spark: SparkSession, d: str) -> DataFrame:
+    """Samples with the days of their acquisitions."""
+    days = table(spark, d, "orders").select(F.col("o_custkey").alias("location_id"), F.col("o_orderdate").cast("date").alias("day"))
+    return carrier(spark, d, "samples").join(days, "location_id")
 
 
 @query("a21_depth_histogram", """
@@ -218,7 +238,7 @@ WITH q AS (SELECT greatest(quantile_cont(depth_m, 0.99), 1) AS hi FROM samples)
 SELECT habitat_class, CAST(least(floor(depth_m / hi * 50), 49) AS INT) AS bin, count(*) AS n FROM samples, q WHERE depth_m BETWEEN 0 AND hi GROUP BY ALL""")
 def a21(spark: SparkSession, d: str) -> DataFrame:
     s = carrier(spark, d, "samples")
-    top = s.agg(F.greatest(F.percentile("depth_m", 0.99), F.lit(1.0)).alias("hi"))
+    top = quantiles(s, [], "depth_m", {"q": 0.99}).select(F.greatest("q", F.lit(1.0)).alias("hi"))
     return analyse.histogram(s.crossJoin(F.broadcast(top)), ["habitat_class"], "depth_m", F.lit(0.0), F.col("hi"), 50)
 
 

@@ -211,13 +211,25 @@ def p18(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("p19_bottom_reflectance", """
-SELECT obs_id, CASE WHEN depth_m > 0 THEN round(least(0.05 * exp(2 * 0.3 * depth_m), 1), 6) END AS bottom_b2,
-  CASE WHEN depth_m > 0 THEN round(least(0.05 * exp(2 * 0.045 * depth_m), 1), 6) END AS clear_b2 FROM obs""")
+WITH k AS (SELECT s_suppkey AS scene_id, 0.02 + s_suppkey % 20 * 0.01 AS kd_b2, CASE WHEN s_suppkey % 3 = 0 THEN 0.11 END AS kd_b3 FROM supplier WHERE s_suppkey % 2 = 0)
+SELECT s.scene_id, prow, pcol, CASE WHEN depth > 0 THEN round(least(b2 * exp(2 * 0.3 * depth), 1), 6) END AS bottom_b2,
+  CASE WHEN depth > 0 THEN round(least(b2 * exp(2 * 0.045 * depth), 1), 6) END AS clear_b2,
+  CASE WHEN depth > 0 THEN round(least(b2 * exp(2 * coalesce(kd_b2, 0.3) * depth), 1), 6) END AS site_b2,
+  CASE WHEN depth > 0 THEN round(least(b3 * exp(2 * coalesce(kd_b3, 0.15) * depth), 1), 6) END AS site_b3
+FROM (SELECT *, (s.scene_id % 9 - 1) * 0.5 AS depth FROM stacks s) s LEFT JOIN k ON k.scene_id = s.scene_id""")
 def p19(spark: SparkSession, d: str) -> DataFrame:
-    s = carrier(spark, d, "obs").withColumns({f"b{b}": F.lit(0.05) for b in "1 2 3 4 5 6 7 8 8a".split()})
-    coast = spectral.bottom_reflectances("S2", "", F.col("depth_m"))["bottom_b2"]
-    clear = spectral.bottom_reflectances("S2", "", F.col("depth_m"), KD_CLEAR["S2"])["bottom_b2"]
-    return s.select("obs_id", *_rounded({"bottom_b2": coast, "clear_b2": clear}))
+    """By the coast's attenuation, by that of clear water, and by a table of sites' own, where a site has one."""
+    s = carrier(spark, d, "stacks").withColumns({"b8a": F.col("b8"), "depth": (F.col("scene_id") % 9 - 1) * F.lit(0.5)})
+    site = F.col("s_suppkey")
+    own = table(spark, d, "supplier").where(site % 2 == 0).select(
+        site.alias("scene_id"), (F.lit(0.02) + site % 20 * F.lit(0.01)).alias("kd_b2"), F.when(site % 3 == 0, 0.11).alias("kd_b3")
+    )
+    coast = spectral.bottom_reflectances("S2", "", F.col("depth"))["bottom_b2"]
+    clear = spectral.bottom_reflectances("S2", "", F.col("depth"), KD_CLEAR["S2"])["bottom_b2"]
+    rows, kd = spectral.site_attenuation(s, own, ["scene_id"], "S2")
+    mine = spectral.bottom_reflectances("S2", "", F.col("depth"), kd)
+    named = {"bottom_b2": coast, "clear_b2": clear, "site_b2": mine["bottom_b2"], "site_b3": mine["bottom_b3"]}
+    return rows.select("scene_id", "prow", "pcol", *_rounded(named))
 
 
 @query("p20_deglint", """

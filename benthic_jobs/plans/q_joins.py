@@ -93,17 +93,16 @@ SELECT location_id, hr_id, CAST(n_low AS INT) AS n_low FROM (
 def j05(spark: SparkSession, d: str) -> DataFrame:
     scenes = carrier(spark, d, "scenes")
     places = carrier(spark, d, "samples").select("location_id", "tile")
-    high = places.join(scenes.where("sensor = 'S2' AND cloud_cover < 20"), "tile")
     order = [*matching.quality_order(F.col("cloud_cover"), F.col("scene_id"), 42), "scene_id"]
-    high = matching.top_k(high, ["location_id"], order, 30)
-    high = high.select("location_id", "tile", F.col("scene_id").alias("hr_id"), F.col("acq_date").alias("hr_date"), "rank", (F.col("scene_id") % 3 != 0).alias("qa_ok"))
+    best = matching.top_k(scenes.where("sensor = 'S2' AND cloud_cover < 20"), ["tile"], order, 30)  # the order is the same for all places
+    high = places.join(best, "tile").select("location_id", "tile", F.col("scene_id").alias("hr_id"), F.col("acq_date").alias("hr_date"), "rank", (F.col("scene_id") % 3 != 0).alias("qa_ok"))
     low = scenes.where("sensor = 'LS'").select("tile", F.col("scene_id").alias("lr_id"), F.col("acq_date").alias("lr_date"), "cloud_cover")
     return matching.pair_resolutions(high, low, keys=["tile"], days=180, least=3, cloud=60).select("location_id", "hr_id", "n_low")
 
 
 @query("j06_fuzzy_names", """
 WITH l AS (SELECT DISTINCT CASE WHEN p_size % 4 = 0 THEN p_name || ' north' WHEN p_size % 4 = 1 THEN trim(substr(p_name, 1, 5)) ELSE p_name END AS site FROM part),
-r AS (SELECT p_name AS folder, count(*) AS files FROM part WHERE p_size > 10 GROUP BY 1)
+r AS (SELECT p_name AS folder, count(*) AS files FROM part GROUP BY 1)
 SELECT site, folder, CAST(gap AS INT) AS gap FROM (
   SELECT site, folder, abs(length(site) - length(folder)) AS gap,
          row_number() OVER (PARTITION BY site ORDER BY abs(length(site) - length(folder)), files, folder) AS k
@@ -112,7 +111,7 @@ def j06(spark: SparkSession, d: str) -> DataFrame:
     part, name, m = table(spark, d, "part"), F.col("p_name"), F.col("p_size") % 4
     site = F.when(m == 0, F.concat(name, F.lit("-NORTH"))).when(m == 1, F.substring(name, 1, 5)).otherwise(F.upper(name))
     left = part.select(labels.normalise_label(site).alias("site")).distinct()
-    right = part.where("p_size > 10").groupBy(labels.normalise_label(name).alias("folder")).agg(F.count("*").alias("files"))
+    right = part.groupBy(labels.normalise_label(name).alias("folder")).agg(F.count("*").alias("files"))
     return matching.fuzzy_names(left, right, "site", "folder", "files").select("site", "folder", "gap")
 
 
@@ -137,13 +136,19 @@ def j08(spark: SparkSession, d: str) -> DataFrame:
     return matching.onto_children(trees, plots, ["site", "plot_no"])
 
 
+def stack_count(spark: SparkSession, d: str) -> DataFrame:
+    """One row: how many stacks there are."""
+    return table(spark, d, "embeddings").agg((F.expr("max(vec_id) div 8") + 1).alias("n_stacks"))
+
+
 @query("j09_point_to_cell", """
-WITH p AS (SELECT obs_id, CAST(l_suppkey % 60 AS BIGINT) AS scene_id, CAST(l_partkey % 8 AS INT) AS pcol, CAST(l_orderkey % 8 AS INT) AS prow FROM obs)
+WITH p AS (SELECT obs_id, CAST(l_suppkey % (SELECT max(vec_id) // 8 + 1 FROM embeddings) AS BIGINT) AS scene_id, CAST(l_partkey % 8 AS INT) AS pcol, CAST(l_orderkey % 8 AS INT) AS prow FROM obs)
 SELECT obs_id, dn FROM p LEFT JOIN (SELECT scene_id, prow, pcol, dn FROM pixels WHERE band = 3) USING (scene_id, prow, pcol)""")
 def j09(spark: SparkSession, d: str) -> DataFrame:
     lon, lat = (F.col("l_partkey") % 8) * 0.5 + 100.2, 10 - ((F.col("l_orderkey") % 8) * 0.5 + 0.2)
     row, col = sampling.cell_of(lon, lat, 100.0, 10.0, 0.5)
-    points = carrier(spark, d, "obs").select("obs_id", (F.col("l_suppkey") % 60).alias("scene_id"), row.alias("prow"), col.alias("pcol"))
+    obs = carrier(spark, d, "obs").crossJoin(F.broadcast(stack_count(spark, d)))
+    points = obs.select("obs_id", (F.col("l_suppkey") % F.col("n_stacks")).alias("scene_id"), row.alias("prow"), col.alias("pcol"))
     return sampling.at_cells(points, carrier(spark, d, "pixels").where("band = 3"), ["scene_id", "prow", "pcol"], "dn").select("obs_id", "dn")
 
 
@@ -165,7 +170,7 @@ _RINGS = """
 SELECT s_suppkey AS poly, -60 + s_suppkey % 11 * 10 + 0.0 AS y, -180 + s_suppkey % 36 * 10 + 0.0 AS x, s_suppkey % 2 AS kind FROM supplier"""
 
 
-@query("j11_point_in_polygon", f"""
+_IN_POLYGON = f"""
 WITH g AS ({_RINGS}),
 e AS (
   SELECT poly, unnest(CASE WHEN kind = 0 THEN [x, x + 14, x + 3] ELSE [x, x + 9, x + 9, x, x + 3, x + 6, x + 6, x + 3] END) AS x1,
@@ -173,11 +178,22 @@ e AS (
          unnest(CASE WHEN kind = 0 THEN [x + 14, x + 3, x] ELSE [x + 9, x + 9, x, x, x + 6, x + 6, x + 3, x + 3] END) AS x2,
          unnest(CASE WHEN kind = 0 THEN [y + 2, y + 11, y] ELSE [y, y + 9, y + 9, y, y + 3, y + 6, y + 6, y + 3] END) AS y2 FROM g),
 p AS (SELECT location_id, longitude + 0.37 AS px, latitude + 0.21 AS py FROM samples),
-h AS (SELECT location_id, poly, count(*) AS n FROM p JOIN e ON (y1 > py) <> (y2 > py) AND px < (x2 - x1) * (py - y1) / (y2 - y1) + x1 GROUP BY ALL)
-SELECT DISTINCT location_id FROM h WHERE n % 2 = 1""")
+h AS (SELECT location_id, poly, count(*) AS n FROM p JOIN e ON (y1 > py) <> (y2 > py) AND px < (x2 - x1) * (py - y1) / (y2 - y1) + x1 GROUP BY ALL),
+i AS (SELECT DISTINCT location_id FROM h WHERE n % 2 = 1)"""
+
+
+@query("j11_point_in_polygon", _IN_POLYGON + "SELECT location_id FROM i")
 def j11(spark: SparkSession, d: str) -> DataFrame:
-    points = carrier(spark, d, "samples").select("location_id", (F.col("longitude") + 0.37).alias("lon"), (F.col("latitude") + 0.21).alias("lat"))
-    return habitat.inside(points, supplier_polygons(spark, d), "location_id", cell=5.0).select("location_id")
+    return habitat.inside(_places(spark, d), supplier_polygons(spark, d), "location_id", cell=5.0).select("location_id")
+
+
+@query("j11_off_land", _IN_POLYGON + "SELECT location_id FROM p WHERE location_id NOT IN (SELECT location_id FROM i)")
+def j11_off_land(spark: SparkSession, d: str) -> DataFrame:
+    return habitat.off_land(_places(spark, d), supplier_polygons(spark, d), "location_id", cell=5.0).select("location_id")
+
+
+def _places(spark: SparkSession, d: str) -> DataFrame:
+    return carrier(spark, d, "samples").select("location_id", (F.col("longitude") + 0.37).alias("lon"), (F.col("latitude") + 0.21).alias("lat"))
 
 
 def supplier_polygons(spark: SparkSession, d: str) -> DataFrame:
@@ -244,6 +260,14 @@ def j16(spark: SparkSession, d: str) -> DataFrame:
     return curation.apply_decisions(files, decisions)
 
 
+@query("j16_decisions_left", """
+SELECT location_id, CASE WHEN location_id % 7 = 5 THEN 'keep' ELSE 'look_again' END AS action FROM samples WHERE location_id % 7 > 4""")
+def j16_left(spark: SparkSession, d: str) -> DataFrame:
+    names = ["delete", "replace_both", "replace_hr", "replace_lr", "replace_lr", "keep", "look_again"]
+    action = F.get(F.array(*map(F.lit, names)), (F.col("location_id") % 7).cast("int"))
+    return curation.decisions_left(carrier(spark, d, "samples").select("location_id", action.alias("action")))
+
+
 @query("j17_legacy_purge", """
 SELECT CASE WHEN habitat_class IS NULL THEN 'removed' ELSE 'kept' END AS part, location_id FROM samples""")
 def j17(spark: SparkSession, d: str) -> DataFrame:

@@ -11,7 +11,7 @@ from .carriers import carrier, table
 from .q_joins import _RINGS, supplier_polygons
 from .registry import query, rounded
 
-_EDGES = f"""g AS ({_RINGS}),
+EDGES = f"""g AS ({_RINGS}),
 e AS (
   SELECT poly, unnest(CASE WHEN kind = 0 THEN [x, x + 14, x + 3] ELSE [x, x + 9, x + 9, x, x + 3, x + 6, x + 6, x + 3] END) AS x1,
          unnest(CASE WHEN kind = 0 THEN [y, y + 2, y + 11] ELSE [y, y, y + 9, y + 9, y + 3, y + 3, y + 6, y + 6] END) AS y1,
@@ -20,7 +20,7 @@ e AS (
 
 
 @query("g01_rasterize", f"""
-WITH {_EDGES},
+WITH {EDGES},
 c AS (SELECT poly, CAST(r AS INT) AS grid_row, CAST(k AS INT) AS grid_col, -179.93 + (k + 0.5) * 0.7 AS px, 61.3 - (r + 0.5) * 0.7 AS py
   FROM g, range(0, 175) a(r), range(0, 515) b(k) WHERE abs(-179.93 + (k + 0.5) * 0.7 - (x + 7)) < 8 AND abs(61.3 - (r + 0.5) * 0.7 - (y + 6)) < 7),
 h AS (SELECT poly, grid_row, grid_col, count(*) AS n FROM c JOIN e USING (poly) WHERE (y1 > py) <> (y2 > py) AND px < (x2 - x1) * (py - y1) / (y2 - y1) + x1 GROUP BY ALL)
@@ -32,10 +32,10 @@ def g01(spark: SparkSession, d: str) -> DataFrame:
 
 @query("g02_dilate", """
 SELECT DISTINCT habitat, CAST(r AS INT) AS grid_row, CAST(c AS INT) AS grid_col FROM (
-  SELECT habitat, unnest(range(greatest(grid_row - 3, 0), least(grid_row + 3, 399) + 1)) AS r, grid_col FROM cells) a,
-  LATERAL (SELECT unnest(range(greatest(grid_col - 3, 0), least(grid_col + 3, 399) + 1)) AS c) b""")
+  SELECT habitat, unnest(range(greatest(grid_row - 3, 0), least(grid_row + 3, 659) + 1)) AS r, grid_col FROM cells) a,
+  LATERAL (SELECT unnest(range(greatest(grid_col - 3, 0), least(grid_col + 3, 1399) + 1)) AS c) b""")
 def g02(spark: SparkSession, d: str) -> DataFrame:
-    return habitat.dilate(carrier(spark, d, "cells"), ["habitat"], 3, 400, 400).select("habitat", "grid_row", "grid_col")
+    return habitat.dilate(carrier(spark, d, "cells"), ["habitat"], 3, 660, 1400).select("habitat", "grid_row", "grid_col")
 
 
 @query("g03_tiles", """
@@ -50,20 +50,44 @@ def _images(spark: SparkSession, d: str) -> DataFrame:
     """Each vector as an 8 x 8 image in a place of its own, a sample being eight of them."""
     v = F.col("vec_id")
     return table(spark, d, "embeddings").where(F.size("embedding") == 64).select(
-        "vec_id", F.expr("vec_id div 8").alias("scene_id"), (v % 8).cast("int").alias("band"), F.transform("embedding", lambda x: x * 5000 + 5000).alias("data"),
+        "vec_id", F.expr("vec_id div 8").alias("scene_id"), (v % 8).cast("int").alias("band"), F.transform("embedding", lambda x: x.cast("double") * 5000 + 5000).alias("data"),
         F.lit(8).alias("h"), F.lit(8).alias("w"), (v * 10.0 - 15).alias("left"), (v * 5.0 + 255).alias("top"), F.lit(30.0).alias("px"),
         (v * 10.0).alias("origin_x"), (v * 5.0).alias("origin_y"), (v % 8 == 7).alias("is_qa"),
     )
 
 
-@query("g04_align")
-def g04(spark: SparkSession, d: str) -> DataFrame:
-    return raster.aligned(_images(spark, d), ["vec_id", "scene_id", "band"], patch_m=240)
+#: The images' pixels; those of a place come back by number.
+_DATA = """v AS (SELECT vec_id, [CAST(x AS DOUBLE) * 5000 + 5000 for x in embedding] AS d FROM embeddings WHERE len(embedding) = 64)"""
+
 
+def _long(images: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """A row for each pixel of square images."""
+    pixels = images.select(*keys, F.expr(n).alias("n"), F.posexplode("data").alias("at", "value"))
+    return pixels.select(*keys, F.expr("CAST(at DIV n AS INT)").alias("grid_row"), F.expr("CAST(at % n AS INT)").alias("grid_col"), "value")
 
-@query("g05_standardize")
+
+@query("g04_align", f"""
+WITH {_DATA},
+p AS (SELECT vec_id, d, r, c, least(r + 1, 7) AS r1, least(c + 1, 7) AS c1 FROM v, range(8) a(r), range(8) b(c))
+SELECT vec_id, CAST(r AS INT) AS grid_row, CAST(c AS INT) AS grid_col, round(CAST(CASE WHEN vec_id % 8 = 7 THEN d[r1 * 8 + c1 + 1]
+  ELSE (d[r * 8 + c + 1] + d[r * 8 + c1 + 1] + d[r1 * 8 + c + 1] + d[r1 * 8 + c1 + 1]) / 4 END AS FLOAT)::DOUBLE, 3) AS value FROM p""")
+def g04(spark: SparkSession, d: str) -> DataFrame:
+    """Each image begins half a pixel beside its sample's grid, so a pixel is the mean of four, or the next one of a QA band."""
+    out = raster.aligned(_images(spark, d), ["vec_id", "scene_id", "band"], patch_m=240)
+    return _long(out, ["vec_id"], "n").withColumn("value", rounded(F.col("value").cast("double"), 3))
+
+
+@query("g05_standardize", f"""
+WITH {_DATA},
+a AS (SELECT i, i // 2 AS r, least(i // 2 + 1, 7) AS r1, 0.25 + i % 2 * 0.5 AS f FROM range(16) t(i)),
+p AS (SELECT vec_id, d, y.i AS y, x.i AS x, y.r AS r, y.r1 AS r1, y.f AS fy, x.r AS c, x.r1 AS c1, x.f AS fx FROM v, a y, a x)
+SELECT vec_id, CAST(y AS INT) AS grid_row, CAST(x AS INT) AS grid_col, CASE WHEN y = 15 OR x = 15 THEN 0 ELSE CAST(round_even(
+  d[r * 8 + c + 1] * (1 - fy) * (1 - fx) + d[r * 8 + c1 + 1] * (1 - fy) * fx + d[r1 * 8 + c + 1] * fy * (1 - fx)
+  + d[r1 * 8 + c1 + 1] * fy * fx, 0) AS INT) END AS value FROM p""")
 def g05(spark: SparkSession, d: str) -> DataFrame:
-    return raster.standardized(_images(spark, d), ["vec_id"], patch=16, step=15.0)
+    """Pixels of half the size from a quarter of a pixel on; the last row and column lie outside the image."""
+    out = raster.standardized(_images(spark, d), ["vec_id"], patch=16, step=15.0)
+    return _long(out, ["vec_id"], "16")
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -74,14 +98,21 @@ def _pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("g06_phase_shift", """
-SELECT vec_id AS scene_id, CAST(2 AS INT) AS dx, CAST(vec_id % 3 AS INT) AS dy, round(sqrt(4 + (vec_id % 3) ** 2), 6) AS magnitude FROM embeddings""")
+SELECT vec_id AS scene_id, CAST(-2 AS INT) AS dx, CAST(-(vec_id % 3) AS INT) AS dy, round(sqrt(4 + (vec_id % 3) ** 2), 6) AS magnitude FROM embeddings""")
 def g06(spark: SparkSession, d: str) -> DataFrame:
     return raster.shifts(_pairs(spark, d), "scene_id").withColumn("magnitude", rounded("magnitude", 6))
 
 
-@query("g07_spectra")
+@query("g07_spectra", f"""
+WITH {_DATA},
+w AS (SELECT k, 0.5 - 0.5 * cos(2 * pi() * k / 7) AS h FROM range(8) t(k)),
+x AS (SELECT vec_id, y.k AS y, x.k AS x, d[y.k * 8 + x.k + 1] * y.h * x.h AS v FROM v, w y, w x),
+f AS (SELECT vec_id, a.k AS a, b.k AS b, sum(v * cos(2 * pi() * ((y * a.k + x * b.k) % 8) / 8)) AS re, sum(v * sin(2 * pi() * ((y * a.k + x * b.k) % 8) / 8)) AS im
+  FROM x, w a, w b GROUP BY ALL),
+r AS (SELECT vec_id, CAST(floor(sqrt(((a + 4) % 8 - 4) ** 2 + ((b + 4) % 8 - 4) ** 2)) AS INT) AS freq, avg((re * re + im * im) / 64) AS power FROM f GROUP BY ALL)
+SELECT CAST(vec_id % 8 AS INT) AS band, freq, round(avg(power), 2) AS mean_power, round(stddev_pop(power), 2) AS sd_power FROM r WHERE freq < 4 GROUP BY ALL""")
 def g07(spark: SparkSession, d: str) -> DataFrame:
-    return raster.spectra(_images(spark, d), ["band"])
+    return raster.spectra(_images(spark, d), ["band"]).withColumns({c: rounded(c, 2) for c in ("mean_power", "sd_power")})
 
 
 @query("g08_stretch", """

@@ -9,6 +9,7 @@ from ..functions.sensors import SERVICE
 from ..operators import analyse, collapse, curation, habitat, matching, sets
 from .carriers import carrier, table
 from .q_joins import supplier_polygons
+from .q_rasters import EDGES
 from .registry import query, rounded
 
 
@@ -43,9 +44,10 @@ def t04(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("t05_equal_split", """
-SELECT n_nationkey, CAST(1009 // 25 + CASE WHEN row_number() OVER (ORDER BY md5('3|' || n_nationkey), n_nationkey) <= 1009 % 25 THEN 1 ELSE 0 END AS INT) AS quota FROM nation""")
+SELECT s_suppkey, CAST(100009 // n + CASE WHEN row_number() OVER (ORDER BY md5('3|' || s_suppkey), s_suppkey) <= 100009 % n THEN 1 ELSE 0 END AS INT) AS quota
+FROM supplier, (SELECT count(*) AS n FROM supplier)""")
 def t05(spark: SparkSession, d: str) -> DataFrame:
-    return curation.equal_split(table(spark, d, "nation").select("n_nationkey"), "n_nationkey", 1009, 3)
+    return curation.equal_split(table(spark, d, "supplier").select("s_suppkey"), "s_suppkey", 100009, 3)
 
 
 @query("t06_allocate_ids", """
@@ -89,39 +91,52 @@ def t09(spark: SparkSession, d: str) -> DataFrame:
     return habitat.weighted_polygons(supplier_polygons(spark, d), "poly", 500, 9).select("draw", "poly")
 
 
-def _unit(salt: str, key: str) -> str:
-    return f"(('0x' || substr(md5('1|{salt}|' || {key}), 1, 8))::BIGINT / 4294967296.0)"
+def _unit(salt: str, key: str, seed: int = 1) -> str:
+    return f"(('0x' || substr(md5('{seed}|{salt}|' || {key}), 1, 8))::BIGINT / 4294967296.0)"
+
+
+@query("t09_points_in_polygons", f"""
+WITH {EDGES},
+b AS (SELECT poly, min(x1) AS x0, max(x1) AS x9, min(y1) AS y0, max(y1) AS y9 FROM e GROUP BY poly),
+n AS (SELECT count(*) AS n FROM b),
+t AS (SELECT s_suppkey AS draw, s_suppkey AS poly, i, x0 + {_unit('lon', "s_suppkey || '|' || i", 4)} * (x9 - x0) AS px, y0 + {_unit('lat', "s_suppkey || '|' || i", 4)} * (y9 - y0) AS py
+  FROM supplier JOIN b ON poly = s_suppkey, range(64) r(i)),
+h AS (SELECT draw, i, px, py FROM t JOIN e USING (poly) WHERE (y1 > py) <> (y2 > py) AND px < (x2 - x1) * (py - y1) / (y2 - y1) + x1
+  GROUP BY ALL HAVING count(*) % 2 = 1)
+SELECT s_suppkey AS draw, s_suppkey AS poly, round(arg_min(px, i), 9)::DOUBLE AS lon, round(arg_min(py, i), 9)::DOUBLE AS lat
+FROM supplier LEFT JOIN h ON draw = s_suppkey GROUP BY s_suppkey""")
+def t09_points(spark: SparkSession, d: str) -> DataFrame:
+    draws = table(spark, d, "supplier").select(F.col("s_suppkey").alias("draw"), F.col("s_suppkey").cast("long").alias("poly"))
+    out = habitat.points_in_polygons(draws, supplier_polygons(spark, d), "poly", 4)
+    return out.withColumns({c: rounded(c, 9) for c in ("lon", "lat")})
 
 
 def presence_sql(n: int) -> str:
     key = "habitat || '|' || grid_row || '|' || grid_col || '|' || k"
     return f"""
-      SELECT habitat, CAST(k * n + i AS INT) AS number, grid_row, grid_col, round(95 + (grid_col + {_unit('x', key)}) * 0.005, 9)::DOUBLE AS lon,
-             round(22 - (grid_row + {_unit('y', key)}) * 0.005, 9)::DOUBLE AS lat
+      SELECT habitat, CAST(k * n + i AS INT) AS number, grid_row, grid_col, round(95 + (grid_col + {_unit('x', key)}) * 0.05, 9)::DOUBLE AS lon,
+             round(22 - (grid_row + {_unit('y', key)}) * 0.05, 9)::DOUBLE AS lat
       FROM (SELECT *, row_number() OVER (PARTITION BY habitat ORDER BY md5('1|' || habitat || '|' || grid_row || '|' || grid_col), grid_row, grid_col) - 1 AS i,
                    count(*) OVER (PARTITION BY habitat) AS n FROM masks), range(100) t(k) WHERE k * n + i < {n}"""
 
 
 @query("t10_presence_points", f"WITH masks AS (SELECT * FROM cells) SELECT * FROM ({presence_sql(900)})")
 def t10(spark: SparkSession, d: str) -> DataFrame:
-    out = habitat.presence_points(carrier(spark, d, "cells"), ["habitat"], 900, 1, west=95.0, north=22.0, size=0.005)
+    out = habitat.presence_points(carrier(spark, d, "cells"), ["habitat"], 900, 1, west=95.0, north=22.0, size=0.05)
     return out.withColumns({c: rounded(c, 9) for c in ("lon", "lat")})
 
 
 _NEAR = """SELECT DISTINCT habitat, CAST(r AS INT) AS grid_row, CAST(c AS INT) AS grid_col FROM (
-  SELECT habitat, unnest(range(greatest(grid_row - {k}, 0), least(grid_row + {k}, 399) + 1)) AS r, grid_col FROM cells) a,
-  LATERAL (SELECT unnest(range(greatest(grid_col - {k}, 0), least(grid_col + {k}, 399) + 1)) AS c) b"""
+  SELECT habitat, unnest(range(greatest(grid_row - {k}, 0), least(grid_row + {k}, 659) + 1)) AS r, grid_col FROM cells) a,
+  LATERAL (SELECT unnest(range(greatest(grid_col - {k}, 0), least(grid_col + {k}, 1399) + 1)) AS c) b"""
 _ABSENT = f"""SELECT habitat, grid_row, grid_col FROM ({_NEAR.format(k=2)}) n ANTI JOIN cells x ON x.grid_row = n.grid_row AND x.grid_col = n.grid_col
-  WHERE habitat = 'mangrove' OR (n.grid_row + n.grid_col) % 3 = 0"""
+  WHERE habitat = 'mangrove' OR EXISTS (SELECT 1 FROM water w WHERE w.grid_row = n.grid_row AND w.grid_col = n.grid_col)"""
 
 
 def _absent(spark: SparkSession, d: str) -> DataFrame:
-    cells = carrier(spark, d, "cells")
-    every = cells.sparkSession.range(400 * 400).select((F.col("id") / 400).cast("int").alias("grid_row"), (F.col("id") % 400).cast("int").alias("grid_col"))
-    water = every.where("(grid_row + grid_col) % 3 = 0")
-    out = None
+    cells, water, out = carrier(spark, d, "cells"), carrier(spark, d, "water"), None
     for h in curation.HABITATS:
-        part = habitat.absence_cells(cells, h, 2, 400, 400, water)
+        part = habitat.absence_cells(cells, h, 2, 660, 1400, water)
         out = part if out is None else out.unionByName(part)
     return out.select("habitat", "grid_row", "grid_col")
 
@@ -136,7 +151,7 @@ WITH p AS (WITH masks AS (SELECT * FROM cells) SELECT * FROM ({presence_sql(500)
 SELECT habitat || '_presence_' || printf('%04d', number) AS point_id, habitat, 1 AS label, lon, lat FROM p
 UNION ALL SELECT habitat || '_absence_' || printf('%04d', number), habitat, 0, lon, lat FROM a""")
 def t12(spark: SparkSession, d: str) -> DataFrame:
-    points = lambda cells: habitat.presence_points(cells, ["habitat"], 500, 1, west=95.0, north=22.0, size=0.005)
+    points = lambda cells: habitat.presence_points(cells, ["habitat"], 500, 1, west=95.0, north=22.0, size=0.05)
     out = habitat.presence_absence(points(carrier(spark, d, "cells")), points(_absent(spark, d)))
     return out.withColumns({c: rounded(c, 9) for c in ("lon", "lat")})
 
@@ -169,7 +184,7 @@ UNION ALL SELECT 'difference', grid_row, grid_col FROM (SELECT DISTINCT grid_row
 def u03(spark: SparkSession, d: str) -> DataFrame:
     cells = carrier(spark, d, "cells")
     whole = habitat.union_cells(cells)
-    near = habitat.union_cells(habitat.dilate(cells, ["habitat"], 1, 400, 400))
+    near = habitat.union_cells(habitat.dilate(cells, ["habitat"], 1, 660, 1400))
     rest = near.join(whole, ["grid_row", "grid_col"], "left_anti")
     return whole.select(F.lit("union").alias("part"), "grid_row", "grid_col").unionByName(rest.select(F.lit("difference").alias("part"), "grid_row", "grid_col"))
 

@@ -10,6 +10,7 @@ from ..functions.sensors import specs
 from ..operators import collapse, curation, matching, quality, sampling
 from .carriers import carrier
 from .q_aggregates import _BENTHIC, benthic
+from .q_joins import stack_count
 from .q_rasters import _FILES_SQL, _files, _flags
 from .registry import query, rounded
 
@@ -26,7 +27,7 @@ m AS (SELECT site, scene_id, dist FROM (
 SELECT s.site, island, survey_date, n_points, cover_large, round(shannon, 6) AS shannon, m.scene_id, CAST(dist AS INT) AS dist,
   round((b8 - b4) / nullif(b8 + b4, 0), 6) AS ndvi, CASE WHEN b2 > 0 AND b3 > 0 THEN round(ln(b2) - 1.8 * ln(b3), 6) END AS lyzenga_b2b3
 FROM s LEFT JOIN h ON h.site = s.site LEFT JOIN m ON m.site = s.site
-LEFT JOIN stacks x ON x.scene_id = m.scene_id % 60 AND x.prow = s.site % 8 AND x.pcol = s.site % 5"""
+LEFT JOIN stacks x ON x.scene_id = m.scene_id % (SELECT max(vec_id) // 8 + 1 FROM embeddings) AND x.prow = s.site % 8 AND x.pcol = s.site % 5"""
 
 
 @query("w1_survey_features", _W1)
@@ -38,7 +39,8 @@ def survey_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = sites.join(cover, "site", "left").join(collapse.shannon(points, "site", "genus"), "site", "left")
     sites = sites.withColumn("tile", (F.col("site") % 100).cast("int"))
     found = matching.nearest_scene(sites, scenes, ["tile"], "survey_date", "acq_date", "scene_id", 45)
-    at = found.withColumns({"stack": F.col("scene_id") % 60, "prow": (F.col("site") % 8).cast("int"), "pcol": (F.col("site") % 5).cast("int")})
+    found = found.crossJoin(F.broadcast(stack_count(spark, sf_dir)))
+    at = found.withColumns({"stack": F.col("scene_id") % F.col("n_stacks"), "prow": (F.col("site") % 8).cast("int"), "pcol": (F.col("site") % 5).cast("int")})
     pixels = carrier(spark, sf_dir, "stacks").withColumnRenamed("scene_id", "stack").withColumn("all", F.struct(*(f"b{i}" for i in range(1, 9))))
     rows = sampling.at_cells(at, pixels, ["stack", "prow", "pcol"], "all").select(*at.columns, "all.*")
     dii = spectral.depth_invariant("S2", "")["lyzenga_b2b3"]
@@ -65,14 +67,16 @@ def build_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates of every location, paired and tested in one pass; the first ones of each habitat up to its quota."""
     scenes = carrier(spark, sf_dir, "scenes")
     places = carrier(spark, sf_dir, "samples").where("habitat_class IS NOT NULL").select("location_id", "habitat_class", "tile")
-    high = places.drop("habitat_class").join(scenes.where("sensor = 'S2' AND cloud_cover < 20"), "tile")
-    high = matching.top_k(high, ["location_id"], [*matching.quality_order(F.col("cloud_cover"), F.col("scene_id"), 42), "scene_id"], 30)
-    high = high.select("location_id", "tile", F.col("scene_id").alias("hr_id"), F.col("acq_date").alias("hr_date"), "rank", (F.col("scene_id") % 3 != 0).alias("qa_ok"))
+    order = [*matching.quality_order(F.col("cloud_cover"), F.col("scene_id"), 42), "scene_id"]
+    best = matching.top_k(scenes.where("sensor = 'S2' AND cloud_cover < 20"), ["tile"], order, 30)  # the order is the same for all places
+    high = places.drop("habitat_class").join(best, "tile").select("location_id", "tile", F.col("scene_id").alias("hr_id"), F.col("acq_date").alias("hr_date"), "rank", (F.col("scene_id") % 3 != 0).alias("qa_ok"))
     low = scenes.where("sensor = 'LS'").select("tile", F.col("scene_id").alias("lr_id"), F.col("acq_date").alias("lr_date"), "cloud_cover")
     pairs = matching.pair_resolutions(high, low, keys=["tile"], days=180, least=3, cloud=60).join(places.select("location_id", "habitat_class"), "location_id")
     strata = spark.createDataFrame([(h,) for h in curation.HABITATS], "habitat_class string")
-    quota = curation.equal_split(strata, "habitat_class", 180, 8)
-    ranked = matching.top_k(pairs, ["habitat_class"], [matching.seeded(F.col("location_id"), 8), "location_id"], 2**31 - 1)
+    total = 180
+    quota = curation.equal_split(strata, "habitat_class", total, 8)
+    seeded = pairs.withColumn("seeded", matching.seeded(F.col("location_id"), 8))
+    ranked = matching.top_k_dealt(seeded, ["habitat_class"], ["seeded", "location_id"], total, F.col("seeded"))  # no quota is over the total
     kept = ranked.join(F.broadcast(quota), "habitat_class").where("rank <= quota")
     none = spark.createDataFrame([], "sample_id long")
     return curation.allocate_ids(kept, none, none, ["location_id"], "sample_id").select("sample_id", "location_id", "habitat_class", "hr_id", "n_low")

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from benthic_jobs.operators import analyse, collapse, curation, habitat, matching, quality, raster
+from benthic_jobs.operators import analyse, collapse, curation, habitat, matching, quality, ranks, raster
 
 
 def test_day_distance_and_ties(spark):
@@ -60,7 +60,7 @@ def test_allocate_ids(spark, n_free):
 def test_numbered_is_order_free(spark):
     df = spark.range(1000).withColumn("v", (F.col("id") * 7919) % 1000)
     for rows in (df, df.repartition(7)):
-        assert curation.numbered(rows, ["v"], "n").where("n <> v + 1").count() == 0
+        assert ranks.numbered(rows, ["v"], "n").where("n <> v + 1").count() == 0
 
 
 def test_dilation_against_brute_force(spark):
@@ -75,10 +75,107 @@ def test_dilation_against_brute_force(spark):
 def test_phase_shift_of_rolled_images():
     rng = np.random.default_rng(2)
     x = rng.random((64, 64))
-    for dy, dx in ((0, 0), (3, -5), (-7, 2)):
-        assert raster.phase_shift(np.roll(x, (dy, dx), (0, 1)), x)[:2] == (dx, dy)
+    for dy, dx in ((0, 0), (3, -5), (-7, 2), (-32, -32)):
+        assert raster.phase_shift(x, np.roll(x, (dy, dx), (0, 1)))[:2] == (dx, dy)
     small = x.reshape(32, 2, 32, 2).mean(axis=(1, 3))
-    assert raster.phase_shift(small, raster.upsample(small, 64, 64))[:2] == (0, 0)
+    for dy, dx in ((0, 0), (3, -5), (10, 9)):
+        assert raster.phase_shift(small, np.roll(raster.upsample(small, 64, 64), (dy, dx), (0, 1)))[:2] == (dx, dy)
+    assert raster.phase_shift(np.ones((32, 16)) * x[:32, :16], x) is None  # twice its size is not the other's
+
+
+def test_phase_shift_against_a_direct_sum():
+    rng = np.random.default_rng(5)
+    low, high = rng.random((4, 4)), rng.random((8, 8))
+    a, b = raster.upsample(low, 8, 8), high
+    wave = np.exp(-2j * np.pi * np.outer(np.arange(8), np.arange(8)) / 8)
+    cross = (wave @ (b - b.mean()) @ wave) * np.conj(wave @ (a - a.mean()) @ wave)
+    cross /= np.abs(cross) + 1e-12
+    surface = {(dx, dy): abs((cross * np.exp(2j * np.pi * (np.arange(8)[:, None] * dy + np.arange(8) * dx) / 8)).sum()) for dx in range(-4, 4) for dy in range(-4, 4)}
+    assert raster.phase_shift(low, high)[:2] == max(surface, key=surface.get)
+
+
+def test_spline_keeps_points_and_cubics():
+    x = np.arange(9.0)
+    assert np.allclose(raster.upsample(np.outer(x, x), 9, 9), np.outer(x, x))
+    fine = raster.upsample(np.outer(np.ones(9), np.cos(x * np.pi / 8)), 9, 33)  # even at both ends, as the mirror takes it
+    assert np.allclose(fine[0], np.cos(np.linspace(0, np.pi, 33)), atol=1e-3)
+
+
+@pytest.mark.parametrize("n", [1, 4, 31, 700])
+def test_rolling_bias_against_brute_force(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(i, float(rng.integers(0, 20)), None if rng.random() < 0.2 else float(rng.normal())) for i in range(n)]
+    got = {r["k"]: r["rolling"] for r in analyse.rolling_bias(spark.createDataFrame(rows, "k int, g double, b double"), "g", "b", "k").collect()}
+    order, width = sorted(rows, key=lambda r: (r[1], r[0])), max(30, n // 20)
+    for i, (k, _, _) in enumerate(order):
+        own = [b for _, _, b in order[max(0, i - width // 2) : i + (width - 1) // 2 + 1] if b is not None]
+        assert got[k] == (pytest.approx(np.mean(own), abs=1e-9) if len(own) >= 5 else None)
+
+
+def test_quantiles_against_numpy(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, float(v)) for k, n in (("a", 1), ("b", 2), ("c", 101)) for v in rng.integers(0, 30, n)] + [("d", None), (None, 3.0), (None, 4.0)]
+    got = {r["k"]: (r["x"], r["y"], r["z"]) for r in ranks.quantiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", {"x": 0.0, "y": 0.37, "z": 1.0}).collect()}
+    assert set(got) == {"a", "b", "c", None}
+    for k in got:
+        assert got[k] == pytest.approx(np.quantile([v for q, v in rows if q == k], [0, 0.37, 1]))
+
+
+def test_scenes_against_all_pairs(spark):
+    rng = np.random.default_rng(8)
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=int(n))
+    obs = [(i, "ab"[i % 2] if i % 17 else None, day(rng.integers(0, 90)) if i % 13 else None) for i in range(150)]
+    scenes = [(i, "ab"[i % 2] if i % 19 else None, day(rng.integers(0, 90)) if i % 11 else None, None if i % 5 == 0 else float(rng.random())) for i in range(40)]
+    left = spark.createDataFrame(obs, "id int, k string, day date")
+    right = spark.createDataFrame(scenes, "scene int, k string, t date, s double")
+    near = {r["id"]: (r["scene"], r["dist"]) for r in matching.nearest_scene(left, right, ["k"], "day", "t", "scene", 4).collect()}
+    clear = {r["id"]: r["scene"] for r in matching.clearest_scene(left, right, ["k"], "day", "t", "scene", "s", 9).collect()}
+    other = {r["id"]: r["scene"] for r in matching.same_day_else_nearest(left, right, ["k"], "day", "t", "scene").collect()}
+    asked = left.selectExpr("k", "unix_date(day) AS __d").dropna()
+    counts = {(r["k"], r["__d"]): r["n"] for r in matching.counts_within(asked, right.selectExpr("k", "unix_date(t) AS __d"), ["k"], 6).collect()}
+    tier = lambda s: 4 if s is None else 0 if s >= 0.75 else 1 if s >= 0.6 else 2 if s >= 0.4 else 3
+    assert len(near) == len(clear) == len(other) == 150
+    for i, k, d in obs:
+        own = [(abs((t - d).days), t, c, s) for c, q, t, s in scenes if k and q == k and t and d]
+        close = min(((g, t, c) for g, t, c, _ in own if g <= 4), default=(None, None, None))
+        assert near[i] == (close[2], close[0])
+        ranked = [(tier(s), g if s is not None else 0, t, c) for g, t, c, s in own if -9 <= (t - d).days <= 8]
+        assert clear[i] == (min(ranked)[3] if ranked else None)
+        same = min(((g, c) for g, _, c, _ in own), default=(None, min((c for c, q, _, _ in scenes if k and q == k), default=None)))
+        assert other[i] == same[1]
+        if k and d:
+            assert counts[k, (d - dt.date(1970, 1, 1)).days] == sum(g <= 6 for g, *_ in own)
+
+
+def even_odd(x, y, rings):
+    inside = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            inside ^= (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1
+    return inside
+
+
+@pytest.mark.parametrize("cell", [0.7, 3.0, 100.0])
+def test_points_in_polygons_against_brute_force(spark, cell):
+    rng = np.random.default_rng(6)
+    polygons = [(p, [[[float(v) for v in rng.uniform(-9, 9, 2)] for _ in range(rng.integers(3, 9))] for _ in range(1 + p % 2)]) for p in range(5)]
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-10, 10, (300, 2)))]
+    shapes = spark.createDataFrame(polygons, "poly int, rings array<array<array<double>>>")
+    df = spark.createDataFrame(points, "i int, lon double, lat double")
+    want = {i for i, x, y in points if any(even_odd(x, y, r) for _, r in polygons)}
+    assert {r["i"] for r in habitat.inside(df, shapes, "i", cell=cell).collect()} == want
+    assert {r["i"] for r in habitat.off_land(df, shapes, "i", cell=cell).collect()} == {i for i, *_ in points} - want
+    draws = spark.createDataFrame([(d, d % 5) for d in range(200)], "draw int, poly int")
+    for r in habitat.points_in_polygons(draws, shapes, "poly", 3).collect():
+        assert r["lon"] is None or even_odd(r["lon"], r["lat"], polygons[r["poly"]][1])
+    assert habitat.points_in_polygons(draws, shapes, "poly", 3).where("lon IS NULL").count() < 10
+
+
+def test_presence_points_repeat_cells_of_small_masks(spark):
+    cells = spark.createDataFrame([("a", i, i) for i in range(700)] + [("b", 1, 1), ("b", 2, 2)], "habitat string, grid_row int, grid_col int")
+    got = habitat.presence_points(cells, ["habitat"], 5, 1, west=0.0, north=0.0, size=1.0).collect()
+    assert sorted((r["habitat"], r["number"]) for r in got) == [(h, i) for h in "ab" for i in range(5)]
+    assert len({(r["lon"], r["lat"]) for r in got}) == 10 and len({r["grid_row"] for r in got if r["habitat"] == "a"}) == 5
 
 
 def test_resample():
