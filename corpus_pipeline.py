@@ -1,5 +1,9 @@
 """A corpus pipeline: good documents, one of each group of near copies, without repeated passages, without benchmark
 passages, packed. Each stage reads what the stage before wrote; all but the last return the columns of documents.
+
+In every stage a null text counts as empty, texts are read whole, repeated rows are rows of their own (near copies keep one of
+them), an empty table gives an empty table, and further columns come back as they were, whatever their names. Ids may be
+null or repeat, and are never inputs of a decision, but for ties between near copies.
 """
 
 from __future__ import annotations
@@ -13,32 +17,53 @@ from benthic_jobs.llm import decontaminate, ngram_join, packing, quality, substr
 from benthic_jobs.llm.shared import stored
 
 
+def _with_free_names(docs: DataFrame, names: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``docs`` whose own columns of these names are put aside; returns the columns of ``docs``."""
+    aside = {c: f"__own_{c}" for c in names if c in docs.columns}
+    done = work(docs.withColumnsRenamed(aside))
+    return done.select(*(F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns))
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go; equal texts share their fate, and an empty one has a score too."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the least id stays; of repeated rows one."""
+    """Of each class of near copies the document with the least id stays (null ids come last); of repeated rows one.
+
+    Texts without words are no copies of anything.
+    """
     return ngram_join.keep_one(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand in several places go; a document that is nothing else goes with them."""
-    done = substring_dedup.remove_repeats(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    kept = done.where("n_removed = 0 or n_removed < n_words").withColumn("text", text)
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    """Passages that stand in several places go; a document that is nothing else goes with them.
+
+    Texts of which nothing is removed, empty and null ones too, stay as they are, to the letter.
+    """
+
+    def work(docs: DataFrame) -> DataFrame:
+        done = substring_dedup.remove_repeats(docs)
+        text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+        kept = done.where("n_removed = 0 or n_removed < n_words").withColumn("text", text)
+        return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
+
+    return _with_free_names(docs, ("n_words", "n_removed", "removed_spans", "kept_text"), work)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of a benchmark item go."""
+    """Documents with a window of a benchmark item go, whether the item has an id or not."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.find_contamination(docs, items).where(F.size("hit_spans") == 0).select(*docs.columns)
+
+    def work(docs: DataFrame) -> DataFrame:
+        return decontaminate.find_contamination(docs, items).where(F.size("hit_spans") == 0)
+
+    return _with_free_names(docs, ("n_words", "hit_spans", "hit_items"), work)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of what is left, with their sequences."""
+    """The pieces of what is left, with their sequences; an empty text packs as the end id alone."""
     return packing.pack(docs)
 
 
