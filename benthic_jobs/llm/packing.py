@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.curation import running_total
+from ..operators.ranks import running_total
 from .shared import stored
 
 GRAIN, END_ID = 8, 1
@@ -112,18 +112,40 @@ def best_pattern(value: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float
     return float(best[room]), count
 
 
+def _first_columns(sizes: np.ndarray, demand: np.ndarray, room: int) -> np.ndarray:
+    """A basis: patterns filled with the largest sizes left, each used until one of its sizes is met, and then without it."""
+    left, columns = demand.astype(float), []
+    open_ = np.ones(len(sizes), bool)
+    for _ in range(len(sizes)):
+        pattern, free = np.zeros(len(sizes), np.int64), room
+        for i in np.flatnonzero(open_)[::-1]:
+            pattern[i] = free // sizes[i]
+            if len(columns) + 1 < len(sizes):  # no more than are left, so that small sizes last for later patterns
+                pattern[i] = min(pattern[i], max(1, int(left[i])))
+            free -= pattern[i] * sizes[i]
+        some = np.flatnonzero(pattern)
+        times = left[some] / pattern[some]
+        met = some[int(np.argmin(times))]
+        left = np.maximum(left - pattern * times.min(), 0)
+        open_[met], left[met] = False, 0
+        columns.append(pattern)
+    return np.array(columns).T
+
+
 def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, *, close: float = 1e-4) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often to use each, so that every demand is met with the fewest sequences.
 
-    It stops where no pattern improves by over ``close``, which bounds the distance from the optimum by that share.
+    It stops where the bounds (of the prices, and of the pieces' total length) lie within ``close`` of what is used, or
+    within half a sequence, as counts are rounded anyway.
     """
-    n = len(sizes)
-    columns = [np.eye(n, dtype=np.int64)[i] * (room // sizes[i]) for i in range(n)]
-    inverse = np.diag(1.0 / np.array([room // s for s in sizes]))
-    amount = inverse @ demand
+    least = float((sizes * demand).sum()) / room
+    basis = _first_columns(sizes, demand, room)
+    inverse, columns = np.linalg.inv(basis.astype(float)), list(basis.T)
+    amount = np.maximum(inverse @ demand, 0)
     while True:
         worth, pattern = best_pattern(np.maximum(inverse.sum(axis=0), 0), sizes, room)
-        if worth <= 1 + close:
+        used = float(amount.sum())
+        if worth <= 1 + 1e-9 or used - max(least, used / worth) <= max(0.5, close * used):
             break
         way = inverse @ pattern
         up = way > 1e-9
