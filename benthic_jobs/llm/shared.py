@@ -56,12 +56,8 @@ def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts, split at ASCII white space, and each text's bounds in them.
-
-    Text i has the words ``hashes[bounds[i]:bounds[i + 1]]``; an empty text has none. A hash is a sum of random numbers
-    that depend on both the byte and its place, so no structure within words makes two of them equal.
-    """
+def _scanned(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all words without the white space between them, where each word begins, its size, and each text's bounds."""
     lens = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(lens + 1)
     raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
@@ -70,17 +66,45 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     first[1:] &= ~solid[:-1]
     begin = np.flatnonzero(first)
     bounds = np.concatenate([[0], np.searchsorted(begin, ends)]).astype(np.int64)
-    if not len(begin):
-        return np.zeros(0, np.uint64), bounds
     packed = raw[solid]
     index = np.cumsum(solid, dtype=np.int64)[begin] - 1
-    size = np.diff(np.append(index, len(packed)))
+    return packed, index, np.diff(np.append(index, len(packed))), bounds
+
+
+def _hashes(packed: np.ndarray, index: np.ndarray, size: np.ndarray) -> np.ndarray:
+    if not len(index):
+        return np.zeros(0, np.uint64)
     place = np.arange(len(packed)) - np.repeat(index, size)
     value = _BYTES[(place % _PLACES) * 256 + packed]
     if size.max() > _PLACES:
         far = np.flatnonzero(place >= _PLACES)
         value[far] = mix(value[far] + (place[far] // _PLACES).astype(np.uint64) * _STEP)
-    return mix(np.add.reduceat(value, index) + size.astype(np.uint64) * _STEP), bounds
+    return mix(np.add.reduceat(value, index) + size.astype(np.uint64) * _STEP)
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, split at ASCII white space, and each text's bounds in them.
+
+    Text i has the words ``hashes[bounds[i]:bounds[i + 1]]``; an empty text has none. A hash is a sum of random numbers
+    that depend on both the byte and its place, so no structure within words makes two of them equal.
+    """
+    *words, bounds = _scanned(texts)
+    return _hashes(*words), bounds
+
+
+def numbered_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 0 of the words of all texts, equal where their bytes are equal, and each text's bounds in them."""
+    packed, index, size, bounds = _scanned(texts)
+    _, leader, number = np.unique(_hashes(packed, index, size), return_index=True, return_inverse=True)
+    lead = leader[number]  # the first word of the same hash
+    same = size == size[lead]
+    if same.all() and len(size):
+        shift = np.repeat(index[lead] - index, size)
+        same = packed[np.arange(len(packed)) + shift] == packed
+    if not same.all():
+        words, seen = [packed[a : a + n].tobytes() for a, n in zip(index, size)], {}
+        number = np.array([seen.setdefault(w, len(seen)) for w in words], np.int64)
+    return number, bounds
 
 
 def grams(words: np.ndarray, k: int) -> np.ndarray:

@@ -28,12 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fm_index import FMIndex
-from .shared import grams, hashed_words, mix, powers, slices, stored
+from .shared import grams, hashed_words, mix, numbered_words, powers, slices, stored
 
 ANCHOR, LONGEST, HOT = 10, 64, 5_000
 #: Bytes of text that are hashed at a time; words of a shard on average.
@@ -150,14 +149,11 @@ def _shard(window: int):
     """Indexes a shard's segments and streams them through it."""
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        texts = [t.split() for t in pdf["words"]]
-        words = pa.array([w for t in texts for w in t], pa.binary())
-        symbols = words.dictionary_encode().indices.to_numpy().astype(np.int64) + 1
-        lens = np.fromiter(map(len, texts), np.int64, len(texts))
-        bounds = np.concatenate([[0], np.cumsum(lens)])
+        symbols, bounds = numbered_words(list(pdf["words"]))
+        symbols, lens = symbols + 1, np.diff(bounds)
         text_of = np.repeat(np.arange(len(lens)), lens + 1)
-        flat = np.zeros(len(words) + len(lens), np.int64)
-        at = np.arange(len(words)) + np.repeat(np.arange(len(lens)), lens)
+        flat = np.zeros(len(symbols) + len(lens), np.int64)
+        at = np.arange(len(symbols)) + np.repeat(np.arange(len(lens)), lens)
         flat[at] = symbols
         index = FMIndex(flat, text_of, pdf["n"].to_numpy(), window)
         begin = bounds[:-1] + np.arange(len(lens))
