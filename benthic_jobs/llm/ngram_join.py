@@ -4,9 +4,15 @@ A document is the set of its ``WORDS``-word shingles (a shorter one has one shin
 become one row with a weight. A run descends a tree: at each level every set follows one of its own tokens, the one
 that a hash function drawn for that run and level puts first, so that two sets stay together with the probability of
 their similarity. A bucket of at most ``LIMIT`` sets is compared by brute force; larger ones are split again by
-the next level's tokens, and what is still large after the last level is compared in blocks of ``LIMIT``, dealt over
-many tasks, so that no bucket is cut or dropped. Runs repeat until a pair at the threshold is met with at least the
-probability ``recall``; every pair that is met is verified on the whole sets.
+the next level's tokens. Runs repeat until a pair at the threshold is met with at least the probability ``recall``;
+every pair that is met is verified on the whole sets.
+
+Most buckets are small after ``LEVELS`` levels. The sets of those that are not, and of which one of ``PROBES`` further tokens
+keeps no more than ``DENSE`` together (different texts with a passage in common), are split by ``DEEP`` levels instead, in as
+many more runs as keep the recall at that depth: a deeper path costs runs, so only such sets pay for it, and each of
+them is shipped a bounded number of times, whatever the size of the bucket it came from. Buckets that stop shrinking
+(near copies of one text, which all have to be counted) and those still large after the last level are compared in
+blocks of ``LIMIT``, dealt over many tasks, so that no bucket is cut or dropped.
 
 A pair counts in the first run whose leaf it shares, so links add up without listing pairs. Buckets whose members
 have all met in one earlier leaf are left out. Tasks return, for each set, its links' weight and one member of its
@@ -28,7 +34,8 @@ from pyspark.sql import functions as F
 
 from .shared import ALNUM, grams, hashed_words, mix, slices, stored
 
-WORDS, LIMIT, LEVELS = 5, 400, 2
+WORDS, LIMIT, LEVELS, DEEP = 5, 400, 2, 8
+DENSE, PROBES = 0.7, 4
 STEP_BYTES, SHARD_BYTES = 4_000_000, 8_000_000
 
 
@@ -55,12 +62,12 @@ def _row_key():
     return F.unhex(F.md5(F.concat_ws("|", ids, F.coalesce(F.col("text"), F.lit("")))))
 
 
-def _signed(keyed: DataFrame, runs: int) -> DataFrame:
-    """Of each document a digest of its set, its size and the chosen token of each run and level; ids stay in the JVM."""
+def _signer(runs: int, levels: int, first_seed: int):
+    """Of a text (and its row key) a digest of its set, its size and the chosen token of each run and level."""
 
     @F.pandas_udf("struct<set:binary,size:int,first:array<long>>")
     def sign(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        seeds = mix(np.arange(1, 2 * runs * LEVELS + 1, dtype=np.uint64))
+        seeds = mix(np.arange(first_seed, first_seed + 2 * runs * levels, dtype=np.uint64))
         for texts, keys in batches:
             rows = []
             for key, own in zip(keys, shingle_sets(_bytes(texts))):
@@ -71,49 +78,78 @@ def _signed(keyed: DataFrame, runs: int) -> DataFrame:
                 rows.append((hashlib.blake2b(own.tobytes() or bytes(key), digest_size=16).digest(), len(own), first))
             yield pd.DataFrame(rows, columns=["set", "size", "first"])
 
-    return keyed.select("doc_id", "row_key", sign("text", "row_key").alias("s")).select("doc_id", "row_key", "s.*")
-
+    return sign
 
-def _leaves(sets: DataFrame, runs: int) -> DataFrame:
-    """Of each set the leaf of every run (null where it is alone) and the number of sets in each leaf."""
 
-    def at(level: int, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        key = F.xxhash64(F.lit(level), "run", *(F.col("path")[i] for i in range(level + 1)))
-        rows = rows.withColumn("leaf", key)
-        return rows, stored(rows.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-
-    path = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(runs - 1)), lambda r: F.slice("first", r * LEVELS + 1, LEVELS)))
-    rows, done = sets.where("size > 0").select("set", path.alias("run", "path")), None
-    for level in range(LEVELS):
-        rows, counts = at(level, rows)
-        here = rows.join(counts, "leaf")
-        last = level == LEVELS - 1
-        leaf = here if last else here.where(F.col("n") <= LIMIT)
-        leaf = leaf.select("set", "run", "leaf", "n")
-        done = leaf if done is None else done.unionByName(leaf)
-        if not last:
-            rows = stored(here.where(F.col("n") > LIMIT).select("set", "run", "path"), "crowded")
-    return done.groupBy("set").agg(
-        F.map_from_entries(F.collect_list(F.struct("run", F.struct("leaf", "n")))).alias("leaves")
+def _paths(sets: DataFrame, runs: int, levels: int, first_run: int) -> DataFrame:
+    """A row for each set and run, with the token of each level as p0, p1, ..."""
+    token = lambda r, i: F.get("first", r * levels + i).alias(f"p{i}")
+    every = F.transform(
+        F.sequence(F.lit(0), F.lit(runs - 1)), lambda r: F.struct((r + first_run).alias("run"), *(token(r, i) for i in range(levels)))
     )
+    return sets.select("set", F.inline(every))
 
 
-def _members(leaves: DataFrame, runs: int) -> DataFrame:
-    """Rows (set, run, leaf, n, leaves of all runs) of the buckets that are not covered by an earlier leaf."""
-    own = F.array(*(F.coalesce(F.col("leaves")[r]["leaf"], F.lit(0)) for r in range(runs)))
-    rows = leaves.select("set", own.alias("own"), F.explode("leaves").alias("run", "x"))
-    rows = stored(rows.select("set", "own", "run", F.col("x.leaf").alias("leaf"), F.col("x.n").alias("n")), "members")
-    same = [
-        (F.min(F.col("own")[r]) == F.max(F.col("own")[r])) & (F.min(F.col("own")[r]) != 0) & (F.first("run") > r)
-        for r in range(runs)
-    ]
-    covered = same[0]
-    for c in same[1:]:
-        covered = covered | c
+def _split(rows: DataFrame, levels: int) -> tuple[DataFrame, DataFrame]:
+    """Leaves (set, run, leaf, n) of up to ``LIMIT`` sets, and the rows of the buckets that are larger after all levels."""
+    done = None
+    for level in range(levels):
+        key = F.xxhash64(F.lit(level), "run", *(f"p{i}" for i in range(level + 1)))
+        rows = rows.withColumn("leaf", key)
+        here = rows.join(stored(rows.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1"), "buckets"), "leaf")
+        small = here.where(F.col("n") <= LIMIT).select("set", "run", "leaf", "n")
+        done = small if done is None else done.unionByName(small)
+        rows = stored(here.where(F.col("n") > LIMIT), "crowded")
+        if level + 1 < levels:
+            if rows.isEmpty():
+                break
+            rows = rows.drop("leaf", "n")
+    return done, rows
+
+
+def _meetings(sets: DataFrame, keyed: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """Rows (set, run, leaf, n, leaves of the runs before) of the buckets that are not covered by an earlier leaf."""
+    runs = runs_needed(threshold, recall)
+    found, crowded = _split(_paths(sets.where("size > 0"), runs, LEVELS, 0), LEVELS)
+    others = F.array(*(F.get("first", (F.col("run") + k) % runs * LEVELS) for k in range(1, PROBES + 1)))
+    spread = crowded.join(sets.select("set", "first"), "set").select("leaf", "n", F.posexplode(others).alias("probe", "token"))
+    spread = spread.groupBy("leaf", "probe", "token").agg(F.count("*").alias("most"), F.first("n").alias("n"))
+    spread = spread.groupBy("leaf", "probe").agg(F.max("most").alias("most"), F.first("n").alias("n"))
+    spread = spread.groupBy("leaf").agg((F.min("most") > DENSE * F.first("n")).alias("dense"))
+    crowded = crowded.join(stored(spread, "spread"), "leaf")
+    found = stored(found.unionByName(crowded.where("dense").select("set", "run", "leaf", "n")), "found")
+    hot = stored(crowded.where("NOT dense").select("set").distinct(), "hot")
+    total = runs
+    if not hot.isEmpty():
+        deep = runs_needed(threshold, recall, DEEP)
+        total += deep
+        texts = keyed.join(sets.select("set", "row_key").join(hot, "set"), "row_key").dropDuplicates(["set"])
+        sign = _signer(deep, DEEP, 1_000_001)
+        texts = stored(texts.select("set", sign("text", "row_key").alias("s")).select("set", "s.first"), "deep")
+        deeper, still = _split(_paths(texts, deep, DEEP, runs), DEEP)
+        found = found.unionByName(deeper).unionByName(still.select("set", "run", "leaf", "n"))
+    leaves = found.groupBy("set").agg(F.map_from_entries(F.collect_list(F.struct("run", F.struct("leaf", "n")))).alias("leaves"))
+    own = F.array(*(F.coalesce(F.col("leaves")[r]["leaf"], F.lit(0)) for r in range(total)))
+    rows = stored(leaves, "leaves").select(own.alias("own"), "set", F.explode("leaves").alias("run", "x"))
+    before = F.slice("own", F.lit(1), F.col("run"))
+    rows = stored(rows.select("set", before.alias("own"), "run", F.col("x.leaf").alias("leaf"), F.col("x.n").alias("n")), "members")
+    covered = F.lit(False)
+    for r in range(total):
+        low, high = F.min(F.get("own", F.lit(r))), F.max(F.get("own", F.lit(r)))
+        covered = covered | F.coalesce((low == high) & (low != 0), F.lit(False))
     open_ = stored(rows.groupBy("leaf").agg(covered.alias("covered")).where("not covered").select("leaf"), "open")
     return rows.join(open_, "leaf")
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """Each member once for each two blocks of its bucket that it is compared in: a small bucket is one block."""
+    blocks = F.ceil(F.col("n") / LIMIT).cast("int")
+    dealt = members.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("set"), blocks).cast("int")})
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    return dealt.select("set", "run", "leaf", "own", "block", "low", "high")
+
+
 def _compare(threshold: float):
     """Brute force within the buckets of one shard."""
 
@@ -131,7 +167,7 @@ def _compare(threshold: float):
             if low != high:
                 alike &= block[:, None] != block[None, :]
             a, b = np.nonzero(np.triu(alike, 1))
-            own = np.array(bucket["own"].tolist(), np.int64)[:, :run]
+            own = np.array(bucket["own"].tolist(), np.int64).reshape(n, run)
             met = np.zeros(len(a), bool)
             for r in range(run):
                 met |= (own[a, r] == own[b, r]) & (own[a, r] != 0)
@@ -198,17 +234,17 @@ def near_duplicates(docs: DataFrame, *, text_col: str = "text", threshold: float
     rows with a similarity of ``threshold`` or more. One row of a class is ``kept``: the one with the least id (and of
     equal rows any). ``doc_id`` may be of any type that has an order; other columns are not read.
     """
-    runs = runs_needed(threshold, recall)
     keyed = docs.select("doc_id", F.col(text_col).alias("text"))
     keyed = keyed.withColumn("row_key", _row_key())
-    signed = stored(_signed(keyed, runs), "signed")
+    sign = _signer(runs_needed(threshold, recall), LEVELS, 1)
+    signed = keyed.select("doc_id", "row_key", sign("text", "row_key").alias("s")).select("doc_id", "row_key", "s.*")
+    signed = stored(signed, "signed")
     sets = signed.groupBy("set").agg(
         F.count("*").alias("weight"), F.min("row_key").alias("row_key"), F.first("size").alias("size"), F.first("first").alias("first"),
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("least"),
     )
     sets = stored(sets, "sets")
-    leaves = stored(_leaves(sets, runs), "leaves")
-    members = stored(_members(leaves, runs), "open_members")
+    members = stored(_meetings(sets, keyed, threshold, recall), "open_members")
     held = members.select("set").distinct().join(sets.select("set", "weight", "row_key", "size"), "set")
     bytes_ = members.join(sets.select("set", "size"), "set").agg(F.sum(F.col("size") * 8 * F.ceil(F.col("n") / LIMIT))).first()[0]
     shards = max(1, -(-int(bytes_ or 0) // SHARD_BYTES))
@@ -221,12 +257,7 @@ def near_duplicates(docs: DataFrame, *, text_col: str = "text", threshold: float
     texts = keyed.select("row_key", "text").join(held, "row_key")
     texts = texts.select("set", "weight", "text").mapInPandas(tokens, "set binary, weight long, tokens binary")
     texts = texts.dropDuplicates(["set"])  # rows that repeat have one key
-    blocks = F.ceil(F.col("n") / LIMIT).cast("int")
-    block = F.pmod(F.xxhash64("set"), blocks).cast("int")
-    dealt = members.withColumns({"blocks": blocks, "block": block})
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    dealt = dealt.select("set", "run", "leaf", "own", "block", "low", "high").join(texts, "set")
+    dealt = _dealt(members).join(texts, "set")
     shard = F.pmod(F.xxhash64("leaf", "low", "high"), F.lit(shards))
     found = dealt.withColumn("shard", shard).groupBy("shard").applyInPandas(
         _compare(threshold), "set binary, to binary, links long"

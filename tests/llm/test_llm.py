@@ -99,6 +99,46 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, limit):
     assert {i: got[i]["class_id"] for i in got} == dict(enumerate(label))
 
 
+def alike(n, share, seed, own=60):
+    """``n`` texts of ``own`` words with a passage of about the given share of their shingles in common."""
+    passage = words(round(own * share), seed).split()
+    return [passage + words(own - len(passage), seed * 1000 + i).split() for i in range(n)]
+
+
+@pytest.mark.parametrize("levels", [1, 2, 5])
+def test_crowded_buckets_go_deeper_without_losing_links(spark, monkeypatch, levels):
+    monkeypatch.setattr(ngram_join, "LIMIT", 8)
+    monkeypatch.setattr(ngram_join, "DEEP", levels)
+    r, texts = random.Random(levels), alike(150, 0.5, 3)
+    for i in range(0, 150, 5):  # near copies of some, among many that share half of their shingles
+        w = list(texts[i])
+        w[-1 - i % 3] = f"new{i}"
+        texts.append(w)
+    texts += [texts[0][:-1] + [f"t{r.random()}"] for _ in range(30)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    links, label = brute_links(rows)
+    got = {x["doc_id"]: x for x in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: got[i]["n_links"] for i in got} == {i: len(links[i]) for i in links}
+    assert {i: got[i]["class_id"] for i in got} == dict(enumerate(label))
+
+
+def test_sets_of_a_crowded_bucket_are_shipped_a_bounded_number_of_times(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LIMIT", 10)
+    shipped = {}
+    deal = ngram_join._dealt
+
+    def counting(members):
+        dealt = deal(members)
+        shipped[size] = dealt.count()
+        return dealt
+
+    monkeypatch.setattr(ngram_join, "_dealt", counting)
+    for size in (300, 1200):
+        rows = [(i, " ".join(w)) for i, w in enumerate(alike(size, 0.45, 7))]
+        assert ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).where("n_links > 0").count() == 0
+    assert shipped[1200] < 6 * max(shipped[300], 1)  # four times the sets; pairs of blocks would be sixteen times as many
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     rows = ngram_join.near_duplicates(odd).collect()
     assert len(rows) == len(odd_rows())

@@ -67,8 +67,8 @@ def test_stages(spark, sf_dir):
         assert docs.columns == columns and docs.count() <= seen[-1] and docs.count() > 0.5 * seen[0]
         assert docs.where("n_chars <> char_length(text)").count() == 0
         assert rows_of(docs) == BRUTE[name](spark, before, sf_dir), name
+        assert rows_of(docs) != rows_of(before), name  # each stage has something to do
         seen.append(docs.count())
-    assert sorted(set(seen), reverse=True) == seen  # each stage has something to do
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
     check_packing(pieces)
     encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode
