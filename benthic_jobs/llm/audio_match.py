@@ -8,11 +8,14 @@ differ over the overlap. Two recordings are aligned by the offset with the least
 the least offset.
 
 Search: a stated query set against all recordings. Equal fingerprints are one row on both sides. Queries come in
-blocks of ``BLOCK`` fingerprints, each with an inverted index that is broadcast; every recording looks its integers up. The index
+blocks of ``BLOCK`` fingerprints, each a job with an inverted index that is broadcast; every recording looks its integers up. The index
 has a table for each two of an integer's four bytes: integers that differ in two bits are equal in two bytes at least.
-Nothing is capped: an integer that many queries share is a candidate for all of them.
+Nothing is capped: an integer that many queries share is a candidate for all of them, and recordings of any length are
+compared whole, a million integers at a time. Ties between queries go to the least id.
 
-Null and too short recordings have no fingerprint, no match and are classes of their own.
+Null and too short recordings have no fingerprint, no match and are classes of their own. Repeated rows share a
+class and each has its own row; a null id stays null and is its own class's last resort. Columns but the id and the
+samples are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices, stored
+from .shared import new_dir, slices, stored
 
 RATE, FRAME, HOP, WINDOW, BLOCK = 4000, 1024, 256, 12, 2000
 NEAR, OVERLAP = 2, 16
@@ -197,13 +200,14 @@ def search(prints: DataFrame, is_query: Column, *, least: float = 0.2) -> DataFr
     classes = known.groupBy("fingerprint").agg(
         F.min("recording_id").alias("class_id"), F.min(query_id).alias("query_id"), F.count(query_id).alias("rows")
     )
-    classes = stored(classes, "classes")
+    classes = stored(classes.withColumn("key", F.sha2("fingerprint", 256)), "classes")  # ids may be null, and stay out of Python
     queries = classes.where("rows > 0").select("query_id", "rows", "fingerprint")
     blocks = max(1, -(-queries.count() // BLOCK))
     queries = stored(queries.withColumn("block", F.pmod(F.xxhash64("fingerprint"), F.lit(blocks))), "queries")
-    schema = "class_id long, matches long, best struct<bit_errors:double,id:long,offset:int>"
-    found = None
-    for b in range(blocks):
+    schema = "key string, matches long, best struct<bit_errors:double,id:long,offset:int>"
+    path = new_dir(spark, "matches")
+    spark.createDataFrame([], schema).write.parquet(path)
+    for b in range(blocks):  # each block is a job of its own, whose matches are added to one table
         rows = [tuple(r) for r in queries.where(F.col("block") == b).drop("block").orderBy("query_id").collect()]
         if not rows:
             continue
@@ -212,19 +216,19 @@ def search(prints: DataFrame, is_query: Column, *, least: float = 0.2) -> DataFr
         def vote(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 out = []
-                for own, raw in zip(batch["class_id"], batch["fingerprint"]):
+                for own, raw in zip(batch["key"], batch["fingerprint"]):
                     got = list(index.value.matches(np.frombuffer(raw, np.uint32), least))
                     if got:
                         best = min((e, int(index.value.ids[q]), o) for q, o, e in got)
                         n = int(sum(index.value.rows[q] for q, _, _ in got))
                         out.append((own, n, dict(zip(("bit_errors", "id", "offset"), best))))
-                yield pd.DataFrame(out, columns=["class_id", "matches", "best"])
+                yield pd.DataFrame(out, columns=["key", "matches", "best"])
 
-        part = classes.select("class_id", "fingerprint").mapInPandas(vote, schema)
-        found = part if found is None else found.unionByName(part)
-    found = found if found is not None else spark.createDataFrame([], schema)
-    best = found.groupBy("class_id").agg(F.sum("matches").alias("matches"), F.min("best").alias("best"))
-    best = stored(classes.select("fingerprint", "class_id").join(best, "class_id", "left"), "best")
+        classes.select("key", "fingerprint").mapInPandas(vote, schema).write.mode("append").parquet(path)
+        index.unpersist()
+    found = spark.read.schema(schema).parquet(path)
+    best = found.groupBy("key").agg(F.sum("matches").alias("matches"), F.min("best").alias("best"))
+    best = stored(classes.select("fingerprint", "class_id", "key").join(best, "key", "left").drop("key"), "best")
     own = F.when(F.col("is_query") & F.col("matches").isNotNull(), 1).otherwise(0)
     return prints.join(best, "fingerprint", "left").select(
         "recording_id", F.coalesce("class_id", "recording_id").alias("class_id"),

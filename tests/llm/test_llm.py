@@ -688,6 +688,19 @@ def test_odd_recordings(spark):
     assert audio_match.search(audio_match.fingerprints(df.limit(0)), F.lit(True)).count() == 0
 
 
+def test_recordings_that_tie_repeat_and_are_long(spark, monkeypatch):
+    monkeypatch.setattr(audio_match, "BLOCK", 2)
+    monkeypatch.setattr(audio_match, "STEP", 500)
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 2**32, 3000, dtype=np.uint32), rng.integers(0, 2**32, 40, dtype=np.uint32)
+    rows = [(BIG, a, 0), (BIG + 2, a, 0), (BIG + 2, a, 0), (None, b, 1), (None, np.flip(b), 1), (BIG + 6, a[700:760], 1), (BIG + 8, a[700:760], 1), (4, b, 0), (2, b, 0)]
+    df = spark.createDataFrame([(i, p.tobytes(), q, 1.5) for i, p, q in rows], "recording_id long, fingerprint binary, query int, class_id double").coalesce(1)
+    got = [tuple(r) for r in audio_match.search(df.drop("class_id"), F.col("query") == 1).collect()]
+    want = [(BIG, BIG, 2, BIG + 6, 700, 0.0), *[(BIG + 2, BIG, 2, BIG + 6, 700, 0.0)] * 2, (None, 2, 0, None, None, None), (None, None, 0, None, None, None)]
+    want += [(BIG + 6, BIG + 6, 1, BIG + 6, 0, 0.0), (BIG + 8, BIG + 6, 1, BIG + 6, 0, 0.0), (4, 2, 0, None, None, None), (2, 2, 0, None, None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 # 10. HTML
 
 
