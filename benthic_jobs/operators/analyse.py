@@ -71,16 +71,17 @@ def random_subset(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 def rolling_bias(rows: DataFrame, gap: str, bias: str, key: str, *, least: int = 5) -> DataFrame:
     """Centred mean of ``bias`` in the order of ``gap`` over ``max(30, n div 20)`` rows; NULL with under ``least``.
 
-    A window is the difference of two running totals, which are found by their row numbers: no frame is summed anew.
+    A window is the difference of two running totals, which are found by their row numbers: no frame is summed anew. The
+    totals are decimals of twelve places, so that they are exact however long they run.
     """
     known = F.col(bias).isNotNull()
-    totals = {"__i": F.lit(1).cast("long"), "__s": F.coalesce(F.col(bias).cast("double"), F.lit(0.0)), "__n": known.cast("long")}
+    totals = {"__i": F.lit(1).cast("long"), "__s": F.coalesce(F.col(bias).cast("decimal(28,12)"), F.lit(0)), "__n": known.cast("long")}
     ranked = stored(running_totals(rows, [gap, key], totals), "rolling")
     n = ranked.count()
     width = max(30, n // 20)
     end = lambda side: ranked.select(F.col("__i").alias(f"__{side}"), F.col("__s").alias(f"__s{side}"), F.col("__n").alias(f"__n{side}"))
     asked = ranked.withColumns({"__z": F.least(F.col("__i") + (width - 1) // 2, F.lit(n)), "__a": F.col("__i") - width // 2 - 1})
-    both = asked.join(end("z"), "__z").join(end("a"), "__a", "left").na.fill(0, ["__sa", "__na"])
-    count = F.col("__nz") - F.col("__na")
-    mean = F.when(count >= least, (F.col("__sz") - F.col("__sa")) / count)
+    both = asked.join(end("z"), "__z").join(end("a"), "__a", "left")
+    inside = lambda c: F.col(f"__{c}z") - F.coalesce(f"__{c}a", F.lit(0))
+    mean = F.when(inside("n") >= least, inside("s").cast("double") / inside("n"))
     return both.select(*rows.columns, mean.alias("rolling"))

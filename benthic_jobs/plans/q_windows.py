@@ -71,7 +71,7 @@ def t07(spark: SparkSession, d: str) -> DataFrame:
 @query("t08_rolling_bias", """
 WITH n AS (SELECT greatest(30, count(*) // 20) AS w FROM samples),
 r AS (SELECT location_id, depth_m, row_number() OVER (ORDER BY latitude, location_id) AS i FROM samples)
-SELECT a.location_id, CASE WHEN count(b.depth_m) >= 5 THEN round(avg(b.depth_m), 6) END AS rolling
+SELECT a.location_id, CASE WHEN count(b.depth_m) >= 5 THEN round(CAST(sum(CAST(b.depth_m AS DECIMAL(28, 12))) AS DOUBLE) / count(b.depth_m), 6) END AS rolling
 FROM r a, n JOIN r b ON b.i BETWEEN a.i - w // 2 AND a.i + (w - 1) // 2 GROUP BY a.location_id""")
 def t08(spark: SparkSession, d: str) -> DataFrame:
     out = analyse.rolling_bias(carrier(spark, d, "samples").select("location_id", "latitude", "depth_m"), "latitude", "depth_m", "location_id")
