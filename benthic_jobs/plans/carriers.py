@@ -24,12 +24,12 @@ SQL = {
         SELECT concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), CAST(l_partkey AS STRING),
                          CAST(l_suppkey AS STRING), CAST(CAST(FLOOR(l_extendedprice) AS BIGINT) AS STRING)) AS obs_id,
                l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE) AS obs_date,
-               CAST(l_suppkey % 100 AS INT) AS tile, CASE WHEN l_linenumber % 2 = 0 THEN 'S2' ELSE 'LS' END AS sensor,
+               CAST(l_suppkey AS INT) AS tile, CASE WHEN l_linenumber % 2 = 0 THEN 'S2' ELSE 'LS' END AS sensor,
                l_quantity AS site_m, CAST((l_quantity - 5) * 0.5 AS DOUBLE) AS depth_m,
                CAST(-82.9 + (l_suppkey % 100) * 0.005 AS DOUBLE) AS lon, CAST(27.4 + (l_partkey % 100) * 0.005 AS DOUBLE) AS lat
         FROM lineitem""",
     "scenes": """
-        SELECT o_orderkey AS scene_id, CAST(o_custkey % 100 AS INT) AS tile,
+        SELECT o_orderkey AS scene_id, CAST(o_custkey % (SELECT count(*) FROM supplier) AS INT) AS tile,
                CASE WHEN o_orderstatus = 'F' THEN 'LS' ELSE 'S2' END AS sensor, CAST(o_orderdate AS DATE) AS acq_date,
                CAST(o_orderkey % 24 AS INT) AS acq_hour, CAST(FLOOR(o_totalprice) % 100 AS DOUBLE) AS cloud_cover,
                CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(1.0 - (FLOOR(o_totalprice) % 100) / 100.0 AS DOUBLE) END AS clear_score
@@ -54,7 +54,7 @@ SQL = {
                CASE c_nationkey % 4 WHEN 0 THEN 'coral' WHEN 1 THEN 'seagrass' WHEN 2 THEN 'mangrove' END AS habitat_class,
                CAST(-60 + c_custkey % 121 AS DOUBLE) AS latitude, CAST(-180 + (c_custkey * 7) % 360 AS DOUBLE) AS longitude,
                CASE WHEN c_acctbal >= 0 THEN c_acctbal / 100 END AS depth_m, CAST(c_custkey % 9 AS INT) AS lowres_count,
-               c_mktsegment AS segment, CAST(c_custkey % 100 AS INT) AS tile
+               c_mktsegment AS segment, CAST(c_custkey % (SELECT count(*) FROM supplier) AS INT) AS tile
         FROM customer""",
     "cells": """
         SELECT DISTINCT CASE l_linenumber % 3 WHEN 0 THEN 'coral' WHEN 1 THEN 'seagrass' ELSE 'mangrove' END AS habitat,

@@ -17,7 +17,7 @@ from .registry import query, rounded
 _W1 = f"""
 WITH n AS (SELECT site, genus, count(*) AS n FROM annotations WHERE genus IS NOT NULL GROUP BY ALL),
 h AS (SELECT site, sum(-p * ln(p)) AS shannon FROM (SELECT site, n / sum(n) OVER (PARTITION BY site) AS p FROM n) GROUP BY site),
-s AS (SELECT site, min(island) AS island, min(survey_date) AS survey_date, count(*) AS n_points, CAST(site % 100 AS INT) AS tile,
+s AS (SELECT site, min(island) AS island, min(survey_date) AS survey_date, count(*) AS n_points, CAST(site AS INT) AS tile,
         round(sum(CASE WHEN {_BENTHIC} AND category = 'LARGE' THEN 1 ELSE 0 END) * 100.0 / nullif(sum(CASE WHEN {_BENTHIC} THEN 1 ELSE 0 END), 0), 6)::DOUBLE AS cover_large
       FROM annotations GROUP BY site),
 m AS (SELECT site, scene_id, dist FROM (
@@ -37,7 +37,7 @@ def survey_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = points.groupBy("site").agg(F.min("island").alias("island"), F.min("survey_date").alias("survey_date"), F.count("*").alias("n_points"))
     cover = collapse.cover_wide(collapse.cover_long(points, "site", "category", ["LARGE"], benthic()), "site", "category", {"LARGE": "cover_large"})
     sites = sites.join(cover, "site", "left").join(collapse.shannon(points, "site", "genus"), "site", "left")
-    sites = sites.withColumn("tile", (F.col("site") % 100).cast("int"))
+    sites = sites.withColumn("tile", F.col("site").cast("int"))
     found = matching.nearest_scene(sites, scenes, ["tile"], "survey_date", "acq_date", "scene_id", 45)
     found = found.crossJoin(F.broadcast(stack_count(spark, sf_dir)))
     at = found.withColumns({"stack": F.col("scene_id") % F.col("n_stacks"), "prow": (F.col("site") % 8).cast("int"), "pcol": (F.col("site") % 5).cast("int")})
