@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .matching import seeded
+from .matching import seeded, top_k_dealt
 from .ranks import quantiles
 
 LAT_M, LON_M = 110540.0, 111320.0
@@ -139,8 +139,10 @@ def stratified_cap(rows: DataFrame, strata: list[str], key: str, most: int, seed
     quota = F.greatest(F.lit(1), F.bround(F.lit(float(most)) * F.col("__n") / F.col("__total")))
     per = per.crossJoin(F.broadcast(total)).withColumn("__quota", F.when(F.col("__total") <= most, F.col("__n")).otherwise(quota))
     per = per.select(*(F.col(c).alias(f"__{c}") for c in strata), "__quota")
-    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in strata]
-    joined = rows.join(per, same[0] if len(same) == 1 else same[0] & same[1] if len(same) == 2 else F.expr(" AND ".join(f"{c} <=> __{c}" for c in strata)))
-    order = [seeded(F.col(key), seed), F.col(key)]
-    rank = F.row_number().over(Window.partitionBy(*strata).orderBy(*order))
-    return joined.withColumn("__r", rank).where("__r <= __quota").orderBy(*order).limit(most).select(*rows.columns)
+    named = rows.select(*strata, key, seeded(F.col(key), seed).alias("__h"), F.struct(*rows.columns).alias("__row"))
+    first = top_k_dealt(named, strata, ["__h", key], most, F.col("__h"))  # no quota is over ``most``
+    same = F.lit(True)
+    for c in strata:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    kept = first.join(per, same).where("rank <= __quota").orderBy("__h", key).limit(most)
+    return kept.select("__row.*")
