@@ -12,14 +12,18 @@ def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``, else the context's own checkpoint folder; where neither is set a folder of this machine.
 
     The last is for tests alone: with a master that is not local it is an error, as executors would not see that folder.
+    A path without a scheme is of the session's default file system, as it is for Spark itself.
     """
     context = spark.sparkContext
     at = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not at:
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="spark-benthic-")
-        spark.conf.set("spark.checkpoint.dir", at)
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-benthic-"))
+        at = context.getCheckpointDir()
+    if ":" not in at:
+        path = context._jvm.org.apache.hadoop.fs.Path(at)
+        at = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
     return at.rstrip("/")
 
 

@@ -226,3 +226,24 @@ def test_empty_inputs(spark):
     assert collapse.merged_windows(none, ["site"], "d", 2).count() == 0
     assert habitat.dilate(none, ["habitat"], 2, 9, 9).count() == 0
     assert collapse.stratified_cap(none.select("site", "label"), ["label"], "site", 5, 1).count() == 0
+
+
+def test_shared_folder(spark):
+    from types import SimpleNamespace as Fake
+
+    from benthic_jobs import storage
+
+    assert ":" in storage.shared_dir(spark) and storage.stored(spark.range(3), "x").count() == 3
+    own = spark.sparkContext
+
+    def session(master, folder=None, at=None):
+        fake = Fake(master=master, getConf=lambda: {"spark.checkpoint.dir": folder}, getCheckpointDir=lambda: held.get("at"), _jvm=own._jvm, _jsc=own._jsc)
+        held, fake.setCheckpointDir = {"at": at}, lambda x: held.update(at=x)
+        return Fake(sparkContext=fake, conf=Fake(get=lambda key, default: default))
+
+    assert storage.shared_dir(session("spark://somewhere:7077", "/shared/x")) == "file:/shared/x"
+    assert storage.shared_dir(session("yarn", "hdfs://name/x/")) == "hdfs://name/x" and storage.shared_dir(session("yarn", at="s3a://b/y")) == "s3a://b/y"
+    alone = session("local[4]")
+    assert storage.shared_dir(alone) == storage.shared_dir(alone) != storage.shared_dir(session("local[4]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.shared_dir(session("spark://somewhere:7077"))
