@@ -7,12 +7,13 @@ their similarity. A bucket of at most ``LIMIT`` sets is compared by brute force;
 the next level's tokens. Runs repeat until a pair at the threshold is met with at least the probability ``recall``;
 every pair that is met is verified on the whole sets.
 
-Most buckets are small after ``LEVELS`` levels. The sets of those that are not, and of which one of ``PROBES`` further tokens
-keeps no more than ``DENSE`` together (different texts with a passage in common), are split by ``DEEP`` levels instead, in as
-many more runs as keep the recall at that depth: a deeper path costs runs, so only such sets pay for it, and each of
-them is shipped a bounded number of times, whatever the size of the bucket it came from. Buckets that stop shrinking
-(near copies of one text, which all have to be counted) and those still large after the last level are compared in
-blocks of ``LIMIT``, dealt over many tasks, so that no bucket is cut or dropped.
+Most buckets are small after ``LEVELS`` levels. The sets of those that are not, and of which a further token keeps no more
+than ``DENSE`` together on average over ``PROBES`` of them (different texts with a passage in common), are split by as many
+levels as that share asks for (``DEEP`` at most) instead, in as many more runs as keep the recall at that depth: a deeper
+path costs runs, so only such sets pay for it, and each of them is shipped a bounded number of times, whatever the size
+of the bucket it came from. Buckets that stop shrinking (near copies of one text, which all have to be counted) and
+those still large after the last level are compared in blocks of ``LIMIT``, dealt over many tasks, so that no bucket is
+cut or dropped.
 
 A pair counts in the first run whose leaf it shares, so links add up without listing pairs. Buckets whose members
 have all met in one earlier leaf are left out. Tasks return, for each set, its links' weight and one member of its
@@ -35,7 +36,9 @@ from pyspark.sql import functions as F
 from .shared import ALNUM, grams, hashed_words, mix, slices, stored
 
 WORDS, LIMIT, LEVELS, DEEP = 5, 400, 2, 8
-DENSE, PROBES = 0.7, 4
+DENSE, PROBES = 0.7, 8
+#: Rows of two keys (some 60 bytes each) that are broadcast at most.
+BROADCAST = 100_000
 STEP_BYTES, SHARD_BYTES = 4_000_000, 8_000_000
 
 
@@ -115,21 +118,28 @@ def _meetings(sets: DataFrame, keyed: DataFrame, threshold: float, recall: float
     spread = crowded.join(sets.select("set", "first"), "set").select("leaf", "n", F.posexplode(others).alias("probe", "token"))
     spread = spread.groupBy("leaf", "probe", "token").agg(F.count("*").alias("most"), F.first("n").alias("n"))
     spread = spread.groupBy("leaf", "probe").agg(F.max("most").alias("most"), F.first("n").alias("n"))
-    spread = spread.groupBy("leaf").agg((F.min("most") > DENSE * F.first("n")).alias("dense"))
-    crowded = crowded.join(stored(spread, "spread"), "leaf")
+    spread = spread.groupBy("leaf").agg((F.avg("most") / F.first("n")).alias("share"), F.first("n").alias("n"))
+    more = F.when(F.col("share") <= DENSE, F.ceil(F.log(F.col("n") / LIMIT) / -F.log("share")))  # levels until it is small
+    spread = stored(spread.select("leaf", (F.col("share") > DENSE).alias("dense"), more.alias("more")), "spread")
+    crowded = crowded.join(spread.drop("more"), "leaf")
     found = stored(found.unionByName(crowded.where("dense").select("set", "run", "leaf", "n")), "found")
     hot = stored(crowded.where("NOT dense").select("set").distinct(), "hot")
     total = runs
-    if not hot.isEmpty():
-        deep = runs_needed(threshold, recall, DEEP)
+    n_hot = hot.count()
+    if n_hot:
+        levels = min(DEEP, LEVELS + 1 + int(spread.agg(F.max("more")).first()[0]))
+        deep = runs_needed(threshold, recall, levels)
         total += deep
-        texts = keyed.join(sets.select("set", "row_key").join(hot, "set"), "row_key").dropDuplicates(["set"])
-        sign = _signer(deep, DEEP, 1_000_001)
+        few = F.broadcast if n_hot <= BROADCAST else lambda rows: rows
+        rows = stored(sets.select("set", "row_key").join(few(hot), "set"), "hot_rows")
+        texts = keyed.join(few(rows), "row_key").dropDuplicates(["set"])
+        sign = _signer(deep, levels, 1_000_001)
         texts = stored(texts.select("set", sign("text", "row_key").alias("s")).select("set", "s.first"), "deep")
-        deeper, still = _split(_paths(texts, deep, DEEP, runs), DEEP)
+        deeper, still = _split(_paths(texts, deep, levels, runs), levels)
         found = found.unionByName(deeper).unionByName(still.select("set", "run", "leaf", "n"))
     leaves = found.groupBy("set").agg(F.map_from_entries(F.collect_list(F.struct("run", F.struct("leaf", "n")))).alias("leaves"))
-    own = F.array(*(F.coalesce(F.col("leaves")[r]["leaf"], F.lit(0)) for r in range(total)))
+    leaf = lambda r: F.coalesce(F.try_element_at("leaves", r)["leaf"], F.lit(0))
+    own = F.transform(F.sequence(F.lit(0), F.lit(total - 1)), leaf)
     rows = stored(leaves, "leaves").select(own.alias("own"), "set", F.explode("leaves").alias("run", "x"))
     before = F.slice("own", F.lit(1), F.col("run"))
     rows = stored(rows.select("set", before.alias("own"), "run", F.col("x.leaf").alias("leaf"), F.col("x.n").alias("n")), "members")
