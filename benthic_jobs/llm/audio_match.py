@@ -8,7 +8,7 @@ differ over the overlap. Two recordings are aligned by the offset with the least
 the least offset.
 
 Search: a stated query set against all recordings. Equal fingerprints are one row on both sides. Queries come in
-blocks of ``BLOCK`` fingerprints, each a job with an inverted index that is broadcast; every recording looks its integers up. The index
+blocks of at most about ``BLOCK`` fingerprints and ``INTEGERS`` integers, each a job with an inverted index that is broadcast; every recording looks its integers up. The index
 has a table for each two of an integer's four bytes: integers that differ in two bits are equal in two bytes at least.
 Nothing is capped: an integer that many queries share is a candidate for all of them, and recordings of any length are
 compared whole, a million integers at a time. Ties between queries go to the least id.
@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 
 from .shared import new_dir, slices, stored
 
-RATE, FRAME, HOP, WINDOW, BLOCK = 4000, 1024, 256, 12, 2000
+RATE, FRAME, HOP, WINDOW = 4000, 1024, 256, 12
+#: Fingerprints and integers of a block of queries, about; an index takes some 40 bytes an integer.
+BLOCK, INTEGERS = 4000, 250_000
 NEAR, OVERLAP = 2, 16
 #: Pairs of integers that are compared at a time.
 STEP = 1_000_000
@@ -137,32 +139,36 @@ class _Index:
         self.size = np.array([len(p) for p in prints])
         self.begin = np.cumsum(self.size) - self.size
         self.query = np.repeat(np.arange(len(queries)), self.size)
-        self.tables = []
-        for pair in combinations(range(4), 2):
-            keys = self._key(self.flat, pair)
+        self.shift = self.begin[self.query]
+        self.tables, part = [], self._bytes(self.flat)
+        for low, high in combinations(range(4), 2):
+            keys = part[high] << 8 | part[low]
             starts = np.concatenate([[0], np.cumsum(np.bincount(keys, minlength=1 << 16))])
-            self.tables.append((pair, starts, np.argsort(keys, kind="stable").astype(np.int32)))
+            self.tables.append((low, high, starts, np.argsort(keys, kind="stable").astype(np.int32)))
 
     @staticmethod
-    def _key(integers: np.ndarray, pair: tuple[int, int]) -> np.ndarray:
-        low, high = (integers >> np.uint32(8 * b) & np.uint32(255) for b in pair)
-        return (high << np.uint32(8) | low).astype(np.int64)
+    def _bytes(integers: np.ndarray) -> list[np.ndarray]:
+        return [(integers >> np.uint32(8 * b) & np.uint32(255)).astype(np.int64) for b in range(4)]
 
     def _candidates(self, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The (query, offset) pairs with integers that differ in at most ``NEAR`` bits."""
-        span, found = 1 << 24, [np.zeros(0, np.int64)]
-        for pair, starts, order in self.tables:
-            key = self._key(other, pair)
-            n = starts[key + 1] - starts[key]
-            for part in slices(n.tolist(), STEP):
-                m = n[part]
-                hit = order[np.repeat(starts[key[part]], m) + _ragged(m)]
-                place = np.repeat(np.arange(part.start, part.stop), m)
-                near = np.bitwise_count(self.flat[hit] ^ other[place]) <= NEAR
-                hit, place = hit[near], place[near]
-                query = self.query[hit]
-                found.append(np.unique(query * span + (place - (hit - self.begin[query]) + span // 2)))
-        both = np.unique(np.concatenate(found))
+        span, found, part = 1 << 24, [np.zeros(0, np.int64)], self._bytes(other)
+        for low, high, starts, order in self.tables:
+            key = part[high] << 8 | part[low]
+            begin, n = starts[key], starts[key + 1] - starts[key]
+            some = np.flatnonzero(n)
+            for step in slices(n[some].tolist(), STEP) if n.sum() > STEP else (slice(None),):
+                at = some[step]
+                m = n[at]
+                hit = order[np.repeat(begin[at], m) + _ragged(m)]
+                place = np.repeat(at, m)
+                near = np.flatnonzero(np.bitwise_count(self.flat[hit] ^ other[place]) <= NEAR)
+                hit = hit[near]
+                found.append(self.query[hit] * span + (place[near] - hit + self.shift[hit] + span // 2))
+                if len(found[-1]) > STEP:
+                    found[-1] = np.unique(found[-1])
+        both = np.sort(np.concatenate(found))
+        both = both[np.flatnonzero(np.diff(both, prepend=-1))]
         return both // span, both % span - span // 2
 
     def matches(self, other: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
@@ -202,7 +208,8 @@ def search(prints: DataFrame, is_query: Column, *, least: float = 0.2) -> DataFr
     )
     classes = stored(classes.withColumn("key", F.sha2("fingerprint", 256)), "classes")  # ids may be null, and stay out of Python
     queries = classes.where("rows > 0").select("query_id", "rows", "fingerprint")
-    blocks = max(1, -(-queries.count() // BLOCK))
+    size = queries.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("fingerprint") / 4), F.lit(0.0)).alias("integers")).first()
+    blocks = max(1, -(-size["n"] // BLOCK), -(-int(size["integers"]) // INTEGERS))
     queries = stored(queries.withColumn("block", F.pmod(F.xxhash64("fingerprint"), F.lit(blocks))), "queries")
     schema = "key string, matches long, best struct<bit_errors:double,id:long,offset:int>"
     path = new_dir(spark, "matches")
