@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio_match, chat_format, decontaminate, html_extract, language_id, ngram_join, packing, quality, substring_dedup, warc
+from . import audio_match, chat_format, decontaminate, fill_middle, html_extract, language_id, ngram_join, packing, quality, substring_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fill_middle.read_back(fill_middle.assembled(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_audio_match": op9_audio_match,
     "op10_html_extract": op10_html_extract,
+    "op11_fill_middle": op11_fill_middle,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_join": ngram_join.ORACLE,
@@ -87,4 +93,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_warc": warc.ORACLE,
     "op5_chat_format": chat_format.ORACLE,
     "op8_substring_dedup": substring_dedup.ORACLE,
+    "op11_fill_middle": fill_middle.ORACLE,
 }

@@ -119,6 +119,16 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def word_ends(raw: np.ndarray) -> np.ndarray:
+    """Where each unit of a text's bytes ends: a word with the white space before it, or white space at the text's end."""
+    solid = ~_SPACE[raw]
+    last = solid.copy()
+    last[:-1] &= ~solid[1:]
+    if len(raw):
+        last[-1] = True
+    return np.flatnonzero(last) + 1
+
+
 def slices(sizes: list[int], most: int) -> Iterator[slice]:
     """Consecutive slices whose sizes add up to about ``most``; a larger item stands alone."""
     begin = total = 0
