@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio_match, chat_format, decontaminate, fill_middle, html_extract, language_id, ngram_join, packing, quality, substring_dedup, warc
+from . import audio_match, centroids, chat_format, decontaminate, fill_middle, html_extract, language_id, ngram_join, packing, quality, substring_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,10 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.read_back(fill_middle.assembled(docs))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_audio_match": op9_audio_match,
     "op10_html_extract": op10_html_extract,
     "op11_fill_middle": op11_fill_middle,
+    "op12_centroid_clustering": op12_centroid_clustering,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_join": ngram_join.ORACLE,
@@ -94,4 +99,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": chat_format.ORACLE,
     "op8_substring_dedup": substring_dedup.ORACLE,
     "op11_fill_middle": fill_middle.ORACLE,
+    "op12_centroid_clustering": centroids.ORACLE,
 }
