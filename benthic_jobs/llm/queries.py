@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import audio_match, centroids, chat_format, decontaminate, fill_middle, html_extract, language_id, ngram_join, packing, quality, substring_dedup, warc
+from . import (
+    audio_match, centroids, chat_format, decontaminate, fill_middle, html_extract, language_id, ngram_join, packing, quality, sharding, substring_dedup, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +80,11 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return sharding.digest(sharding.read_shards(spark, sharding.write_shards(docs), docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -91,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extract": op10_html_extract,
     "op11_fill_middle": op11_fill_middle,
     "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_sharding": op13_sharding,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_join": ngram_join.ORACLE,
@@ -100,4 +108,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_substring_dedup": substring_dedup.ORACLE,
     "op11_fill_middle": fill_middle.ORACLE,
     "op12_centroid_clustering": centroids.ORACLE,
+    "op13_sharding": sharding.ORACLE,
 }
