@@ -161,7 +161,9 @@ u AS (SELECT i, x, 0 AS z FROM t UNION ALL SELECT u.i, xor(u.x >> 8, t.x), z + 1
 u1 AS MATERIALIZED (SELECT * FROM u),
 w AS MATERIALIZED (SELECT list(x ORDER BY z, i) AS w FROM u1 WHERE z >= 252),
 d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
-p AS (SELECT r, n, i, (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1 AS b FROM d, LATERAL (SELECT unnest(range(n)) AS i)),
+e AS (SELECT r, n, j, substr(h, 512 * j + 1, 512) AS h FROM d, LATERAL (SELECT unnest(range((n + 255) // 256)) AS j)),
+p AS (SELECT r, n, 256 * j + i AS i, (strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1 AS b
+  FROM e, LATERAL (SELECT unnest(range(length(h) // 2)) AS i)),
 q AS (SELECT r, (n - 1 - p.i) // 256 AS block, bit_xor(x) AS c FROM p JOIN u1 ON u1.i = CASE WHEN p.i < 4 THEN xor(b, 255) ELSE b END AND z = (n - 1 - p.i) % 256 GROUP BY ALL),
 l AS (SELECT r, list(c ORDER BY block DESC) AS c FROM q GROUP BY r),
 c AS (SELECT r, list_reduce(c, lambda a, x: xor(x, xor(xor(w[769 + (a & 255)], w[513 + ((a >> 8) & 255)]), xor(w[257 + ((a >> 16) & 255)], w[1 + (a >> 24)])))) AS c FROM l, w),
