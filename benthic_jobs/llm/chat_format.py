@@ -152,8 +152,14 @@ def canonical_turns(records: DataFrame, record_col: str = "record", layouts: tup
     return marked.withColumns({"layout": name, "turns": turns})
 
 
+def known(canonical: DataFrame) -> DataFrame:
+    """``canonical``, whose records must all have a layout: one without is an error, so that no turn is lost in silence."""
+    told = F.concat(F.lit("a record has no layout, fingerprint "), F.coalesce(F.col("fingerprint"), F.lit("none")))
+    return canonical.withColumn("turns", F.when(F.col("turns").isNull(), F.raise_error(told).cast(TURNS)).otherwise(F.col("turns")))
+
+
 def format_turns(canonical: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """The formatted text of each row's turns and the character spans under the loss mask."""
+    """The formatted text of each row's turns and the character spans under the loss mask; without turns an empty text."""
 
     @F.pandas_udf("struct<formatted:string,loss_spans:array<array<int>>>")
     def write(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -193,12 +199,12 @@ def from_rows(rows: DataFrame) -> DataFrame:
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
     row = F.struct("turn", empty("role").alias("role"), empty("text").alias("content"))
     grouped = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("m"))
-    roles, text = F.concat_ws(" ", "m.role"), lambda i: F.get("m", F.lit(i))["content"]
+    roles, text = lambda *names: F.col("m.role") == F.array(*map(F.lit, names)), lambda i: F.get("m", F.lit(i))["content"]
     messages = F.to_json(F.struct(F.transform("m", lambda x: x.dropFields("turn")).alias("messages")))
     record = (
-        F.when(roles == "user assistant", F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("response"))))
+        F.when(roles("user", "assistant"), F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("response"))))
         .when(
-            roles == "system user assistant",
+            roles("system", "user", "assistant"),
             F.to_json(F.struct(text(0).alias("system"), text(1).alias("instruction"), text(2).alias("output"))),
         )
         .otherwise(messages)

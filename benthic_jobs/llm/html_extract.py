@@ -2,15 +2,19 @@
 
 A page becomes a tree of block elements and text blocks (runs of inline text). Every node is content or not. Unary
 potentials come from the node's tag, the words of its class, id and role, and its text and link lengths; pairwise
-potentials tie a child to its parent. Sum-product messages go up and down the tree once and give exact marginals; text
-blocks with a marginal over 0.5 are the main text. The weights are trained by gradient ascent on the exact likelihood
-of labelled pages (``labelled_pages``: layouts with marked articles, filled with invented words).
-
-Scripts, styles, comments and markup never become text. Character references are decoded, white space inside a block
-is one space, blocks are joined by one newline in page order. A tag that the page's end cuts off is dropped; elements
-without end tags end where HTML says. Inside a tag a quote opens a value only after ``=`` and only if the page closes it;
-any other quote is an ordinary character. Formulas (``math``) are inline text. Drawings (``svg``) are none, but for their
-``foreignObject``; one without an end tag ends at ``/>``, at the next HTML tag, or where the element around it ends.
+potentials tie a child to its parent. A word that is a whole name (``side``) speaks for its kind; in a compound name a
+word of everyday language (``side-by-side``, ``share-price``) speaks less, as articles are marked up with such names
+too. Hidden is what has the attribute ``hidden`` or ``aria-hidden``, the style ``display:none`` or the class ``hidden``,
+and not what only contains the word. Sum-product messages go up and down the tree once and give exact marginals; text
+blocks with a marginal over 0.5 are the main text. The weights are trained by gradient ascent on the exact likelihood of
+labelled pages (``labelled_pages``: layouts with marked articles, filled with invented words).
+
+Scripts, styles, comments and markup never become text, nor does ``noscript``. Character references are decoded, white
+space inside a block is one space, blocks are joined by one newline in page order. A tag that the page's end cuts off is
+dropped; elements without end tags end where HTML says. Inside a tag a quote opens a value only after ``=`` and only if
+the page closes it; any other quote is an ordinary character. Formulas (``math``) are inline text. Drawings (``svg``)
+are none, but for their ``foreignObject``; one without an end tag ends at ``/>``, at the next HTML tag, or where the
+element around it ends.
 Null and empty pages give an empty text; nothing is capped.
 """
 
@@ -35,6 +39,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:{_VALUE.format('([^\"]*+)', "([^']*+)", '([^\\s>]*+)')})?+")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 #: Names of elements by their role in HTML.
 RAW = frozenset("script style textarea title iframe noframes noembed xmp noscript template svg".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,13 +73,19 @@ WORDS = {
     "w:notice": "cookie cookies consent notice alert modal popup newsletter subscribe login signup gdpr privacy overlay dialog",
 }
 _KEYWORD = {w: k for k, words in WORDS.items() for w in words.split()}
+#: Those of the words that compound names of anything may contain.
+COMMON = frozenset(
+    "text main story body more share social side trending popular tags legal foot brand site skip reply respond discussion reactions "
+    "notice alert consent complementary overlay dialog widget pager menu logo".split()
+)
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "names", "gold", "parent", "children", "parts", "chars", "links")
+    __slots__ = ("tag", "names", "hidden", "gold", "parent", "children", "parts", "chars", "links")
 
-    def __init__(self, tag: str, parent: Node | None, names: str = "", gold: str | None = None) -> None:
-        self.tag, self.names, self.gold, self.parent = tag, names, gold, parent
+    def __init__(self, tag: str, parent: Node | None, names: str = "", gold: str | None = None, hidden: bool = False) -> None:
+        self.tag, self.names, self.hidden, self.gold, self.parent = tag, names, hidden, gold, parent
         self.children: list[Node] = []
         self.parts: list[str] = []
         self.chars = self.links = 0
@@ -162,18 +173,20 @@ def parse(page: str) -> Node:
                     close({"p"}, STOPS)
                 if tag in SAME:
                     close(SAME[tag], STOPS)
-                names, gold = "", None
+                names, gold, hidden = "", None, False
                 for k, *v in _ATTRIBUTE.findall(m[2]):
-                    k = k.lower()
-                    if k in ("class", "id", "role", "itemprop", "aria-label"):
-                        names += " " + "".join(v)
-                    elif k in ("hidden", "aria-hidden") or (k == "style" and re.search(r"display\s*:\s*none", "".join(v))):
-                        names += " hidden"
+                    k, value = k.lower(), "".join(v)
+                    if k in ("class", "id", "role", "itemprop"):
+                        names += " " + value
+                    elif k == "aria-label":  # a phrase, so one name
+                        names += " " + "-".join(value.split())
+                    elif k == "hidden" or (k == "aria-hidden" and value.strip().lower() != "false") or (k == "style" and _UNSEEN.search(value)):
+                        hidden = True
                     elif k == "data-gold":
-                        gold = "".join(v)
+                        gold = value
                 if tag not in VOID:
                     inline = 0
-                    push(Node(tag, stack[-1], names, gold))
+                    push(Node(tag, stack[-1], names, gold, hidden))
         elif m[3]:
             tag = m[3].lower()
             if tag == "foreignobject" and paused:
@@ -206,9 +219,14 @@ def features(node: Node) -> list[str]:
         kind = "none" if not node.links else "some" if share < 0.5 else "all"
         raw = node.parts[-1].rstrip()
         return ["text", f"t:size{_log_bin(node.chars)}", f"t:link-{kind}", f"t:in-{node.parent.tag}", f"t:stop{raw[-1:] in '.!?'}"]
-    found = {_KEYWORD[w] for w in re.split(r"[^a-z]+", node.names.lower()) if w in _KEYWORD}
-    if "hidden" in node.names:
-        found.add("w:hidden")
+    found = {"w:hidden"} if node.hidden else set()
+    for name in node.names.split():
+        words = [w.lower() for w in _PARTS.findall(name)]
+        if words == ["hidden"]:
+            found.add("w:hidden")
+        for w in words:
+            if w in _KEYWORD:
+                found.add(_KEYWORD[w] if len(words) == 1 or w not in COMMON else f"c{_KEYWORD[w][1:]}")
     return ["element", f"e:{node.tag}", *(found or ["w:none"])]
 
 
@@ -311,7 +329,7 @@ class TreeModel:
 
 def labelled_pages(count: int = 220, seed: int = 11) -> list[str]:
     """Layouts with marked articles (``data-gold``): the training set."""
-    r = random.Random(seed)
+    r, everyday = random.Random(seed), sorted(COMMON)
 
     def words(a: int, z: int) -> str:
         return " ".join("".join(r.choice("aeiounrstlmdkp") for _ in range(r.randint(2, 8))) for _ in range(r.randint(a, z)))
@@ -325,9 +343,19 @@ def labelled_pages(count: int = 220, seed: int = 11) -> list[str]:
     def links(n: int) -> str:
         return "<ul>" + "".join(f'<li><a href="/x">{words(1, 4)}</a></li>' for _ in range(n)) + "</ul>"
 
+    def row(n: int) -> str:
+        return r.choice((" | ", " ", " &middot; ")).join(f'<a href="/x">{words(1, 3)}</a>' for _ in range(n))
+
     def named(kind: str) -> str:
         return r.choice(("class", "id")) + f'="{r.choice(WORDS[kind].split())}{r.choice(("", "-box", " x", "-1"))}"'
 
+    def compound() -> str:
+        """Names as articles have them too: utility classes, and everyday words in compounds."""
+        return "class=" + '"' + " ".join(r.choice((
+            lambda: f"{r.choice(everyday)}-{words(1, 1)}", lambda: f"{words(1, 1)}-{r.choice(everyday)}", lambda: f"{r.choice(everyday)}-{r.choice(everyday)}",
+            lambda: r.choice("overflow-hidden mx-auto flex row container wrapper text-lg lead is-wide col-md-8 mt-4 unhidden".split()), lambda: words(1, 1),
+        ))() for _ in range(r.randint(1, 2))) + '"'
+
     def noise(inside: bool) -> str:
         mark = ' data-gold="0"' if inside else ""
         sub = lambda kind, tag="div": f"<{tag} {named(kind)}{mark}>"
@@ -337,9 +365,11 @@ def labelled_pages(count: int = 220, seed: int = 11) -> list[str]:
             lambda: f"{sub('w:side')}<h4>{words(1, 3)}</h4>{r.choice((links(5), f'<p>{prose()}</p>'))}</div>",
             lambda: f"{sub('w:notice')}<p>{prose()}</p><button>{words(1, 2)}</button></div>",
             lambda: f"<form{mark}><label>{words(1, 3)}</label><input><p>{sentence()}</p><button>{words(1, 2)}</button></form>",
-            lambda: f"{sub('w:menu')}{links(r.randint(2, 7))}</div>",
+            lambda: f"{sub('w:menu')}{links(r.randint(2, 7))}</div>", lambda: f"<div{mark}>{row(r.randint(2, 7))}</div>",
             lambda: f"{sub('w:comment', r.choice(('div', 'section')))}<h3>{words(1, 2)}</h3>"
             + "".join(r.choice((f"<div><p>{prose()}</p></div>", f"<p>{prose()}</p>")) for _ in range(r.randint(1, 4))) + "</div>",
+            lambda: f"<div {r.choice(('hidden', 'style=display:none', 'aria-hidden=true', 'class=hidden'))}{mark}><p>{prose()}</p></div>",
+            lambda: f"<div {compound()}{mark}>{links(r.randint(2, 6))}</div>",
             lambda: f"{sub('w:comment', 'ul')}" + "".join(f"<li><p>{prose()}</p></li>" for _ in range(3)) + "</ul>",
         ))()
 
@@ -349,6 +379,8 @@ def labelled_pages(count: int = 220, seed: int = 11) -> list[str]:
             f'<p>{prose()} <a href="/y">{words(1, 3)}</a> {prose()}</p>', f"<ul><li>{sentence()}</li><li>{prose()}</li></ul>",
             f"<blockquote><p>{prose()}</p></blockquote>", f"<table><tr><td>{words(1, 3)}</td><td>{words(1, 3)}</td></tr></table>",
             f"<div>{prose()}</div>", f"<p>{words(1, 3)}.</p>",
+            f"<div {compound()}><p>{prose()}</p><p>{prose()}</p></div>", f"<{(h := r.choice(('div', 'section', 'p')))} {compound()}>{prose()}</{h}>",
+            f"<section {compound()}><h2 {compound()}>{words(2, 6)}</h2><p {compound()}>{prose()}</p><div {compound()}>{prose()}</div></section>",
         ))
 
     pages = []
@@ -359,6 +391,9 @@ def labelled_pages(count: int = 220, seed: int = 11) -> list[str]:
             ("<article data-gold=1>", "</article>"), ("<main data-gold=1>", "</main>"), ("<main data-gold=0><article data-gold=1>", "</article></main>"),
             (f'<div {named("w:content")} data-gold=1>', "</div>"), (f'<article {named("w:content")} data-gold=1>', "</article>"),
             (f'<section {named("w:content")} data-gold=1>', "</section>"), ("<div data-gold=1>", "</div>"),
+            (f"<article {compound()} data-gold=1>", "</article>"), (f"<main {compound()} data-gold=1><div {compound()}>", "</div></main>"),
+            (f"<div {compound()} data-gold=0><div {compound()} data-gold=1>", "</div></div>"),
+            (f"<table><tr><td>{row(r.randint(3, 7))}</td></tr><tr><td>{links(r.randint(2, 7))}</td><td data-gold=1>", "</td></tr></table>"),
         ))
         top = [f"<nav>{links(r.randint(2, 8))}</nav>", f"<header><a href=/>{words(1, 3)}</a><p>{words(2, 6)}</p></header>"]
         top += [f"<div {named('w:head')}><h1>{words(1, 3)}</h1>{links(3)}</div>", noise(False), noise(False)]

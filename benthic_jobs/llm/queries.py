@@ -42,7 +42,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame(chat_format.PROBE, rows.schema)
     records = chat_format.from_rows(rows.unionByName(probe))
-    return chat_format.read_back(chat_format.format_turns(chat_format.canonical_turns(records)))
+    return chat_format.read_back(chat_format.format_turns(chat_format.known(chat_format.canonical_turns(records))))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

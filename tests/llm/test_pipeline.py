@@ -82,7 +82,9 @@ def test_stages(spark, sf_dir):
 
 def test_stages_of_odd_rows(spark, sf_dir):
     rows = [(1, None), (2, ""), (3, "x" * 100_000), (None, "a b c"), (5, "same words here " * 40), (5, "same words here " * 40)]
-    more = "stats score label n_words n_removed removed_spans kept_text hit_spans hit_items set first size leaf run own".split()
+    more = "stats score label n_words n_removed removed_spans kept_text hit_spans hit_items set first size leaf run own "
+    more += "N_Words __key __ranges __r __found __spans __items __stats __p Score ROW_KEY Hit_Spans Kept key c0 none _1"
+    more = list({c.lower(): c for c in more.split()}.values())
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
         {"lang": F.lit(None).cast("string"), "source": F.lit("s"), "n_chars": F.char_length("text").cast("long"), **{c: F.lit(f"own {c}") for c in more}}
     )
