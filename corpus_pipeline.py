@@ -17,16 +17,26 @@ from benthic_jobs.llm import decontaminate, ngram_join, packing, quality, substr
 from benthic_jobs.llm.shared import stored
 
 
-def _with_free_names(docs: DataFrame, names: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``work`` on ``docs`` whose own columns of these names are put aside; returns the columns of ``docs``."""
-    aside = {c: f"__own_{c}" for c in names if c in docs.columns}
-    done = work(docs.withColumnsRenamed(aside))
-    return done.select(*(F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns))
+#: The column that carries what the stages don't read. No column of ``documents`` may have this name.
+_REST = "columns_of_the_caller"
+
+
+def _on_text(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on doc_id, text and one struct with all other columns, which are unpacked after it: no name can clash.
+
+    Names are compared as Spark does, without their case. Where texts change, ``n_chars`` follows them.
+    """
+    rest = [c for c in docs.columns if c.lower() not in ("doc_id", "text")]
+    packed = docs.select("doc_id", "text", F.struct(F.lit(0).alias("none"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest))).alias(_REST))
+    done = work(packed)
+    at = {c: F.col(f"{_REST}.c{i}") for i, c in enumerate(rest)}
+    return done.select(*(at.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go; equal texts share their fate, and an empty one has a score too."""
-    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _on_text(docs, lambda docs: quality.keep_good(docs, labels))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +44,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Texts without words are no copies of anything.
     """
-    return ngram_join.keep_one(docs)
+    return _on_text(docs, ngram_join.keep_one)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,20 +56,17 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     def work(docs: DataFrame) -> DataFrame:
         done = substring_dedup.remove_repeats(docs)
         text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-        kept = done.where("n_removed = 0 or n_removed < n_words").withColumn("text", text)
-        return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
+        return done.where("n_removed = 0 or n_removed < n_words").withColumn("text", text)
 
-    return _with_free_names(docs, ("n_words", "n_removed", "removed_spans", "kept_text"), work)
+    kept = _on_text(docs, work)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go, whether the item has an id or not."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
-    def work(docs: DataFrame) -> DataFrame:
-        return decontaminate.find_contamination(docs, items).where(F.size("hit_spans") == 0)
-
-    return _with_free_names(docs, ("n_words", "hit_spans", "hit_items"), work)
+    return _on_text(docs, lambda docs: decontaminate.find_contamination(docs, items).where(F.size("hit_spans") == 0))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
