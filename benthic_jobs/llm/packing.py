@@ -132,6 +132,24 @@ def _first_columns(sizes: np.ndarray, demand: np.ndarray, room: int) -> np.ndarr
     return np.array(columns).T
 
 
+def _inverse(a: np.ndarray) -> np.ndarray:
+    """By elimination with pivots; at most 256 classes, so no linear algebra library (and none of its threads) is worth it."""
+    n = len(a)
+    both = np.hstack([a.astype(float), np.eye(n)])
+    for i in range(n):
+        pivot = i + int(np.argmax(np.abs(both[i:, i])))
+        both[[i, pivot]] = both[[pivot, i]]
+        both[i] /= both[i, i]
+        way = both[:, i].copy()
+        way[i] = 0
+        both -= np.outer(way, both[i])
+    return both[:, n:]
+
+
+def _times(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return (a * x).sum(axis=1)
+
+
 def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, *, close: float = 1e-4) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often to use each, so that every demand is met with the fewest sequences.
 
@@ -140,14 +158,14 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, *, close
     """
     least = float((sizes * demand).sum()) / room
     basis = _first_columns(sizes, demand, room)
-    inverse, columns = np.linalg.inv(basis.astype(float)), list(basis.T)
-    amount = np.maximum(inverse @ demand, 0)
+    inverse, columns = _inverse(basis), list(basis.T)
+    amount = np.maximum(_times(inverse, demand), 0)
     while True:
         worth, pattern = best_pattern(np.maximum(inverse.sum(axis=0), 0), sizes, room)
         used = float(amount.sum())
         if worth <= 1 + 1e-9 or used - max(least, used / worth) <= max(0.5, close * used):
             break
-        way = inverse @ pattern
+        way = _times(inverse, pattern)
         up = way > 1e-9
         ratio = np.where(up, amount / np.where(up, way, 1), np.inf)
         out = int(np.argmin(ratio))
@@ -155,7 +173,7 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, room: int, *, close
         step = way.copy()
         step[out] = 0
         inverse -= np.outer(step, inverse[out])
-        amount = np.maximum(inverse @ demand, 0)
+        amount = np.maximum(_times(inverse, demand), 0)
         columns[out] = pattern
     return list(zip(columns, amount))
 
