@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import exact
 from ..functions.sensors import MATCHED
 from ..storage import stored
 from .matching import day_of, neighbours, seeded
@@ -24,12 +25,12 @@ def patch_statistics(pixels: DataFrame, keys: list[str], value: str, valid: Colu
     v = F.col(value)
     good = pixels.where(valid & v.isNotNull() & ~F.isnan(v.cast("double")))
     return good.groupBy(*keys).agg(
-        F.avg(F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0))).alias("mean"), F.avg((v >= 1).cast("double")).alias("clip_frac")
+        exact.mean(F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0))).alias("mean"), F.avg((v >= 1).cast("double")).alias("clip_frac")
     )
 
 
 def clip_rates(stats: DataFrame) -> DataFrame:
-    return stats.groupBy("band").agg(F.avg("clip_frac").alias("mean_clip"), F.max("clip_frac").alias("max_clip"))
+    return stats.groupBy("band").agg(exact.mean("clip_frac").alias("mean_clip"), F.max("clip_frac").alias("max_clip"))
 
 
 def histogram(rows: DataFrame, keys: list[str], value: str, low: Column, high: Column, bins: int, *, density: bool = False) -> DataFrame:
@@ -80,8 +81,9 @@ def rolling_bias(rows: DataFrame, gap: str, bias: str, key: str, *, least: int =
     n = ranked.count()
     width = max(30, n // 20)
     end = lambda side: ranked.select(F.col("__i").alias(f"__{side}"), F.col("__s").alias(f"__s{side}"), F.col("__n").alias(f"__n{side}"))
-    asked = ranked.withColumns({"__z": F.least(F.col("__i") + (width - 1) // 2, F.lit(n)), "__a": F.col("__i") - width // 2 - 1})
-    both = asked.join(end("z"), "__z").join(end("a"), "__a", "left")
-    inside = lambda c: F.col(f"__{c}z") - F.coalesce(f"__{c}a", F.lit(0))
+    asked = ranked.withColumns({"__z": F.col("__i") + (width - 1) // 2, "__a": F.col("__i") - width // 2 - 1})
+    last = ranked.where(F.col("__i") == n).select(F.col("__s").alias("__s_all"), F.col("__n").alias("__n_all"))  # one row
+    both = asked.join(end("z"), "__z", "left").join(end("a"), "__a", "left").crossJoin(F.broadcast(last))  # past the end: the total
+    inside = lambda c: F.coalesce(f"__{c}z", f"__{c}_all") - F.coalesce(f"__{c}a", F.lit(0))
     mean = F.when(inside("n") >= least, inside("s").cast("double") / inside("n"))
     return both.select(*rows.columns, mean.alias("rolling"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import exact
 from .matching import seeded, top_k_dealt
 from .ranks import quantiles
 
@@ -20,8 +21,8 @@ def plots(trees: DataFrame, keys: list[str], order: str, firsts: list[str]) -> D
     """Trees to plots; a tree without a comment counts as live."""
     live = F.lower(F.coalesce("comment", F.lit("Live"))) == "live"
     return trees.groupBy(*keys).agg(
-        *(first_known(c, order) for c in firsts), F.count("tree_no").alias("n_trees"), F.avg("dbh_cm").alias("mean_dbh_cm"),
-        F.max("dbh_cm").alias("max_dbh_cm"), F.avg("height_m").alias("mean_height_m"), F.count_distinct("species").alias("n_species"),
+        *(first_known(c, order) for c in firsts), F.count("tree_no").alias("n_trees"), exact.mean("dbh_cm").alias("mean_dbh_cm"),
+        F.max("dbh_cm").alias("max_dbh_cm"), exact.mean("height_m").alias("mean_height_m"), F.count_distinct("species").alias("n_species"),
         F.mode("species", True).alias("dominant_species"), F.avg(live.cast("double")).alias("live_fraction"),
     )
 
@@ -121,7 +122,7 @@ def extents(rows: DataFrame, cluster: str, lon: str, lat: str, pad: float, *, li
     rows = outlier_flags(rows.select(cluster, lon, lat), cluster, lon, lat, limit_m).where("NOT outlier").select(cluster, lon, lat)
     box = rows.groupBy(cluster).agg(
         (F.min(lon) - pad).alias("west"), (F.min(lat) - pad).alias("south"), (F.max(lon) + pad).alias("east"), (F.max(lat) + pad).alias("north"),
-        F.avg(lon).alias("lon"), F.avg(lat).alias("lat"),
+        exact.mean(lon).alias("lon"), exact.mean(lat).alias("lat"),
     )
     far = rows.select(cluster, F.col(lon).alias("__x"), F.col(lat).alias("__y")).join(box.select(cluster, "lon", "lat"), cluster)
     dx = (F.col("__x") - F.col("lon")) * LON_M * F.cos(F.radians("lat"))

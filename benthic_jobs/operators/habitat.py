@@ -47,22 +47,58 @@ def edges_of(rings: Column) -> Column:
     return F.flatten(F.transform(rings, one))
 
 
+#: Grid lines of the cells are moved by this share of a cell, away from the round numbers on which vertices lie.
+_OFF = 0.381966011250105
+
+
+def polygon_cells(polygons: DataFrame, *, cell: float) -> DataFrame:
+    """Polygons (rings) cut along a grid: (poly, cx, cy, parity, edges).
+
+    ``parity`` says whether the cell's south-east corner is inside, and ``edges`` are those that cross the cell; cells without
+    either are left out, inner cells have no edges. So a polygon ships each edge as often as it crosses cells, whatever its size.
+    A polygon is known by its hash; equal ones are one.
+    """
+    at = lambda c: F.floor(c / cell - _OFF).cast("long")
+    line = lambda i: (i + _OFF) * cell
+    shapes = polygons.select(F.md5(F.to_json("rings")).alias("poly"), "rings").dropDuplicates(["poly"])
+    edges = shapes.select("poly", F.explode(edges_of(F.col("rings"))).alias("e")).select("poly", "e.*").where("x1 <> x2 OR y1 <> y2")
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    rows = edges.withColumn("cy", F.explode(F.sequence(at(low), at(high))))
+    x_at = lambda y: F.when(F.col("y1") == F.col("y2"), F.col("x1")).otherwise((F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
+    flat = F.col("y1") == F.col("y2")
+    a, z = F.when(flat, F.col("x1")).otherwise(x_at(F.greatest(low, line(F.col("cy"))))), F.when(flat, F.col("x2")).otherwise(x_at(F.least(high, line(F.col("cy") + 1))))
+    slack = cell * 1e-9  # an edge more changes nothing
+    crossed = rows.withColumns({"__a": at(F.least(a, z) - slack), "__z": at(F.greatest(a, z) + slack)})
+    crossed = crossed.withColumn("cx", F.explode(F.sequence("__a", "__z"))).groupBy("poly", "cx", "cy").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    # Where the southern line of a row of cells is inside: between its first and second meeting with the polygon, and so on.
+    south = line(F.col("cy"))
+    met = rows.where((F.col("y1") > south) != (F.col("y2") > south)).select("poly", "cy", x_at(south).alias("x"))
+    order = Window.partitionBy("poly", "cy").orderBy("x")
+    pairs = met.withColumns({"i": F.row_number().over(order), "to": F.lead("x").over(order)}).where("i % 2 = 1")
+    first, last = F.ceil(F.col("x") / cell - _OFF).cast("long") - 1, F.ceil(F.col("to") / cell - _OFF).cast("long") - 2
+    corners = pairs.withColumns({"a": first, "z": last}).where("a <= z").select("poly", "cy", F.explode(F.sequence("a", "z")).alias("cx"), F.lit(1).alias("parity"))
+    both = crossed.join(corners, ["poly", "cx", "cy"], "full")
+    none = F.array().cast(crossed.schema["edges"].dataType)
+    return both.select("poly", "cx", "cy", F.coalesce("parity", F.lit(0)).alias("parity"), F.coalesce("edges", none).alias("edges"))
+
+
 def inside(points: DataFrame, polygons: DataFrame, key: str, *, cell: float) -> DataFrame:
-    """The points (key, lon, lat) that lie in any polygon (rings).
+    """The points (key, lon, lat) that lie in any polygon (rings), by the even-odd rule.
 
-    Candidates come from an equi-join of points with the grid cells of the polygons' boxes. A polygon is split: a cell has
-    those of its edges alone that a ray to the east from within the cell can meet, so a large polygon is many small rows.
+    Candidates come from an equi-join of points with the cells of ``polygon_cells``. Within a cell the way from the point east to the
+    border and south along it to the corner, whose parity is known, meets the cell's own edges alone.
     """
-    at = lambda c: F.floor(c / cell).cast("int")
-    parts = with_boxes(polygons).select("x0", "x1", "y0", "y1", edges_of(F.col("rings")).alias("edges"))
-    parts = parts.withColumn("cy", F.explode(F.sequence(at(F.col("y0")), at(F.col("y1")))))
-    south, north = F.col("cy") * cell, (F.col("cy") + 1) * cell
-    level = lambda e: (F.greatest(e["y1"], e["y2"]) >= south) & (F.least(e["y1"], e["y2"]) <= north)
-    parts = parts.withColumn("edges", F.filter("edges", level)).withColumn("cx", F.explode(F.sequence(at(F.col("x0")), at(F.col("x1")))))
-    west = F.col("cx") * cell
-    parts = parts.select("cx", "cy", F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= west).alias("edges"))
-    pairs = points.withColumns({"cx": at(F.col("lon")), "cy": at(F.col("lat"))}).join(parts.where(F.size("edges") > 0), ["cx", "cy"])
-    hits = pairs.where(crossings(F.col("edges"), F.col("lon"), F.col("lat")) % 2 == 1).select(key).distinct()
+    at = lambda c: F.floor(c / cell - _OFF).cast("long")
+    east, south, x, y = (F.col("cx") + 1 + _OFF) * cell, (F.col("cy") + _OFF) * cell, F.col("lon"), F.col("lat")
+
+    def met(e: Column) -> Column:
+        x_at = (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+        y_at = (e["y2"] - e["y1"]) * (east - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
+        across = F.when((e["y1"] > y) != (e["y2"] > y), F.when((x < x_at) & (x_at <= east), 1).otherwise(0)).otherwise(0)
+        return across + F.when((e["x1"] > east) != (e["x2"] > east), F.when((south < y_at) & (y_at <= y), 1).otherwise(0)).otherwise(0)
+
+    pairs = points.withColumns({"cx": at(x), "cy": at(y)}).join(polygon_cells(polygons, cell=cell), ["cx", "cy"])
+    hits = pairs.where(F.aggregate("edges", F.col("parity"), lambda n, e: n + met(e)) % 2 == 1).select(key).distinct()
     return points.join(hits, key, "left_semi")
 
 
@@ -113,20 +149,86 @@ def _merged(runs: DataFrame, keys: list[str], low: str, high: str) -> DataFrame:
     return runs.groupBy(*keys, "__g").agg(F.min(low).alias(low), F.max(high).alias(high)).drop("__g")
 
 
-def dilate(cells: DataFrame, keys: list[str], radius: int, rows: int, cols: int) -> DataFrame:
-    """The square neighbourhood of ``radius`` cells, clipped to the grid: runs along rows, then along columns."""
-    c, r = F.col("grid_col"), F.col("grid_row")
-    wide = cells.select(*keys, "grid_row", F.greatest(c - radius, F.lit(0)).alias("a"), F.least(c + radius, F.lit(cols - 1)).alias("z"))
+def runs_of(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells as runs (keys, grid_row, col_first, col_last), as long as they can be."""
+    runs = cells.select(*keys, "grid_row", F.col("grid_col").alias("col_first"), F.col("grid_col").alias("col_last")).distinct()
+    return _merged(runs, [*keys, "grid_row"], "col_first", "col_last")
+
+
+def dilate_runs(runs: DataFrame, keys: list[str], radius: int, rows: int, cols: int, *, block: int = 128) -> DataFrame:
+    """The square neighbourhood of ``radius`` cells round runs, clipped to the grid, as runs.
+
+    Runs are widened and merged along rows. Blocks of rows then get the runs that reach them, two blocks for a run at most where
+    a block is as high as the neighbourhood, and a sweep down the block unites for each row the runs of the rows within the radius.
+    Nothing is ever a cell; a block holds its own runs.
+    """
+    wide = runs.select(*keys, "grid_row", F.greatest(F.col("col_first") - radius, F.lit(0)).alias("a"), F.least(F.col("col_last") + radius, F.lit(cols - 1)).alias("z"))
     wide = _merged(wide, [*keys, "grid_row"], "a", "z")
-    tall = wide.select(
-        *keys, F.explode(F.sequence("a", "z")).alias("grid_col"), F.greatest(r - radius, F.lit(0)).alias("a"), F.least(r + radius, F.lit(rows - 1)).alias("z")
-    )
-    tall = _merged(tall, [*keys, "grid_col"], "a", "z")
-    return tall.select(*keys, F.explode(F.sequence("a", "z")).alias("grid_row"), "grid_col")
+    high = max(block, 2 * radius + 1)
+    at = lambda r: F.floor(r / high).cast("int")
+    r = F.col("grid_row")
+    near = F.sequence(at(F.greatest(r - radius, F.lit(0))), at(F.least(r + radius, F.lit(rows - 1))))
+    dealt = wide.withColumn("__b", F.explode(near))
+
+    def sweep(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("grid_row", kind="stable")
+        row, a, z = (group[c].to_numpy() for c in ("grid_row", "a", "z"))
+        first = int(group["__b"].iloc[0]) * high
+        out = []
+        for at_row in range(first, min(first + high, rows)):
+            lo, hi = np.searchsorted(row, (at_row - radius, at_row + radius + 1))
+            if lo == hi:
+                continue
+            order = np.argsort(a[lo:hi], kind="stable")
+            begin, end = a[lo:hi][order], np.maximum.accumulate(z[lo:hi][order])
+            new = np.flatnonzero(np.append(True, begin[1:] > end[:-1] + 1))
+            out.append(np.column_stack([np.full(len(new), at_row), begin[new], end[np.append(new[1:] - 1, len(end) - 1)]]))
+        flat = np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+        named = pd.DataFrame(flat, columns=["grid_row", "col_first", "col_last"])
+        for k in reversed(keys):
+            named.insert(0, k, group[k].iloc[0])
+        return named
+
+    kinds = ", ".join(f"`{k}` {runs.schema[k].dataType.simpleString()}" for k in keys)
+    return dealt.groupBy(*keys, "__b").applyInPandas(sweep, f"{kinds}, grid_row int, col_first int, col_last int" if keys else "grid_row int, col_first int, col_last int")
 
 
-def union_cells(cells: DataFrame) -> DataFrame:
-    return cells.select("grid_row", "grid_col").distinct()
+def dilate(cells: DataFrame, keys: list[str], radius: int, rows: int, cols: int) -> DataFrame:
+    """The square neighbourhood of ``radius`` cells, clipped to the grid, as cells."""
+    return cells_of(dilate_runs(runs_of(cells, keys), keys, radius, rows, cols), keys)
+
+
+def combined_runs(first: DataFrame, second: DataFrame, keys: list[str], keep: Column) -> DataFrame:
+    """Set algebra of two masks of runs: where ``keep`` holds of the booleans ``in_first`` and ``in_second``, as runs.
+
+    Every run is two events, one where it begins and one past its end; running sums of the events of a row say how many runs of
+    either mask are open up to the next event. Runs may overlap, and a mask may have any number of them.
+    """
+    own = [*keys, "grid_row"]
+
+    def events(runs: DataFrame, a: int, b: int) -> DataFrame:
+        ends = F.array(F.struct(F.col("col_first").alias("at"), F.lit(1).alias("s")), F.struct((F.col("col_last") + 1).alias("at"), F.lit(-1).alias("s")))
+        return runs.select(*own, F.explode(ends).alias("e")).select(*own, "e.at", (F.col("e.s") * a).alias("a"), (F.col("e.s") * b).alias("b"))
+
+    steps = events(first, 1, 0).unionByName(events(second, 0, 1)).groupBy(*own, "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    order = Window.partitionBy(*own).orderBy("at")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    spans = steps.select(*own, F.col("at").alias("col_first"), (F.lead("at").over(order) - 1).alias("col_last"),
+                         (F.sum("a").over(upto) > 0).alias("in_first"), (F.sum("b").over(upto) > 0).alias("in_second"))
+    kept = spans.where(keep & F.col("col_last").isNotNull()).select(*own, "col_first", "col_last")
+    return _merged(kept, own, "col_first", "col_last")
+
+
+def union_runs(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+    return combined_runs(first, second, keys, F.col("in_first") | F.col("in_second"))
+
+
+def difference_runs(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+    return combined_runs(first, second, keys, F.col("in_first") & ~F.col("in_second"))
+
+
+def common_runs(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+    return combined_runs(first, second, keys, F.col("in_first") & F.col("in_second"))
 
 
 def unit(key: Column, seed: int, salt: str) -> Column:
@@ -151,13 +253,13 @@ def presence_points(cells: DataFrame, keys: list[str], n: int, seed: int, *, wes
     )
 
 
-def absence_cells(cells: DataFrame, habitat: str, radius: int, rows: int, cols: int, water: DataFrame | None = None) -> DataFrame:
-    """Cells near one habitat and in none of all; coral and seagrass only in ``water``."""
-    near = dilate(cells.where(F.col("habitat") == habitat), ["habitat"], radius, rows, cols)
-    near = near.join(union_cells(cells), ["grid_row", "grid_col"], "left_anti")
+def absence_runs(cells: DataFrame, habitat: str, radius: int, rows: int, cols: int, water: DataFrame | None = None) -> DataFrame:
+    """Runs near one habitat and in none of all; coral and seagrass only in ``water`` (cells)."""
+    own = runs_of(cells.where(F.col("habitat") == habitat), [])
+    near = difference_runs(dilate_runs(own, [], radius, rows, cols), runs_of(cells, []), [])
     if water is not None and habitat in ("coral", "seagrass"):
-        near = near.join(water, ["grid_row", "grid_col"], "left_semi")
-    return near
+        near = common_runs(near, runs_of(water, []), [])
+    return near.select(F.lit(habitat).alias("habitat"), "grid_row", "col_first", "col_last")
 
 
 def presence_absence(presence: DataFrame, absence: DataFrame) -> DataFrame:
@@ -179,11 +281,14 @@ def weighted_polygons(polygons: DataFrame, key: str, n: int, seed: int) -> DataF
         F.sequence(F.lit(0), F.size(r) - 1), F.lit(0.0),
         lambda acc, i: acc + (r[i][0] * lat(r[(i + 1) % F.size(r)]) - r[(i + 1) % F.size(r)][0] * lat(r[i])),
     )) / 2
-    holes = F.aggregate(F.slice("rings", 2, 1000000), F.lit(0.0), lambda acc, r: acc + ring_area(r))
-    areas = polygons.select(key, (ring_area(F.col("rings")[0]) - holes).alias("area"))
+    areas = F.aggregate("rings", F.lit(0.0), lambda acc, r: acc + ring_area(r))
+    area = (2 * ring_area(F.col("rings")[0]) - areas).cast("decimal(28,15)")  # the first ring without the others, which are holes
+    areas = polygons.select(key, area.alias("area"))
     total = areas.agg(F.sum("area").alias("t"))
     shares = running_total(areas, [key], F.col("area"), "upto").crossJoin(F.broadcast(total))
-    shares = shares.withColumns({"low": (F.col("upto") - F.col("area")) / F.col("t"), "high": F.col("upto") / F.col("t")})
+    share = lambda c: c.cast("double") / F.col("t").cast("double")
+    # Sums of decimals are exact, so an interval ends where the next begins, and the last at 1.
+    shares = shares.withColumns({"low": share(F.col("upto") - F.col("area")), "high": share(F.col("upto"))})
     bucket = lambda c: F.floor(c * float(n)).cast("long")
     spread = shares.withColumn("b", F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))))
     draws = polygons.sparkSession.range(n).select(F.col("id").alias("draw"), unit(F.col("id"), seed, "draw").alias("u"))
@@ -191,19 +296,88 @@ def weighted_polygons(polygons: DataFrame, key: str, n: int, seed: int) -> DataF
     return hit.select("draw", key, "u")
 
 
-def points_in_polygons(draws: DataFrame, polygons: DataFrame, key: str, seed: int, *, tries: int = 64) -> DataFrame:
-    """A uniform point in the polygon of each draw (draw, key): the first of ``tries`` in its box that lies inside.
-
-    A draw of which no try lies inside has NULLs, as does one of an empty polygon.
+def _slabs(rings: list[np.ndarray]) -> np.ndarray:
+    """(y0, y1, left and right at y0, left and right at y1) of the trapezoids that a polygon consists of, by the even-odd rule."""
+    start, end = np.concatenate(rings), np.concatenate([np.roll(r, -1, axis=0) for r in rings])
+    up = start[:, 1] != end[:, 1]
+    a, z = start[up], end[up]
+    swap = a[:, 1] > z[:, 1]
+    a[swap], z[swap] = z[swap], a[swap].copy()
+    order = np.argsort(a[:, 1], kind="stable")
+    a, z = a[order], z[order]
+    slope = (z[:, 0] - a[:, 0]) / (z[:, 1] - a[:, 1])
+    levels = np.unique(np.concatenate([a[:, 1], z[:, 1]]))
+    entered = np.searchsorted(a[:, 1], levels, side="right")
+    slack = 1e-12 * (1 + np.abs(start[:, 0]).max())  # what rounding makes of two edges that meet
+    out, active = [], np.zeros(0, np.int64)
+    for i in range(len(levels) - 1):
+        before = entered[i - 1] if i else 0
+        active = np.concatenate([active, np.arange(before, entered[i])])
+        active = active[z[active, 1] > levels[i]]
+        todo = [(levels[i], levels[i + 1])]
+        while todo:
+            lo, hi = todo.pop()
+            x = lambda y: a[active, 0] + slope[active] * (y - a[active, 1])  # noqa: B023, E731
+            order = np.argsort(x((lo + hi) / 2), kind="stable")
+            x0, x1 = x(lo)[order], x(hi)[order]
+            d0, d1 = np.diff(x0), np.diff(x1)  # neighbours that cross within the slab change sides: it is cut at the lowest crossing
+            turned = (np.minimum(d0, d1) < -slack) & (np.maximum(d0, d1) > 0)
+            if turned.any():
+                cut = lo + (hi - lo) * float((d0[turned] / (d0[turned] - d1[turned])).min())
+                if lo < cut < hi:
+                    todo += [(cut, hi), (lo, cut)]
+                    continue
+            left, right = slice(0, len(x0) - len(x0) % 2, 2), slice(1, None, 2)
+            out.append(np.column_stack([np.full(len(x0) // 2, lo), np.full(len(x0) // 2, hi), x0[left], x0[right], x1[left], x1[right]]))
+    return np.concatenate(out) if out else np.zeros((0, 6))
+
+
+def triangles(polygons: DataFrame, key: str) -> DataFrame:
+    """Triangles (ax, ay, bx, by, cx, cy) that a polygon (rings) consists of by the even-odd rule, holes and crossings too, with each one's share
+    of the polygon's area as an interval: ``low`` of one is ``high`` of the one before it, the last ends at 1. ``n`` is their number.
+
+    A polygon is cut at the heights of its vertices (and of crossings of its edges), which gives trapezoids of two triangles each;
+    work and memory grow with the edges of one polygon and the levels that they span. Polygons without an area have none.
     """
-    shapes = with_boxes(polygons).select(key, "x0", "x1", "y0", "y1", edges_of(F.col("rings")).alias("__e"))
-    rows = draws.join(shapes, key)
+    names = ["low", "high", "n", "ax", "ay", "bx", "by", "cx", "cy"]
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k, value in zip(batch[key], batch["rings"]):
+                rings = [] if value is None else [r for r in _rings(value) if len(r) > 2]
+                if not rings:
+                    continue
+                y0, y1, l0, r0, l1, r1 = _slabs(rings).T
+                corners = np.concatenate([np.column_stack([l0, y0, r0, y0, l1, y1]), np.column_stack([r0, y0, r1, y1, l1, y1])])
+                area = np.concatenate([(r0 - l0) * (y1 - y0), (r1 - l1) * (y1 - y0)])
+                corners, area = corners[area > 0], area[area > 0]
+                if len(area):
+                    ends = np.minimum(np.cumsum(area) / area.sum(), 1.0)
+                    ends[-1] = 1.0
+                    rows = pd.DataFrame(np.column_stack([np.append(0.0, ends[:-1]), ends, np.full(len(area), len(area)), corners]), columns=names)
+                    rows = rows[rows["low"] < rows["high"]]
+                    rows.insert(0, key, k)
+                    yield rows.astype({"n": "int64"})
+
+    kind = polygons.schema[key].dataType.simpleString()
+    return polygons.select(key, "rings").mapInPandas(cut, f"`{key}` {kind}, low double, high double, n long, " + ", ".join(f"{c} double" for c in names[3:]))
 
-    def tried(i: Column) -> Column:
-        name = F.concat_ws("|", F.col("draw").cast("string"), i.cast("string"))
-        side = lambda salt, a, z: F.col(a) + unit(name, seed, salt) * (F.col(z) - F.col(a))
-        return F.struct(side("lon", "x0", "x1").alias("lon"), side("lat", "y0", "y1").alias("lat"))
 
-    every = F.transform(F.sequence(F.lit(0), F.lit(tries - 1)), tried)
-    first = F.get(F.filter(every, lambda p: crossings(F.col("__e"), p["lon"], p["lat"]) % 2 == 1), F.lit(0))
-    return rows.withColumn("__p", first).select(*draws.columns, "__p.lon", "__p.lat")
+def points_in_polygons(draws: DataFrame, polygons: DataFrame, key: str, seed: int) -> DataFrame:
+    """A uniform point (lon, lat) in the polygon of each draw (draw, key): one number picks a triangle by its share of the area, two
+    place the point in it. NULLs for a polygon that has no area or is not there.
+
+    Draws and shares meet in as many buckets of the unit interval as the polygon has triangles, so a bucket has few of them.
+    """
+    parts = triangles(polygons, key)
+    bucket = lambda u: F.least(F.floor(u * F.col("n")), F.col("n") - 1).cast("long")
+    parts = parts.withColumn("__b", F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))))
+    name = F.col("draw").cast("string")
+    sizes = parts.groupBy(key).agg(F.max("n").alias("n"))
+    asked = draws.join(sizes, key, "left").withColumn("__u", unit(name, seed, "part"))
+    asked = asked.select(*draws.columns, "__u", bucket(F.col("__u")).alias("__b"))
+    parts = parts.drop("n").withColumnsRenamed({key: "__poly", "__b": "__at"})
+    own = (F.col(key) == F.col("__poly")) & (F.col("__b") == F.col("__at")) & (F.col("__u") >= F.col("low")) & (F.col("__u") < F.col("high"))
+    root, side = F.sqrt(unit(name, seed, "away")), unit(name, seed, "side")
+    place = lambda c: F.col(f"a{c}") + root * ((1 - side) * (F.col(f"b{c}") - F.col(f"a{c}")) + side * (F.col(f"c{c}") - F.col(f"a{c}")))
+    return asked.join(parts, own, "left").select(*draws.columns, place("x").alias("lon"), place("y").alias("lat"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import exact
 from ..functions.spectral import bit
 
 #: Fixed values. Issue codes by section.
@@ -46,7 +47,7 @@ def nodata_and_cloud(pixels: DataFrame, keys: list[str], value: str, qa: str, no
 
 def glint_haze(wide: DataFrame, keys: list[str], nir: str, blue: str, valid: Column | None = None, *, glint_nir: float = 0.25, glint_blue: float = 0.12, haze: float = 0.25) -> DataFrame:
     """glint, haze or ok, from band means over positive reflectances."""
-    mean = lambda c: F.avg(F.when((F.col(c) > 0) & (F.lit(True) if valid is None else valid), F.col(c)))
+    mean = lambda c: exact.mean(F.when((F.col(c) > 0) & (F.lit(True) if valid is None else valid), F.col(c)))
     rows = wide.groupBy(*keys).agg(mean(nir).alias("nir_mean"), mean(blue).alias("blue_mean"))
     flag = F.when((F.col("nir_mean") > glint_nir) & (F.col("blue_mean") > glint_blue), "glint")
     return rows.withColumn("screen", flag.when(F.col("blue_mean") > haze, "haze").otherwise("ok"))

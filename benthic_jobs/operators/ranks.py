@@ -39,17 +39,28 @@ def numbered(rows: DataFrame, order: list, name: str) -> DataFrame:
 def quantiles(rows: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """(keys, one column for each share): exact quantiles with linear interpolation; nulls don't count.
 
-    The values of all keys are numbered in one order, and only the rows at the wanted places meet their key again, so no
-    task holds the values of a key. Keys without a value have no row.
+    Values are counted first, so a value that most rows have is one row, and the counts are summed up in one order of all keys.
+    A value then owns an interval of places in its key, and the wanted places are found in it: no task holds the values of a
+    key, and no value is more than a row. Keys without a value have no row.
     """
-    known = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__x"))
-    ranked = stored(numbered(known, [*keys, "__x"], "__i"), "ranked")
-    ends = ranked.groupBy(*keys).agg(F.min("__i").alias("__first"), F.count("*").alias("__n"))
-    share = F.explode(F.array(*(F.struct(F.lit(k).alias("name"), F.lit(float(p)).alias("p")) for k, p in shares.items())))
-    place = F.col("__first") + (F.col("__n") - 1) * F.col("s.p")
-    wanted = ends.withColumn("s", share).select(*keys, F.col("s.name").alias("__name"), place.alias("__at"))
-    wanted = wanted.withColumn("__i", F.explode(F.array_distinct(F.array(F.floor("__at"), F.ceil("__at")))))
-    found = wanted.join(ranked.select("__i", "__x"), "__i")
-    low, high = F.min_by("__x", "__i"), F.max_by("__x", "__i")
-    one = found.groupBy(*keys, "__name").agg((low + (high - low) * (F.max("__at") - F.floor(F.max("__at")))).alias("__q"))
-    return one.groupBy(*keys).agg(*(F.max(F.when(F.col("__name") == k, F.col("__q"))).alias(k) for k in shares))
+    x = F.col(value).cast("double")
+    counts = rows.where(x.isNotNull()).groupBy(*keys, (x + F.lit(0.0)).alias("__x")).agg(F.count("*").alias("__c"))  # one zero, not two
+    counts = stored(running_total(counts, [*keys, "__x"], F.col("__c"), "__upto"), "counted")
+    begin = F.col("__upto") - F.col("__c")
+    ends = counts.groupBy(*keys).agg(F.min(begin).alias("__first"), F.sum("__c").alias("__n"))
+    if keys:
+        names = [f"__k{i}" for i in range(len(keys))]
+        same = F.lit(True)
+        for k, n in zip(keys, names):
+            same = same & F.col(k).eqNullSafe(F.col(n))
+        placed = counts.join(ends.withColumnsRenamed(dict(zip(keys, names))), same)  # a row for each key
+    else:
+        placed = counts.crossJoin(F.broadcast(ends))  # one row
+    held = lambda place: F.max(F.when((place >= begin - F.col("__first")) & (place < F.col("__upto") - F.col("__first")), F.col("__x")))
+    found = []
+    for i, p in enumerate(shares.values()):
+        at = (F.col("__n") - 1) * float(p)
+        found += [held(F.floor(at)).alias(f"__l{i}"), held(F.ceil(at)).alias(f"__h{i}"), F.max(at - F.floor(at)).alias(f"__f{i}")]
+    low = lambda i: F.col(f"__l{i}") + (F.col(f"__h{i}") - F.col(f"__l{i}")) * F.col(f"__f{i}")
+    ends = placed.groupBy(*keys).agg(*found, F.count("*").alias("__any")).where("__any > 0")
+    return ends.select(*keys, *(low(i).alias(name) for i, name in enumerate(shares)))

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import quantiles
+
 
 def tiles(pixels: DataFrame, keys: list[str], row: str, col: str, value: str, size: int, valid: Column) -> DataFrame:
     """Full tiles only, without those of nodata alone; named ``<key>_<row>_<col>``."""
@@ -169,7 +171,7 @@ def spectra(images: DataFrame, keys: list[str]) -> DataFrame:
 def stretched(pixels: DataFrame, keys: list[str], bands: list[str], valid: Column, low: float = 0.02, high: float = 0.98) -> DataFrame:
     """Eight-bit bands by a percentile stretch shared by all bands of a key; nodata is 0."""
     long = pixels.where(valid).select(*keys, F.explode(F.array(*bands)).alias("v"))
-    ends = long.groupBy(*keys).agg(F.percentile("v", low).alias("__lo"), F.percentile("v", high).alias("__hi"))
+    ends = quantiles(long, keys, "v", {"__lo": low, "__hi": high})
     scaled = lambda b: F.least(F.greatest(F.try_divide(F.col(b) - F.col("__lo"), F.col("__hi") - F.col("__lo")), F.lit(0.0)), F.lit(1.0)) * 255
     rows = pixels.join(ends, keys, "left")
     return rows.withColumns({b: F.when(valid, F.coalesce(F.floor(scaled(b)), F.lit(0))).otherwise(0).cast("int") for b in bands}).drop("__lo", "__hi")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exact
+
 
 def cell_of(lon: Column, lat: Column, west: float, north: float, size: float) -> tuple[Column, Column]:
     """(row, column) of the cell that holds the point; row 0 is the northernmost."""
@@ -37,10 +39,10 @@ def window_mean(points: DataFrame, pixels: DataFrame, point_id: str, scene: str,
 
 
 def clear_fraction(pixels: DataFrame, keys: list[str], clear: Column, score: Column) -> DataFrame:
-    return pixels.groupBy(*keys).agg(F.avg(clear.cast("double")).alias("clear_fraction"), F.avg(score).alias("mean_score"))
+    return pixels.groupBy(*keys).agg(F.avg(clear.cast("double")).alias("clear_fraction"), exact.mean(score).alias("mean_score"))
 
 
 def turbidity_index(pixels: DataFrame, aoi: str, cell: list[str], red: str, green: str) -> DataFrame:
     """The mean over an area of (r - g) / (r + g) of the per-pixel medians over all scenes."""
     medians = pixels.groupBy(aoi, *cell).agg(F.median(red).alias("r"), F.median(green).alias("g"))
-    return medians.groupBy(aoi).agg(F.avg(F.try_divide(F.col("r") - F.col("g"), F.col("r") + F.col("g"))).alias("turbidity_index"))
+    return medians.groupBy(aoi).agg(exact.mean(F.try_divide(F.col("r") - F.col("g"), F.col("r") + F.col("g"))).alias("turbidity_index"))

@@ -9,7 +9,7 @@ from ..functions.geometry import season
 from ..operators import analyse, collapse, curation, quality, sampling
 from ..operators.ranks import quantiles
 from .carriers import carrier, table
-from .registry import query, rounded
+from .registry import mean_sql, query, rounded
 
 OTHER = ["Tape and wand", "STANDARD"]
 _BENTHIC = "coalesce(category NOT IN ('Tape and wand', 'STANDARD'), true)"
@@ -26,11 +26,11 @@ def _mode(table_: str, key: str, value: str) -> str:
       FROM {table_} WHERE {value} IS NOT NULL GROUP BY {key}, {value}) WHERE r = 1"""
 
 
-@query("a01_plots", """
+@query("a01_plots", f"""
 WITH m AS (SELECT site, plot_no, species FROM (SELECT site, plot_no, species, row_number() OVER (PARTITION BY site, plot_no ORDER BY count(*) DESC, species) AS r
   FROM trees GROUP BY site, plot_no, species) WHERE r = 1)
-SELECT t.site, t.plot_no, arg_min(height_m, l_orderkey * 1000000 + l_partkey * 100 + l_suppkey) AS height_m, count(tree_no) AS n_trees, round(avg(dbh_cm), 6) AS mean_dbh_cm,
-  max(dbh_cm) AS max_dbh_cm, round(avg(height_m), 6) AS mean_height_m, count(DISTINCT t.species) AS n_species, any_value(m.species) AS dominant_species,
+SELECT t.site, t.plot_no, arg_min(height_m, l_orderkey * 1000000 + l_partkey * 100 + l_suppkey) AS height_m, count(tree_no) AS n_trees, round({mean_sql("dbh_cm")}, 6) AS mean_dbh_cm,
+  max(dbh_cm) AS max_dbh_cm, round({mean_sql("height_m")}, 6) AS mean_height_m, count(DISTINCT t.species) AS n_species, any_value(m.species) AS dominant_species,
   round(avg(CASE WHEN coalesce(comment, 'Live') = 'Live' THEN 1 ELSE 0 END), 6) AS live_fraction
 FROM trees t JOIN m ON t.site = m.site AND t.plot_no = m.plot_no GROUP BY t.site, t.plot_no""")
 def a01(spark: SparkSession, d: str) -> DataFrame:
@@ -119,11 +119,11 @@ def a09(spark: SparkSession, d: str) -> DataFrame:
     return collapse.merged_windows(carrier(spark, d, "obs"), ["tile"], "obs_date", 2)
 
 
-@query("a10_extents", """
+@query("a10_extents", f"""
 WITH m AS (SELECT l_linenumber AS cluster, median(lon) AS mx, median(lat) AS my FROM obs GROUP BY 1),
 i AS (SELECT cluster, lon, lat FROM obs JOIN m ON l_linenumber = cluster
   WHERE sqrt(((lon - mx) * 111320 * cos(radians(my))) ** 2 + ((lat - my) * 110540) ** 2) <= 20000),
-b AS (SELECT cluster, min(lon) - 0.05 AS west, min(lat) - 0.05 AS south, max(lon) + 0.05 AS east, max(lat) + 0.05 AS north, avg(lon) AS lon, avg(lat) AS lat
+b AS (SELECT cluster, min(lon) - 0.05 AS west, min(lat) - 0.05 AS south, max(lon) + 0.05 AS east, max(lat) + 0.05 AS north, {mean_sql("lon")} AS lon, {mean_sql("lat")} AS lat
   FROM i GROUP BY 1)
 SELECT cluster, round(west, 6)::DOUBLE AS west, round(south, 6)::DOUBLE AS south, round(east, 6)::DOUBLE AS east, round(north, 6)::DOUBLE AS north,
   round(any_value(b.lon), 6) AS lon, round(any_value(b.lat), 6) AS lat,
@@ -143,17 +143,17 @@ def a11(spark: SparkSession, d: str) -> DataFrame:
     return out.select("obs_id", rounded("dist_m", 3).alias("dist_m"), "outlier")
 
 
-@query("a12_clear_fraction", """
-SELECT scene_id, band, round(avg(CASE WHEN dn <= 6000 THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS clear_fraction, round(avg(dn / 10000.0), 6)::DOUBLE AS mean_score
+@query("a12_clear_fraction", f"""
+SELECT scene_id, band, round(avg(CASE WHEN dn <= 6000 THEN 1.0 ELSE 0.0 END), 6)::DOUBLE AS clear_fraction, round({mean_sql("dn / 10000.0")}, 6)::DOUBLE AS mean_score
 FROM pixels GROUP BY ALL""")
 def a12(spark: SparkSession, d: str) -> DataFrame:
     out = sampling.clear_fraction(carrier(spark, d, "pixels"), ["scene_id", "band"], F.col("dn") <= 6000, F.col("dn") / 10000.0)
     return out.withColumns({c: rounded(c, 6) for c in ("clear_fraction", "mean_score")})
 
 
-@query("a13_turbidity_index", """
+@query("a13_turbidity_index", f"""
 WITH m AS (SELECT scene_id % 6 AS aoi, prow, pcol, median(b4) AS r, median(b3) AS g FROM stacks GROUP BY ALL)
-SELECT aoi, round(avg((r - g) / nullif(r + g, 0)), 6) AS turbidity_index FROM m GROUP BY aoi""")
+SELECT aoi, round({mean_sql("(r - g) / nullif(r + g, 0)")}, 6) AS turbidity_index FROM m GROUP BY aoi""")
 def a13(spark: SparkSession, d: str) -> DataFrame:
     s = carrier(spark, d, "stacks").withColumn("aoi", F.col("scene_id") % 6)
     return sampling.turbidity_index(s, "aoi", ["prow", "pcol"], "b4", "b3").withColumn("turbidity_index", rounded("turbidity_index", 6))
@@ -175,8 +175,8 @@ def a15(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({c: rounded(c, 6) for c in ("nodata_frac", "cloud_frac")})
 
 
-@query("a16_glint_haze", """
-WITH m AS (SELECT scene_id, avg(CASE WHEN b8 > 0.45 THEN b8 END) AS n, avg(CASE WHEN b2 > 0 THEN b2 END) AS b FROM (SELECT scene_id, b2, CASE WHEN b8 > 0.45 THEN b8 ELSE -1 END AS b8 FROM stacks) GROUP BY scene_id)
+@query("a16_glint_haze", f"""
+WITH m AS (SELECT scene_id, {mean_sql("CASE WHEN b8 > 0.45 THEN b8 END")} AS n, {mean_sql("CASE WHEN b2 > 0 THEN b2 END")} AS b FROM (SELECT scene_id, b2, CASE WHEN b8 > 0.45 THEN b8 ELSE -1 END AS b8 FROM stacks) GROUP BY scene_id)
 SELECT scene_id, round(n, 6) AS nir_mean, round(b, 6) AS blue_mean, CASE WHEN n > 0.535 AND b > 0.12 THEN 'glint' WHEN b > 0.495 THEN 'haze' ELSE 'ok' END AS screen FROM m""")
 def a16(spark: SparkSession, d: str) -> DataFrame:
     s = carrier(spark, d, "stacks").withColumn("b8", F.when(F.col("b8") > 0.45, F.col("b8")).otherwise(-1.0))
@@ -194,7 +194,7 @@ def a17(spark: SparkSession, d: str) -> DataFrame:
     return quality.accepted_stacks(images, "scene_id", least=2)
 
 
-_STATS = """SELECT scene_id, band, avg(least(greatest(dn / 6000.0, 0), 1)) AS mean, avg(CASE WHEN dn / 6000.0 >= 1 THEN 1.0 ELSE 0.0 END) AS clip_frac
+_STATS = f"""SELECT scene_id, band, {mean_sql("least(greatest(dn / 6000.0, 0), 1)")} AS mean, avg(CASE WHEN dn / 6000.0 >= 1 THEN 1.0 ELSE 0.0 END) AS clip_frac
   FROM pixels WHERE dn <> 0 GROUP BY scene_id, band"""
 
 
@@ -208,7 +208,7 @@ def a18(spark: SparkSession, d: str) -> DataFrame:
     return _stats(spark, d).withColumns({c: rounded(c, 6) for c in ("mean", "clip_frac")})
 
 
-@query("a19_clip_rates", f"SELECT band, round(avg(clip_frac), 6)::DOUBLE AS mean_clip, round(max(clip_frac), 6)::DOUBLE AS max_clip FROM ({_STATS}) GROUP BY band")
+@query("a19_clip_rates", f"SELECT band, round({mean_sql("clip_frac")}, 6)::DOUBLE AS mean_clip, round(max(clip_frac), 6)::DOUBLE AS max_clip FROM ({_STATS}) GROUP BY band")
 def a19(spark: SparkSession, d: str) -> DataFrame:
     return analyse.clip_rates(_stats(spark, d)).withColumns({c: rounded(c, 6) for c in ("mean_clip", "max_clip")})
 

@@ -9,6 +9,7 @@ from ..functions.sensors import specs
 from ..operators import analyse, habitat, quality, raster
 from .carriers import carrier, table
 from .q_joins import _RINGS, supplier_polygons
+from .q_windows import RADIUS, near_sql
 from .registry import query, rounded
 
 EDGES = f"""g AS ({_RINGS}),
@@ -30,12 +31,10 @@ def g01(spark: SparkSession, d: str) -> DataFrame:
     return habitat.cells_of(runs.drop("poly").distinct(), [])
 
 
-@query("g02_dilate", """
-SELECT DISTINCT habitat, CAST(r AS INT) AS grid_row, CAST(c AS INT) AS grid_col FROM (
-  SELECT habitat, unnest(range(greatest(grid_row - 3, 0), least(grid_row + 3, 659) + 1)) AS r, grid_col FROM cells) a,
-  LATERAL (SELECT unnest(range(greatest(grid_col - 3, 0), least(grid_col + 3, 1399) + 1)) AS c) b""")
+@query("g02_dilate", near_sql("habitat, ", RADIUS))
 def g02(spark: SparkSession, d: str) -> DataFrame:
-    return habitat.dilate(carrier(spark, d, "cells"), ["habitat"], 3, 660, 1400).select("habitat", "grid_row", "grid_col")
+    runs = habitat.runs_of(carrier(spark, d, "cells"), ["habitat"])
+    return habitat.dilate_runs(runs, ["habitat"], RADIUS, 660, 1400)
 
 
 @query("g03_tiles", """

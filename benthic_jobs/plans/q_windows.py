@@ -9,7 +9,6 @@ from ..functions.sensors import SERVICE
 from ..operators import analyse, collapse, curation, habitat, matching, sets
 from .carriers import carrier, table
 from .q_joins import supplier_polygons
-from .q_rasters import EDGES
 from .registry import query, rounded
 
 
@@ -95,19 +94,44 @@ def _unit(salt: str, key: str, seed: int = 1) -> str:
     return f"(('0x' || substr(md5('{seed}|{salt}|' || {key}), 1, 8))::BIGINT / 4294967296.0)"
 
 
+#: Triangles, squares with a hole and thin slivers, one for each supplier.
+_SHAPES = """
+g AS (SELECT s_suppkey AS poly, -60 + s_suppkey % 11 * 10 + 0.0 AS y, -180 + s_suppkey % 36 * 10 + 0.0 AS x, s_suppkey % 3 AS kind FROM supplier),
+c AS (
+  SELECT poly, unnest(CASE kind WHEN 0 THEN [x, x + 14, x + 3] WHEN 1 THEN [x, x + 9, x + 9, x, x + 3, x + 6, x + 6, x + 3] ELSE [x, x + 9, x + 9.0001] END) AS x1,
+         unnest(CASE kind WHEN 0 THEN [y, y + 2, y + 11] WHEN 1 THEN [y, y, y + 9, y + 9, y + 3, y + 3, y + 6, y + 6] ELSE [y, y + 9, y + 9.001] END) AS y1,
+         unnest(CASE kind WHEN 0 THEN [x + 14, x + 3, x] WHEN 1 THEN [x + 9, x + 9, x, x, x + 6, x + 6, x + 3, x + 3] ELSE [x + 9, x + 9.0001, x] END) AS x2,
+         unnest(CASE kind WHEN 0 THEN [y + 2, y + 11, y] WHEN 1 THEN [y, y + 9, y + 9, y, y + 3, y + 6, y + 6, y + 3] ELSE [y + 9, y + 9.001, y] END) AS y2 FROM g),
+e AS (SELECT poly, CASE WHEN y1 < y2 THEN x1 ELSE x2 END::DOUBLE AS ax, least(y1, y2)::DOUBLE AS ay, CASE WHEN y1 < y2 THEN x2 ELSE x1 END::DOUBLE AS bx, greatest(y1, y2)::DOUBLE AS b_y
+  FROM c WHERE y1 <> y2)"""
+
+
+def _shapes(spark: SparkSession, d: str) -> DataFrame:
+    s, one = F.col("s_suppkey"), lambda v: v.cast("double")
+    x, y = -180 + s % 36 * 10, -60 + s % 11 * 10
+    ring = lambda *xy: F.array(*(F.array(one(x + a), one(y + b)) for a, b in xy))
+    thin, hole = F.array(ring((0, 0), (9, 9), (9.0001, 9.001))), F.array(ring((0, 0), (9, 0), (9, 9), (0, 9)), ring((3, 3), (6, 3), (6, 6), (3, 6)))
+    rings = F.when(s % 3 == 0, F.array(ring((0, 0), (14, 2), (3, 11)))).when(s % 3 == 1, hole).otherwise(thin)
+    return table(spark, d, "supplier").select(s.cast("long").alias("poly"), rings.alias("rings"))
+
+
 @query("t09_points_in_polygons", f"""
-WITH {EDGES},
-b AS (SELECT poly, min(x1) AS x0, max(x1) AS x9, min(y1) AS y0, max(y1) AS y9 FROM e GROUP BY poly),
-n AS (SELECT count(*) AS n FROM b),
-t AS (SELECT s_suppkey AS draw, s_suppkey AS poly, i, x0 + {_unit('lon', "s_suppkey || '|' || i", 4)} * (x9 - x0) AS px, y0 + {_unit('lat', "s_suppkey || '|' || i", 4)} * (y9 - y0) AS py
-  FROM supplier JOIN b ON poly = s_suppkey, range(64) r(i)),
-h AS (SELECT draw, i, px, py FROM t JOIN e USING (poly) WHERE (y1 > py) <> (y2 > py) AND px < (x2 - x1) * (py - y1) / (y2 - y1) + x1
-  GROUP BY ALL HAVING count(*) % 2 = 1)
-SELECT s_suppkey AS draw, s_suppkey AS poly, round(arg_min(px, i), 9)::DOUBLE AS lon, round(arg_min(py, i), 9)::DOUBLE AS lat
-FROM supplier LEFT JOIN h ON draw = s_suppkey GROUP BY s_suppkey""")
+WITH {_SHAPES},
+v AS (SELECT poly, y AS y0, lead(y) OVER (PARTITION BY poly ORDER BY y) AS y1 FROM (SELECT poly, ay AS y FROM e UNION SELECT poly, b_y FROM e)),
+s AS (SELECT v.*, ax + (bx - ax) / (b_y - ay) * (y0 - ay) AS l0, ax + (bx - ax) / (b_y - ay) * (y1 - ay) AS l1 FROM v JOIN e ON e.poly = v.poly AND ay <= y0 AND b_y >= y1),
+o AS (SELECT *, lead(l0) OVER w AS r0, lead(l1) OVER w AS r1, row_number() OVER w AS i FROM s WINDOW w AS (PARTITION BY poly, y0 ORDER BY l0, l1)),
+t AS (SELECT poly, 1 AS half, y0 AS o, i, (r0 - l0) * (y1 - y0) AS area, l0 AS px, y0 AS py, r0 AS qx, y0 AS qy, l1 AS zx, y1 AS zy FROM o WHERE i % 2 = 1
+  UNION ALL SELECT poly, 2, y0, i, (r1 - l1) * (y1 - y0), r0, y0, r1, y1, l1, y1 FROM o WHERE i % 2 = 1),
+u AS (SELECT *, sum(area) OVER (PARTITION BY poly ORDER BY half, o, i) / sum(area) OVER (PARTITION BY poly) AS hi, row_number() OVER (PARTITION BY poly ORDER BY half DESC, o DESC, i DESC) AS back
+  FROM t WHERE area > 0),
+h AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY poly ORDER BY half, o, i), 0) AS lo, CASE WHEN back = 1 THEN 1 ELSE hi END AS top FROM u),
+d AS (SELECT s_suppkey * 3 + k AS draw, s_suppkey AS poly FROM supplier, range(3) r(k)),
+n AS (SELECT draw, poly, {_unit('part', 'draw', 4)} AS a, sqrt({_unit('away', 'draw', 4)}) AS b, {_unit('side', 'draw', 4)} AS c FROM d)
+SELECT draw, n.poly, round(px + b * ((1 - c) * (qx - px) + c * (zx - px)), 9)::DOUBLE AS lon, round(py + b * ((1 - c) * (qy - py) + c * (zy - py)), 9)::DOUBLE AS lat
+FROM n LEFT JOIN h ON h.poly = n.poly AND a >= lo AND a < top""")
 def t09_points(spark: SparkSession, d: str) -> DataFrame:
-    draws = table(spark, d, "supplier").select(F.col("s_suppkey").alias("draw"), F.col("s_suppkey").cast("long").alias("poly"))
-    out = habitat.points_in_polygons(draws, supplier_polygons(spark, d), "poly", 4)
+    draws = _shapes(spark, d).select("poly", F.explode(F.sequence(F.col("poly") * 3, F.col("poly") * 3 + 2)).alias("draw")).select("draw", "poly")
+    out = habitat.points_in_polygons(draws, _shapes(spark, d), "poly", 4)
     return out.withColumns({c: rounded(c, 9) for c in ("lon", "lat")})
 
 
@@ -126,22 +150,41 @@ def t10(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({c: rounded(c, 9) for c in ("lon", "lat")})
 
 
-_NEAR = """SELECT DISTINCT habitat, CAST(r AS INT) AS grid_row, CAST(c AS INT) AS grid_col FROM (
-  SELECT habitat, unnest(range(greatest(grid_row - {k}, 0), least(grid_row + {k}, 659) + 1)) AS r, grid_col FROM cells) a,
-  LATERAL (SELECT unnest(range(greatest(grid_col - {k}, 0), least(grid_col + {k}, 1399) + 1)) AS c) b"""
-_ABSENT = f"""SELECT habitat, grid_row, grid_col FROM ({_NEAR.format(k=2)}) n ANTI JOIN cells x ON x.grid_row = n.grid_row AND x.grid_col = n.grid_col
+#: Cells of the survey's absence radius: 20 km at 0.005 degrees.
+RADIUS = 36
+
+
+def runs_sql(cells: str, keys: str) -> str:
+    """Cells as the longest runs."""
+    return f"""SELECT {keys}grid_row, CAST(min(grid_col) AS INT) AS col_first, CAST(max(grid_col) AS INT) AS col_last
+  FROM (SELECT *, grid_col - row_number() OVER (PARTITION BY {keys}grid_row ORDER BY grid_col) AS g FROM (SELECT DISTINCT {keys}grid_row, grid_col FROM {cells})) GROUP BY {keys}grid_row, g"""
+
+
+def near_sql(keys: str, k: int) -> str:
+    """The neighbourhoods of ``cells`` as runs: columns first, then along the rows by the gaps between cells."""
+    return f"""SELECT {keys}CAST(grid_row AS INT) AS grid_row, CAST(greatest(min(grid_col) - {k}, 0) AS INT) AS col_first, CAST(least(max(grid_col) + {k}, 1399) AS INT) AS col_last
+  FROM (SELECT *, sum(new) OVER (PARTITION BY {keys}grid_row ORDER BY grid_col) AS g FROM (
+    SELECT *, CASE WHEN grid_col - lag(grid_col) OVER (PARTITION BY {keys}grid_row ORDER BY grid_col) <= {2 * k + 1} THEN 0 ELSE 1 END AS new FROM (
+      SELECT DISTINCT {keys}unnest(range(greatest(grid_row - {k}, 0), least(grid_row + {k}, 659) + 1)) AS grid_row, grid_col FROM cells))) GROUP BY {keys}grid_row, g"""
+
+
+def unrolled_sql(runs: str, keys: str) -> str:
+    return f"SELECT {keys}grid_row, CAST(unnest(range(col_first, col_last + 1)) AS INT) AS grid_col FROM ({runs})"
+
+
+_ABSENT = f"""SELECT habitat, grid_row, grid_col FROM ({unrolled_sql(near_sql("habitat, ", RADIUS), "habitat, ")}) n ANTI JOIN cells x ON x.grid_row = n.grid_row AND x.grid_col = n.grid_col
   WHERE habitat = 'mangrove' OR EXISTS (SELECT 1 FROM water w WHERE w.grid_row = n.grid_row AND w.grid_col = n.grid_col)"""
 
 
 def _absent(spark: SparkSession, d: str) -> DataFrame:
     cells, water, out = carrier(spark, d, "cells"), carrier(spark, d, "water"), None
     for h in curation.HABITATS:
-        part = habitat.absence_cells(cells, h, 2, 660, 1400, water)
+        part = habitat.absence_runs(cells, h, RADIUS, 660, 1400, water)
         out = part if out is None else out.unionByName(part)
-    return out.select("habitat", "grid_row", "grid_col")
+    return out
 
 
-@query("t11_absence_cells", f"SELECT * FROM ({_ABSENT})")
+@query("t11_absence_cells", runs_sql(f"({_ABSENT})", "habitat, "))
 def t11(spark: SparkSession, d: str) -> DataFrame:
     return _absent(spark, d)
 
@@ -152,7 +195,7 @@ SELECT habitat || '_presence_' || printf('%04d', number) AS point_id, habitat, 1
 UNION ALL SELECT habitat || '_absence_' || printf('%04d', number), habitat, 0, lon, lat FROM a""")
 def t12(spark: SparkSession, d: str) -> DataFrame:
     points = lambda cells: habitat.presence_points(cells, ["habitat"], 500, 1, west=95.0, north=22.0, size=0.05)
-    out = habitat.presence_absence(points(carrier(spark, d, "cells")), points(_absent(spark, d)))
+    out = habitat.presence_absence(points(carrier(spark, d, "cells")), points(habitat.cells_of(_absent(spark, d), ["habitat"])))
     return out.withColumns({c: rounded(c, 9) for c in ("lon", "lat")})
 
 
@@ -179,14 +222,17 @@ def u02(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("u03_mask_union_difference", f"""
-SELECT 'union' AS part, grid_row, grid_col FROM (SELECT DISTINCT grid_row, grid_col FROM cells)
-UNION ALL SELECT 'difference', grid_row, grid_col FROM (SELECT DISTINCT grid_row, grid_col FROM ({_NEAR.format(k=1)}) EXCEPT SELECT DISTINCT grid_row, grid_col FROM cells)""")
+SELECT 'union' AS part, * FROM ({runs_sql("cells", "")})
+UNION ALL SELECT 'difference', * FROM ({runs_sql(f"(SELECT grid_row, grid_col FROM ({unrolled_sql(near_sql('', RADIUS), '')}) EXCEPT SELECT grid_row, grid_col FROM cells)", "")})""")
 def u03(spark: SparkSession, d: str) -> DataFrame:
     cells = carrier(spark, d, "cells")
-    whole = habitat.union_cells(cells)
-    near = habitat.union_cells(habitat.dilate(cells, ["habitat"], 1, 660, 1400))
-    rest = near.join(whole, ["grid_row", "grid_col"], "left_anti")
-    return whole.select(F.lit("union").alias("part"), "grid_row", "grid_col").unionByName(rest.select(F.lit("difference").alias("part"), "grid_row", "grid_col"))
+    each = [habitat.runs_of(cells.where(F.col("habitat") == h), []) for h in curation.HABITATS]
+    whole = each[0]
+    for one in each[1:]:
+        whole = habitat.union_runs(whole, one, [])
+    near = habitat.dilate_runs(whole, [], RADIUS, 660, 1400)
+    rest = habitat.difference_runs(near, whole, [])
+    return whole.select(F.lit("union").alias("part"), "*").unionByName(rest.select(F.lit("difference").alias("part"), "*"))
 
 
 @query("u04_in_service", """

@@ -29,3 +29,8 @@ def rounded(c: Column | str, digits: int) -> Column:
     x = F.col(c) if isinstance(c, str) else c
     scaled = F.floor(F.abs(x) * float(10**digits) + 0.5) / float(10**digits)
     return F.when(x < 0, -scaled).otherwise(scaled)
+
+
+def mean_sql(x: str) -> str:
+    """The exact mean of ``functions.exact`` in the oracle's words."""
+    return f"(CAST(sum(CAST({x} AS DECIMAL(28, 12))) AS DOUBLE) / count({x}))"

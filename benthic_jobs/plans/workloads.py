@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import spectral
 from ..functions.sensors import specs
+from ..functions import exact
 from ..operators import collapse, curation, matching, quality, sampling
 from .carriers import carrier
 from .q_aggregates import _BENTHIC, benthic
 from .q_joins import stack_count
 from .q_rasters import _FILES_SQL, _files, _flags
-from .registry import query, rounded
+from .registry import mean_sql, query, rounded
 
 _W1 = f"""
 WITH n AS (SELECT site, genus, count(*) AS n FROM annotations WHERE genus IS NOT NULL GROUP BY ALL),
@@ -86,7 +87,7 @@ def build_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {_FILES_SQL},
 b AS (SELECT location_id FROM f WHERE bands <> n_bands OR width <= 1 OR is_empty UNION SELECT location_id FROM samples WHERE location_id % 11 = 0
   UNION SELECT location_id FROM samples, range(6) t(k) WHERE (location_id + k) % 5 = 0 AND location_id % 2 = 0)
-SELECT habitat_class, count(*) AS n, round(avg(depth_m), 6) AS mean_depth FROM samples WHERE location_id NOT IN (SELECT location_id FROM b) GROUP BY habitat_class""")
+SELECT habitat_class, count(*) AS n, round({mean_sql("depth_m")}, 6) AS mean_depth FROM samples WHERE location_id NOT IN (SELECT location_id FROM b) GROUP BY habitat_class""")
 def check_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks as issues; the samples with any are dropped, and the rest is summarised."""
     samples, files = carrier(spark, sf_dir, "samples"), _files(spark, sf_dir)
@@ -95,4 +96,4 @@ def check_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = _flags(spark, sf_dir).withColumn("swath", F.col("swath") & (F.col("location_id") % 2 == 0))
     found = found.unionByName(quality.scene_issues(flags, "location_id", "file").where("code = 'lr_swath_edge'"))
     kept, _, _ = curation.drop_listed(samples, found.select(F.col("sample").alias("location_id")), "location_id")
-    return kept.groupBy("habitat_class").agg(F.count("*").alias("n"), rounded(F.avg("depth_m"), 6).alias("mean_depth"))
+    return kept.groupBy("habitat_class").agg(F.count("*").alias("n"), rounded(exact.mean("depth_m"), 6).alias("mean_depth"))

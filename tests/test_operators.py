@@ -166,9 +166,8 @@ def test_points_in_polygons_against_brute_force(spark, cell):
     assert {r["i"] for r in habitat.inside(df, shapes, "i", cell=cell).collect()} == want
     assert {r["i"] for r in habitat.off_land(df, shapes, "i", cell=cell).collect()} == {i for i, *_ in points} - want
     draws = spark.createDataFrame([(d, d % 5) for d in range(200)], "draw int, poly int")
-    for r in habitat.points_in_polygons(draws, shapes, "poly", 3).collect():
-        assert r["lon"] is None or even_odd(r["lon"], r["lat"], polygons[r["poly"]][1])
-    assert habitat.points_in_polygons(draws, shapes, "poly", 3).where("lon IS NULL").count() < 10
+    got = habitat.points_in_polygons(draws, shapes, "poly", 3).collect()
+    assert len(got) == 200 and all(even_odd(r["lon"], r["lat"], polygons[r["poly"]][1]) for r in got)
 
 
 def test_presence_points_repeat_cells_of_small_masks(spark):
@@ -247,3 +246,114 @@ def test_shared_folder(spark):
     assert storage.shared_dir(alone) == storage.shared_dir(alone) != storage.shared_dir(session("local[4]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.shared_dir(session("spark://somewhere:7077"))
+
+
+SHAPES = {
+    "thin": [[[0.0, 0.0], [9.0, 9.0], [9.0001, 9.001]]],
+    "holed": [[[0.0, 0.0], [9.0, 0.0], [9.0, 9.0], [0.0, 9.0]], [[3.0, 3.0], [6.0, 3.0], [6.0, 6.0], [3.0, 6.0]], [[1.0, 1.0], [2.0, 1.0], [2.0, 2.0]]],
+    "bow": [[[0.0, 0.0], [4.0, 4.0], [4.0, 0.0], [0.0, 4.0]]],  # crosses itself
+    "comb": [[[0.0, 0.0], [9.0, 0.0], [9.0, 5.0], [8.0, 1.0], [7.0, 5.0], [6.0, 1.0], [5.0, 5.0], [4.0, 1.0], [3.0, 5.0], [0.0, 0.0]]],
+    "two": [[[0.0, 0.0], [1.0, 0.0], [0.0, 1.0]], [[5.0, 5.0], [7.0, 5.0], [5.0, 7.0]]],
+    "flat": [[[0.0, 0.0], [3.0, 3.0], [6.0, 6.0]]], "line": [[[1.0, 1.0], [2.0, 1.0]]], "none": [],
+}
+
+
+def shoelace(ring):
+    return abs(sum(x1 * y2 - x2 * y1 for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]))) / 2
+
+
+def test_triangles_have_the_area_and_the_shares(spark):
+    rng = np.random.default_rng(3)
+    wild = {f"wild{i}": [[[float(v) for v in rng.uniform(-9, 9, 2)] for _ in range(12)] for _ in range(1 + i % 2)] for i in range(6)}
+    df = spark.createDataFrame([*SHAPES.items(), *wild.items(), ("gone", None)], "poly string, rings array<array<array<double>>>")
+    rows = habitat.triangles(df, "poly").orderBy("poly", "low").collect()
+    area, last = {}, {}
+    for r in rows:
+        p = r["poly"]
+        assert r["low"] == last.get(p, 0.0) < r["high"]
+        last[p], area[p] = r["high"], area.get(p, 0.0) + shoelace([(r["ax"], r["ay"]), (r["bx"], r["by"]), (r["cx"], r["cy"])])
+    assert set(last.values()) == {1.0}
+    want = {"thin": shoelace(SHAPES["thin"][0]), "holed": 81 - 9 - 0.5, "bow": 8.0, "comb": shoelace(SHAPES["comb"][0]), "two": 2.5}
+    assert set(area) - set(wild) == set(want) and all(area[k] == pytest.approx(v, rel=1e-6) for k, v in want.items())
+    for k, rings in wild.items():
+        xy = np.random.default_rng(1).uniform(-9, 9, (4000, 2))
+        share = np.mean([even_odd(x, y, rings) for x, y in xy])
+        assert area[k] / 324 == pytest.approx(share, abs=0.03)
+
+
+def test_a_point_for_each_draw(spark):
+    """No draw is lost, and the points lie evenly over the polygon: as many in each cell as its share of the area."""
+    df = spark.createDataFrame(list(SHAPES.items()), "poly string, rings array<array<array<double>>>")
+    names = list(SHAPES)
+    draws = spark.range(16000).selectExpr("id AS draw", f"element_at(array({', '.join(repr(n) for n in [*names, 'gone'])}), int(id % {len(names) + 1}) + 1) AS poly")
+    got = habitat.points_in_polygons(draws, df, "poly", 9).collect()
+    assert len(got) == 16000
+    for name in [*names, "gone"]:
+        own = [(r["lon"], r["lat"]) for r in got if r["poly"] == name]
+        if name in ("flat", "line", "none", "gone"):
+            assert all(x is None and y is None for x, y in own)
+            continue
+        assert all(x is not None for x, _ in own) and all(even_odd(x, y, SHAPES[name]) for x, y in own) or name == "thin"
+        if name == "holed":
+            fine = [(i / 40, j / 40) for i in range(360) for j in range(360) if even_odd(i / 40 + 0.0125, j / 40 + 0.0125, SHAPES[name])]
+            for cell in {(int(x) // 3, int(y) // 3) for x, y in fine}:
+                share = np.mean([(int(x) // 3, int(y) // 3) == cell for x, y in fine])
+                assert np.mean([(int(x) // 3, int(y) // 3) == cell for x, y in own]) == pytest.approx(share, abs=0.035)
+
+
+def test_a_large_polygon_ships_the_edges_that_cells_cross(spark):
+    """A hundred thousand edges: each goes to the cells that it crosses, and inner cells have none."""
+    t = np.linspace(0, 2 * np.pi, 100_000, endpoint=False)
+    r = 8 + 0.3 * np.sin(40 * t)
+    ring = np.column_stack([r * np.cos(t), r * np.sin(t)]).tolist()
+    df = spark.createDataFrame([(1, [ring])], "poly int, rings array<array<array<double>>>")
+    cells = habitat.polygon_cells(df, cell=0.25).select("cx", "cy", "parity", F.size("edges").alias("n")).collect()
+    assert sum(c["n"] for c in cells) < 1.1 * len(ring)
+    assert sum(c["n"] == 0 for c in cells) > 2000 and all(c["parity"] == 1 for c in cells if c["n"] == 0)
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate(np.random.default_rng(2).uniform(-9, 9, (3000, 2)))]
+    inner = {i for i, x, y in points if np.hypot(x, y) < 8 + 0.3 * np.sin(40 * np.arctan2(y, x))}
+    assert {r["i"] for r in habitat.inside(spark.createDataFrame(points, "i int, lon double, lat double"), df, "i", cell=0.25).collect()} == inner
+
+
+@pytest.mark.parametrize("radius, share", [(36, 0.0005), (36, 0.02), (0, 0.1), (90, 0.0002)])
+def test_dilated_runs_against_brute_force(spark, radius, share):
+    rng = np.random.default_rng(radius)
+    mask = rng.random((300, 200)) < share
+    cells = spark.createDataFrame([("h", None, int(r), int(c)) for r, c in np.argwhere(mask)], "habitat string, k string, grid_row int, grid_col int")
+    runs = habitat.dilate_runs(habitat.runs_of(cells, ["habitat", "k"]), ["habitat", "k"], radius, 300, 200)
+    want = np.zeros_like(mask)
+    for r, c in np.argwhere(mask):
+        want[max(r - radius, 0) : r + radius + 1, max(c - radius, 0) : c + radius + 1] = True
+    got = np.zeros_like(mask)
+    seen = {}
+    for r in runs.collect():
+        assert r["habitat"] == "h" and r["k"] is None and not got[r["grid_row"], max(r["col_first"] - 1, 0) : r["col_last"] + 2].any()  # the longest runs
+        got[r["grid_row"], r["col_first"] : r["col_last"] + 1] = True
+        seen[r["grid_row"]] = 1
+    assert (got == want).all()
+
+
+def test_set_algebra_of_runs(spark):
+    rng = np.random.default_rng(5)
+    one, two = (rng.random((20, 60)) < p for p in (0.4, 0.3))
+    table = lambda mask: spark.createDataFrame([("k", int(r), int(c)) for r, c in np.argwhere(mask)], "k string, grid_row int, grid_col int")
+    a, b = habitat.runs_of(table(one), ["k"]), habitat.runs_of(table(two), ["k"])
+    loose = a.unionByName(a.select("k", "grid_row", "col_first", F.col("col_first").alias("col_last")))  # runs that overlap
+    for work, want in ((habitat.union_runs, one | two), (habitat.difference_runs, one & ~two), (habitat.common_runs, one & two)):
+        rows = habitat.cells_of(work(loose, b, ["k"]), ["k"]).collect()
+        assert len(rows) == want.sum() and all(want[r["grid_row"], r["grid_col"]] for r in rows)
+        plan = work(loose, b, ["k"])._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan
+    assert habitat.union_runs(a.limit(0), a.limit(0), ["k"]).count() == 0
+
+
+def test_quantiles_count_ties_first(spark, monkeypatch):
+    """A value that nine of ten rows have is one row in the global order."""
+    rows = spark.range(20_000).selectExpr("id % 2 AS k", "CASE WHEN id % 10 < 9 THEN 7.0D ELSE double(id % 97) END AS v")
+    held = []
+    monkeypatch.setattr(ranks, "running_total", lambda df, *a, own=ranks.running_total: held.append(df.count()) or own(df, *a))
+    got = {r["k"]: (r["m"], r["t"]) for r in ranks.quantiles(rows, ["k"], "v", {"m": 0.5, "t": 0.97}).collect()}
+    assert held[0] <= 2 * 98
+    for k in (0, 1):
+        own = [7.0 if i % 10 < 9 else float(i % 97) for i in range(20_000) if i % 2 == k]
+        assert got[k] == pytest.approx(tuple(np.quantile(own, [0.5, 0.97])))

@@ -15,6 +15,21 @@ def test_query(spark, sf_dir, name):
         assert df.count() > 0
 
 
+SUMS = "a01_plots a10_extents a12_clear_fraction a13_turbidity_index a16_glint_haze a18_patch_statistics a19_clip_rates t08_rolling_bias w3_check_dataset".split()
+
+
+@pytest.mark.parametrize("name", SUMS)
+def test_rounded_means_do_not_depend_on_the_shuffle(spark, sf_dir, name):
+    own, rows = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 7):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            rows.append(sorted(map(repr, QUERIES[name](spark, sf_dir).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", own)
+    assert rows[0] == rows[1]
+
+
 def test_entry(spark):
     import __spark_entry__
 
