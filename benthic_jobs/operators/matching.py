@@ -91,24 +91,60 @@ def same_day_else_nearest(obs: DataFrame, files: DataFrame, keys: list[str], obs
     return out.select(*obs.columns, F.coalesce("__best.f", "__any").alias(file), F.col("__best.dist").alias("dist"))
 
 
-def catalogue_search(aois: DataFrame, scenes: DataFrame, aoi_id: str, *, cell: float, cloud: float = 20, nodata: float = 5, coverage: float = 0, top: int = 8) -> DataFrame:
-    """Scenes whose footprint meets the area, in its dates, by cloud; both have west, south, east, north.
+def ring_area(ring: Column) -> Column:
+    """The area of a ring of [x, y] with a sign, positive if it runs counter-clockwise."""
+    after = lambda i: ring[(i + 1) % F.size(ring)]
+    turns = F.transform(ring, lambda p, i: p[0] * after(i)[1] - after(i)[0] * p[1])
+    return F.aggregate(turns, F.lit(0.0), lambda total, x: total + x) / 2
 
-    ``aois`` have ``first_day`` and ``last_day``, ``scenes`` scene_id, acquired, cloud_cover, nodata_pct, coverage_pct.
+
+def clipped(ring: Column, window: Column) -> Column:
+    """A ring cut to a convex window, edge by edge; empty where they don't meet. The ring may be concave: parts of it may then be
+    joined by lines along the window, which have no area."""
+    way = F.signum(ring_area(window))
+
+    def cut(held: Column, i: Column) -> Column:
+        a, b = window[i], window[(i + 1) % F.size(window)]
+        side = lambda p: way * ((b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0]))
+
+        def step(p: Column, k: Column) -> Column:
+            q = held[(k + F.size(held) - 1) % F.size(held)]
+            t = side(q) / (side(q) - side(p))
+            met = F.array(q[0] + t * (p[0] - q[0]), q[1] + t * (p[1] - q[1]))
+            none = F.array().cast("array<array<double>>")
+            entered = F.when(side(q) < 0, F.array(met, p)).otherwise(F.array(p))
+            return F.when(side(p) >= 0, entered).otherwise(F.when(side(q) >= 0, F.array(met)).otherwise(none))
+
+        return F.flatten(F.transform(held, step))
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(window) - 1), ring, cut)
+
+
+def catalogue_search(
+    aois: DataFrame, scenes: DataFrame, aoi_id: str, *, cell: float, cloud: float = 20, nodata: float = 5, coverage: float = 0, overlap: float = 0, top: int = 8
+) -> DataFrame:
+    """Scenes whose footprint shares an area with the one asked for, in its dates, by cloud; ``share_pct`` is how much of it they cover.
+
+    ``aois`` have ``ring`` (an outline of [x, y]), ``first_day`` and ``last_day``; ``scenes`` scene_id, ``footprint`` (a convex
+    outline), acquired, cloud_cover, nodata_pct, coverage_pct. At least ``overlap`` percent must be covered. Boxes meet in the cells of a grid, and the cell
+    with the south-west corner of what two boxes share reports the pair, so each is clipped once.
     """
-    def cells(rows: DataFrame) -> DataFrame:
-        at = lambda c: F.floor(F.col(c) / cell).cast("int")
-        rows = rows.withColumn("cx", F.explode(F.sequence(at("west"), at("east"))))
-        return rows.withColumn("cy", F.explode(F.sequence(at("south"), at("north"))))
+    at = lambda c: F.floor(F.col(c) / cell).cast("long")
+
+    def cells(rows: DataFrame, ring: str, own: str) -> DataFrame:
+        side = lambda i: F.transform(ring, lambda p: p[i])
+        boxed = rows.withColumns({f"{own}west": F.array_min(side(0)), f"{own}east": F.array_max(side(0)), f"{own}south": F.array_min(side(1)), f"{own}north": F.array_max(side(1))})
+        boxed = boxed.withColumn("cx", F.explode(F.sequence(at(f"{own}west"), at(f"{own}east"))))
+        return boxed.withColumn("cy", F.explode(F.sequence(at(f"{own}south"), at(f"{own}north"))))
 
     good = scenes.where((F.col("cloud_cover") < cloud) & (F.col("nodata_pct") <= nodata) & (F.col("coverage_pct") >= coverage))
-    box = ["west", "south", "east", "north"]
-    right = cells(good.withColumnsRenamed({c: f"s_{c}" for c in box}).withColumns({c: F.col(f"s_{c}") for c in box})).drop(*box)
-    pairs = cells(aois).join(right, ["cx", "cy"])
-    meets = (F.col("west") <= F.col("s_east")) & (F.col("s_west") <= F.col("east"))
-    meets &= (F.col("south") <= F.col("s_north")) & (F.col("s_south") <= F.col("north"))
-    pairs = pairs.where(meets & F.col("acquired").between(F.col("first_day"), F.col("last_day")))
-    pairs = pairs.select(aoi_id, "scene_id", "cloud_cover", "acquired").distinct()
+    right = cells(good.select("scene_id", "acquired", "cloud_cover", "footprint"), "footprint", "s_")
+    pairs = cells(aois, "ring", "").join(right, ["cx", "cy"])
+    meets = (F.col("west") <= F.col("s_east")) & (F.col("s_west") <= F.col("east")) & (F.col("south") <= F.col("s_north")) & (F.col("s_south") <= F.col("north"))
+    owner = (F.col("cx") == F.floor(F.greatest("west", "s_west") / cell)) & (F.col("cy") == F.floor(F.greatest("south", "s_south") / cell))
+    pairs = pairs.where(meets & owner & F.col("acquired").between(F.col("first_day"), F.col("last_day")))
+    share = F.abs(ring_area(clipped(F.col("ring"), F.col("footprint")))) / F.abs(ring_area(F.col("ring"))) * 100
+    pairs = pairs.select(aoi_id, "scene_id", "cloud_cover", "acquired", share.alias("share_pct")).where((F.col("share_pct") > 0) & (F.col("share_pct") >= overlap))
     return top_k(pairs, [aoi_id], ["cloud_cover", "acquired", "scene_id"], top)
 
 
@@ -163,14 +199,21 @@ def pair_resolutions(high: DataFrame, low: DataFrame, *, keys: list[str], days:
 def fuzzy_names(left: DataFrame, right: DataFrame, left_key: str, right_key: str, files: str) -> DataFrame:
     """Names that are equal, else of which one begins with the other: least difference in length, fewest files.
 
-    A prefix of a name is found by an equi-join: each side offers all its prefixes that the other side could have.
+    Of the names that begin alike a shorter one would choose the same, whatever it is: for each prefix of the right names the
+    best row is found first, by a partial aggregate, so a left name meets one row and not all that begin with it. In the other
+    direction a left name asks for each of its own prefixes. Rows are in proportion to names and their lengths.
     """
     prefixes = lambda rows, c: rows.withColumn("__p", F.explode(F.transform(F.sequence(F.lit(1), F.char_length(c)), lambda i: F.substring(F.col(c), F.lit(1), i))))
-    long_left = prefixes(left, left_key).join(right.withColumn("__p", F.col(right_key)), "__p")
-    long_right = left.withColumn("__p", F.col(left_key)).join(prefixes(right, right_key), "__p")
-    both = long_left.select(left_key, right_key, files).unionByName(long_right.select(left_key, right_key, files)).distinct()
-    gap = F.abs(F.char_length(left_key) - F.char_length(right_key))
-    return first_by(both.withColumn("gap", gap), [left_key], ["gap", files, right_key])
+    best = F.min(F.struct(F.char_length(right_key).alias("n"), F.col(files), F.col(right_key))).alias("__r")
+    winners = prefixes(right.where(F.char_length(right_key) > 0), right_key).groupBy("__p").agg(best)
+    exact = right.withColumn("__p", F.col(right_key)).groupBy("__p").agg(best)
+    names = left.select(left_key).distinct()
+    longer = names.withColumn("__p", F.col(left_key)).join(winners, "__p")
+    shorter = prefixes(names.where(F.char_length(left_key) > 0), left_key).join(exact, "__p")
+    both = longer.select(left_key, "__r").unionByName(shorter.select(left_key, "__r"))
+    gap = F.abs(F.char_length(left_key) - F.col("__r.n"))
+    first = both.groupBy(left_key).agg(F.min(F.struct(gap.alias("gap"), F.col(f"__r.{files}"), F.col(f"__r.{right_key}"))).alias("__b"))
+    return first.select(left_key, F.col(f"__b.{right_key}"), F.col(f"__b.{files}"), "__b.gap")
 
 
 def primary_else_fallback(base: DataFrame, primary: DataFrame, fallback: DataFrame, key: str, band_cols: list[str], source: str = "source") -> DataFrame:

@@ -55,26 +55,43 @@ def j03(spark: SparkSession, d: str) -> DataFrame:
     return matching.same_day_else_nearest(visits, files, ["tile"], "day", "acq_date", "file").select("site", "day", "file", "dist")
 
 
+#: Triangles asked for and diamonds taken: many meet in their boxes alone. What two convex outlines share has as corners those of
+#: each that lie in the other and the points where edges cross, in the order of their angles.
 @query("j04_catalogue_search", """
-WITH a AS (SELECT location_id, longitude - 0.4 AS west, longitude + 0.4 AS east, latitude - 0.4 AS south, latitude + 0.4 AS north FROM samples),
-s AS (SELECT scene_id, acq_date, cloud_cover, -180 + (scene_id * 7) % 360 - 1.5 AS w, -180 + (scene_id * 7) % 360 + 1.5 AS e,
-      -60 + scene_id % 121 - 1.5 AS s, -60 + scene_id % 121 + 1.5 AS n FROM scenes WHERE cloud_cover < 20 AND scene_id % 13 <= 5)
-SELECT location_id, scene_id, CAST(rank AS INT) AS rank FROM (
-  SELECT location_id, scene_id, row_number() OVER (PARTITION BY location_id ORDER BY cloud_cover, acq_date, scene_id) AS rank
-  FROM a JOIN s ON west <= e AND w <= east AND south <= n AND s <= north WHERE acq_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31')
-WHERE rank <= 8""")
+WITH a AS (SELECT location_id, longitude AS lon, latitude AS lat, [longitude - 0.4, longitude + 0.4, longitude - 0.4] AS ax, [latitude - 0.4, latitude - 0.4, latitude + 0.4] AS ay FROM samples),
+s AS (SELECT scene_id, acq_date, cloud_cover, x, y, [x - 1.5, x, x + 1.5, x] AS sx, [y, y - 1.5, y, y + 1.5] AS sy
+  FROM (SELECT *, -180 + (scene_id * 7) % 360 AS x, -60 + scene_id % 121 AS y FROM scenes)
+  WHERE cloud_cover < 20 AND scene_id % 13 <= 5 AND 70 + scene_id % 31 >= 75 AND acq_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'),
+p AS MATERIALIZED (SELECT * FROM a JOIN s ON abs(lon - x) <= 1.9 AND abs(lat - y) <= 1.9),
+u AS (SELECT location_id, scene_id, ax[i] AS px, ay[i] AS py, ax[i % 3 + 1] AS qx, ay[i % 3 + 1] AS qy, ax, ay, sx, sy FROM p, range(1, 4) t(i)),
+w AS (SELECT location_id, scene_id, sx[j] AS rx, sy[j] AS ry, sx[j % 4 + 1] AS tx, sy[j % 4 + 1] AS ty, ax, ay FROM p, range(1, 5) t(j)),
+c AS (
+  SELECT location_id, scene_id, px, py FROM u WHERE len([1 for j in [1, 2, 3, 4] if (sx[j % 4 + 1] - sx[j]) * (py - sy[j]) - (sy[j % 4 + 1] - sy[j]) * (px - sx[j]) >= 0]) = 4
+  UNION ALL SELECT location_id, scene_id, rx, ry FROM w WHERE len([1 for i in [1, 2, 3] if (ax[i % 3 + 1] - ax[i]) * (ry - ay[i]) - (ay[i % 3 + 1] - ay[i]) * (rx - ax[i]) >= 0]) = 3
+  UNION ALL SELECT location_id, scene_id, px + m * (qx - px), py + m * (qy - py) FROM (
+    SELECT u.location_id, u.scene_id, px, py, qx, qy, ((rx - px) * (ty - ry) - (ry - py) * (tx - rx)) / nullif((qx - px) * (ty - ry) - (qy - py) * (tx - rx), 0) AS m,
+           ((rx - px) * (qy - py) - (ry - py) * (qx - px)) / nullif((qx - px) * (ty - ry) - (qy - py) * (tx - rx), 0) AS k
+    FROM u JOIN w ON u.location_id = w.location_id AND u.scene_id = w.scene_id) WHERE m BETWEEN 0 AND 1 AND k BETWEEN 0 AND 1),
+o AS (SELECT *, atan2(py - avg(py) OVER g, px - avg(px) OVER g) AS angle FROM c WINDOW g AS (PARTITION BY location_id, scene_id)),
+n AS (SELECT *, coalesce(lead(px) OVER v, first_value(px) OVER v) AS nx, coalesce(lead(py) OVER v, first_value(py) OVER v) AS ny FROM o WINDOW v AS (PARTITION BY location_id, scene_id ORDER BY angle)),
+q AS (SELECT location_id, scene_id, abs(sum(px * ny - nx * py)) / 2 / 0.32 * 100 AS share FROM n GROUP BY ALL)
+SELECT location_id, scene_id, round(share, 6)::DOUBLE AS share_pct, CAST(rank AS INT) AS rank FROM (
+  SELECT location_id, scene_id, share, row_number() OVER (PARTITION BY location_id ORDER BY cloud_cover, acq_date, scene_id) AS rank
+  FROM q JOIN s USING (scene_id) WHERE share >= 17.3) WHERE rank <= 8""")
 def j04(spark: SparkSession, d: str) -> DataFrame:
     c = F.col
+    ring = lambda x, y, *xy: F.array(*(F.array((x + a).cast("double"), (y + b).cast("double")) for a, b in xy))
+    day = lambda x: F.lit(x).cast("date")
     a = carrier(spark, d, "samples").select(
-        "location_id", (c("longitude") - 0.4).alias("west"), (c("longitude") + 0.4).alias("east"), (c("latitude") - 0.4).alias("south"),
-        (c("latitude") + 0.4).alias("north"), F.lit("1996-01-01").cast("date").alias("first_day"), F.lit("1999-12-31").cast("date").alias("last_day"),
-    )
+        "location_id", ring(c("longitude"), c("latitude"), (-0.4, -0.4), (0.4, -0.4), (-0.4, 0.4)).alias("ring"), day("1996-01-01").alias("first_day"), day("1999-12-31").alias("last_day")
+    )
     x, y = -180 + (c("scene_id") * 7) % 360, -60 + c("scene_id") % 121
     s = carrier(spark, d, "scenes").select(
-        "scene_id", c("acq_date").alias("acquired"), "cloud_cover", (c("scene_id") % 13).cast("double").alias("nodata_pct"), F.lit(100.0).alias("coverage_pct"),
-        (x - 1.5).alias("west"), (x + 1.5).alias("east"), (y - 1.5).alias("south"), (y + 1.5).alias("north"),
+        "scene_id", c("acq_date").alias("acquired"), "cloud_cover", (c("scene_id") % 13).cast("double").alias("nodata_pct"), (70 + c("scene_id") % 31).cast("double").alias("coverage_pct"),
+        ring(x, y, (-1.5, 0), (0, -1.5), (1.5, 0), (0, 1.5)).alias("footprint"),
     )
-    return matching.catalogue_search(a, s, "location_id", cell=3.0).select("location_id", "scene_id", "rank")
+    out = matching.catalogue_search(a, s, "location_id", cell=3.0, coverage=75, overlap=17.3)
+    return out.select("location_id", "scene_id", rounded("share_pct", 6).alias("share_pct"), "rank")
 
 
 @query("j05_pair_resolutions", """

@@ -357,3 +357,38 @@ def test_quantiles_count_ties_first(spark, monkeypatch):
     for k in (0, 1):
         own = [7.0 if i % 10 < 9 else float(i % 97) for i in range(20_000) if i % 2 == k]
         assert got[k] == pytest.approx(tuple(np.quantile(own, [0.5, 0.97])))
+
+
+def test_clipped_rings_against_a_raster(spark):
+    rng = np.random.default_rng(11)
+    hull = lambda: [[float(6 * np.cos(t)), float(4 * np.sin(t))] for t in np.sort(rng.uniform(0, 2 * np.pi, 6))]
+    star = lambda: [[float(r * np.cos(t) + 2), float(r * np.sin(t))] for t, r in zip(np.linspace(0, 6.2, 9), rng.uniform(1, 7, 9))]
+    rows = [(i, star(), hull()[:: 1 if i % 2 else -1]) for i in range(6)] + [(6, [[0.0, 0.0], [1.0, 0.0], [0.0, 1.0]], [[1.0, 1.0], [1.0, 0.6], [2.0, 2.0]])]
+    df = spark.createDataFrame(rows, "i int, ring array<array<double>>, window array<array<double>>")
+    got = {r["i"]: r["a"] for r in df.select("i", F.abs(matching.ring_area(matching.clipped(F.col("ring"), F.col("window")))).alias("a")).collect()}
+    grid = [(x, y) for x in np.arange(-6.95, 7, 0.1) for y in np.arange(-6.95, 7, 0.1)]
+    for i, ring, window in rows[:6]:
+        assert got[i] == pytest.approx(0.01 * sum(even_odd(x, y, [ring]) and even_odd(x, y, [window]) for x, y in grid), abs=0.6)
+    assert got[6] == 0.0  # they meet in their boxes alone
+
+
+def test_search_reports_each_pair_once(spark):
+    """Areas over many cells: one row for each scene, with the share that it covers."""
+    day = dt.date(2020, 1, 1)
+    square = lambda x, y, n: [[x, y], [x + n, y], [x + n, y + n], [x, y + n]]
+    aois = spark.createDataFrame([(1, square(0.0, 0.0, 10.0), day, day)], "a int, ring array<array<double>>, first_day date, last_day date")
+    scenes = [(1, square(-1.0, -1.0, 12.0), day, 1.0, 0.0, 90.0), (2, square(5.0, 5.0, 10.0), day, 2.0, 0.0, 90.0), (3, square(10.0, 0.0, 5.0), day, 0.0, 0.0, 90.0), (4, square(0.0, 0.0, 10.0), day, 0.0, 0.0, 60.0)]
+    df = spark.createDataFrame(scenes, "scene_id int, footprint array<array<double>>, acquired date, cloud_cover double, nodata_pct double, coverage_pct double")
+    got = [(r["scene_id"], r["share_pct"], r["rank"]) for r in matching.catalogue_search(aois, df, "a", cell=1.0, coverage=75).orderBy("rank").collect()]
+    assert got == [(1, 100.0, 1), (2, 25.0, 2)]  # 3 only touches, 4 has too little data
+    assert [r["scene_id"] for r in matching.catalogue_search(aois, df, "a", cell=3.0, coverage=75, overlap=30).collect()] == [1]
+
+
+def test_one_prefix_of_many_names(spark, monkeypatch):
+    """A short name meets the best of the names that begin with it, not all of them."""
+    right = spark.range(100_000).selectExpr("concat('reef ', lpad(id, 6, '0')) AS folder", "id % 7 AS files").unionByName(spark.createDataFrame([("reef x", 3), ("reef y", 1), ("ree", 9), ("", 1)], "folder string, files long"))
+    left = spark.createDataFrame([("reef",), ("reef 000123 north",), ("r",), ("bay",), ("reef x",)], "site string")
+    got = {r["site"]: (r["folder"], r["gap"]) for r in matching.fuzzy_names(left, right, "site", "folder", "files").collect()}
+    assert got == {"reef": ("ree", 1), "reef 000123 north": ("reef 000123", 6), "r": ("ree", 2), "reef x": ("reef x", 0)}
+    held = matching.fuzzy_names(left, right, "site", "folder", "files")._jdf.queryExecution().optimizedPlan().toString()
+    assert held.index("Aggregate") < held.index("Join") or "Aggregate [__p" in held
