@@ -27,12 +27,24 @@ LYZENGA = {
     "S2": [("b1", "b2", 1.5), ("b2", "b3", 1.8), ("b3", "b4", 0.6)],
     "LS": [("b1", "b2", 1.4), ("b2", "b3", 1.7), ("b3", "b4", 0.6)],
 }
-#: Fixed values. What each index reads, by sensor.
+#: Fixed values. The band of each role, by sensor.
 ROLES = {
-    "S2": {"nir": "b8", "red": "b4", "green": "b3", "blue": "b2", "edge": ("b8a", "b5"), "swir": ("b3", "b11"), "burn": ("b8", "b12")},
-    "LS": {"nir": "b5", "red": "b4", "green": "b3", "blue": "b2", "swir": ("b3", "b6"), "burn": ("b5", "b7")},
-    "PS": {"nir": "nir", "red": "red", "green": "green", "blue": "blue", "edge": ("nir", "rededge"), "cig": ("nir", "green_i")},
+    "S2": {"nir": "b8", "red": "b4", "green": "b3", "blue": "b2", "edge_nir": "b8a", "edge": "b5", "swir": "b11", "burn": "b12"},
+    "LS": {"nir": "b5", "red": "b4", "green": "b3", "blue": "b2", "swir": "b6", "burn": "b7"},
+    "PS": {"nir": "nir", "red": "red", "green": "green_i", "blue": "blue", "edge_nir": "nir", "edge": "rededge"},
 }
+#: Fixed values. (index, numerator, denominator, what is added to their quotient), over roles.
+FORMULAS = [
+    ("ndvi", "nir - red", "nir + red", 0.0), ("gndvi", "nir - green", "nir + green", 0.0), ("ndre", "edge_nir - edge", "edge_nir + edge", 0.0),
+    ("ndwi", "green - nir", "green + nir", 0.0), ("mndwi", "green - swir", "green + swir", 0.0),
+    ("evi", "2.5D * (nir - red)", "nir + 6 * red - 7.5D * blue + 1", 0.0), ("savi", "1.5D * (nir - red)", "nir + red + 0.5D", 0.0),
+    ("nbr", "nir - burn", "nir + burn", 0.0), ("cig", "nir", "green", -1.0),
+]
+#: Fixed values. The indices of each sensor.
+INDICES = {
+    "S2": ["ndvi", "gndvi", "ndre", "ndwi", "mndwi", "evi", "savi", "nbr"], "LS": ["ndvi", "ndwi", "mndwi", "evi", "savi", "nbr"],
+    "PS": ["ndvi", "gndvi", "ndre", "ndwi", "evi", "savi", "cig"],
+}
 #: Fixed values. Low- and high-resolution bands that see the same light.
 MATCHED = [("B1", "B1"), ("B2", "B2"), ("B3", "B3"), ("B4", "B4"), ("B5", "B8A"), ("B6", "B11"), ("B7", "B12")]
 #: Fixed values. First and last day of the satellites' service.
@@ -42,9 +54,9 @@ SERVICE = [
 ]
 
 
-def bands(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(BANDS, "sensor string, band string, position int, scale double, offset double, is_qa boolean")
+def bands(spark: SparkSession, rows: list[tuple] = BANDS) -> DataFrame:
+    return spark.createDataFrame(rows, "sensor string, band string, position int, scale double, offset double, is_qa boolean")
 
 
-def specs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SPECS, "sensor string, resolution_m double, n_bands int, max_nodata_pct double")
+def specs(spark: SparkSession, rows: list[tuple] = SPECS) -> DataFrame:
+    return spark.createDataFrame(rows, "sensor string, resolution_m double, n_bands int, max_nodata_pct double")

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sensors import KD, LYZENGA, ROLES, bands
+from .sensors import BANDS, FORMULAS, INDICES, KD, LYZENGA, ROLES, bands
 
 
-def reflectance(pixels: DataFrame) -> DataFrame:
+def reflectance(pixels: DataFrame, rows: list[tuple] = BANDS) -> DataFrame:
     """``pixels`` (sensor, scene_id, band, dn) with ``value``: scaled, if the scene has all bands of its sensor.
 
-    Quality bands pass through. With a band count other than the sensor's, all bands stay unscaled.
+    ``rows`` are those of ``sensors.BANDS``, with more for a new sensor. Quality bands pass through. With a band count other than the sensor's, all bands stay unscaled.
     """
-    table = bands(pixels.sparkSession)
+    table = bands(pixels.sparkSession, rows)
     expected = table.groupBy("sensor").agg(F.count("*").alias("expected"))
     counted = pixels.groupBy("sensor", "scene_id").agg(F.count_distinct("band").alias("found"))
     whole = counted.join(F.broadcast(expected), "sensor").where("found = expected").select("sensor", "scene_id", F.lit(True).alias("whole"))
@@ -30,22 +32,20 @@ def normalised_difference(a: Column, b: Column) -> Column:
     return F.try_divide(a - b, a + b)
 
 
-def indices(sensor: str, prefix: str) -> dict[str, Column]:
-    """All indices of a sensor over columns named ``<prefix><band>``."""
-    role = ROLES[sensor]
-    c = lambda b: F.col(prefix + b)
-    n, r, g, b = (c(role[k]) for k in ("nir", "red", "green", "blue"))
-    green = c(role["cig"][1]) if sensor == "PS" else g
-    out = {
-        "ndvi": normalised_difference(n, r), "ndwi": normalised_difference(green, n),
-        "evi": F.try_divide(2.5 * (n - r), n + 6 * r - 7.5 * b + 1), "savi": F.try_divide(1.5 * (n - r), n + r + 0.5),
-    }
-    if sensor != "LS":
-        out |= {"gndvi": normalised_difference(n, green), "ndre": normalised_difference(*map(c, role["edge"]))}
-    if sensor != "PS":
-        out |= {"mndwi": normalised_difference(*map(c, role["swir"])), "nbr": normalised_difference(*map(c, role["burn"]))}
-    if sensor == "PS":
-        out |= {"cig": F.try_divide(n, green) - 1}
+def indices(
+    sensor: str, prefix: str, *, roles: dict[str, dict[str, str]] = ROLES, formulas: list[tuple[str, str, str, float]] = FORMULAS, names: dict[str, list[str]] = INDICES
+) -> dict[str, Column]:
+    """All indices of a sensor over columns named ``<prefix><band>``: the formulas' roles become its bands, and a denominator of 0 NULL.
+
+    Sensors, roles and formulas are rows; a formula that asks for a role which the sensor doesn't have is an error.
+    """
+    band = lambda m: f"`{prefix}{roles[sensor][m[0]]}`"
+    bound = lambda text: re.sub(r"\b[a-z_]+\b", band, text)
+    known, out = {name: rest for name, *rest in formulas}, {}
+    for name in names[sensor]:
+        above, below, more = known[name]
+        value = F.try_divide(F.expr(bound(above)), F.expr(bound(below)))
+        out[name] = value + F.lit(more) if more else value
     return out
 
 

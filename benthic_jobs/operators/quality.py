@@ -45,14 +45,28 @@ def nodata_and_cloud(pixels: DataFrame, keys: list[str], value: str, qa: str, no
     return rows.withColumn("finding", finding)
 
 
-def glint_haze(wide: DataFrame, keys: list[str], nir: str, blue: str, valid: Column | None = None, *, glint_nir: float = 0.25, glint_blue: float = 0.12, haze: float = 0.25) -> DataFrame:
-    """glint, haze or ok, from band means over positive reflectances."""
-    mean = lambda c: exact.mean(F.when((F.col(c) > 0) & (F.lit(True) if valid is None else valid), F.col(c)))
-    rows = wide.groupBy(*keys).agg(mean(nir).alias("nir_mean"), mean(blue).alias("blue_mean"))
+def glint_parts(wide: DataFrame, keys: list[str], nir: str, blue: str, valid: Column | None = None) -> DataFrame:
+    """Exact sums and counts of the positive reflectances of both bands: parts of an image add up to it."""
+    good = lambda c: F.when((F.col(c) > 0) & (F.lit(True) if valid is None else valid), F.col(c))
+    each = {"nir": good(nir), "blue": good(blue)}
+    return wide.groupBy(*keys).agg(
+        *(F.sum(x.cast(exact.KIND)).cast("decimal(38,12)").alias(f"{n}_sum") for n, x in each.items()), *(F.count(x).alias(f"{n}_count") for n, x in each.items())
+    )
+
+
+def screened(parts: DataFrame, keys: list[str], *, glint_nir: float = 0.25, glint_blue: float = 0.12, haze: float = 0.25) -> DataFrame:
+    """glint, haze or ok of each image, from all of its parts."""
+    mean = lambda n: F.try_divide(F.sum(f"{n}_sum").cast("double"), F.sum(f"{n}_count")).alias(f"{n}_mean")
+    rows = parts.groupBy(*keys).agg(mean("nir"), mean("blue"))
     flag = F.when((F.col("nir_mean") > glint_nir) & (F.col("blue_mean") > glint_blue), "glint")
     return rows.withColumn("screen", flag.when(F.col("blue_mean") > haze, "haze").otherwise("ok"))
 
 
+def glint_haze(wide: DataFrame, keys: list[str], nir: str, blue: str, valid: Column | None = None, **limits: float) -> DataFrame:
+    """glint, haze or ok, from band means over positive reflectances."""
+    return screened(glint_parts(wide, keys, nir, blue, valid), keys, **limits)
+
+
 def accepted_stacks(images: DataFrame, sample: str, *, least: int = 6) -> DataFrame:
     """A hard failure rejects the sample; else enough images must be ok. ``images``: sample, status (ok, skip, fail)."""
     rows = images.groupBy(sample).agg(F.bool_or(F.col("status") == "fail").alias("failed"), F.count_if(F.col("status") == "ok").alias("n_ok"))

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import manifests, surveys
-from ..streaming.resumable import collect_new_metadata, screen_new_images
+from ..streaming.resumable import collect_new_metadata, screen_new_images, screened_images
 from .carriers import carrier, table
-from .registry import query, rounded
+from .registry import mean_sql, query, rounded
 from ..storage import shared_dir
 
 
@@ -130,16 +130,17 @@ def s08(spark: SparkSession, d: str) -> DataFrame:
     return good.withColumn("usable", F.lit(True)).unionByName(bad)
 
 
-@query("stream_screen_new_images", """
-WITH m AS (SELECT scene_id, avg(CASE WHEN b8 > 0 THEN b8 END) AS n, avg(CASE WHEN b2 > 0 THEN b2 END) AS b FROM stacks GROUP BY scene_id)
+@query("stream_screen_new_images", f"""
+WITH m AS (SELECT scene_id, {mean_sql("CASE WHEN b8 > 0 THEN b8 END")} AS n, {mean_sql("CASE WHEN b2 > 0 THEN b2 END")} AS b FROM stacks GROUP BY scene_id)
 SELECT scene_id, round(n, 6) AS nir_mean, round(b, 6) AS blue_mean, CASE WHEN n > 0.25 AND b > 0.12 THEN 'glint' WHEN b > 0.25 THEN 'haze' ELSE 'ok' END AS screen FROM m""")
 def stream_images(spark: SparkSession, d: str) -> DataFrame:
     source, out, checkpoint = (_new(spark, f"stream-{n}") for n in ("in", "out", "state"))
-    s = carrier(spark, d, "stacks").select("scene_id", "b2", "b8")
-    for part in (0, 1):  # two arrivals, each screened by a run of its own
-        s.where(F.col("scene_id") % 2 == part).write.mode("append").parquet(source)
+    s = carrier(spark, d, "stacks").select("scene_id", "prow", "b2", "b8")
+    for part in (0, 1):  # every image arrives in two parts, each summed up by a run of its own
+        s.where(F.col("prow") % 2 == part).write.mode("append").parquet(source)
         screen_new_images(spark, source, s.schema, out, checkpoint, keys=["scene_id"], nir="b8", blue="b2")
-    return spark.read.parquet(out).select("scene_id", rounded("nir_mean", 6).alias("nir_mean"), rounded("blue_mean", 6).alias("blue_mean"), "screen")
+    rows = screened_images(spark, out, ["scene_id"])
+    return rows.select("scene_id", rounded("nir_mean", 6).alias("nir_mean"), rounded("blue_mean", 6).alias("blue_mean"), "screen")
 
 
 @query("stream_collect_metadata", "SELECT location_id, habitat_class, depth_m FROM samples WHERE location_id % 8 > 1")

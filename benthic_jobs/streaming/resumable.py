@@ -10,18 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.quality import glint_haze
+from ..operators.quality import glint_parts, screened
 from ..sources.manifests import rebuild
 
 
 def screen_new_images(spark: SparkSession, source: str, schema: StructType | str, out: str, checkpoint: str, *, keys: list[str], nir: str, blue: str) -> None:
-    """Screens the images of files that arrived since the last run; an image lies in one file."""
+    """Sums up the pixels of files that arrived since the last run. An image may lie in many files and arrive in many runs: each batch
+    leaves exact sums and counts of its part, and a batch that is run again replaces its own."""
 
-    def screen(batch: DataFrame, batch_id: int) -> None:
-        glint_haze(batch, keys, nir, blue).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    def sum_up(batch: DataFrame, batch_id: int) -> None:
+        glint_parts(batch, keys, nir, blue).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     stream = spark.readStream.schema(schema).parquet(source)
-    stream.writeStream.foreachBatch(screen).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.foreachBatch(sum_up).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def screened_images(spark: SparkSession, out: str, keys: list[str], **limits: float) -> DataFrame:
+    """The images that have arrived so far, screened over all their parts."""
+    return screened(spark.read.parquet(out), keys, **limits)
 
 
 def collect_new_metadata(spark: SparkSession, folder: str, schema: str, key: str, out: str, checkpoint: str) -> None:

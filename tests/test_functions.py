@@ -66,3 +66,22 @@ def test_patch_without_point(spark):
 
 def test_clean_names():
     assert surveys.clean_names(["﻿Site ", "", "Unnamed: 2", "Cover"]) == ["Site", "Date", "Date_2", "Cover"]
+
+
+def test_a_fourth_sensor_is_rows(spark):
+    """Bands, roles, a formula of its own and the list of its indices: no code."""
+    from benthic_jobs.functions import sensors
+
+    rows = [*sensors.BANDS, *(("DS", b, i, 0.5, 1.0, False) for i, b in enumerate(("haze_blue", "leaf", "heat")))]
+    pixels = spark.createDataFrame([("DS", 1, b, v) for b, v in (("haze_blue", 2), ("leaf", 4), ("heat", 8))] + [("DS", 2, "leaf", 4)], "sensor string, scene_id int, band string, dn int")
+    got = {(r["scene_id"], r["band"]): r["value"] for r in spectral.reflectance(pixels, rows).collect()}
+    assert got == {(1, "haze_blue"): 2.0, (1, "leaf"): 3.0, (1, "heat"): 5.0, (2, "leaf"): 4.0}
+    own = spectral.indices(
+        "DS", "ds_", roles={"DS": {"nir": "heat", "red": "leaf", "blue": "haze_blue"}}, names={"DS": ["ndvi", "haze"]},
+        formulas=[*sensors.FORMULAS, ("haze", "blue - 0.25D * red", "blue * nir", 2.0)],
+    )
+    df = spark.createDataFrame([(2.0, 3.0, 5.0), (0.0, 1.0, 2.0)], "ds_haze_blue double, ds_leaf double, ds_heat double")
+    a, b = df.select(*(c.alias(k) for k, c in own.items())).collect()
+    assert (a["ndvi"], a["haze"]) == pytest.approx((0.25, 2.125)) and b["ndvi"] == pytest.approx(1 / 3) and b["haze"] is None
+    with pytest.raises(KeyError):
+        spectral.indices("LS", "", names={"LS": ["ndre"]})
