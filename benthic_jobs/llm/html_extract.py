@@ -338,7 +338,8 @@ def labelled_pages(count: int = 220, seed: int = 11) -> list[str]:
         return words(a, z).capitalize() + r.choice(".....!?")
 
     def prose() -> str:
-        return " ".join(sentence() for _ in range(r.choice((1, 1, 2, 4, 8))))
+        text = " ".join(sentence() for _ in range(r.choice((1, 1, 2, 4, 8))))
+        return text if r.random() < 0.85 else text[:-1] + r.choice((":", "”", ""))
 
     def links(n: int) -> str:
         return "<ul>" + "".join(f'<li><a href="/x">{words(1, 4)}</a></li>' for _ in range(n)) + "</ul>"
@@ -402,6 +403,8 @@ def labelled_pages(count: int = 220, seed: int = 11) -> list[str]:
         top, low = r.sample(top, r.randint(1, 3)), r.sample(low, r.randint(1, 3))
         page = "".join(top) + open_ + head + body + shut + "".join(low)
         page = f"<!DOCTYPE html><html><head><title>{words(2, 5)}</title></head><body>{page}</body></html>"
+        if r.random() < 0.12:  # a fragment, as some crawls store
+            page = open_ + head + body
         pages.append(page[: int(len(page) * r.uniform(0.7, 1))] if r.random() < 0.1 else page)
     return pages
 
