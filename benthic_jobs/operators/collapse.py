@@ -80,11 +80,14 @@ def richness(points: DataFrame, site: str, columns: list[str]) -> DataFrame:
 
 
 def shannon(points: DataFrame, site: str, label: str) -> DataFrame:
-    counts = points.where(F.col(label).isNotNull()).groupBy(site, label).agg(F.count("*").alias("n"))
-    totals = counts.groupBy(site).agg(F.sum("n").alias("t"))
-    p = F.col("n") / F.col("t")
-    h = counts.join(totals, site).groupBy(site).agg(F.sum(-p * F.log(p)).alias("shannon"))
-    return points.select(site).distinct().join(h, site, "left")
+    return shannon_of_counts(points.groupBy(site, label).agg(F.count("*").alias("n")), site, label, "n")
+
+
+def shannon_of_counts(counts: DataFrame, site: str, label: str, n: str) -> DataFrame:
+    """Diversity from counts of (site, label), whose rows may be parts: ``log t - sum(n log n) / t``, so a site is summed up once."""
+    known = counts.groupBy(site, label).agg(F.sum(n).alias("__n")).withColumn("__n", F.when(F.col(label).isNotNull(), F.col("__n")))
+    sums = known.groupBy(site).agg(F.sum("__n").alias("t"), exact.mean(F.col("__n") * F.log("__n")).alias("m"), F.count("__n").alias("k"))
+    return sums.select(site, (F.log("t") - F.col("m") * F.col("k") / F.col("t")).alias("shannon"))
 
 
 def date_spread(rows: DataFrame, key: str, day: str, lon: str, lat: str) -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions import spectral
 from ..functions.sensors import specs
 from ..functions import exact
 from ..operators import collapse, curation, matching, quality, sampling
+from ..storage import stored
 from .carriers import carrier
 from .q_aggregates import _BENTHIC, benthic
 from .q_joins import stack_count
@@ -35,9 +36,13 @@ LEFT JOIN stacks x ON x.scene_id = m.scene_id % (SELECT max(vec_id) // 8 + 1 FRO
 def survey_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotations to sites, each with its nearest scene's pixel and features."""
     points, scenes = carrier(spark, sf_dir, "annotations"), carrier(spark, sf_dir, "scenes").where("sensor = 'S2'")
-    sites = points.groupBy("site").agg(F.min("island").alias("island"), F.min("survey_date").alias("survey_date"), F.count("*").alias("n_points"))
-    cover = collapse.cover_wide(collapse.cover_long(points, "site", "category", ["LARGE"], benthic()), "site", "category", {"LARGE": "cover_large"})
-    sites = sites.join(cover, "site", "left").join(collapse.shannon(points, "site", "genus"), "site", "left")
+    counts = points.groupBy("site", "category", "genus").agg(F.min("island").alias("island"), F.min("survey_date").alias("day"), F.count("*").alias("n"))
+    counts = stored(counts, "counts")  # the annotations are a join of three tables: once is enough
+    of = lambda c: F.sum(F.when(c, F.col("n")))
+    labelled, large = benthic() & F.col("category").isNotNull(), benthic() & (F.col("category") == "LARGE")
+    cover = F.when(of(labelled) > 0, F.coalesce(of(large), F.lit(0)) * 100.0 / of(benthic())).alias("cover_large")
+    sites = counts.groupBy("site").agg(F.min("island").alias("island"), F.min("day").alias("survey_date"), F.sum("n").alias("n_points"), cover)
+    sites = sites.join(collapse.shannon_of_counts(counts, "site", "genus", "n"), "site", "left")
     sites = sites.withColumn("tile", F.col("site").cast("int"))
     found = matching.nearest_scene(sites, scenes, ["tile"], "survey_date", "acq_date", "scene_id", 45)
     found = found.crossJoin(F.broadcast(stack_count(spark, sf_dir)))
