@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import manifests, surveys
+from ..sources import manifests, surveys, trees
 from ..streaming.resumable import collect_new_metadata, screen_new_images, screened_images
 from .carriers import carrier, table
 from .registry import mean_sql, query, rounded
@@ -44,35 +44,49 @@ def s02(spark: SparkSession, d: str) -> DataFrame:
     return surveys.read_unit_row_csv(spark, at, ["plot", "lon", "lat"], lon="lon", lat="lat", dms=True, south=True)
 
 
-@query("s03_transects", """
+_BAD_FILES = "o_orderkey // 64 % 9 = 5"
+
+
+@query("s03_transects", f"""
 SELECT o_orderkey AS "ID", CAST(o_custkey % 50 AS VARCHAR) AS "Transect", l_quantity AS site_m, round(l_tax * 1000 / 100, 6)::DOUBLE AS depth_m, CAST(l_shipdate AS DATE) AS obs_date,
-  round(-82.5 + least(l_quantity / (o_custkey % 50), 1) * 0.1, 6)::DOUBLE AS lon
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_custkey % 50 BETWEEN 1 AND 39 AND l_linenumber <> 4""")
+  round(-82.5 + least(l_quantity / (o_custkey % 50), 1) * 0.1, 6)::DOUBLE AS lon, l_linenumber / 2::DOUBLE AS blade_length_avg, NULL AS file, NULL AS problem
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_custkey % 50 BETWEEN 1 AND 39 AND l_linenumber <> 4 AND NOT {_BAD_FILES}
+UNION ALL SELECT DISTINCT NULL, NULL, NULL, NULL, NULL::DATE, NULL, NULL, o_orderkey // 64 % 10 || '/' || o_orderkey // 64 || '.json', 'no JSON of transects'
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE {_BAD_FILES}""")
 def s03(spark: SparkSession, d: str) -> DataFrame:
+    """Files of up to 64 records in ten folders; one in nine is cut off before its end."""
     at = _new(spark, "transects")
     rows = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     seen = F.struct(
         F.when(F.col("l_linenumber") != 4, F.col("l_quantity")).alias("Site"), (F.col("l_tax") * -1000).alias("Depth"), F.date_format("l_shipdate", "yyyyMMdd").alias("ObservationDate"),
-        F.col("l_returnflag").alias("Species"), F.lit("2 = sparse").alias("SpeciesAbundance"),
+        F.concat(F.lit(" "), "l_returnflag").alias("Species"), F.lit("2 = sparse").alias("SpeciesAbundance"), (F.col("l_linenumber") / 2).alias("BladeLength_Avg"),
     )
-    key = (F.col("o_custkey") % 50).cast("string").alias("Transect")
-    rows.groupBy(F.col("o_orderkey").alias("ID"), key).agg(F.collect_list(seen).alias("Observation")).write.json(at)
+    key = F.concat((F.col("o_custkey") % 50).cast("string"), F.lit(" ")).alias("Transect")
+    records = rows.groupBy(F.col("o_orderkey").alias("ID"), key).agg(F.collect_list(seen).alias("Observation"))
+    texts = records.groupBy(F.expr("ID DIV 64").alias("n")).agg(F.to_json(F.collect_list(F.struct("ID", "Transect", "Observation"))).alias("text"))
+    cut = F.when(F.col("n") % 9 == 5, F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
+    trees.write_texts(texts.select(F.concat((F.col("n") % 10).cast("string"), F.lit("/"), F.col("n").cast("string"), F.lit(".json")).alias("path"), cut.alias("text")), at)
     ends = spark.range(40).select(
         F.col("id").cast("string").alias("Transect"), F.col("id").cast("double").alias("length_m"), F.lit(-82.5).alias("start_lon"), F.lit(27.0).alias("start_lat"),
         F.lit(-82.4).alias("end_lon"), F.lit(27.1).alias("end_lat"),
     )
-    out = surveys.observations(spark.read.schema(surveys.TRANSECTS).json(at), ends)
-    return out.select("ID", "Transect", "site_m", rounded("depth_m", 6).alias("depth_m"), "obs_date", rounded("lon", 6).alias("lon"))
+    out, bad = surveys.read_transects(spark, at, ends)
+    out = out.select("ID", "Transect", "site_m", rounded("depth_m", 6).alias("depth_m"), "obs_date", rounded("lon", 6).alias("lon"), "blade_length_avg")
+    return out.unionByName(bad.select(F.col("path").alias("file"), "problem"), allowMissingColumns=True)
 
 
 @query("s04_scene_index", """
-SELECT '/data/' || CASE o_orderkey % 4 WHEN 0 THEN 'S2A_MSI_' WHEN 1 THEN 'LC08_' WHEN 2 THEN 'x_' ELSE 'L9_oli_' END || strftime(o_orderdate, '%Y_%m_%d') || '_' || o_orderkey || '.nc' AS path,
-  CAST(o_orderdate AS DATE) AS date, CASE WHEN o_orderkey % 4 = 0 THEN 'S2' ELSE 'LS' END AS sensor FROM orders WHERE o_orderkey % 4 <> 2 AND o_orderkey % 10 <> 0""")
+SELECT o_orderkey % 20 || '/' || CASE o_orderkey % 4 WHEN 0 THEN 'S2A_MSI_' WHEN 1 THEN 'LC08_' ELSE 'L9_oli_' END || strftime(o_orderdate, '%Y_%m_%d') || '_' || o_orderkey || '.nc' AS path,
+  CAST(o_orderdate AS DATE) AS date, CASE WHEN o_orderkey % 4 = 0 THEN 'S2' ELSE 'LS' END AS sensor FROM orders WHERE o_orderkey % 4 <> 2 AND o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 0""")
 def s04(spark: SparkSession, d: str) -> DataFrame:
-    m = F.col("o_orderkey") % 4
+    """A file for each order in twenty folders; some without a sensor or a date in their name, some of another kind."""
+    at, m = _new(spark, "scenes"), F.col("o_orderkey") % 4
     head = F.when(m == 0, "S2A_MSI_").when(m == 1, "LC08_").when(m == 2, "x_").otherwise("L9_oli_")
     day = F.when(F.col("o_orderkey") % 10 == 0, "undated").otherwise(F.date_format("o_orderdate", "yyyy_MM_dd"))
-    return surveys.scene_index(table(spark, d, "orders").select(F.concat(F.lit("/data/"), head, day, F.lit("_"), F.col("o_orderkey").cast("string"), F.lit(".nc")).alias("path")))
+    tail = F.when(F.col("o_orderkey") % 7 == 0, ".log").otherwise(".nc")
+    path = F.concat((F.col("o_orderkey") % 20).cast("string"), F.lit("/"), head, day, F.lit("_"), F.col("o_orderkey").cast("string"), tail)
+    trees.write_texts(table(spark, d, "orders").select(path.alias("path"), F.lit("").alias("text")), at)
+    return surveys.read_scene_index(spark, at)[0]
 
 
 def _samples(spark: SparkSession, d: str) -> DataFrame:
@@ -120,14 +134,18 @@ _CHECKPOINT = "location_id long, habitat_class string, depth_m double"
 
 
 @query("s08_rebuild_metadata", """
-SELECT location_id, habitat_class, depth_m, true AS usable FROM samples WHERE location_id % 8 > 1 UNION ALL SELECT location_id, NULL, NULL, false FROM samples WHERE location_id % 8 <= 1""")
+SELECT location_id, habitat_class, depth_m, NULL AS problem FROM samples WHERE location_id % 8 > 2
+UNION ALL SELECT location_id, NULL, NULL, CASE location_id % 8 WHEN 2 THEN 'no file' ELSE 'no JSON with a key' END FROM samples WHERE location_id % 8 <= 2""")
 def s08(spark: SparkSession, d: str) -> DataFrame:
-    s, m = carrier(spark, d, "samples"), F.col("location_id") % 8
-    text = F.when(m == 0, "{oops").when(m == 1, '{"other": 1}').otherwise(F.to_json(F.struct("location_id", "habitat_class", "depth_m")))
-    good, bad = manifests.rebuild(s.select(F.col("location_id").cast("string").alias("path"), text.alias("json")), _CHECKPOINT, "location_id")
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("habitat_class", "string"), ("depth_m", "double"))]
-    bad = bad.select(F.col("path").cast("bigint").alias("location_id"), *none, F.lit(False).alias("usable"))
-    return good.withColumn("usable", F.lit(True)).unionByName(bad)
+    """A folder for each sample; of eight one has a broken file, one a file without a key, one another file alone."""
+    at, s, m = _new(spark, "checkpoints"), carrier(spark, d, "samples").select("location_id", "habitat_class", "depth_m"), F.col("location_id") % 8
+    manifests.write_checkpoints(s.where(m > 2), at, "location_id")
+    name = F.when(m == 2, "notes.txt").otherwise(manifests.CHECKPOINT)
+    path = F.concat(F.lit(manifests.SAMPLE), F.col("location_id").cast("string"), F.lit("/"), name)
+    trees.write_texts(s.where(m <= 2).select(path.alias("path"), F.when(m == 1, '{"other": 1}').otherwise("{oops").alias("text")), at)
+    good, bad = manifests.read_checkpoints(spark, at, _CHECKPOINT, "location_id")
+    bad = bad.select(F.expr(f"CAST(substr(sample, {len(manifests.SAMPLE) + 1}) AS BIGINT)").alias("location_id"), "problem")
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @query("stream_screen_new_images", f"""

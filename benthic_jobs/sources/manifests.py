@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import stored
+from . import trees
+
+#: How a sample's folder begins, and the file in it.
+SAMPLE, CHECKPOINT = "sample_", "sample_metadata.json"
 
 #: Fixed values. Column and type of the manifest, in order; ``json`` columns are texts of lists in the file.
 COLUMNS = [
@@ -61,9 +68,30 @@ def rebuild(texts: DataFrame, schema: str, key: str) -> tuple[DataFrame, DataFra
     return parsed.where(good).select("r.*"), parsed.where(~good).select("path")
 
 
+def write_checkpoints(samples: DataFrame, folder: str, key: str) -> int:
+    """A folder ``sample_<key>`` with one JSON file for each sample; rows without a key have no folder. Returns their number."""
+    path = F.concat(F.lit(SAMPLE), F.col(key).cast("string"), F.lit(f"/{CHECKPOINT}"))
+    text = F.to_json(F.struct(*(F.col(f"`{c}`") for c in samples.columns)))
+    return trees.write_texts(samples.where(F.col(key).isNotNull()).select(path.alias("path"), text.alias("text")), folder)
+
+
 def read_checkpoints(spark: SparkSession, folder: str, schema: str, key: str) -> tuple[DataFrame, DataFrame]:
-    files = spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True).load(folder)
-    return rebuild(files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json")), schema, key)
+    """The metadata of all sample folders of ``folder``, and what was skipped: (sample, problem).
+
+    A sample folder lies directly in ``folder`` and its name begins with ``sample_``. It is skipped if it has no metadata file, or one
+    that can't be read, is no JSON or has no key. Other files and folders don't count. Files are listed and read by tasks, each
+    read once: the parsed rows are stored, so that both results come from the same read.
+    """
+    entries = trees.entries(spark, folder)
+    top = entries.where(F.col("is_folder") & F.col("path").rlike(f"^{SAMPLE}[^/]*$"))
+    of = F.regexp_extract("path", f"^({SAMPLE}[^/]*)/{re.escape(CHECKPOINT)}$", 1)
+    found = trees.texts(entries.where(~F.col("is_folder") & (of != "")), folder).withColumn("sample", of)
+    # A folder that can't be listed comes twice: as a name, and with its problem.
+    named = top.groupBy(F.col("path").alias("sample")).agg(F.max("problem").alias("unlisted"))
+    rows = named.join(found, "sample", "left").withColumn("r", F.from_json("text", schema, {"mode": "PERMISSIVE"}))
+    why = F.coalesce("unlisted", "problem", F.when(F.col("path").isNull(), "no file").when(F.col(f"r.{key}").isNull(), "no JSON with a key"))
+    rows = stored(rows.select("sample", "r", why.alias("problem")), "checkpoints")
+    return rows.where("problem IS NULL").select("r.*"), rows.where("problem IS NOT NULL").select("sample", "problem")
 
 
 def sensor_outputs(wide: DataFrame, shared: list[str], prefixes: dict[str, str]) -> dict[str, DataFrame]:
