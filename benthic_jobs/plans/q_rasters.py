@@ -65,30 +65,72 @@ def _long(images: DataFrame, keys: list[str], n: str) -> DataFrame:
     return pixels.select(*keys, F.expr("CAST(at DIV n AS INT)").alias("grid_row"), F.expr("CAST(at % n AS INT)").alias("grid_col"), "value")
 
 
-@query("g04_align", f"""
+_ALIGNED = f"""
 WITH {_DATA},
 p AS (SELECT vec_id, d, r, c, least(r + 1, 7) AS r1, least(c + 1, 7) AS c1 FROM v, range(8) a(r), range(8) b(c))
 SELECT vec_id, CAST(r AS INT) AS grid_row, CAST(c AS INT) AS grid_col, round(CAST(CASE WHEN vec_id % 8 = 7 THEN d[r1 * 8 + c1 + 1]
-  ELSE (d[r * 8 + c + 1] + d[r * 8 + c1 + 1] + d[r1 * 8 + c + 1] + d[r1 * 8 + c1 + 1]) / 4 END AS FLOAT)::DOUBLE, 3) AS value FROM p""")
+  ELSE (d[r * 8 + c + 1] + d[r * 8 + c1 + 1] + d[r1 * 8 + c + 1] + d[r1 * 8 + c1 + 1]) / 4 END AS FLOAT)::DOUBLE, 3) AS value FROM p"""
+
+
+@query("g04_align", _ALIGNED)
 def g04(spark: SparkSession, d: str) -> DataFrame:
     """Each image begins half a pixel beside its sample's grid, so a pixel is the mean of four, or the next one of a QA band."""
     out = raster.aligned(_images(spark, d), ["vec_id", "scene_id", "band"], patch_m=240)
     return _long(out, ["vec_id"], "n").withColumn("value", rounded(F.col("value").cast("double"), 3))
 
 
-@query("g05_standardize", f"""
+_STANDARDIZED = f"""
 WITH {_DATA},
 a AS (SELECT i, i // 2 AS r, least(i // 2 + 1, 7) AS r1, 0.25 + i % 2 * 0.5 AS f FROM range(16) t(i)),
 p AS (SELECT vec_id, d, y.i AS y, x.i AS x, y.r AS r, y.r1 AS r1, y.f AS fy, x.r AS c, x.r1 AS c1, x.f AS fx FROM v, a y, a x)
 SELECT vec_id, CAST(y AS INT) AS grid_row, CAST(x AS INT) AS grid_col, CASE WHEN y = 15 OR x = 15 THEN 0 ELSE CAST(round_even(
   d[r * 8 + c + 1] * (1 - fy) * (1 - fx) + d[r * 8 + c1 + 1] * (1 - fy) * fx + d[r1 * 8 + c + 1] * fy * (1 - fx)
-  + d[r1 * 8 + c1 + 1] * fy * fx, 0) AS INT) END AS value FROM p""")
+  + d[r1 * 8 + c1 + 1] * fy * fx, 0) AS INT) END AS value FROM p"""
+
+
+@query("g05_standardize", _STANDARDIZED)
 def g05(spark: SparkSession, d: str) -> DataFrame:
     """Pixels of half the size from a quarter of a pixel on; the last row and column lie outside the image."""
     out = raster.standardized(_images(spark, d), ["vec_id"], patch=16, step=15.0)
     return _long(out, ["vec_id"], "16")
 
 
+#: Pixels of a block's side: it does not divide the images, so that blocks at their edges are smaller.
+_BLOCK = 3
+
+
+def _image_blocks(images: DataFrame) -> DataFrame:
+    """The images cut into blocks: a row for each block."""
+    side = F.sequence(F.lit(0), F.expr(f"(h - 1) DIV {_BLOCK}").cast("int"))
+    rows = images.withColumn("block_row", F.explode(side)).withColumn("block_col", F.explode(side))
+    lines = F.transform(
+        F.sequence(F.col("block_row") * _BLOCK, F.least(F.col("block_row") * _BLOCK + _BLOCK, F.col("h")) - 1),
+        lambda i: F.slice("data", i * F.col("w") + F.col("block_col") * _BLOCK + 1, F.least(F.lit(_BLOCK), F.col("w") - F.col("block_col") * _BLOCK)),
+    )
+    return rows.withColumn("data", F.flatten(lines))
+
+
+def _from_blocks(blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """A row for each pixel of blocks."""
+    wide = F.least(F.lit(_BLOCK), F.col("n") - F.col("block_col") * _BLOCK)
+    pixels = blocks.select(*keys, "block_row", "block_col", wide.alias("wide"), F.posexplode("data").alias("at", "value"))
+    row, col = F.expr(f"CAST(block_row * {_BLOCK} + at DIV wide AS INT)"), F.expr(f"CAST(block_col * {_BLOCK} + at % wide AS INT)")
+    return pixels.select(*keys, row.alias("grid_row"), col.alias("grid_col"), "value")
+
+
+@query("g04_align_blocks", _ALIGNED)
+def g04_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The same, image by blocks; every output block needs pixels of four."""
+    out = raster.aligned_blocks(_image_blocks(_images(spark, d)), ["vec_id"], size=_BLOCK, patch_m=240)
+    return _from_blocks(out, ["vec_id"]).withColumn("value", rounded(F.col("value").cast("double"), 3))
+
+
+@query("g05_standardize_blocks", _STANDARDIZED)
+def g05_blocks(spark: SparkSession, d: str) -> DataFrame:
+    out = raster.standardized_blocks(_image_blocks(_images(spark, d)), ["vec_id"], size=_BLOCK, patch=16, step=15.0)
+    return _from_blocks(out, ["vec_id"])
+
+
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     """Low against high resolution: the second image is the first, rolled by a known shift."""
     v = _images(spark, d).select(F.col("vec_id").alias("scene_id"), "data")

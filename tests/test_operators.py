@@ -177,6 +177,51 @@ def test_presence_points_repeat_cells_of_small_masks(spark):
     assert len({(r["lon"], r["lat"]) for r in got}) == 10 and len({r["grid_row"] for r in got if r["habitat"] == "a"}) == 5
 
 
+@pytest.mark.parametrize("step, size", [(10.0, 4), (3.7, 5), (41.0, 3), (10.0, 64)])
+def test_images_in_blocks_equal_whole_images(spark, step, size):
+    rng = np.random.default_rng(11)
+    rows, cut = [], []
+    for i, (h, w, left, top) in enumerate([(23, 17, -13.0, 160.0), (9, 31, 40.5, 77.7), (5, 5, 9000.0, 9000.0), (1, 1, 3.0, 40.0), (16, 16, 0.0, 160.0)]):
+        x = rng.uniform(0, 70000, (h, w))
+        x[rng.random((h, w)) < 0.2] = np.nan
+        data = [None if np.isnan(v) else float(v) for v in x.ravel()]
+        for qa in (False, True):
+            meta = (h, w, left, top, 10.0, 0.0, 0.0, qa)
+            rows.append((i, data, *meta))
+            for r in range(-(-h // size)):
+                for c in range(-(-w // size)):
+                    part = [None if np.isnan(v) else float(v) for v in x[r * size : r * size + size, c * size : c * size + size].ravel()]
+                    cut.append((i, part, r, c, *meta))
+    meta = "h int, w int, left double, top double, px double, origin_x double, origin_y double, is_qa boolean"
+    images = spark.createDataFrame(rows, f"i int, data array<double>, {meta}")
+    blocks = spark.createDataFrame(cut, f"i int, data array<double>, block_row int, block_col int, {meta}").repartition(7)
+    keys = ["i", "is_qa"]
+
+    def whole(df):
+        return {(r["i"], r["is_qa"]): np.array(r["data"], float) for r in df.collect()}
+
+    def joined(df):
+        out = {}
+        for r in df.collect():
+            grid = out.setdefault((r["i"], r["is_qa"]), np.full((r["n"], r["n"]), -9.0))
+            at = grid[r["block_row"] * size : (r["block_row"] + 1) * size, r["block_col"] * size : (r["block_col"] + 1) * size]
+            at[:] = np.array(r["data"], float).reshape(at.shape)
+        return {k: g.ravel() for k, g in out.items()}
+
+    for a, b in (
+        (whole(raster.aligned(images, keys, patch_m=163)), joined(raster.aligned_blocks(blocks, keys, size=size, patch_m=163))),
+        (whole(raster.standardized(images, keys, patch=13, step=step)), joined(raster.standardized_blocks(blocks, keys, size=size, patch=13, step=step))),
+    ):
+        assert a.keys() == b.keys() and len(a) == 10
+        assert all(np.array_equal(a[k], b[k], equal_nan=True) for k in a)
+    gone = blocks.where("i = 4 AND NOT is_qa AND NOT (block_row = 0 AND block_col = 0)")  # a block that is missing is nodata
+    if size < 16:
+        got = joined(raster.aligned_blocks(gone, keys, size=size, patch_m=163))[4, False].reshape(17, 17)
+        full = joined(raster.aligned_blocks(blocks, keys, size=size, patch_m=163))[4, False].reshape(17, 17)
+        assert np.isnan(got[1:size, :size]).all() and np.array_equal(got[size + 2 :], full[size + 2 :], equal_nan=True)
+    assert raster.aligned_blocks(blocks.where("false"), keys, size=size, patch_m=163).count() == 0
+
+
 def test_resample():
     x = np.arange(16.0).reshape(4, 4)
     same = raster.resample(x, 0, 40, 10, 0, 0, 10, 4)
