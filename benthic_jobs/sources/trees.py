@@ -23,7 +23,7 @@ from ..storage import stored
 
 ENTRY = "path string, name string, is_folder boolean, size long, modified timestamp, problem string"
 #: Folders that a task lists, files and bytes that a task reads, about; a larger file stands alone.
-FOLDERS, FILES, BYTES = 64, 1_000, 64_000_000
+FOLDERS, FILES, BYTES = 500, 1_000, 64_000_000
 #: Bytes of text that are handed on at a time.
 FRAME = 8_000_000
 
