@@ -26,17 +26,19 @@ def neighbours(asked: DataFrame, found: DataFrame, keys: list[str], sides: list[
     """Of each asked (keys, ``__d``), for each column of ``sides`` the last day up to it and the first one from it on with a value.
 
     They are structs ``<side>_a`` and ``<side>_z`` of ``__d`` and ``s``. ``found`` has a row for each key and day; ``extra``
-    are columns over all rows of a key. Both directions are running frames, which cost a step for each row.
+    are columns over all rows of a key. Both directions share one order and cost a step for each row: the first day from a
+    row on is its own, else the next one with a value.
     """
     more = [c for c in found.columns if c not in (*keys, "__d")]
     both = asked.select(*keys, "__d").withColumn("__ask", F.lit(True)).unionByName(found, allowMissingColumns=True).dropna(subset=[*keys, "__d"])
     both = both.groupBy(*keys, "__d").agg(F.max("__ask").alias("__ask"), *(F.min(c).alias(c) for c in more))
-    one, looks = Window.partitionBy(*keys), {}
+    both = both.withColumns({f"__{c}": F.when(F.col(c).isNotNull(), F.struct("__d", F.col(c).alias("s"))) for c in sides})
+    order, looks = Window.partitionBy(*keys).orderBy("__d"), {}
+    parts = ", ".join(f"`{k}`" for k in keys)
     for c in sides:
-        seen = F.when(F.col(c).isNotNull(), F.struct("__d", F.col(c).alias("s")))
-        looks[f"{c}_a"] = F.last(seen, ignorenulls=True).over(one.orderBy("__d"))
-        looks[f"{c}_z"] = F.last(seen, ignorenulls=True).over(one.orderBy(F.desc("__d")))
-    return both.withColumns(looks | (extra or {})).where("__ask").drop("__ask", *more)
+        looks[f"{c}_a"] = F.last(f"__{c}", ignorenulls=True).over(order)
+        looks[f"{c}_z"] = F.coalesce(f"__{c}", F.expr(f"lead(`__{c}`) IGNORE NULLS OVER (PARTITION BY {parts} ORDER BY __d)"))
+    return both.withColumns(looks | (extra or {})).where("__ask").drop("__ask", *more, *(f"__{c}" for c in sides))
 
 
 def _answered(obs: DataFrame, obs_date: str, keys: list[str], best: DataFrame) -> DataFrame:

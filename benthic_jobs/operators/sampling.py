@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exact
+from .ranks import quantiles
 
 
 def cell_of(lon: Column, lat: Column, west: float, north: float, size: float) -> tuple[Column, Column]:
@@ -43,6 +44,14 @@ def clear_fraction(pixels: DataFrame, keys: list[str], clear: Column, score: Col
 
 
 def turbidity_index(pixels: DataFrame, aoi: str, cell: list[str], red: str, green: str) -> DataFrame:
-    """The mean over an area of (r - g) / (r + g) of the per-pixel medians over all scenes."""
-    medians = pixels.groupBy(aoi, *cell).agg(F.median(red).alias("r"), F.median(green).alias("g"))
+    """The mean over an area of (r - g) / (r + g) of the per-pixel medians over all scenes.
+
+    Both bands' medians come from one count of equal values, so no task holds a pixel's values. An area without any has NULL.
+    """
+    keys = [aoi, *cell]
+    each = [F.struct(F.lit(name).alias("__band"), F.col(c).cast("double").alias("__v")) for name, c in (("r", red), ("g", green))]
+    long = pixels.select(*keys, F.inline(F.array(*each)))
+    halves = quantiles(long, [*keys, "__band"], "__v", {"__m": 0.5})
+    medians = halves.groupBy(*keys).agg(*(F.max(F.when(F.col("__band") == b, F.col("__m"))).alias(b) for b in ("r", "g")))
+    medians = medians.unionByName(pixels.select(aoi).distinct(), allowMissingColumns=True)
     return medians.groupBy(aoi).agg(exact.mean(F.try_divide(F.col("r") - F.col("g"), F.col("r") + F.col("g"))).alias("turbidity_index"))

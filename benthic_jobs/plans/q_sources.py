@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import manifests, surveys, trees
+from ..storage import new_dir
 from ..streaming.resumable import collect_new_metadata, screen_new_images, screened_images
 from .carriers import carrier, table
 from .registry import mean_sql, query, rounded
-from ..storage import shared_dir
 
 
 def _new(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/jobs/{name}-{uuid.uuid4().hex}"
+    return new_dir(spark, name)
 
 
 @query("s01_survey_csv", """

@@ -1,12 +1,13 @@
 """Properties of the operators that SQL does not cover, and their edges."""
 
 import datetime as dt
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from benthic_jobs.operators import analyse, collapse, curation, habitat, matching, quality, ranks, raster
+from benthic_jobs.operators import analyse, collapse, curation, habitat, matching, quality, ranks, raster, sampling
 
 
 def test_day_distance_and_ties(spark):
@@ -17,6 +18,28 @@ def test_day_distance_and_ties(spark):
     assert got == {1: (2, 0), 2: (4, 2), 3: (None, None)}  # noon before: a day, noon after: none; equal distance: the earlier
 
 
+def test_days_around_against_brute_force(spark):
+    day, rng = dt.date(2020, 1, 1), np.random.default_rng(5)
+    some = lambda n: [(i, "abc"[rng.integers(3)], day + dt.timedelta(int(rng.integers(0, 400)))) for i in range(n)]
+    asked, seen = some(150) + [(900, None, day), (901, "a", None), (902, "d", day)], some(40)
+    obs = spark.createDataFrame(asked, "id int, k string, day date")
+    scenes = spark.createDataFrame([(i, k, dt.datetime.combine(d, dt.time(3))) for i, k, d in seen], "scene int, k string, t timestamp")
+    got = {r["id"]: (r["scene"], r["dist"]) for r in matching.nearest_scene(obs, scenes, ["k"], "day", "t", "scene", 20).collect()}
+    for i, k, d in asked:
+        near = [(abs((t - d).days), t, s) for s, key, t in seen if d and key == k and abs((t - d).days) <= 20]
+        assert got[i] == ((min(near)[2], min(near)[0]) if near else (None, None))
+    plan = matching.nearest_scene(obs, scenes, ["k"], "day", "t", "scene", 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1  # both directions in one order
+
+
+def test_turbidity_of_areas_without_values(spark):
+    rows = [("a", 1, 4.0, 2.0), ("a", 1, 6.0, 2.0), ("a", 1, None, 8.0), ("a", 2, None, 1.0), ("b", 1, None, None), ("c", 1, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "aoi string, cell int, r double, g double")
+    got = {r["aoi"]: r["turbidity_index"] for r in sampling.turbidity_index(df, "aoi", ["cell"], "r", "g").collect()}
+    assert got == {"a": pytest.approx(3 / 7), "b": None, "c": None}
+    assert sampling.turbidity_index(df.limit(0), "aoi", ["cell"], "r", "g").count() == 0
+
+
 def test_clarity_without_scores(spark):
     obs = spark.createDataFrame([(1, "a", dt.date(2020, 1, 10))], "id int, k string, day date")
     scenes = spark.createDataFrame([(1, "a", dt.datetime(2020, 1, 9), None), (2, "a", dt.datetime(2020, 1, 5), None)], "scene int, k string, t timestamp, s double")
@@ -272,6 +295,21 @@ def test_empty_inputs(spark):
     assert collapse.stratified_cap(none.select("site", "label"), ["label"], "site", 5, 1).count() == 0
 
 
+def test_stored_tables_go_with_their_block(spark):
+    from benthic_jobs import storage
+
+    outer = storage.stored(spark.range(2), "x")
+    with pytest.raises(ValueError), storage.cleared(spark):
+        held = storage.stored(spark.range(3), "x")
+        with storage.cleared(spark):
+            inner = storage.stored(spark.range(4), "x")
+            assert inner.count() == 4
+        assert held.count() == 3 and not Path(inner.inputFiles()[0].removeprefix("file:")).exists()
+        raise ValueError
+    assert not Path(held.inputFiles()[0].removeprefix("file:")).exists() and outer.count() == 2
+    assert "scope-" not in storage.stored(spark.range(2), "x").inputFiles()[0]
+
+
 def test_shared_folder(spark):
     from types import SimpleNamespace as Fake
 
