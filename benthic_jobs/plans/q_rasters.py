@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,6 +148,31 @@ def g06(spark: SparkSession, d: str) -> DataFrame:
     return raster.shifts(_pairs(spark, d), "scene_id").withColumn("magnitude", rounded("magnitude", 6))
 
 
+def _upsampled_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The high-resolution image is the low one at twice its size, rolled by a known shift. One of three is narrower than that, one of
+    seven wider, which fits no cut."""
+    v = _images(spark, d).select(F.col("vec_id").alias("scene_id"), F.col("data").alias("lr"), F.lit(8).alias("lr_h"), F.lit(8).alias("lr_w"))
+    v = v.withColumn("hr_w", F.when(F.col("scene_id") % 7 == 0, 20).when(F.col("scene_id") % 3 == 0, 12).otherwise(16))
+
+    def rolled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for r in b.to_dict("records"):
+                large = raster.upsample(raster.image(r["lr"], 8, 8), 16, max(16, r["hr_w"]))[:, : r["hr_w"]]
+                out.append(np.roll(large, (r["scene_id"] % 5 - 2, 3), axis=(0, 1)).ravel())
+            yield b.assign(hr=out, hr_h=16)
+
+    return v.mapInPandas(rolled, "scene_id long, lr array<double>, lr_h int, lr_w int, hr array<double>, hr_h int, hr_w int")
+
+
+@query("g06_phase_shift_sizes", """
+SELECT vec_id AS scene_id, CASE WHEN vec_id % 7 <> 0 THEN CAST(3 AS INT) END AS dx, CASE WHEN vec_id % 7 <> 0 THEN CAST(vec_id % 5 - 2 AS INT) END AS dy,
+  CASE WHEN vec_id % 7 <> 0 THEN round(sqrt(9 + (vec_id % 5 - 2) ** 2), 6) END AS magnitude FROM embeddings""")
+def g06_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Images of unlike size: the low one is brought to the size of the high one by the spline, and cut."""
+    return raster.shifts(_upsampled_pairs(spark, d), "scene_id").withColumn("magnitude", rounded("magnitude", 6))
+
+
 @query("g07_spectra", f"""
 WITH {_DATA},
 w AS (SELECT k, 0.5 - 0.5 * cos(2 * pi() * k / 7) AS h FROM range(8) t(k)),
