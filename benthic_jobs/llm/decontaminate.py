@@ -11,7 +11,8 @@ Up to ``block`` windows are broadcast, and documents pass them without a shuffle
 shuffle, in the same two passes over the corpus whatever their number: shingles are counted in a sketch of fixed size
 (any order of the shingles keeps the prefix principle), a bit map of fixed size of the windows' rarest shingles lets
 through the documents' candidate positions, and these meet the windows in an equi-join on the shingle. Candidates of
-equal texts are one row.
+equal texts are one row. A shingle with more than ``HOT`` candidates is dealt to parts of about so many, and its windows
+are copied to each part, so no task has all places of a passage that every document holds.
 
 Null or empty texts and items without words have no windows and no hits. Repeated rows are reported each
 by itself; repeated item ids count once. An item with a null id has windows like any other: its words are hit, and only
@@ -35,6 +36,8 @@ SHINGLE = 3
 STEP_BYTES, STEP_PAIRS = 4_000_000, 100_000
 #: Bits of a shingle's hash that choose its counter in the sketch, and its bit in the map: both have a fixed size.
 COUNTERS, FILTER = 18, 27
+#: Candidates of one shingle that a part of the join has, at least; at most ``SPLITS`` shingles are dealt to parts.
+HOT, SPLITS = 100_000, 10_000
 FOUND = "struct<n_words:long,hit_spans:array<array<int>>,hit_items:array<string>>"
 
 
@@ -246,6 +249,18 @@ def _bit(shingles: np.ndarray) -> np.ndarray:
     return (shingles.view(np.uint64) >> np.uint64(64 - FILTER)).astype(np.int64)
 
 
+def _dealt(met: DataFrame, chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidates and windows with the ``part`` of their shingle in which they meet: a row of one, copies in all parts of the other."""
+    counts = met.groupBy("shingle").agg(F.count("*").alias("n"))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    most = max(HOT, total // SPLITS)  # so fewer than SPLITS shingles have more
+    hot = F.broadcast(counts.where(F.col("n") > most).select("shingle", F.ceil(F.col("n") / most).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    met = met.join(hot, "shingle", "left").withColumn("part", F.pmod(F.xxhash64("key", "pos"), parts).cast("int")).drop("parts")
+    chosen = chosen.join(hot, "shingle", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+    return met, chosen
+
+
 def _by_shuffle(docs: DataFrame, windows: DataFrame, size: int) -> DataFrame:
     """(key, hit_spans, hit_items) of the texts (key, text) that have any, where the windows are many."""
     context = docs.sparkSession.sparkContext
@@ -282,9 +297,10 @@ def _by_shuffle(docs: DataFrame, windows: DataFrame, size: int) -> DataFrame:
                     yield out.assign(shingle=shingle.view(np.int64)[pos[inside]])
 
     met = docs.mapInPandas(candidates, "key binary, pos int, low int, around array<string>, shingle long").distinct()
+    met, chosen = _dealt(stored(met, "candidates"), chosen)
     start = F.col("pos") - F.col("place")
     inside = (start >= F.col("low")) & (start - F.col("low") + F.col("n") <= F.size("around"))
-    met = met.join(chosen, "shingle").where(inside)
+    met = met.join(chosen, ["shingle", "part"]).where(inside)
     met = met.where(F.array_join(F.slice("around", start - F.col("low") + 1, F.col("n")), " ") == F.col("text"))
     span = F.struct(start.alias("a"), (start + F.col("n")).alias("z"))
     found = met.groupBy("key").agg(F.collect_set(span).alias("spans"), F.array_sort(F.collect_set("item")).alias("hit_items"))

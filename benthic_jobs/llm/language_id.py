@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import free_name, slices
+
 CORE, CONTEXT, LANES, HIDDEN = 128, 16, 4096, 8
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]")
@@ -177,9 +179,10 @@ def fit(docs: DataFrame, *, train: Column, quota: int = 500, **options) -> ByteT
 
 
 def tagged(docs: DataFrame, model: ByteTagger | None, *, text_col: str = "text", step_bytes: int = 8_000_000) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, from the text alone."""
-    from .shared import slices
+    """``docs`` with ``lang_pred`` and ``score``, from the text alone.
 
+    Columns of these two names are replaced, all others stay. Of languages with equal probabilities the first by name is taken.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand weights
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
@@ -195,6 +198,6 @@ def tagged(docs: DataFrame, model: ByteTagger | None, *, text_col: str = "text",
                         names[i], scores[i] = shared.value.languages[best], pooled[i - part.start, best]
             yield pd.DataFrame({"lang_pred": names, "score": np.clip(scores, 0, 1)})
 
-    return docs.withColumn("__p", predict(F.col(text_col))).withColumns(
-        {"lang_pred": F.col("__p.lang_pred"), "score": F.col("__p.score")}
-    ).drop("__p")
+    found = free_name(docs, "__found")
+    out = docs.withColumn(found, predict(F.col(text_col)))
+    return out.withColumns({c: F.col(f"{found}.{c}") for c in ("lang_pred", "score")}).drop(found)

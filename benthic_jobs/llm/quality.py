@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import free_name
+
 SAMPLE = 20_000
 STATISTICS = (
     "log_words", "word_length", "upper", "digit", "symbol", "bang", "bar", "punct", "wide", "line_length", "distinct_words",
@@ -192,8 +194,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, kind: str = "quality", train: Col
 
 
 def scored(docs: DataFrame, model: RuleModel) -> DataFrame:
-    """``docs`` with ``score``, which replaces a column of that name; the statistics are computed once for each row."""
-    return with_statistics(docs, stats="__stats").withColumn("score", model.column("__stats")).drop("__stats")
+    """``docs`` with ``score``, which replaces a column of that name, and no other; the statistics are computed once for each row."""
+    stats = free_name(docs, "__stats")
+    return with_statistics(docs, stats=stats).withColumn("score", model.column(stats)).drop(stats)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, least: float = 0.5) -> DataFrame:
@@ -202,5 +205,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, least: float = 0.5) -> Data
     Null and empty texts are scored like any other; repeated rows share their fate; without labels every row stays.
     """
     model = fit(docs, labels)
-    marked = with_statistics(docs, stats="__stats")
-    return marked.where(model.column("__stats") >= least).drop("__stats")
+    stats = free_name(docs, "__stats")
+    return with_statistics(docs, stats=stats).where(model.column(stats) >= least).drop(stats)

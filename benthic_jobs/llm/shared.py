@@ -6,7 +6,6 @@ Every intermediate that is used twice is written to the folder that the session
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,15 @@ ALNUM = bytes(
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
-    return f"{storage.shared_dir(spark)}/benthic/{name}-{uuid.uuid4().hex}"
+    return storage.new_dir(spark, name, "benthic")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column has in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

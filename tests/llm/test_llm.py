@@ -226,6 +226,21 @@ def test_contamination_changes_no_other_column(spark, large):
         assert {r["doc_id"]: r["hit_items"] for r in found.collect()} == {None: [str(BIG)], BIG: [str(BIG)], BIG + 2: [], BIG + 4: []}
 
 
+def test_contamination_by_a_passage_that_all_documents_hold(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "HOT", 20)
+    held = "this page is shown to all who ask"
+    texts = [f"{words(i % 7, i)} {held} {words(i % 5, i + 9)} {held}" for i in range(150)] + ["none of it", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(f"i{i}", f"{held} {w}") for i, w in enumerate(words(30, 3).split())] + [("all", held)], "item_id string, text string")
+    got, want = (sorted(map(repr, decontaminate.find_contamination(docs, items, block=n).collect())) for n in (1, 200_000))
+    assert got == want and sum("'all'" in r for r in got) == 150
+    met = spark.range(1000).selectExpr("unhex(sha2(cast(id as string), 256)) as key", "cast(id as int) as pos", "if(id < 900, 7, id) as shingle")
+    chosen = spark.createDataFrame([(7, "a"), (7, "b"), (950, "c")], "shingle long, text string")
+    rows, windows = decontaminate._dealt(met, chosen)
+    assert rows.groupBy("shingle", "part").count().agg(F.max("count")).first()[0] < 60 and rows.count() == 1000
+    assert rows.join(windows, ["shingle", "part"]).count() == rows.select("key", "shingle").join(chosen, "shingle").count() == 1801
+
+
 # 3. WARC
 
 
@@ -304,6 +319,10 @@ def test_language_of_odd_rows(odd, none):
     assert language_id.fit(none, train=F.lit(True)) is None
     assert language_id.tagged(odd, None).where("lang_pred <> 'und'").count() == 0
     assert language_id.tagged(none, model).count() == 0
+    clash = odd.withColumns({"__FOUND": F.lit("f"), "__p": F.lit("p"), "Score": F.lit("s")})
+    told = language_id.tagged(clash, model)
+    assert {c.lower() for c in told.columns} == {c.lower() for c in clash.columns} | {"lang_pred"}
+    assert {(r["__FOUND"], r["__p"]) for r in told.collect()} == {("f", "p")} and dict(told.dtypes).get("score", dict(told.dtypes).get("Score")) == "double"
 
 
 @pytest.mark.parametrize(("text", "want"), [
@@ -431,6 +450,9 @@ def test_good_documents_keep_their_columns(spark, odd, large, sf_dir):
     labels = spark.createDataFrame([(5, 1, 0), (8, 0, 0)], "doc_id long, quality int, toxic int")
     clash = odd.withColumns({"stats": F.lit("s"), "score": F.lit("t"), "label": F.lit("u")})
     assert quality.keep_good(clash, labels).schema == clash.schema and {r["stats"] for r in quality.keep_good(clash, labels).collect()} == {"s"}
+    busy = odd.withColumns({"__Stats": F.lit("x"), "__stats_": F.lit("y")})
+    for out in (quality.keep_good(busy, labels), quality.scored(busy, model).drop("score")):
+        assert out.columns == busy.columns and {(r["__Stats"], r["__stats_"]) for r in out.collect()} == {("x", "y")}
     kept = quality.keep_good(large, labels.limit(0))
     assert sorted(map(repr, kept.collect())) == sorted(map(repr, large.collect()))
 
