@@ -226,6 +226,12 @@ def test_contamination_changes_no_other_column(spark, large):
         assert {r["doc_id"]: r["hit_items"] for r in found.collect()} == {None: [str(BIG)], BIG: [str(BIG)], BIG + 2: [], BIG + 4: []}
 
 
+def test_contamination_of_the_tables_in_both_forms(spark, sf_dir):
+    docs, items = queries.table(spark, sf_dir, "documents"), queries.table(spark, sf_dir, "benchmark")
+    few, many = (decontaminate.digest(decontaminate.find_contamination(docs, items, block=n)) for n in (200_000, 1))
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect())) and few.where("contaminated").count() > 0
+
+
 def test_contamination_by_a_passage_that_all_documents_hold(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "HOT", 20)
     held = "this page is shown to all who ask"
