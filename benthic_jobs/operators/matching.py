@@ -8,9 +8,12 @@ smaller id.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import stored
+
 
 def day_of(c: str) -> Column:
     """Whole days: a scene twelve hours before a date is a day before it, one twelve hours after is of the same day."""
@@ -122,14 +125,51 @@ def clipped(ring: Column, window: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(window) - 1), ring, cut)
 
 
+def _area(ring: list) -> float:
+    total = 0.0
+    for (x, y), (u, v) in zip(ring, [*ring[1:], *ring[:1]]):
+        total += x * v - u * y
+    return total / 2
+
+
+def _share(ring: list, window: list) -> float | None:
+    """``clipped`` for two rings in plain numbers: the percentage of the ring's area in the convex window, null without an area."""
+    whole, way, held = _area(ring), 1.0 if _area(window) > 0 else -1.0, ring
+    for (ax, ay), (bx, by) in zip(window, [*window[1:], *window[:1]]):
+        sides, kept = [way * ((bx - ax) * (y - ay) - (by - ay) * (x - ax)) for x, y in held], []
+        for k, p in enumerate(held):
+            q, sp, sq = held[k - 1], sides[k], sides[k - 1]
+            if (sp >= 0) != (sq >= 0):
+                t = sq / (sq - sp)
+                kept.append((q[0] + t * (p[0] - q[0]), q[1] + t * (p[1] - q[1])))
+            if sp >= 0:
+                kept.append(p)
+        held = kept
+    return abs(_area(held)) / abs(whole) * 100 if whole else None
+
+
+def covered_pct(ring: Column | str, window: Column | str) -> Column:
+    """How much of a ring a convex outline covers, in percent; NULL for a ring without an area."""
+    points = lambda value: [(float(p[0]), float(p[1])) for p in value]
+
+    @F.pandas_udf("double")
+    def run(rings: pd.Series, windows: pd.Series) -> pd.Series:
+        return pd.Series([_share(points(r), points(w)) for r, w in zip(rings, windows)], dtype="float64")
+
+    return run(ring, window)
+
+
 def catalogue_search(
     aois: DataFrame, scenes: DataFrame, aoi_id: str, *, cell: float, cloud: float = 20, nodata: float = 5, coverage: float = 0, overlap: float = 0, top: int = 8
 ) -> DataFrame:
     """Scenes whose footprint shares an area with the one asked for, in its dates, by cloud; ``share_pct`` is how much of it they cover.
 
     ``aois`` have ``ring`` (an outline of [x, y]), ``first_day`` and ``last_day``; ``scenes`` scene_id, ``footprint`` (a convex
-    outline), acquired, cloud_cover, nodata_pct, coverage_pct. At least ``overlap`` percent must be covered. Boxes meet in the cells of a grid, and the cell
-    with the south-west corner of what two boxes share reports the pair, so each is clipped once.
+    outline), acquired, cloud_cover, nodata_pct, coverage_pct. At least ``overlap`` percent must be covered.
+
+    Equal outlines are one on either side, so two outlines are clipped once, however many ask for the one and were taken of the other. Their
+    boxes meet in the cells of a grid, and the cell with the south-west corner of what two boxes share reports the pair. Of an outline's scenes
+    only the first ``top`` in the dates asked for can be among those of an answer, and what is asked for alike is answered once.
     """
     at = lambda c: F.floor(F.col(c) / cell).cast("long")
 
@@ -139,15 +179,23 @@ def catalogue_search(
         boxed = boxed.withColumn("cx", F.explode(F.sequence(at(f"{own}west"), at(f"{own}east"))))
         return boxed.withColumn("cy", F.explode(F.sequence(at(f"{own}south"), at(f"{own}north"))))
 
+    name, order = lambda ring: F.md5(F.to_json(ring)), ["cloud_cover", "acquired", "scene_id"]
     good = scenes.where((F.col("cloud_cover") < cloud) & (F.col("nodata_pct") <= nodata) & (F.col("coverage_pct") >= coverage))
-    right = cells(good.select("scene_id", "acquired", "cloud_cover", "footprint"), "footprint", "s_")
-    pairs = cells(aois, "ring", "").join(right, ["cx", "cy"])
+    good, asked = good.withColumn("__shape", name("footprint")), aois.withColumn("__ask", name("ring"))
+    left = cells(asked.select("__ask", "ring").dropDuplicates(["__ask"]), "ring", "")
+    right = cells(good.select("__shape", "footprint").dropDuplicates(["__shape"]), "footprint", "s_")
     meets = (F.col("west") <= F.col("s_east")) & (F.col("s_west") <= F.col("east")) & (F.col("south") <= F.col("s_north")) & (F.col("s_south") <= F.col("north"))
     owner = (F.col("cx") == F.floor(F.greatest("west", "s_west") / cell)) & (F.col("cy") == F.floor(F.greatest("south", "s_south") / cell))
-    pairs = pairs.where(meets & owner & F.col("acquired").between(F.col("first_day"), F.col("last_day")))
-    share = F.abs(ring_area(clipped(F.col("ring"), F.col("footprint")))) / F.abs(ring_area(F.col("ring"))) * 100
-    pairs = pairs.select(aoi_id, "scene_id", "cloud_cover", "acquired", share.alias("share_pct")).where((F.col("share_pct") > 0) & (F.col("share_pct") >= overlap))
-    return top_k(pairs, [aoi_id], ["cloud_cover", "acquired", "scene_id"], top)
+    pairs = left.join(right, ["cx", "cy"]).where(meets & owner).select("__ask", "__shape", covered_pct("ring", "footprint").alias("share_pct"))
+    pairs = stored(pairs, "shares").where((F.col("share_pct") > 0) & (F.col("share_pct") >= overlap))  # stored, so that a share is computed once
+    days = ["first_day", "last_day"]
+    asks = pairs.join(asked.select("__ask", *days).distinct(), "__ask")
+    windows = asks.select("__shape", *days).distinct()
+    taken = windows.join(good.select("__shape", *order), "__shape").where(F.col("acquired").between(F.col("first_day"), F.col("last_day")))
+    first = top_k(taken, ["__shape", *days], order, top).drop("rank")
+    best = top_k(asks.join(first, ["__shape", *days]), ["__ask", *days], order, top)
+    found = asked.select(aoi_id, "__ask", *days).join(best.drop("rank", "__shape"), ["__ask", *days])
+    return top_k(found.select(aoi_id, "scene_id", "cloud_cover", "acquired", "share_pct"), [aoi_id], order, top)
 
 
 def top_k(rows: DataFrame, keys: list[str], order: list, k: int) -> DataFrame:

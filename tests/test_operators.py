@@ -475,3 +475,27 @@ def test_one_prefix_of_many_names(spark, monkeypatch):
     assert got == {"reef": ("ree", 1), "reef 000123 north": ("reef 000123", 6), "r": ("ree", 2), "reef x": ("reef x", 0)}
     held = matching.fuzzy_names(left, right, "site", "folder", "files")._jdf.queryExecution().optimizedPlan().toString()
     assert held.index("Aggregate") < held.index("Join") or "Aggregate [__p" in held
+
+
+def test_catalogue_search_clips_equal_outlines_once(spark):
+    """Nine hundred pairs of two outlines: the cost is that of one, and the answers are those of a search for each."""
+    square, day = [[0.0, 0.0], [2.0, 0.0], [2.0, 2.0], [0.0, 2.0]], dt.date(2020, 1, 1)
+    aois = spark.createDataFrame([(a, square, day, dt.date(2020, 1, 9 + a % 3)) for a in range(30)], "a long, ring array<array<double>>, first_day date, last_day date")
+    rows = [(s, [[1.0, 0.0], [5.0, 0.0], [5.0, 2.0], [1.0, 2.0]], dt.date(2020, 1, 1 + s % 20), float(s * 7 % 5), 0.0, 90.0) for s in range(30)]
+    scenes = spark.createDataFrame(rows, "scene_id long, footprint array<array<double>>, acquired date, cloud_cover double, nodata_pct double, coverage_pct double")
+    out = matching.catalogue_search(aois, scenes, "a", cell=1.0)
+    want = {(a, r[0], 50.0, i + 1) for a in range(30) for i, r in enumerate(sorted((r for r in rows if r[2].day <= 9 + a % 3), key=lambda r: (r[3], r[2], r[0]))[:8])}
+    assert {tuple(r) for r in out.select("a", "scene_id", "share_pct", "rank").collect()} == want
+    stored = [p for p in out.inputFiles() if "/shares-" in p]
+    assert stored and spark.read.parquet(*stored).count() == 1
+
+
+def test_covered_share_against_the_columns(spark):
+    rng = np.random.default_rng(5)
+    ring = lambda n, r: [[float(r * np.cos(t)), float(r * np.sin(t))] for t in np.sort(rng.uniform(0, 2 * np.pi, n))]
+    rows = [(ring(5, 3 + i % 2), ring(6, 3)[:: 1 if i % 2 else -1]) for i in range(40)]
+    df = spark.createDataFrame(rows, "ring array<array<double>>, w array<array<double>>")
+    area = lambda c: F.abs(matching.ring_area(c))
+    got = df.select(matching.covered_pct("ring", "w"), area(matching.clipped(F.col("ring"), F.col("w"))) / area(F.col("ring")) * 100).collect()
+    assert [r[0] for r in got] == [pytest.approx(r[1]) for r in got]
+    assert spark.createDataFrame([([[0.0, 0.0], [1.0, 1.0]], rows[0][1])], df.schema).select(matching.covered_pct("ring", "w")).first()[0] is None
