@@ -13,9 +13,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import stored
 from .matching import seeded, top_k_dealt
 from .ranks import running_total
 
+#: Polygons that a task cuts into triangles, and triangles that are handed on at a time, about.
+POLYGONS, FRAME = 1_000, 10_000
+
 
 def _rings(value) -> list[np.ndarray]:
     return [np.array([np.asarray(p, float) for p in ring]) for ring in value]
@@ -341,7 +345,15 @@ def triangles(polygons: DataFrame, key: str) -> DataFrame:
     """
     names = ["low", "high", "n", "ax", "ay", "bx", "by", "cx", "cy"]
 
+    def framed(keys: list, found: list[np.ndarray]) -> pd.DataFrame:
+        rows = pd.DataFrame(np.concatenate(found), columns=names)
+        of = np.empty(len(keys), object)
+        of[:] = keys
+        rows.insert(0, key, np.repeat(of, [len(x) for x in found]))
+        return rows.astype({"n": "int64"})
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, found, held = [], [], 0
         for batch in batches:
             for k, value in zip(batch[key], batch["rings"]):
                 rings = [] if value is None else [r for r in _rings(value) if len(r) > 2]
@@ -354,13 +366,20 @@ def triangles(polygons: DataFrame, key: str) -> DataFrame:
                 if len(area):
                     ends = np.minimum(np.cumsum(area) / area.sum(), 1.0)
                     ends[-1] = 1.0
-                    rows = pd.DataFrame(np.column_stack([np.append(0.0, ends[:-1]), ends, np.full(len(area), len(area)), corners]), columns=names)
-                    rows = rows[rows["low"] < rows["high"]]
-                    rows.insert(0, key, k)
-                    yield rows.astype({"n": "int64"})
+                    rows = np.column_stack([np.append(0.0, ends[:-1]), ends, np.full(len(area), len(area)), corners])
+                    keys.append(k)
+                    found.append(rows[rows[:, 0] < rows[:, 1]])
+                    held += len(found[-1])
+                    if held >= FRAME:
+                        yield framed(keys, found)
+                        keys, found, held = [], [], 0
+        if found:
+            yield framed(keys, found)
 
     kind = polygons.schema[key].dataType.simpleString()
-    return polygons.select(key, "rings").mapInPandas(cut, f"`{key}` {kind}, low double, high double, n long, " + ", ".join(f"{c} double" for c in names[3:]))
+    n = polygons.count()
+    dealt = polygons.select(key, "rings").repartition(max(1, -(-n // POLYGONS)))  # a small file of many polygons is no single task
+    return dealt.mapInPandas(cut, f"`{key}` {kind}, low double, high double, n long, " + ", ".join(f"{c} double" for c in names[3:]))
 
 
 def points_in_polygons(draws: DataFrame, polygons: DataFrame, key: str, seed: int) -> DataFrame:
@@ -369,11 +388,11 @@ def points_in_polygons(draws: DataFrame, polygons: DataFrame, key: str, seed: in
 
     Draws and shares meet in as many buckets of the unit interval as the polygon has triangles, so a bucket has few of them.
     """
-    parts = triangles(polygons, key)
+    parts = stored(triangles(polygons, key), "triangles")  # used twice
     bucket = lambda u: F.least(F.floor(u * F.col("n")), F.col("n") - 1).cast("long")
+    sizes = parts.groupBy(key).agg(F.max("n").alias("n"))
     parts = parts.withColumn("__b", F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))))
     name = F.col("draw").cast("string")
-    sizes = parts.groupBy(key).agg(F.max("n").alias("n"))
     asked = draws.join(sizes, key, "left").withColumn("__u", unit(name, seed, "part"))
     asked = asked.select(*draws.columns, "__u", bucket(F.col("__u")).alias("__b"))
     parts = parts.drop("n").withColumnsRenamed({key: "__poly", "__b": "__at"})

@@ -499,3 +499,12 @@ def test_covered_share_against_the_columns(spark):
     got = df.select(matching.covered_pct("ring", "w"), area(matching.clipped(F.col("ring"), F.col("w"))) / area(F.col("ring")) * 100).collect()
     assert [r[0] for r in got] == [pytest.approx(r[1]) for r in got]
     assert spark.createDataFrame([([[0.0, 0.0], [1.0, 1.0]], rows[0][1])], df.schema).select(matching.covered_pct("ring", "w")).first()[0] is None
+
+
+def test_triangles_of_many_polygons_in_one_file(spark):
+    ring = lambda i: [[[0.0, 0.0], [1.0 + i, 0.0], [1.0 + i, 1.0], [0.0, 1.0]]]
+    df = spark.createDataFrame([(f"p{i}", ring(i)) for i in range(2500)], "poly string, rings array<array<array<double>>>").coalesce(1)
+    out = habitat.triangles(df, "poly")
+    assert out.rdd.getNumPartitions() == 3
+    got = out.groupBy("poly").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max("cx").alias("x"), F.max("high").alias("high")).collect()
+    assert len(got) == 2500 and all(r["c"] == r["n"] == 2 and r["high"] == 1 for r in got)
