@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from benthic_jobs.functions import exact
 from benthic_jobs.operators import analyse, collapse, curation, habitat, matching, quality, ranks, raster, sampling
 
 
@@ -508,3 +509,20 @@ def test_triangles_of_many_polygons_in_one_file(spark):
     assert out.rdd.getNumPartitions() == 3
     got = out.groupBy("poly").agg(F.count("*").alias("c"), F.max("n").alias("n"), F.max("cx").alias("x"), F.max("high").alias("high")).collect()
     assert len(got) == 2500 and all(r["c"] == r["n"] == 2 and r["high"] == 1 for r in got)
+
+
+def test_extents_count_places_before_they_meet_their_cluster(spark):
+    rows = spark.range(30_000).select(F.lit(1).alias("k"), (F.col("id") % 3 * 0.001).alias("lon"), F.when(F.col("id") % 3 == 0, 0.002).otherwise(0.0).alias("lat"))
+    more = spark.createDataFrame([(1, 90.0, 0.0), (1, None, 0.0), (2, 5.0, 6.0)], "k int, lon double, lat double")
+    out = collapse.extents(rows.unionByName(more), "k", "lon", "lat", 0.5, limit_m=5000)
+    places = spark.read.parquet(*[p for p in out.inputFiles() if "/places-" in p])
+    assert places.count() == 6 and places.agg(F.sum("__n")).first()[0] == 30_003
+    got = {r["k"]: (r["west"], r["east"], r["lon"], r["lat"]) for r in out.collect()}
+    assert got == {1: (-0.5, 0.502, 0.001, pytest.approx(0.002 / 3, abs=1e-12)), 2: (4.5, 5.5, 5.0, 6.0)}
+
+
+def test_exact_means_of_counted_values(spark):
+    rows = spark.createDataFrame([(0.1, 2_500_000_000), (0.4, 500_000_000), (None, 7)], "x double, n long")
+    parts = exact.counted(rows, "n")
+    assert parts.count() == 5 and parts.agg(exact.mean("x", "n")).first()[0] == pytest.approx(0.15, abs=1e-12)
+    assert parts.where("x IS NULL").agg(exact.mean("x", "n")).first()[0] is None
