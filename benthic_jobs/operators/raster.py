@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from .ranks import quantiles
 
+#: Images that are worked on and handed on at a time.
+FRAME = 256
+
 
 def tiles(pixels: DataFrame, keys: list[str], row: str, col: str, value: str, size: int, valid: Column) -> DataFrame:
     """Full tiles only, without those of nodata alone; named ``<key>_<row>_<col>``."""
@@ -32,6 +35,13 @@ def image(values, h: int, w: int) -> np.ndarray:
     return np.array([np.nan if v is None else v for v in values], float).reshape(h, w)
 
 
+def parts_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches as frames of at most ``FRAME`` images, so that what is made of them at a time does not grow with the session's batches."""
+    for b in batches:
+        for at in range(0, len(b), FRAME):
+            yield b.iloc[at : at + FRAME]
+
+
 def _places(n: int, left: float, top: float, px: float, x0: float, y0: float, step: float) -> tuple[np.ndarray, np.ndarray]:
     """Rows and columns of a source, with fractions, at the pixel centres of an n x n grid."""
     x = (x0 + (np.arange(n) + 0.5) * step - left) / px - 0.5
@@ -251,7 +261,7 @@ def shifts(pairs: DataFrame, key: str) -> DataFrame:
     """Registration of rows (key, lr, lr_h, lr_w, hr, hr_h, hr_w); images without two distinct values, or of shapes that don't fit, have none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in parts_of(batches):
             out = []
             for r in b.to_dict("records"):
                 low, high = image(r["lr"], r["lr_h"], r["lr_w"]), image(r["hr"], r["hr_h"], r["hr_w"])

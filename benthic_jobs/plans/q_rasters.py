@@ -155,7 +155,7 @@ def _upsampled_pairs(spark: SparkSession, d: str) -> DataFrame:
     v = v.withColumn("hr_w", F.when(F.col("scene_id") % 7 == 0, 20).when(F.col("scene_id") % 3 == 0, 12).otherwise(16))
 
     def rolled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in raster.parts_of(batches):
             out = []
             for r in b.to_dict("records"):
                 large = raster.upsample(raster.image(r["lr"], 8, 8), 16, max(16, r["hr_w"]))[:, : r["hr_w"]]

@@ -526,3 +526,10 @@ def test_exact_means_of_counted_values(spark):
     parts = exact.counted(rows, "n")
     assert parts.count() == 5 and parts.agg(exact.mean("x", "n")).first()[0] == pytest.approx(0.15, abs=1e-12)
     assert parts.where("x IS NULL").agg(exact.mean("x", "n")).first()[0] is None
+
+
+def test_images_come_in_frames_of_one_size():
+    import pandas as pd
+
+    frames = list(raster.parts_of(iter([pd.DataFrame({"i": range(1000)}), pd.DataFrame({"i": []}), pd.DataFrame({"i": [1000]})])))
+    assert max(map(len, frames)) <= raster.FRAME and [i for f in frames for i in f["i"]] == list(range(1001))
