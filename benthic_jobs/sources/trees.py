@@ -24,6 +24,8 @@ from ..storage import stored
 ENTRY = "path string, name string, is_folder boolean, size long, modified timestamp, problem string"
 #: Folders that a task lists, files and bytes that a task reads, about; a larger file stands alone.
 FOLDERS, FILES, BYTES = 500, 1_000, 64_000_000
+#: Tasks for each core that write files.
+SHARE = 4
 #: Bytes of text that are handed on at a time.
 FRAME = 8_000_000
 
@@ -106,6 +108,11 @@ def texts(listing: DataFrame, root: str) -> DataFrame:
     return dealt.mapInPandas(run, "path string, text string, problem string")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows by a hash of their path to some tasks for each core: short rows of few input files are much work."""
+    return rows.repartition(SHARE * rows.sparkSession.sparkContext.defaultParallelism, "path")
+
+
 def write_texts(rows: DataFrame, root: str) -> int:
     """Each row (path, text) as a file under ``root``; a null text is empty. Returns the number of files.
 
@@ -128,4 +135,4 @@ def write_texts(rows: DataFrame, root: str) -> int:
                     f.write((text or "").encode())
             yield pd.DataFrame({"n": [len(batch)]})
 
-    return rows.select("path", "text").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return _dealt(rows.select("path", "text")).mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -92,3 +92,10 @@ def test_scene_files(spark, tmp_path):
     rows, bad = surveys.read_scene_index(spark, root)
     assert {(r["path"][4:], str(r["date"]), r["sensor"]) for r in rows.collect()} == {(names[0], "2020-01-02", "S2"), (names[1], "2020-03-04", "LS"), (names[2], "2020-01-05", "S2")}
     assert bad.count() == 0
+
+
+def test_rows_of_one_file_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(f"{i % 7}/{i}", None if i % 2 else str(i)) for i in range(500)], "path string, text string").coalesce(1)
+    assert trees._dealt(rows).rdd.getNumPartitions() >= 4
+    assert trees.write_texts(rows, f"file://{tmp_path}") == 500
+    assert {p.name: p.read_text() for p in tmp_path.glob("*/*") if not p.name.startswith(".")} == {str(i): "" if i % 2 else str(i) for i in range(500)}
