@@ -9,8 +9,9 @@ the least offset.
 
 Search: a stated query set against all recordings. Equal fingerprints are one row on both sides. Queries come in
 blocks of at most about ``BLOCK`` fingerprints and ``INTEGERS`` integers, each a job with an inverted index that is broadcast; every recording looks its integers up. The index
-has a table for each two of an integer's four bytes: integers that differ in two bits are equal in two bytes at least.
-Nothing is capped: an integer that many queries share is a candidate for all of them, and recordings of any length are
+has a table for each byte of an integer, keyed by the other three: of integers that differ in two bits at most, the lowest
+byte that differs is left out, and of the rest one bit differs at most, in a higher byte, which is flipped for the lookup.
+Bit errors are summed some words at a time, and an offset is given up once it has more than allowed. Nothing is capped: an integer that many queries share is a candidate for all of them, and recordings of any length are
 compared whole, a million integers at a time. Ties between queries go to the least id.
 
 Null and too short recordings have no fingerprint, no match and are classes of their own. Repeated rows share a
@@ -32,11 +33,15 @@ from pyspark.sql import functions as F
 from .shared import new_dir, slices, stored
 
 RATE, FRAME, HOP, WINDOW = 4000, 1024, 256, 12
-#: Fingerprints and integers of a block of queries, about; an index takes some 40 bytes an integer.
-BLOCK, INTEGERS = 4000, 250_000
+#: Fingerprints and integers of a block of queries, about; an index takes some 80 bytes an integer.
+BLOCK, INTEGERS = 10_000, 500_000
 NEAR, OVERLAP = 2, 16
-#: Pairs of integers that are compared at a time.
-STEP = 1_000_000
+#: Bytes of sound whose images are packed together.
+SOUND = 1 << 22
+#: Pairs of integers that are compared at a time, and integers that are looked up at a time.
+STEP, CHUNK = 1_000_000, 4096
+#: Integers of an overlap that are compared for all offsets together; longer ones go on by themselves.
+LONG = 256
 #: Of the differences' distribution, where the two-bit steps lie (their Gray code is packed).
 STEPS = (-0.12, 0.0, 0.12)
 
@@ -58,30 +63,31 @@ def _filters() -> list[tuple[int, int, int, int]]:
     return [(i % 4, 3 * i % 11, 2 + i % (12 - 3 * i % 11) if 3 * i % 11 < 10 else 1, WINDOW - 2 * (i // 4)) for i in range(16)]
 
 
+@cache
+def _taper() -> np.ndarray:
+    return np.hanning(FRAME).astype(np.float32)
+
+
 def chroma(samples: np.ndarray, rate: int = RATE) -> np.ndarray:
     """Frames by twelve pitch classes, each frame of unit length (silence stays zero)."""
     n = (len(samples) - FRAME) // HOP + 1
     if n <= 0:
         return np.zeros((0, 12))
-    frames = np.lib.stride_tricks.sliding_window_view(samples.astype(np.float32), FRAME)[::HOP] * np.hanning(FRAME).astype(np.float32)
+    frames = np.lib.stride_tricks.sliding_window_view(samples.astype(np.float32), FRAME)[::HOP] * _taper()
     energy = np.abs(np.fft.rfft(frames, axis=1)) ** 2 @ _classes(rate)
     return energy / np.maximum(np.linalg.norm(energy, axis=1, keepdims=True), 1e-9)
 
 
-def fingerprint(samples: np.ndarray, rate: int = RATE) -> np.ndarray:
-    """One unsigned 32-bit integer for each window of ``WINDOW`` frames."""
-    image = chroma(samples, rate)
-    n = len(image) - WINDOW + 1
-    if n <= 0:
-        return np.zeros(0, np.uint32)
-    whole = np.zeros((len(image) + 1, 13))
-    whole[1:, 1:] = image.cumsum(axis=0).cumsum(axis=1)
-    t = np.arange(n)
+def _integers(images: np.ndarray) -> np.ndarray:
+    """One unsigned 32-bit integer for each window of ``WINDOW`` frames, for images of equal length (image, frame, class)."""
+    n = images.shape[1] - WINDOW + 1
+    whole = np.zeros((len(images), images.shape[1] + 1, 13))
+    whole[:, 1:, 1:] = images.cumsum(axis=1).cumsum(axis=2)
 
     def box(a: int, z: int, low: int, high: int) -> np.ndarray:
-        return whole[t + z, high] - whole[t + a, high] - whole[t + z, low] + whole[t + a, low]
+        return whole[:, z : z + n, high] - whole[:, a : a + n, high] - whole[:, z : z + n, low] + whole[:, a : a + n, low]
 
-    out = np.zeros(n, np.uint32)
+    out = np.zeros((len(images), n), np.uint32)
     for kind, low, height, width in _filters():
         high, mid, half = min(12, low + height), low + max(1, min(12, low + height) - low) // 2, width // 2
         every = box(0, width, low, high)
@@ -97,13 +103,27 @@ def fingerprint(samples: np.ndarray, rate: int = RATE) -> np.ndarray:
     return out
 
 
+def fingerprint(samples: np.ndarray, rate: int = RATE) -> np.ndarray:
+    """One unsigned 32-bit integer for each window of ``WINDOW`` frames."""
+    image = chroma(samples, rate)
+    return _integers(image[None])[0] if len(image) >= WINDOW else np.zeros(0, np.uint32)
+
+
 def fingerprints(recordings: DataFrame, id_col: str = "recording_id", pcm_col: str = "pcm", rate: int = RATE) -> DataFrame:
     """(id, fingerprint) from little-endian 16-bit samples."""
 
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield pd.Series([fingerprint(np.frombuffer(x or b"", "<i2"), rate).tobytes() or None for x in batch], dtype=object)
+            sound, out = [x or b"" for x in batch], np.full(len(batch), None, object)
+            for part in slices([len(x) for x in sound], SOUND):
+                images = [chroma(np.frombuffer(x, "<i2"), rate) for x in sound[part]]
+                sizes = np.array([len(x) for x in images])
+                for n in np.unique(sizes[sizes >= WINDOW]):
+                    same = np.flatnonzero(sizes == n)
+                    for i, row in zip(part.start + same, _integers(np.stack([images[j] for j in same]))):
+                        out[i] = row.tobytes()
+            yield pd.Series(out, dtype=object)
 
     return recordings.select(F.col(id_col).alias("recording_id"), run(F.col(pcm_col)).alias("fingerprint"))
 
@@ -123,9 +143,19 @@ def align(query: np.ndarray, other: np.ndarray) -> tuple[int, int, float] | None
     return offset, votes, errors
 
 
-def _ragged(sizes: np.ndarray) -> np.ndarray:
-    """0, 1, ... for each size, one after the other."""
-    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+def _words(integers: np.ndarray) -> np.ndarray:
+    """Each integer with the next one, as a 64-bit word; after the last integer comes zero."""
+    return integers.astype(np.uint64) | np.append(integers[1:], np.zeros(1, np.uint32))[: len(integers)].astype(np.uint64) << np.uint64(32)
+
+
+#: Of the first, second, ... word of eight integers: what counts where only so many integers do.
+_MASKS = [np.array([(1 << 32 * min(2, max(0, n - 2 * i))) - 1 for n in range(8)], np.uint64) for i in range(4)]
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    """Distinct numbers of at least zero, sorted; ``np.unique`` hashes, which is slower."""
+    numbers.sort()
+    return numbers[np.flatnonzero(np.diff(numbers, prepend=-1))]
 
 
 class _Index:
@@ -136,60 +166,99 @@ class _Index:
         self.rows = np.array([q[1] for q in queries])
         prints = [np.frombuffer(q[2], np.uint32) for q in queries]
         self.flat = np.concatenate(prints)
+        self.words = _words(self.flat)
         self.size = np.array([len(p) for p in prints])
         self.begin = np.cumsum(self.size) - self.size
-        self.query = np.repeat(np.arange(len(queries)), self.size)
-        self.shift = self.begin[self.query]
-        self.tables, part = [], self._bytes(self.flat)
-        for low, high in combinations(range(4), 2):
-            keys = part[high] << 8 | part[low]
-            starts = np.concatenate([[0], np.cumsum(np.bincount(keys, minlength=1 << 16))])
-            self.tables.append((low, high, starts, np.argsort(keys, kind="stable").astype(np.int32)))
-
-    @staticmethod
-    def _bytes(integers: np.ndarray) -> list[np.ndarray]:
-        return [(integers >> np.uint32(8 * b) & np.uint32(255)).astype(np.int64) for b in range(4)]
-
-    def _candidates(self, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The (query, offset) pairs with integers that differ in at most ``NEAR`` bits."""
-        span, found, part = 1 << 24, [np.zeros(0, np.int64)], self._bytes(other)
-        for low, high, starts, order in self.tables:
-            key = part[high] << 8 | part[low]
-            begin, n = starts[key], starts[key + 1] - starts[key]
-            some = np.flatnonzero(n)
-            for step in slices(n[some].tolist(), STEP) if n.sum() > STEP else (slice(None),):
-                at = some[step]
-                m = n[at]
-                hit = order[np.repeat(begin[at], m) + _ragged(m)]
-                place = np.repeat(at, m)
-                near = np.flatnonzero(np.bitwise_count(self.flat[hit] ^ other[place]) <= NEAR)
-                hit = hit[near]
-                found.append(self.query[hit] * span + (place[near] - hit + self.shift[hit] + span // 2))
-                if len(found[-1]) > STEP:
-                    found[-1] = np.unique(found[-1])
-        both = np.sort(np.concatenate(found))
-        both = both[np.flatnonzero(np.diff(both, prepend=-1))]
-        return both // span, both % span - span // 2
-
-    def matches(self, other: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
-        """(query, offset, bit errors) of every query that aligns with at most ``least`` bit errors."""
-        query, offset = self._candidates(other)
+        self.query = np.repeat(np.arange(len(queries), dtype=np.int32), self.size)
+        self.bits = max(16, len(self.flat).bit_length() + 1)
+        self.tables = []
+        for byte in range(4):
+            bucket = self._bucket(self.flat & ~np.uint32(255 << 8 * byte))
+            starts = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=1 << self.bits))])
+            order = np.argsort(bucket, kind="stable").astype(np.int32)
+            self.tables.append((starts.astype(np.int32), order, self.flat[order]))
+
+    def _bucket(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint32(0x9E3779B1) >> np.uint32(32 - self.bits)).astype(np.int64)
+
+    def _near(self, others: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(place in ``others``, place in the index) of integers that differ in at most ``NEAR`` bits; some more than once."""
+        for first in range(0, len(others), CHUNK):
+            chunk = others[first : first + CHUNK]
+            for byte, (starts, order, integers) in enumerate(self.tables):
+                flips = np.array([0, *(1 << bit for bit in range(8 * byte + 8, 32))], np.uint32)
+                bucket = self._bucket((chunk & ~np.uint32(255 << 8 * byte))[:, None] ^ flips).ravel()
+                begin = starts[bucket]
+                n = starts[bucket + 1] - begin
+                some = np.flatnonzero(n)
+                begin, n, place = begin[some], n[some], some // len(flips)
+                for step in slices(n.tolist(), STEP) if n.sum(dtype=np.int64) > STEP else (slice(None),):
+                    m = n[step]
+                    slot = np.arange(m.sum(dtype=np.int64)) + np.repeat(begin[step] - (np.cumsum(m) - m), m)
+                    near = np.flatnonzero(np.bitwise_count(integers[slot] ^ np.repeat(chunk[place[step]], m)) <= NEAR)
+                    yield first + np.repeat(place[step], m)[near], order[slot[near]]
+
+    def _bits(self, others: np.ndarray, mine: np.ndarray, other: np.ndarray, length: np.ndarray, least: float) -> np.ndarray:
+        """Bits that differ in ``length`` integers from ``mine`` (index) and ``other`` on; where they are too many, of some of them."""
+        words, limit = _words(others), least * 32 * length + 1
+        bits, a, b, rest = np.zeros(len(length), np.int64), mine, other, length % 8
+        for i in range(4):  # what eight integers at a time leave over, at the front
+            bits += np.bitwise_count((self.words.take(a + 2 * i, mode="clip") ^ words.take(b + 2 * i, mode="clip")) & _MASKS[i].take(rest))
+        for done in range(0, LONG, 8):
+            left = np.flatnonzero((bits <= limit) & (length - rest > done))
+            if not len(left):
+                return bits
+            a, b = (mine + rest + done)[left], (other + rest + done)[left]
+            for i in range(0, 8, 2):
+                bits[left] += np.bitwise_count(self.words.take(a + i) ^ words.take(b + i))
+        for i in np.flatnonzero((bits <= limit) & (length - rest > LONG)):
+            done = LONG + rest[i]
+            while done < length[i] and bits[i] <= limit[i]:
+                n = min(STEP, length[i] - done)
+                a, b = mine[i] + done, other[i] + done
+                bits[i] += np.bitwise_count(self.flat[a : a + n] ^ others[b : b + n]).sum(dtype=np.int64)
+                done += n
+        return bits
+
+    def matches(self, others: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(recording, query, offset, bit errors) of every query that aligns with a recording with at most ``least`` bit errors.
+
+        Recordings are numbered as they come; rows are sorted by recording and query.
+        """
+        sizes = np.array([len(x) for x in others], np.int64)
+        start, flat = np.cumsum(sizes) - sizes, np.concatenate(others)
+        of, span, n = np.repeat(np.arange(len(others)), sizes), 1 << 24, len(self.ids)
+        found, waiting = [np.zeros(0, np.int64)], 0
+        for at, hit in self._near(flat):
+            query, recording = self.query[hit], of[at]
+            offset = at - start[recording] - (hit - self.begin[query])
+            found.append((recording * n + query) * span + (offset + span // 2))
+            waiting += len(hit)
+            if waiting > max(STEP, len(found[0])):
+                found, waiting = [_distinct(np.concatenate(found))], 0
+        both = _distinct(np.concatenate(found))
+        pair, offset = both // span, both % span - span // 2
+        recording, query = pair // n, pair % n
         first = np.maximum(0, -offset)
-        length = np.minimum(self.size[query], len(other) - offset) - first
-        keep = length >= np.minimum(OVERLAP, np.minimum(self.size[query], len(other)))
-        query, offset, first, length = query[keep], offset[keep], first[keep], length[keep]
-        errors = np.zeros(len(query))
-        for part in slices(length.tolist(), STEP):
-            n = length[part]
-            at = np.repeat(first[part], n) + _ragged(n)
-            bits = np.bitwise_count(self.flat[np.repeat(self.begin[query[part]], n) + at] ^ other[np.repeat(offset[part], n) + at])
-            errors[part] = np.add.reduceat(bits, np.cumsum(n) - n, dtype=np.int64) / (32 * n)
-        order = np.lexsort((offset, -length, errors, query))
-        best = np.ones(len(order), bool)
-        best[1:] = query[order][1:] != query[order][:-1]
-        for i in order[best]:
-            if errors[i] <= least:
-                yield int(query[i]), int(offset[i]), float(errors[i])
+        length = np.minimum(self.size[query], sizes[recording] - offset) - first
+        keep = np.flatnonzero(length >= np.minimum(OVERLAP, np.minimum(self.size[query], sizes[recording])))
+        pair, recording, query, offset, first, length = (x[keep] for x in (pair, recording, query, offset, first, length))
+        bits = self._bits(flat, self.begin[query] + first, start[recording] + first + offset, length, least)
+        errors = bits / (32 * length)
+        good = np.flatnonzero(errors <= least)
+        order = good[np.lexsort((offset[good], -length[good], errors[good], pair[good]))]
+        best = order[np.flatnonzero(np.diff(pair[order], prepend=-1))]
+        return recording[best], query[best], offset[best], errors[best]
+
+    def best(self, others: list[np.ndarray], least: float) -> Iterator[tuple[int, int, tuple[float, int, int]]]:
+        """(recording, matching query rows, best of (bit errors, id, offset)) of every recording that has a match."""
+        for part in slices([len(x) for x in others], CHUNK):
+            recording, query, offset, errors = self.matches(others[part], least)
+            order = np.lexsort((offset, self.ids[query], errors, recording))
+            heads = np.flatnonzero(np.diff(recording, prepend=-1))
+            rows = np.add.reduceat(self.rows[query], heads) if len(heads) else heads
+            for n, i in zip(rows, order[heads]):
+                yield part.start + int(recording[i]), int(n), (float(errors[i]), int(self.ids[query[i]]), int(offset[i]))
 
 
 def search(prints: DataFrame, is_query: Column, *, least: float = 0.2) -> DataFrame:
@@ -222,13 +291,8 @@ def search(prints: DataFrame, is_query: Column, *, least: float = 0.2) -> DataFr
 
         def vote(batches: Iterator[pd.DataFrame], index=index) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                out = []
-                for own, raw in zip(batch["key"], batch["fingerprint"]):
-                    got = list(index.value.matches(np.frombuffer(raw, np.uint32), least))
-                    if got:
-                        best = min((e, int(index.value.ids[q]), o) for q, o, e in got)
-                        n = int(sum(index.value.rows[q] for q, _, _ in got))
-                        out.append((own, n, dict(zip(("bit_errors", "id", "offset"), best))))
+                found = index.value.best([np.frombuffer(raw, np.uint32) for raw in batch["fingerprint"]], least)
+                out = [(batch["key"].iat[i], n, dict(zip(("bit_errors", "id", "offset"), best))) for i, n, best in found]
                 yield pd.DataFrame(out, columns=["key", "matches", "best"])
 
         classes.select("key", "fingerprint").mapInPandas(vote, schema).write.mode("append").parquet(path)

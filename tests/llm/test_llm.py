@@ -729,6 +729,62 @@ def test_recordings_that_tie_repeat_and_are_long(spark, monkeypatch):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def _sound(spark, sf_dir, n):
+    rows = audio_match.sonified(queries.table(spark, sf_dir, "embeddings").orderBy("vec_id").limit(n)).orderBy("recording_id").collect()
+    return [np.frombuffer(bytes(r["pcm"]), "<i2") for r in rows]
+
+
+def test_lookup_finds_every_near_integer_and_compares_few(spark, sf_dir, monkeypatch):
+    prints = [audio_match.fingerprint(x) for x in _sound(spark, sf_dir, 200)]
+    index = audio_match._Index([(i, 1, p.tobytes()) for i, p in enumerate(prints[:100])])
+    others, compared = np.concatenate(prints[100:]), []
+
+    def counted(x, count=np.bitwise_count):
+        compared.append(x.size)
+        return count(x)
+
+    want = {(int(a), int(h)) for a, h in zip(*np.nonzero(np.bitwise_count(others[:, None] ^ index.flat[None, :]) <= audio_match.NEAR))}
+    monkeypatch.setattr(audio_match.np, "bitwise_count", counted)
+    for step, chunk in ((1_000_000, 4096), (500, 64)):
+        monkeypatch.setattr(audio_match, "STEP", step)
+        monkeypatch.setattr(audio_match, "CHUNK", chunk)
+        compared.clear()
+        assert {(int(a), int(h)) for at, hit in index._near(others) for a, h in zip(at, hit)} == want
+        assert len(want) > 1000 and sum(compared) < 10 * len(want)  # 20 by two bytes of four
+
+
+def test_matches_of_a_batch_equal_alignment_one_by_one(monkeypatch):
+    rng = np.random.default_rng(11)
+    song = rng.integers(0, 2**32, 900, dtype=np.uint32)
+
+    def noisy(x, bits):
+        for _ in range(bits):
+            x = x ^ np.where(rng.random(len(x)) < 0.9, np.uint32(1) << rng.integers(0, 32, len(x)).astype(np.uint32), np.uint32(0))
+        return x
+
+    spans = [(0, 900), (5, 870), (300, 317), (300, 340), (640, 649), (100, 700), (0, 0), (17, 50)]
+    asked = [noisy(song[a:z], b) for (a, z), b in zip([s for s in spans if s[0] < s[1]], (0, 2, 1, 3, 0, 4, 3))]
+    others = [noisy(song[a:z], b) for a, z in spans for b in (0, 3, 5)] + [np.repeat(song[:1], 70)]
+    index = audio_match._Index([(10 * i, i + 1, p.tobytes()) for i, p in enumerate(asked)])
+    pairs = [(i, j, audio_match.align(q, o)) for j, o in enumerate(others) for i, q in enumerate(asked) if len(o)]
+    want = [(j, i, found[0], found[2]) for i, j, found in pairs if found and found[2] <= 0.2]
+    for step, chunk, long in ((1_000_000, 4096, 256), (500, 64, 16), (50, 10, 8)):
+        monkeypatch.setattr(audio_match, "STEP", step)
+        monkeypatch.setattr(audio_match, "CHUNK", chunk)
+        monkeypatch.setattr(audio_match, "LONG", long)
+        assert sorted(zip(*(x.tolist() for x in index.matches(others, 0.2)))) == sorted(want) and len(want) > 40
+        best = {j: (sum(i + 1 for k, i, *_ in want if k == j), min((e, 10 * i, o) for k, i, o, e in want if k == j)) for j, *_ in want}
+        assert {j: (n, b) for j, n, b in index.best(others, 0.2)} == best
+
+
+def test_fingerprints_of_unlike_recordings_in_one_batch(spark, sf_dir, monkeypatch):
+    rng, sound = np.random.default_rng(12), _sound(spark, sf_dir, 40)
+    sound = [x[: rng.integers(0, len(x))] if i % 3 else x for i, x in enumerate(sound)] + [np.zeros(9000, "<i2"), np.zeros(0, "<i2")]
+    df = spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(sound)], "recording_id long, pcm binary").coalesce(1)
+    got = {r["recording_id"]: r["fingerprint"] for r in audio_match.fingerprints(df).collect()}
+    assert all((bytes(got[i]) if got[i] else b"") == audio_match.fingerprint(x).tobytes() for i, x in enumerate(sound)) and got[41] is None
+
+
 # 10. HTML
 
 
