@@ -39,7 +39,7 @@ NEAR, OVERLAP = 2, 16
 #: Bytes of sound whose images are packed together.
 SOUND = 1 << 22
 #: Pairs of integers that are compared at a time, and integers that are looked up at a time.
-STEP, CHUNK = 1_000_000, 4096
+STEP, CHUNK = 1_000_000, 1024
 #: Integers of an overlap that are compared for all offsets together; longer ones go on by themselves.
 LONG = 256
 #: Of the differences' distribution, where the two-bit steps lie (their Gray code is packed).
@@ -200,24 +200,28 @@ class _Index:
 
     def _bits(self, others: np.ndarray, mine: np.ndarray, other: np.ndarray, length: np.ndarray, least: float) -> np.ndarray:
         """Bits that differ in ``length`` integers from ``mine`` (index) and ``other`` on; where they are too many, of some of them."""
-        words, limit = _words(others), least * 32 * length + 1
-        bits, a, b, rest = np.zeros(len(length), np.int64), mine, other, length % 8
-        for i in range(4):  # what eight integers at a time leave over, at the front
-            bits += np.bitwise_count((self.words.take(a + 2 * i, mode="clip") ^ words.take(b + 2 * i, mode="clip")) & _MASKS[i].take(rest))
-        for done in range(0, LONG, 8):
-            left = np.flatnonzero((bits <= limit) & (length - rest > done))
-            if not len(left):
-                return bits
-            a, b = (mine + rest + done)[left], (other + rest + done)[left]
-            for i in range(0, 8, 2):
-                bits[left] += np.bitwise_count(self.words.take(a + i) ^ words.take(b + i))
-        for i in np.flatnonzero((bits <= limit) & (length - rest > LONG)):
-            done = LONG + rest[i]
-            while done < length[i] and bits[i] <= limit[i]:
-                n = min(STEP, length[i] - done)
-                a, b = mine[i] + done, other[i] + done
-                bits[i] += np.bitwise_count(self.flat[a : a + n] ^ others[b : b + n]).sum(dtype=np.int64)
-                done += n
+        words, limit, eights = _words(others), least * 32 * length + 1, length // 8 * 8
+        bits, left, done = np.zeros(len(length), np.int64), np.flatnonzero(eights), 0
+        a, b, most, end, some = mine[left], other[left], limit[left], eights[left], bits[left]
+        while len(left) and done < LONG:
+            for i in (done, done + 4):
+                one = np.bitwise_count(self.words[i:].take(a) ^ words[i:].take(b))
+                some += one + np.bitwise_count(self.words[i + 2 :].take(a) ^ words[i + 2 :].take(b))
+            done += 8
+            bits[left] = some
+            go = np.flatnonzero((some <= most) & (end > done))
+            left, a, b, most, end, some = (x[go] for x in (left, a, b, most, end, some))
+        for j in left:  # longer than LONG
+            at = done
+            while at < eights[j] and bits[j] <= limit[j]:
+                n = min(STEP, eights[j] - at)
+                bits[j] += np.bitwise_count(self.flat[mine[j] + at : mine[j] + at + n] ^ others[other[j] + at : other[j] + at + n]).sum(dtype=np.int64)
+                at += n
+        left = np.flatnonzero((bits <= limit) & (length > eights))
+        a, b, rest = (mine + eights)[left], (other + eights)[left], (length - eights)[left]
+        for i in range(4):  # what eight integers at a time leave over
+            both = self.words.take(a + 2 * i, mode="clip") ^ words.take(b + 2 * i, mode="clip")
+            bits[left] += np.bitwise_count(both & _MASKS[i].take(rest))
         return bits
 
     def matches(self, others: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -227,18 +231,18 @@ class _Index:
         """
         sizes = np.array([len(x) for x in others], np.int64)
         start, flat = np.cumsum(sizes) - sizes, np.concatenate(others)
-        of, span, n = np.repeat(np.arange(len(others)), sizes), 1 << 24, len(self.ids)
+        of, span, low = np.repeat(np.arange(len(others)), sizes), 1 << 24, len(self.ids).bit_length()
         found, waiting = [np.zeros(0, np.int64)], 0
         for at, hit in self._near(flat):
             query, recording = self.query[hit], of[at]
             offset = at - start[recording] - (hit - self.begin[query])
-            found.append((recording * n + query) * span + (offset + span // 2))
+            found.append((recording << low | query) * span + (offset + span // 2))
             waiting += len(hit)
             if waiting > max(STEP, len(found[0])):
                 found, waiting = [_distinct(np.concatenate(found))], 0
         both = _distinct(np.concatenate(found))
-        pair, offset = both // span, both % span - span // 2
-        recording, query = pair // n, pair % n
+        pair, offset = both >> 24, (both & span - 1) - span // 2
+        recording, query = pair >> low, pair & (1 << low) - 1
         first = np.maximum(0, -offset)
         length = np.minimum(self.size[query], sizes[recording] - offset) - first
         keep = np.flatnonzero(length >= np.minimum(OVERLAP, np.minimum(self.size[query], sizes[recording])))
