@@ -83,7 +83,7 @@ def s04(spark: SparkSession, d: str) -> DataFrame:
     day = F.when(F.col("o_orderkey") % 10 == 0, "undated").otherwise(F.date_format("o_orderdate", "yyyy_MM_dd"))
     tail = F.when(F.col("o_orderkey") % 7 == 0, ".log").otherwise(".nc")
     path = F.concat((F.col("o_orderkey") % 20).cast("string"), F.lit("/"), head, day, F.lit("_"), F.col("o_orderkey").cast("string"), tail)
-    trees.write_texts(table(spark, d, "orders").select(path.alias("path"), F.lit("").alias("text")), at)
+    trees.write_empty(table(spark, d, "orders").select(path.alias("path")), at)
     return surveys.read_scene_index(spark, at)[0]
 
 

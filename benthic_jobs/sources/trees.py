@@ -1,7 +1,7 @@
 """Trees of very many files: listed, read and written by tasks, so that the driver holds no file names.
 
 A tree is listed level by level: the folders of a level are rows, dealt to tasks by a hash of their path, and each is listed
-once. The driver knows how many folders a level has, and nothing else. Files are dealt anew by their path before they
+once, in frames. The driver knows how many folders a level has, and nothing else. Files are dealt anew by their path before they
 are read, so one folder with most of the files is no hot task. A file is read whole by one task.
 
 Paths are relative to the root, with ``/`` between names, so that names with blanks or percent signs need no quoting. Names that
@@ -12,8 +12,11 @@ root that isn't there is an error. What can't be listed or read for good (no per
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import errno
+import os
+from collections.abc import Callable, Iterator
 from fnmatch import translate
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +25,11 @@ from pyspark.sql import functions as F
 from ..storage import stored
 
 ENTRY = "path string, name string, is_folder boolean, size long, modified timestamp, problem string"
-#: Folders that a task lists, files and bytes that a task reads, about; a larger file stands alone.
+#: Folders that a task lists at most, files and bytes that a task reads, about; a larger file stands alone.
 FOLDERS, FILES, BYTES = 500, 1_000, 64_000_000
-#: Tasks for each core that write files.
+#: Entries of a folder that are handed on at a time.
+ENTRIES = 10_000
+#: Tasks for each core that list folders, few as they may be, and that write files.
 SHARE = 4
 #: Bytes of text that are handed on at a time.
 FRAME = 8_000_000
@@ -35,7 +40,7 @@ def entries(spark: SparkSession, root: str) -> DataFrame:
     level = stored(_listed(spark.createDataFrame([("",)], "path string"), root, must=True), "tree")
     every = level
     while folders := level.where("is_folder AND problem IS NULL").count():
-        below = level.where("is_folder AND problem IS NULL").select("path").repartition(-(-folders // FOLDERS), "path")
+        below = _dealt(level.where("is_folder AND problem IS NULL").select("path"), -(-folders // FOLDERS))
         level = stored(_listed(below, root), "tree")
         every = every.unionByName(level)
     return every
@@ -57,19 +62,18 @@ def _listed(folders: DataFrame, root: str, *, must: bool = False) -> DataFrame:
         for batch in batches:
             for path in batch["path"]:
                 try:
-                    infos = store.get_file_info(fs.FileSelector(f"{base.rstrip('/')}/{path}" if path else base))
+                    for infos in _found(store, f"{base.rstrip('/')}/{path}" if path else base):
+                        rows = []
+                        for i in infos:
+                            if not i.base_name.startswith((".", "_")):
+                                folder = i.type == fs.FileType.Directory
+                                rows.append((f"{path}/{i.base_name}".lstrip("/"), i.base_name, folder, None if folder else i.size, i.mtime, None))
+                        if rows:
+                            yield _frame(rows)
                 except (FileNotFoundError, NotADirectoryError, PermissionError) as e:
                     if must:
                         raise
-                    infos = []
                     yield _frame([(path, path.rsplit("/", 1)[-1], True, None, None, type(e).__name__)])
-                rows = []
-                for i in infos:
-                    if not i.base_name.startswith((".", "_")):
-                        folder = i.type == fs.FileType.Directory
-                        rows.append((f"{path}/{i.base_name}".lstrip("/"), i.base_name, folder, None if folder else i.size, i.mtime, None))
-                for at in range(0, len(rows), 10_000):
-                    yield _frame(rows[at : at + 10_000])
 
     def _frame(rows: list[tuple]) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=["path", "name", "is_folder", "size", "modified", "problem"])
@@ -78,6 +82,20 @@ def _listed(folders: DataFrame, root: str, *, must: bool = False) -> DataFrame:
     return folders.select("path").mapInPandas(run, ENTRY)
 
 
+def _found(store, folder: str, size: int = ENTRIES) -> Iterator[list]:
+    """What stands in a folder, so many entries at a time. A folder of a file system is read as it goes on; other stores answer at once."""
+    from pyarrow import fs
+
+    if isinstance(store, fs.LocalFileSystem):
+        with os.scandir(folder) as names:
+            while some := [e.path for e in islice(names, size)]:
+                yield [i for i in store.get_file_info(some) if i.type != fs.FileType.NotFound]
+    else:
+        infos = store.get_file_info(fs.FileSelector(folder))
+        for at in range(0, len(infos), size):
+            yield infos[at : at + size]
+
+
 def texts(listing: DataFrame, root: str) -> DataFrame:
     """(path, text, problem) for each row of a listing (path, size, problem); rows with a problem keep it."""
     n, size = listing.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
@@ -108,9 +126,9 @@ def texts(listing: DataFrame, root: str) -> DataFrame:
     return dealt.mapInPandas(run, "path string, text string, problem string")
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
+def _dealt(rows: DataFrame, least: int = 1) -> DataFrame:
     """Rows by a hash of their path to some tasks for each core: short rows of few input files are much work."""
-    return rows.repartition(SHARE * rows.sparkSession.sparkContext.defaultParallelism, "path")
+    return rows.repartition(max(least, SHARE * rows.sparkSession.sparkContext.defaultParallelism), "path")
 
 
 def write_texts(rows: DataFrame, root: str) -> int:
@@ -136,3 +154,51 @@ def write_texts(rows: DataFrame, root: str) -> int:
             yield pd.DataFrame({"n": [len(batch)]})
 
     return _dealt(rows.select("path", "text")).mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def write_empty(paths: DataFrame, root: str) -> int:
+    """Each row (path) as an empty file under ``root``, to be listed and not to be written to. Returns the number of rows.
+
+    A file system holds a fixed number of files, but more names: there, most paths are further names (hard links) of a file of
+    another row. A path that is there already has to be empty, as after a task that is tried again.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        put = _linked() if isinstance(store, fs.LocalFileSystem) else lambda at: store.open_output_stream(at).close()
+        made: set[str] = set()
+        for batch in batches:
+            for path in batch["path"]:
+                at = f"{base.rstrip('/')}/{path}"
+                folder = at.rsplit("/", 1)[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                put(at)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return _dealt(paths.select("path")).mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def _linked() -> Callable[[str], None]:
+    """Puts an empty file at a path: a link to the last one that is a file of its own, or such a one if that takes no link (more)."""
+    file = None
+
+    def put(at: str) -> None:
+        nonlocal file
+        try:
+            try:
+                if file:
+                    return os.link(file, at)
+            except OSError as e:
+                if e.errno not in (errno.EMLINK, errno.EPERM, errno.ENOTSUP, errno.ENOSYS):
+                    raise
+            open(at, "x").close()
+            file = at
+        except FileExistsError:
+            if os.path.getsize(at):
+                raise
+
+    return put

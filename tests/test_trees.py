@@ -99,3 +99,66 @@ def test_rows_of_one_file_are_written_by_many_tasks(spark, tmp_path):
     assert trees._dealt(rows).rdd.getNumPartitions() >= 4
     assert trees.write_texts(rows, f"file://{tmp_path}") == 500
     assert {p.name: p.read_text() for p in tmp_path.glob("*/*") if not p.name.startswith(".")} == {str(i): "" if i % 2 else str(i) for i in range(500)}
+
+
+def test_folders_are_listed_in_frames(tmp_path):
+    from pyarrow import fs
+
+    put(tmp_path, {f"t/{i}.nc": "x" * i for i in range(25)} | {"t/in/a": "", "real/b": ""})
+    os.symlink(tmp_path / "real", tmp_path / "t" / "link")
+    os.symlink(tmp_path / "none", tmp_path / "t" / "broken")
+    store, seen = fs.LocalFileSystem(), lambda infos: sorted((i.path, str(i.type), i.size, i.mtime) for i in infos)
+    frames = list(trees._found(store, f"{tmp_path}/t", 10))
+    assert [len(f) <= 10 for f in frames] == [True] * 3
+    assert seen(i for f in frames for i in f) == seen(store.get_file_info(fs.FileSelector(f"{tmp_path}/t")))
+
+
+def test_few_folders_are_listed_by_many_tasks(spark, tmp_path, monkeypatch):
+    root, tasks, stored = put(tmp_path, {f"{i}/{i}.nc": "" for i in range(20)}), [], trees.stored
+    monkeypatch.setattr(trees, "stored", lambda df, name: tasks.append(df.rdd.getNumPartitions()) or stored(df, name))
+    assert trees.files(spark, root).count() == 20
+    assert tasks[1] >= 4
+
+
+def test_empty_files_take_few_inodes(spark, tmp_path):
+    rows = spark.createDataFrame([(f"{i % 7}/ü {i}.nc",) for i in range(2000)] + [("top.nc",)], "path string")
+    for _ in range(2):  # again, as a task that is retried
+        assert trees.write_empty(rows, tmp_path.as_uri()) == 2001
+    found = [p for p in tmp_path.rglob("*") if p.is_file()]
+    assert {p.relative_to(tmp_path).as_posix() for p in found} == {r["path"] for r in rows.collect()}
+    assert {p.stat().st_size for p in found} == {0} and len({p.stat().st_ino for p in found}) < 100
+    assert trees.files(spark, tmp_path.as_uri()).where("size = 0 AND problem IS NULL").count() == 2001
+
+
+def test_a_file_takes_some_links_or_none(tmp_path, monkeypatch):
+    import errno
+
+    import pytest
+
+    link = os.link
+    for most, code, own in ((3, errno.EMLINK, 5), (0, errno.EPERM, 20)):
+
+        def limited(file, at, most=most, code=code):
+            if os.stat(file).st_nlink > most:
+                raise OSError(code, os.strerror(code))
+            link(file, at)
+
+        monkeypatch.setattr(os, "link", limited)
+        at, place = tmp_path / str(most), trees._linked()
+        at.mkdir()
+        for i in range(20):
+            place(f"{at}/{i}")
+        assert len(list(at.iterdir())) == 20 and len({p.stat().st_ino for p in at.iterdir()}) == own
+        (at / "full").write_text("x")
+        with pytest.raises(FileExistsError):
+            place(f"{at}/full")
+        assert (at / "full").read_text() == "x"
+
+
+def test_scenes_of_the_query_take_few_inodes(spark, sf_dir, tmp_path, monkeypatch):
+    from benthic_jobs.plans import q_sources
+
+    monkeypatch.setattr(q_sources, "_new", lambda spark, name: f"{tmp_path.as_uri()}/{name}")
+    assert q_sources.s04(spark, sf_dir).count() > 0
+    scenes = [p.stat().st_ino for p in tmp_path.glob("scenes/*/*")]
+    assert len(scenes) == spark.read.parquet(f"{sf_dir}/orders.parquet").count() and len(set(scenes)) < 100
